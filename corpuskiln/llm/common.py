@@ -107,3 +107,16 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 
 def as_signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
+
+
+def if_small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """df marked for broadcast if it has at most so many (narrow) rows, else as it is, for a shuffled join."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def without_ids(docs: DataFrame, dropped: DataFrame, id_col: str) -> DataFrame:
+    """The rows of docs, all its columns, whose id isn't in the one column of dropped."""
+    gone = if_small(dropped.toDF("__gone").distinct())
+    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")

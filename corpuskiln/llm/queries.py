@@ -5,9 +5,11 @@ from __future__ import annotations
 from corpuskiln.llm.bpe import op8_bpe
 from corpuskiln.llm.fingerprint import op10_fingerprint
 from corpuskiln.llm.language import op5_language
+from corpuskiln.llm.near_dedup import op1_minhash
 from corpuskiln.llm.quality import op9_quality
 
 QUERIES = {
+    "op1_minhash": op1_minhash,
     "op5_language": op5_language,
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
