@@ -7,10 +7,12 @@ from corpuskiln.llm.fingerprint import op10_fingerprint
 from corpuskiln.llm.language import op5_language
 from corpuskiln.llm.near_dedup import op1_minhash
 from corpuskiln.llm.quality import op9_quality
+from corpuskiln.llm.substrings import op6_substrings
 
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op5_language": op5_language,
+    "op6_substrings": op6_substrings,
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
     "op10_fingerprint": op10_fingerprint,
