@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from corpuskiln.llm.bpe import op8_bpe
+from corpuskiln.llm.embeddings import op7_embeddings
 from corpuskiln.llm.fingerprint import op10_fingerprint
 from corpuskiln.llm.language import op5_language
 from corpuskiln.llm.near_dedup import op1_minhash
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_minhash": op1_minhash,
     "op5_language": op5_language,
     "op6_substrings": op6_substrings,
+    "op7_embeddings": op7_embeddings,
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
     "op10_fingerprint": op10_fingerprint,
