@@ -6,12 +6,14 @@ from corpuskiln.llm.bpe import op8_bpe
 from corpuskiln.llm.embeddings import op7_embeddings
 from corpuskiln.llm.fingerprint import op10_fingerprint
 from corpuskiln.llm.language import op5_language
+from corpuskiln.llm.mixing import op4_mixing
 from corpuskiln.llm.near_dedup import op1_minhash
 from corpuskiln.llm.quality import op9_quality
 from corpuskiln.llm.substrings import op6_substrings
 
 QUERIES = {
     "op1_minhash": op1_minhash,
+    "op4_mixing": op4_mixing,
     "op5_language": op5_language,
     "op6_substrings": op6_substrings,
     "op7_embeddings": op7_embeddings,
