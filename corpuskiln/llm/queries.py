@@ -10,9 +10,11 @@ from corpuskiln.llm.mixing import op4_mixing
 from corpuskiln.llm.near_dedup import op1_minhash
 from corpuskiln.llm.quality import op9_quality
 from corpuskiln.llm.substrings import op6_substrings
+from corpuskiln.llm.warc import OP3_SQL, op3_warc
 
 QUERIES = {
     "op1_minhash": op1_minhash,
+    "op3_warc": op3_warc,
     "op4_mixing": op4_mixing,
     "op5_language": op5_language,
     "op6_substrings": op6_substrings,
@@ -22,4 +24,6 @@ QUERIES = {
     "op10_fingerprint": op10_fingerprint,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_warc": OP3_SQL,
+}
