@@ -9,11 +9,13 @@ from corpuskiln.llm.language import op5_language
 from corpuskiln.llm.mixing import op4_mixing
 from corpuskiln.llm.near_dedup import op1_minhash
 from corpuskiln.llm.quality import op9_quality
+from corpuskiln.llm.sharding import OP2_SQL, op2_sharding
 from corpuskiln.llm.substrings import op6_substrings
 from corpuskiln.llm.warc import OP3_SQL, op3_warc
 
 QUERIES = {
     "op1_minhash": op1_minhash,
+    "op2_sharding": op2_sharding,
     "op3_warc": op3_warc,
     "op4_mixing": op4_mixing,
     "op5_language": op5_language,
@@ -25,5 +27,6 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_sharding": OP2_SQL,
     "op3_warc": OP3_SQL,
 }
