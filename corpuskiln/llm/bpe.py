@@ -201,6 +201,23 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     return map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string", each)
 
 
+def tokenized(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, token_ids, n_tokens, ids_sha256, decoded_sha256), a row for every row of docs."""
+    import numpy as np
+
+    def each(cols: dict, n: int) -> dict:
+        e, sha = encoder(path), hashlib.sha256
+        got = [e.both(t) for t in cols["text"]]
+        return {
+            "doc_id": cols["doc_id"], "token_ids": [np.frombuffer(a, dtype="<u4").astype(np.int32) for a, _ in got], "n_tokens": [len(a) // 4 for a, _ in got],
+            "ids_sha256": [sha(a).hexdigest() for a, _ in got], "decoded_sha256": [sha(b.encode("utf-8")).hexdigest() for _, b in got],
+        }
+
+    kind = dict(docs.dtypes)[id_col]
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return map_arrow(rows, f"doc_id {kind}, token_ids array<int>, n_tokens bigint, ids_sha256 string, decoded_sha256 string", each)
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
 

@@ -17,10 +17,11 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.llm.common import fmix, map_arrow, table
+from corpuskiln.llm.common import CHUNK_CHARS, fmix, map_arrow, table
 
 #: Bounds of the training sample: rows of each class, characters a row, lines a row.
 TRAIN_ROWS, TRAIN_CHARS, TRAIN_LINES = 2000, 20_000, 200
@@ -278,6 +279,25 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), f"doc_id {kind}, score double, predicted int", each)
 
 
+def only_good(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns, that are predicted good; empty texts count as the share of label 1."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def good(texts: pd.Series) -> pd.Series:
+        values, out, at = texts.tolist(), [], 0
+        while at < len(values):
+            end, size = at, 0
+            while end < len(values) and (end == at or size + len(values[end] or "") <= CHUNK_CHARS):
+                size += len(values[end] or "")
+                end += 1
+            out.append(shared.value.score(values[at:end]) >= THRESHOLD)
+            at = end
+        return pd.Series(np.concatenate(out) if out else np.zeros(0, dtype=bool))
+
+    return docs.where(good(F.col(text_col)))
+
+
 def held_out(id_col: str = "doc_id"):
     return F.crc32(F.col(id_col).cast("string")) % 4 == 2
 
