@@ -6,9 +6,9 @@ standard deviations above. By pigeonhole two signatures within RADIUS have at mo
 in at least one of CHUNKS chunks, so each chunk gives one key for every symbol left out, and all
 pairs within the radius share a key. Links are confirmed on the full sets.
 
-Equal sets are one class. In a bucket first every member is compared with the smallest only; what
-that links is merged, and only then members of different classes are compared with one another, in
-blocks of BLOCK rows. So copies are never expanded into pairs and no bucket meets in one task.
+Equal sets are one class. First every class is compared with one other only, the bucket leader that
+it shares most keys with; what that links is merged, and only then members of a bucket that are
+still of different classes are compared with one another, in blocks of BLOCK rows. So copies are never expanded into pairs and no bucket meets in one task.
 
 Defined cases: null texts and texts without words have an empty set (n_shingles 0) and link with
 nothing; texts of one to four words have one shingle, the sequence; a null id links with nothing and
@@ -36,6 +36,9 @@ WORDS = 5
 PERCENT = 75
 K, CHUNKS, RADIUS = 64, 16, 31
 BLOCK = 1024
+#: Smallest hashes of a set kept to judge a pair before its full sets are fetched, and the standard
+#: deviations that their estimate may lie below the similarity.
+SKETCH, DEVIATIONS = 192, 4.75
 
 _rng = np.random.default_rng(20240501)
 _A = _rng.integers(1, 1 << 63, K, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -67,6 +70,33 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """The SKETCH smallest 32-bit hashes of a set, in order; all of a small set."""
+    return np.unique((fmix(s) >> np.uint64(32)).astype(np.uint32))[:SKETCH].tobytes()
+
+
+def likely(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Whether pairs of sketches can be of linked sets. Sketches that hold whole sets are exact."""
+    n = len(left)
+    if not n:
+        return np.zeros(0, dtype=bool)
+    both = np.empty((n, 2 * SKETCH), dtype=np.uint64)
+    limit = np.full(n, 1 << 32, dtype=np.uint64)
+    for i, (x, y) in enumerate(zip(left, right, strict=True)):
+        both[i, : len(x)], both[i, len(x) : len(x) + len(y)] = x, y
+        both[i, len(x) + len(y) :] = np.arange(1 << 33, (1 << 33) + 2 * SKETCH - len(x) - len(y))
+        full = [s[-1] for s in (x, y) if len(s) >= SKETCH]
+        if full:
+            limit[i] = min(full)
+    both.sort(axis=1)
+    inside = both <= limit[:, None]
+    twice = ((both[:, 1:] == both[:, :-1]) & inside[:, 1:]).sum(axis=1)
+    k = np.maximum(inside.sum(axis=1) - twice, 1)
+    p = PERCENT / 100
+    slack = np.where(limit < 1 << 32, DEVIATIONS * np.sqrt(p * (1 - p) / k), 0) + 0.01
+    return twice >= (p - slack) * k
+
+
 def keys(sig: np.ndarray) -> np.ndarray:
     """[set, K] keys: of each chunk all variants with one symbol left out."""
     part = sig.reshape(len(sig), CHUNKS, K // CHUNKS).astype(np.uint64)
@@ -75,21 +105,21 @@ def keys(sig: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n_shingles, digest, sig): digest and sig are null for empty sets."""
+    """(doc_id, n_shingles, digest, sig, low): digest, sig and low, the sketch, are null for empty sets."""
 
     def each(cols: dict, n: int) -> dict:
         sets = [shingles(t) for t in cols["text"]]
         full = [i for i, s in enumerate(sets) if len(s) and cols["doc_id"][i] is not None]
-        digest, sig = [None] * n, [None] * n
+        digest, sig, low = [None] * n, [None] * n, [None] * n
         if full:
             made = signatures([sets[i] for i in full])
             for row, i in enumerate(full):
-                digest[i], sig[i] = blake2b(sets[i].tobytes(), digest_size=16).digest(), made[row].tobytes()
-        return {"doc_id": cols["doc_id"], "n_shingles": [len(s) for s in sets], "digest": digest, "sig": sig}
+                digest[i], sig[i], low[i] = blake2b(sets[i].tobytes(), digest_size=16).digest(), made[row].tobytes(), sketch(sets[i])
+        return {"doc_id": cols["doc_id"], "n_shingles": [len(s) for s in sets], "digest": digest, "sig": sig, "low": low}
 
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return map_arrow(rows, f"doc_id {kind}, n_shingles bigint, digest binary, sig binary", each)
+    return map_arrow(rows, f"doc_id {kind}, n_shingles bigint, digest binary, sig binary, low binary", each)
 
 
 def keyed(reps: DataFrame) -> DataFrame:
@@ -147,17 +177,17 @@ def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) ->
     return map_arrow(both.select("a", "b", "x", "y"), f"a {kind}, b {kind}", each)
 
 
-def across(rows: DataFrame) -> DataFrame:
+def across(rows: DataFrame, reps: DataFrame) -> DataFrame:
     """Pairs (a, b) of different classes that share a key and lie within the radius.
 
-    rows: (key, rep, c, n_shingles, sig), c the class found so far. Buckets are cut into blocks by a
+    rows: (key, rep, c), c the class found so far; reps: (rep, n_shingles, sig, low). Buckets are cut into blocks by a
     hash of rep; each pair of blocks is one group, compared as arrays and streamed in key order.
     """
     kind = dict(rows.dtypes)["rep"]
     size = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     cut = rows.join(size, "key").withColumn("own", F.expr("cast(pmod(xxhash64(rep), blocks) as int)"))
     cut = cut.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    cut = cut.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "c", "n_shingles", "sig")
+    cut = cut.join(reps, "rep").select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "c", "n_shingles", "sig", "low")
     dealt = cut.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,10 +208,11 @@ def across(rows: DataFrame) -> DataFrame:
     def compared(t: pa.Table, group: list) -> Iterator[pa.RecordBatch]:
         t = t.combine_chunks()
         sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), dtype=np.uint16).reshape(-1, K)
+        low = [np.frombuffer(x, dtype=np.uint32) for x in t.column("low").to_pylist()]
         n, own = t.column("n_shingles").to_numpy(), t.column("own").to_numpy()
         rep = t.column("rep").combine_chunks()
         c = t.column("c").combine_chunks().dictionary_encode().indices.to_numpy()
-        found_a, found_b = [], []
+        found_a, found_b, own_keys = [], [], keys(sig)
         edges = [0, *(k for k in range(1, len(group)) if group[k] != group[k - 1]), len(group)]
         for lo, hi in zip(edges[:-1], edges[1:], strict=True):
             _, i, j = group[lo]
@@ -193,21 +224,31 @@ def across(rows: DataFrame) -> DataFrame:
                 if i == j:
                     ok &= a[:, None] < right[None, :]
                 p, q = np.nonzero(ok)
-                hit = distance(sig[a[p]], sig[right[q]]) <= RADIUS
-                found_a.append(a[p[hit]])
-                found_b.append(right[q[hit]])
+                p, q = a[p], right[q]
+                hit = distance(sig[p], sig[q]) <= RADIUS
+                p, q = p[hit], q[hit]
+                # a pair comes from the first of the keys that it shares
+                first = (own_keys[p] == own_keys[q]).argmax(axis=1)
+                once = own_keys[p, first].view(np.int64) == group[lo][0]
+                p, q = p[once], q[once]
+                for cut in range(0, len(p), 4096):
+                    x, y = p[cut : cut + 4096], q[cut : cut + 4096]
+                    ok = likely([low[k] for k in x], [low[k] for k in y])
+                    found_a.append(x[ok])
+                    found_b.append(y[ok])
         if found_a:
             yield pa.RecordBatch.from_arrays([rep.take(pa.array(np.concatenate(x))) for x in (found_a, found_b)], names=["a", "b"])
 
-    return dealt.mapInArrow(run, f"a {kind}, b {kind}").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return dealt.mapInArrow(run, f"a {kind}, b {kind}").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): component_id is the smallest id reachable by links."""
     rows = materialize(signed(docs, id_col, text_col), "signatures")
     classes = rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    members = materialize(rows.join(classes, "digest", "left").select("doc_id", "n_shingles", "rep", "sig"), "members")
-    reps = members.where("doc_id = rep").dropDuplicates(["rep"]).select("rep", "n_shingles", "sig")
+    members = materialize(rows.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left").select("doc_id", "n_shingles", "rep"), "members")
+    firsts = materialize(members.where("doc_id = rep").select("rep").distinct(), "firsts")
+    reps = rows.where("digest is not null").join(if_small(firsts), rows["doc_id"] == firsts["rep"]).select("rep", "n_shingles", "sig", "low").dropDuplicates(["rep"])
     links, component = link_classes(docs, id_col, text_col, reps)
     out = members.select("doc_id", "n_shingles", "rep").join(component, members["rep"] == component["node"], "left")
     out = out.withColumn("component_id", F.coalesce("component", "rep", "doc_id"))
@@ -217,17 +258,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def link_classes(docs: DataFrame, id_col: str, text_col: str, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Links between classes of equal sets, and (node, component) of the classes that have any."""
     reps = materialize(reps, "classes")
-    buckets = keyed(reps).groupBy("key").agg(F.min("rep").alias("b"), F.max("rep").alias("last")).where("b < last")
-    buckets = materialize(buckets.select("key", "b"), "buckets")
-    shared = keyed(reps).join(buckets, "key")
-    stars = materialize(near(shared.where("rep <> b").select(F.col("b").alias("a"), F.col("rep").alias("b")).distinct(), reps), "stars")
+    buckets = materialize(keyed(reps).groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
+    shared = materialize(keyed(reps).join(buckets, "key").select("key", "rep", "n"), "shared")
+    # the member that meets most others leads a bucket: the original of a group rather than a copy
+    hubs = shared.groupBy("rep").agg(F.sum("n").alias("hub"))
+    leads = shared.join(hubs, "rep").groupBy("key").agg(F.max(F.struct("hub", "rep")).alias("lead"))
+    meets = shared.join(leads.select("key", F.col("lead.rep").alias("b")), "key").where("rep <> b").groupBy("rep", "b").count()
+    best = meets.groupBy("rep").agg(F.max(F.struct("count", "b")).alias("m")).select("rep", F.col("m.b").alias("b"))
+    stars = materialize(near(best.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct(), reps), "stars")
     links = materialize(confirmed(stars, docs, id_col, text_col), "links")
     component = connected_components(links)
     # members of one bucket that are still apart
     now = shared.select("key", "rep").join(component, F.col("rep") == component["node"], "left").select("key", "rep", F.coalesce("component", "rep").alias("c"))
     apart = materialize(now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key"), "apart")
-    rest = materialize(now.join(apart, "key", "left_semi").join(reps, "rep").select("key", "rep", "c", "n_shingles", "sig"), "rest")
-    more = materialize(across(rest), "pairs")
+    rest = materialize(now.join(apart, "key", "left_semi").select("key", "rep", "c"), "rest")
+    more = materialize(across(rest, reps), "pairs")
     extra = materialize(confirmed(more.join(stars, ["a", "b"], "left_anti"), docs, id_col, text_col), "links")
     if extra.limit(1).count():
         links = links.union(extra)
