@@ -2,5 +2,446 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from corpuskiln.functions import masking, patterns as P
+from corpuskiln.functions import text as T
+from corpuskiln.operators import filters, packing, relations, repeats
+from corpuskiln.sources import files, framing
+
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def q(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+# ---- document metrics ----
+
+RUNS = f"regexp_extract_all(text, {q(f'[{P.WORD_CHAR}]+')})"
+COUNT = lambda pattern: f"len(regexp_extract_all(text, {q(pattern)}))"
+PARS = f"list_filter(regexp_split_to_array(text, '\n\n+'), lambda p: not regexp_full_match(p, {q(f'[{P.SPACES}]*')}))"
+METRICS_SQL = f"""
+select doc_id, cast(length(text) as bigint) as chars,
+       len(list_filter({RUNS}, lambda w: regexp_full_match(w, {q(P.WORD_BODY)}))) as words,
+       len(list_filter({RUNS}, lambda w: regexp_full_match(w, {q(P.SHORT_BODY)}))) as short_words,
+       len({PARS}) as paragraphs, length(text) - length(translate(text, {q(P.PUNCTUATION)}, '')) as punct,
+       {COUNT(P.UPPER)} as uppers, {COUNT(P.DIGIT)} as digits,
+       {COUNT(P.LETTERLIKE)} - {COUNT(P.NATIVE)} as foreign_letters,
+       len(list_distinct(regexp_extract_all(text, {q(P.TOKEN)}))) as types, {COUNT(P.TOKEN)} as tokens, text
+from documents
+"""
+RATIOS_SQL = f"""
+select *, words / nullif(paragraphs, 0) as avg_len, punct / nullif(chars, 0) as punct_ratio, uppers / nullif(chars, 0) as upper_ratio,
+       digits / nullif(chars, 0) as digit_ratio, foreign_letters / nullif(chars, 0) as foreign_ratio,
+       coalesce(short_words / nullif(words + short_words, 0), 0) as short_ratio, types / nullif(tokens, 0) as type_token_ratio
+from ({METRICS_SQL})
+"""
+
+
+@query(f"select doc_id, chars, cast(words as integer) as words, cast(short_words as integer) as short_words, cast(paragraphs as integer) as paragraphs, avg_len, punct_ratio, upper_ratio, digit_ratio, foreign_ratio, short_ratio, type_token_ratio from ({RATIOS_SQL})")
+def doc_metrics(spark, sf_dir):
+    return filters.with_metrics(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "metrics.*")
+
+
+REASON_SQL = f"""
+select doc_id, case when text is null or regexp_full_match(text, {q(f'[{P.SPACES}]*')}) then 'empty'
+  when avg_len < 5 then 'avg-len' when punct_ratio > 0.1 then 'punct-ratio' when upper_ratio > 0.1 then 'upper-ratio'
+  when digit_ratio > 0.1 then 'digit-ratio' when foreign_ratio > 0.05 then 'foreign-ratio' when short_ratio > 0.1 then 'short-ratio'
+  when words < 15 then 'min-words' else 'pass-all' end as outcome
+from ({RATIOS_SQL})
+"""
+
+
+@query(REASON_SQL)
+def filter_outcomes(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return filters.judged(docs, filters.PRESETS["encyclopedia"]).select("doc_id", "outcome")
+
+
+@query(f"select outcome, count(*) as n, count(*) * 100.0::double / sum(count(*)) over () as share from ({REASON_SQL}) group by outcome")
+def filter_report(spark, sf_dir):
+    return filters.report(table(spark, sf_dir, "documents").select("text"), filters.PRESETS["encyclopedia"])
+
+
+@query(f"select d.doc_id, d.lang, d.source, d.n_chars from documents d join ({REASON_SQL}) r on d.doc_id = r.doc_id where outcome = 'pass-all'")
+def filter_kept(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return filters.kept(docs, filters.PRESETS["encyclopedia"]).drop("text")
+
+
+@query(f"select d.doc_id, outcome from documents d join ({REASON_SQL}) r on d.doc_id = r.doc_id where outcome <> 'pass-all'")
+def filter_inverted(spark, sf_dir):
+    return filters.judged(table(spark, sf_dir, "documents").select("doc_id", "text"), filters.PRESETS["encyclopedia"]).where("outcome <> 'pass-all'").select("doc_id", "outcome")
+
+
+@query()
+def filter_forum_report(spark, sf_dir):
+    """With repetition and type-token conditions: back references have no RE2 form."""
+    return filters.report(table(spark, sf_dir, "documents").select("text"), filters.PRESETS["forum"])
+
+
+@query()
+def repeated_units(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", *[T.repeats_unit("text", k).alias(f"over_{k}") for k in (3, 5, 10)])
+
+
+BASIC_SQL = f"list_filter(regexp_split_to_array(regexp_replace(regexp_replace(text, {q(P.STRIPPED)}, '', 'g'), {q(f'({P.ALONE})')}, ' \\1 ', 'g'), {q(f'[{P.SPACES}]+')}), lambda t: t <> '')"
+
+
+@query(f"select doc_id, cast(len({BASIC_SQL}) as integer) as n_tokens, md5(array_to_string({BASIC_SQL}, ' ')) as tokens_md5 from documents")
+def basic_tokens(spark, sf_dir):
+    tokens = T.basic_tokens("text")
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(tokens).alias("n_tokens"), F.md5(F.array_join(tokens, " ").cast("binary")).alias("tokens_md5"))
+
+
+@query(f"select count(*) as docs, cast(sum(len({BASIC_SQL})) as bigint) as words, cast(sum(length(text)) as bigint) as chars from documents")
+def corpus_stats(spark, sf_dir):
+    return table(spark, sf_dir, "documents").agg(F.count("*").alias("docs"), F.sum(F.size(T.basic_tokens("text"))).alias("words"), F.sum(F.length("text")).alias("chars"))
+
+
+@query("select source, count(*) as docs, cast(sum(length(text)) as bigint) as chars from documents group by rollup (source)")
+def corpus_stats_by_source(spark, sf_dir):
+    return table(spark, sf_dir, "documents").rollup("source").agg(F.count("*").alias("docs"), F.sum(F.length("text")).alias("chars"))
+
+
+SI_STEPS = " ".join(f"when chars / 1e{3 * (k - 1)} > 1000 then format('{{:.1f}}', chars / 1e{3 * k}) || '{u}'" for k, u in reversed(list(enumerate("KMGTPEZY", 1))))
+
+
+@query(f"select source, case {SI_STEPS} else format('{{:.1f}}', chars::double) end as chars_si from (select source, sum(length(text)) as chars from documents group by source)")
+def formatted_sizes(spark, sf_dir):
+    return table(spark, sf_dir, "documents").groupBy("source").agg(F.sum(F.length("text")).alias("chars")).select("source", T.si_format("chars").alias("chars_si"))
+
+
+@query(f"""select doc_id, cast(len(list_filter(t, lambda x: not regexp_full_match(x, '\\p{{P}}*'))) as integer) as n_words,
+       cast(len(list_filter(t, lambda x: regexp_full_match(x, '\\p{{P}}*'))) as integer) as n_punct from (select doc_id, {BASIC_SQL} as t from documents)""")
+def word_and_punctuation_counts(spark, sf_dir):
+    t = T.basic_tokens("text")
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(F.filter(t, lambda x: ~T.is_punctuation(x))).alias("n_words"), F.size(F.filter(t, T.is_punctuation)).alias("n_punct"))
+
+
+# ---- normalisers ----
+
+def squeezed(x: str) -> str:
+    return f"regexp_replace(regexp_replace({x}, {q(f'[{P.SPACES}]+')}, ' ', 'g'), '^ | $', '', 'g')"
+
+
+def stripped(x: str) -> str:
+    return f"regexp_replace({x}, {q(f'^[{P.SPACES}]+|[{P.SPACES}]+$')}, '', 'g')"
+
+
+@query(f"select doc_id, md5(array_to_string(list_filter(list_transform(string_split(text, '\n'), lambda x: {squeezed('x')}), lambda x: x <> ''), '\n')) as text_md5 from documents")
+def web_spaces(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(T.web_spaces("text").cast("binary")).alias("text_md5"))
+
+
+FORUM_LINE = stripped(f"regexp_replace(x, {q(f'[{P.SPACES}]{{2,}}')}, '  ', 'g')")
+
+
+@query(f"""select doc_id, md5(array_to_string(list_filter(list_transform(regexp_split_to_array({stripped('text')}, {q(f'\n(?:[{P.SPACES}]*\n)+')}),
+       lambda p: array_to_string(list_filter(list_transform(string_split({stripped('p')}, '\n'), lambda x: {FORUM_LINE}), lambda x: x <> ''), '\n')), lambda p: p <> ''), '\n\n')) as text_md5 from documents""")
+def forum_spaces(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(T.forum_spaces("text").cast("binary")).alias("text_md5"))
+
+
+@query(f"""select doc_id, md5(array_to_string(list_filter(list_transform(regexp_split_to_array(text, '\n\n+'),
+       lambda p: regexp_replace(replace(regexp_replace(p, {q(f'[{P.SPACES}]+$')}, ''), chr(160), ' '), {q(f'[{P.SPACES}]{{2,}}')}, '  ', 'g')),
+       lambda p: not regexp_full_match(p, {q(f'[{P.SPACES}]*')})), '\n\n')) as text_md5 from documents""")
+def wiki_spaces(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(T.wiki_spaces("text").cast("binary")).alias("text_md5"))
+
+
+@query(f"""select doc_id, md5(array_to_string(list_filter(list_transform(regexp_split_to_array(regexp_replace(text, '  +', ' ', 'g'), '\n\n+'), lambda p: {squeezed('p')}), lambda p: p <> ''), '\n\n')) as text_md5 from documents""")
+def corpus_spaces(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(T.corpus_spaces("text").cast("binary")).alias("text_md5"))
+
+
+@query()
+def news_spaces(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", T.news_spaces("text").alias("text"))
+
+
+@query("select doc_id, md5('> ' || replace(text, chr(10), chr(10) || '> ')) as text_md5 from documents")
+def quoted_lines(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(T.quote_lines("text").cast("binary")).alias("text_md5"))
+
+
+@query(f"""select page_id, (contains(html, '<!--') or contains(html, '-->')) or
+       (((contains(html, '<') and contains(html, '>')) or contains(html, '&')) and regexp_matches(html, {q(P.HTML_HINT)})) as has_html from pages""")
+def html_presence(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", T.has_html("html").alias("has_html"))
+
+
+@query()
+def page_texts(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", files.extract_html("html").alias("text"))
+
+
+MIMES = ["text/plain", "text/plain; charset=utf-8", "text/html", "text/html; charset=x", "application/xhtml+xml", "application/pdf", "application/json", "image/png", "video/mp4", "text/calendar", "text/css", "application/xml-dtd", "audio/ogg", "application/http", "", "multipart/mixed"]
+
+
+@query(f"""with m as (select page_id, list_element({MIMES!r}, cast(page_id % {len(MIMES)} + 1 as integer)) as mime from pages)
+select page_id, mime, case
+  when mime not in ('text/plain','text/html','application/xhtml+xml','application/xml','application/http') and (mime in ('application/pdf','application/json','text/calendar') or
+    (mime not like 'text/plain;%' and mime not like 'text/html;%' and regexp_matches(mime, '^(image|audio|video|application)/'))) then 'unsupported'
+  when mime = 'text/plain' then 'plain' when regexp_matches(mime, '^(text/html|application/xhtml\\+xml|application/xml|application/http)') then 'html' else 'other' end as class from m""")
+def media_classes(spark, sf_dir):
+    mime = F.element_at(F.array(*map(F.lit, MIMES)), (F.col("page_id") % len(MIMES) + 1).cast("int"))
+    return table(spark, sf_dir, "pages").select("page_id", mime.alias("mime"), T.media_class(mime).alias("class"))
+
+
+# ---- masking ----
+
+@query(f"""select doc_id, md5(regexp_replace(text, {q(f'(^|[^{P.WORD_CHAR}]){P.NATIONAL_ID}($|[^{P.WORD_CHAR}])')}, '\\1010101-001Z\\2', 'g')) as text_md5 from documents""")
+def masked_ids(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(T.mask_ids("text").cast("binary")).alias("text_md5"))
+
+
+@query()
+def masked_texts(spark, sf_dir):
+    return masking.mask_all(table(spark, sf_dir, "documents")).select("doc_id", "text")
+
+
+@query()
+def masked_emails(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", masking.mask_emails("text", masking.COMMON_TLDS).alias("text"))
+
+
+@query()
+def masked_numbers(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", masking.mask_numbers("text").alias("text"))
+
+
+# ---- relations ----
+
+@query("select conv_id, turn, role, text from (select *, row_number() over (partition by conv_id order by turn) as n from conversations) where n = 1 and text not in ('[deleted]', '[removed]')")
+def first_turns(spark, sf_dir):
+    return relations.keyed_dedup(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"), "conv_id", [F.col("turn")], F.col("text").isin("[deleted]", "[removed]"))
+
+
+@query("select user_id, event_id, event_type from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as n from events) where n = 1 and event_type <> 'error'")
+def latest_events(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "ts")
+    return relations.keyed_dedup(events, "user_id", [F.desc("ts"), F.desc("event_id")], F.col("event_type") == "error").drop("ts")
+
+
+@query("""with e as (select event_id, user_id, (user_id * 7 + 3) % 50 as quoted, event_type || ':' || cast(event_id as varchar) as body from events)
+select e.event_id, e.quoted, s.body as quoted_text from e asof left join (select user_id, event_id, body from e) s on e.quoted = s.user_id and e.event_id >= s.event_id
+where e.quoted <> 0 union all select event_id, quoted, null from e where quoted = 0""")
+def quoted_texts(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", ((F.col("user_id") * 7 + 3) % 50).alias("quoted"), F.concat_ws(":", "event_type", F.col("event_id").cast("string")).alias("body"))
+    return relations.quote_lookup(events, "user_id", "quoted", "event_id", "body", 0).select("event_id", "quoted", "quoted_text")
+
+
+WORDS_SQL = f"select word, count(*) as freq from (select unnest(list_filter(regexp_split_to_array(text, {q(f'[{P.SPACES}]+')}), lambda w: w <> '')) as word from documents) group by word"
+
+
+def word_table(spark, sf_dir):
+    words = F.filter(F.split("text", f"[{P.SPACES}]+"), lambda w: w != "")
+    return table(spark, sf_dir, "documents").select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("freq"))
+
+
+@query(f"select word, freq, cast(sum(freq) over (order by freq desc, word desc rows unbounded preceding) as bigint) as upto, sum(freq) over (order by freq desc, word desc rows unbounded preceding) / sum(freq) over () as cum from ({WORDS_SQL})")
+def word_distribution(spark, sf_dir):
+    return relations.frequency_table(word_table(spark, sf_dir)).select("word", "freq", "upto", "cum")
+
+
+@query(f"""with f as (select word, sum(freq) over (order by freq desc, word desc rows unbounded preceding) as upto, freq, sum(freq) over () as total from ({WORDS_SQL})),
+d as (select event_id, (event_id * 7919 % 10007) / 10007.0::double as u from events)
+select event_id, u, word from d join f on greatest(ceil(u * total), 1) - 1 >= upto - freq and greatest(ceil(u * total), 1) - 1 < upto""")
+def sampled_words(spark, sf_dir):
+    draws = table(spark, sf_dir, "events").select("event_id", ((F.col("event_id") * 7919 % 10007) / F.lit(10007.0)).alias("u"))
+    return relations.inverse_distribution(draws, relations.frequency_table(word_table(spark, sf_dir))).select("event_id", "u", "word")
+
+
+@query(f"select word, cast(round_even(freq * 0.01, 0) as bigint) as freq from ({WORDS_SQL}) where round_even(freq * 0.01, 0) > 0")
+def downsampled_words(spark, sf_dir):
+    return relations.downsample(word_table(spark, sf_dir), 0.01)
+
+
+@query("""with s as (select l_orderkey, l_linenumber, l_linenumber * 10 as a, l_linenumber * 10 + cast(l_quantity as integer) as b, l_returnflag from lineitem)
+select l_orderkey, l_linenumber, a, b from s where l_returnflag <> 'R' and not exists (select 1 from s k where k.l_returnflag = 'R' and k.l_orderkey = s.l_orderkey and s.a < k.b and s.b > k.a)""")
+def spans_without_overlap(spark, sf_dir):
+    s = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_linenumber") * 10).alias("a"), (F.col("l_linenumber") * 10 + F.col("l_quantity").cast("int")).alias("b"), "l_returnflag")
+    return relations.interval_anti_join(s.where("l_returnflag <> 'R'"), s.where("l_returnflag = 'R'"), "l_orderkey", "a", "b").drop("l_returnflag")
+
+
+@query("select doc_id, source from documents where doc_id not in (select doc_id from labels where toxic = 1)")
+def not_toxic(spark, sf_dir):
+    return filters.label_filter(table(spark, sf_dir, "documents").select("doc_id", "source"), table(spark, sf_dir, "labels"), "toxic")
+
+
+@query("select 'toxic' as label, sum(toxic) * 1.0::double / count(*) as rate, cast(sum(toxic) as bigint) as n from labels union all select 'low_quality', sum(1 - quality) * 1.0::double / count(*), cast(sum(1 - quality) as bigint) from labels")
+def label_rates(spark, sf_dir):
+    marks = F.array(F.struct(F.lit("toxic").alias("label"), F.col("toxic").alias("x")), F.struct(F.lit("low_quality").alias("label"), (1 - F.col("quality")).alias("x")))
+    rows = table(spark, sf_dir, "labels").select(F.explode(marks).alias("m")).select("m.*")
+    return rows.groupBy("label").agg((F.sum("x") / F.count("*")).alias("rate"), F.sum("x").alias("n"))
+
+
+@query(f"""with l as (select doc_id, text, string_split(text, '\n') as lines from documents),
+k as (select doc_id, text, lines, list_filter(lines, lambda x: regexp_full_match(x, {q(f'[{P.SPACES}]*')}) or length(x) * 37 % 1000 < 700) as good from l)
+select doc_id, md5(case when len(good) = len(lines) then text else regexp_replace({stripped("array_to_string(good, chr(10))")}, {q(f'\n[{P.SPACES}]*\n')}, '\n\n', 'g') end) as text_md5 from k""")
+def filtered_lines(spark, sf_dir):
+    """With line lengths in the place of a model's scores."""
+    lines = F.split("text", "\n")
+    docs = table(spark, sf_dir, "documents").select("doc_id", lines.alias("lines")).withColumn("scores", F.transform("lines", lambda x: (F.length(x) * 37 % 1000).cast("double")))
+    return docs.select("doc_id", F.md5(filters.filter_lines(F.col("lines"), F.col("scores"), 700).cast("binary")).alias("text_md5"))
+
+
+# ---- order, packing, samples ----
+
+@query("select doc_id, case when row_number() over (order by doc_id) <= floor(count(*) over () * 0.05) then 'validation' else 'train' end as split from documents")
+def head_split(spark, sf_dir):
+    return packing.head_split(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", 5.0)
+
+
+@query("""with t as (select event_id, unnest(list_transform(range(0, event_id % 13), lambda i: cast((event_id * 31 + i) % 50000 as integer))) as id, unnest(range(0, event_id % 13)) as i from events),
+n as (select id, row_number() over (order by event_id, i) - 1 as spot from t)
+select block, first, last, total from (select cast(floor(spot / 512) as bigint) as block, arg_min(id, spot) as first, arg_max(id, spot) as last, cast(sum(id) as bigint) as total, count(*) as n from n group by 1) where n = 512""")
+def packed_blocks(spark, sf_dir):
+    ids = F.when(F.col("event_id") % 13 > 0, F.transform(F.sequence(F.lit(0), (F.col("event_id") % 13 - 1).cast("int")), lambda i: ((F.col("event_id") * 31 + i) % 50000).cast("int"))).otherwise(F.expr("cast(array() as array<int>)"))
+    rows = packing.pack(table(spark, sf_dir, "events").select("event_id", ids.alias("ids")), "event_id", "ids", 512)
+    return rows.select("block", F.element_at("ids", 1).alias("first"), F.element_at("ids", -1).alias("last"), F.aggregate("ids", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("total"))
+
+
+@query("""with o as (select event_id, event_id % 13 as n, floor((row_number() over (order by event_id) - 1) / 1000) as batch from events),
+t as (select batch, event_id, unnest(range(0, n)) as i from o),
+p as (select batch, cast((event_id * 31 + i) % 50000 as integer) as id, row_number() over (partition by batch order by event_id, i) - 1 as spot from t)
+select cast(batch as bigint) as batch, cast(floor(spot / 512) as integer) as block, cast(sum(id) as bigint) as total from p group by 1, 2 having count(*) = 512""")
+def packed_in_batches(spark, sf_dir):
+    ids = F.when(F.col("event_id") % 13 > 0, F.transform(F.sequence(F.lit(0), (F.col("event_id") % 13 - 1).cast("int")), lambda i: ((F.col("event_id") * 31 + i) % 50000).cast("int"))).otherwise(F.expr("cast(array() as array<int>)"))
+    rows = packing.pack_in_batches(table(spark, sf_dir, "events").select("event_id", ids.alias("ids")), "event_id", "ids", 512)
+    return rows.select("batch", "block", F.aggregate("ids", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("total"))
+
+
+@query("select doc_id from documents where cast('0x' || substr(md5(cast(doc_id as varchar)), 1, 8) as bigint) < cast(floor(0.1 * 4294967296) as bigint)")
+def hash_sample(spark, sf_dir):
+    return packing.hash_sample(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", 0.1)
+
+
+@query("select count(*) as n_rows, cast(sum(cast('0x' || substr(md5(text), 1, 12) as bigint)) as decimal(38,0)) as checksum from documents")
+def corpus_checksum(spark, sf_dir):
+    part = F.conv(F.substring(F.md5(F.col("text").cast("binary")), 1, 12), 16, 10).cast("decimal(38,0)")
+    return table(spark, sf_dir, "documents").agg(F.count("*").alias("n_rows"), F.sum(part).cast("decimal(38,0)").alias("checksum"))
+
+
+@query("select role, cast(length(text) / 100 as bigint) as size, count(*) as n from (select role, text from conversations) group by role, cast(floor(length(text) / 100) as bigint), cast(length(text) / 100 as bigint)".replace("cast(length(text) / 100 as bigint)", "cast(floor(length(text) / 100) as bigint)"))
+def shape_counts(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").groupBy("role", F.floor(F.length("text") / 100).alias("size")).agg(F.count("*").alias("n"))
+
+
+# ---- n-gram near-duplicates ----
+
+@query(f"""with p as (select doc_id, unnest({PARS}) as paragraph, unnest(range(0, len({PARS}))) as par from documents),
+t as (select doc_id, par, list_filter(regexp_split_to_array(paragraph, {q(f'[{P.SPACES}]+')}), lambda x: x <> '') as t from p),
+g as (select distinct doc_id, par, unnest(list_transform(range(1, greatest(len(t) - 6, 1) + 1), lambda i: array_to_string(t[i:i + 6], ' '))) as g from t),
+f as (select g, min({{'d': doc_id, 'p': par}}) as first from g group by g)
+select doc_id, cast(par as integer) as par, count(*) as n_grams, cast(sum(case when first <> {{'d': doc_id, 'p': par}} then 1 else 0 end) as bigint) as n_seen from g join f using (g) group by doc_id, par""")
+def duplicate_shares(spark, sf_dir):
+    return repeats.duplicate_shares(table(spark, sf_dir, "documents"))
+
+
+@query()
+def deduplicated_paragraphs(spark, sf_dir):
+    return repeats.without_duplicates(table(spark, sf_dir, "documents"))
+
+
+# ---- framed sources, over lines that Spark derives from the tables ----
+
+def corpus_lines(spark, sf_dir) -> DataFrame:
+    """Conversations as parsed-corpus lines: a document each, a paragraph a turn, a sentence a line of text."""
+    turns = table(spark, sf_dir, "conversations")
+    par = F.concat(F.array(F.lit("# <p>")), F.transform(F.split("text", "\n"), lambda x: F.concat(F.lit("# text = "), x)), F.array(F.lit("1\ttoken\t_")))
+    head = F.array(F.concat(F.lit('# <doc id="c'), F.col("conv_id"), F.lit('" collection="x">')), F.concat(F.lit("# predicted register: "), F.when(F.col("conv_id") % 5 == 0, "machine translated").otherwise("narrative")), F.concat(F.lit("# lex_lm_mean_perplexity: "), (F.col("conv_id") % 100).cast("string")))
+    docs = turns.groupBy("conv_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("turn", par.alias("par")))), lambda x: x["par"])).alias("body"))
+    lines = docs.select(F.lit("f").alias("f"), "conv_id", F.concat(head, "body", F.array(F.lit("# </doc>"))).alias("lines"))
+    return lines.select(F.concat("f", (F.col("conv_id") % 8).cast("string")).alias("file"), "conv_id", F.posexplode("lines").alias("at", "value")).select("file", (F.col("conv_id") * 1_000_000 + F.col("at")).alias("pos"), "value")
+
+
+PARSED_SQL = """with s as (select conv_id, turn, unnest(string_split(text, chr(10))) as s, unnest(range(0, len(string_split(text, chr(10))))) as i from conversations),
+p as (select conv_id, turn, string_agg(s, ' ' order by i) as par from s group by conv_id, turn)
+select 'parsebank:c' || conv_id as id, coalesce(string_agg(par, chr(10) || chr(10) order by turn) filter (where par <> ''), '') as text,
+       case when conv_id % 5 = 0 then 'machine translated' else 'narrative' end as register, cast(conv_id % 100 as double) as lex_ppl from p group by conv_id"""
+
+
+@query(PARSED_SQL)
+def parsed_documents(spark, sf_dir):
+    return framing.parsed_corpus(corpus_lines(spark, sf_dir)).select("id", "text", "register", "lex_ppl")
+
+
+@query(f"select id, register, lex_ppl from ({PARSED_SQL}) where register <> 'machine translated' and lex_ppl <= 60")
+def parsed_filtered(spark, sf_dir):
+    return filters.register_filter(framing.parsed_corpus(corpus_lines(spark, sf_dir)), "register", "lex_ppl", "delex_ppl", 60).select("id", "register", "lex_ppl")
+
+
+@query(f"""select 'wiki:' || title as id, url, md5(array_to_string(list_filter(list_transform(regexp_split_to_array(text, '\n\n+'),
+       lambda p: regexp_replace(replace(regexp_replace(p, {q(f'[{P.SPACES}]+$')}, ''), chr(160), ' '), {q(f'[{P.SPACES}]{{2,}}')}, '  ', 'g')),
+       lambda p: not regexp_full_match(p, {q(f'[{P.SPACES}]*')})), '\n\n')) as text_md5
+from (select 'T' || doc_id as title, 'https://example.org/' || doc_id as url, text from documents)""")
+def encyclopedia_documents(spark, sf_dir):
+    head = F.concat(F.lit('<doc id="'), "doc_id", F.lit('" url="https://example.org/'), "doc_id", F.lit('" title="T'), "doc_id", F.lit('">'))
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.concat(F.array(head), F.split("text", "\n"), F.array(F.lit("</doc>")))).alias("at", "value"))
+    lines = lines.select(F.concat(F.lit("wiki_"), (F.col("doc_id") % 16).cast("string")).alias("file"), (F.col("doc_id") * 1_000_000 + F.col("at")).alias("pos"), "value")
+    return framing.encyclopedia(lines).select("id", "url", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+@query("""select 'e' || event_id as id, event_type as forum, case when event_id % 3 = 0 then 'title ' || event_id end as title,
+       case when event_id % 2 = 0 then 'body ' || user_id else 'self ' || user_id end as body, false as bad from events where event_id % 11 <> 0
+union all select null, null, null, null, true from events where event_id % 11 = 0""")
+def forum_documents(spark, sf_dir):
+    post = F.struct(F.concat(F.lit("e"), "event_id").alias("id"), F.col("event_type").alias("subreddit"), F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("title "), "event_id")).alias("title"), F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("body "), "user_id")).alias("body"), F.concat(F.lit("self "), "user_id").alias("selftext"))
+    raw = table(spark, sf_dir, "events").select(F.when(F.col("event_id") % 11 == 0, '{"id": "x').otherwise(F.to_json(post)).alias("value"))
+    posts = framing.forum_posts(raw)
+    return posts.select(*[F.when(~F.col("bad"), F.col(c)).alias(c) for c in ("id", "forum", "title", "body")], "bad")
+
+
+@query("""select word, cast(sum(f) as bigint) as freq from (select p_size as f, unnest(list_filter(string_split(p_name, ' '), lambda x: x <> '')) as word from part) group by word""")
+def loaded_word_frequencies(spark, sf_dir):
+    return framing.word_frequencies(table(spark, sf_dir, "part").select(F.concat_ws(" ", F.col("p_size").cast("string"), "p_name").alias("value")))
+
+
+@query("select count(*) as n, sum(cast(printf('%.1f', l_quantity) as double)) * 1e12 as total, avg(cast(printf('%.1f', l_quantity) as double)) * 1e12 as mean from lineitem where l_returnflag = 'A'")
+def flops_average(spark, sf_dir):
+    line = F.concat(F.lit("host: FLOPS per GPU = x: "), F.format_string("%.1f", "l_quantity"), F.when(F.col("l_returnflag") == "A", " TFLOPS").otherwise(" FLOPS"))
+    return framing.log_rates(table(spark, sf_dir, "lineitem").select(line.alias("value"))).agg(F.count("*").alias("n"), (F.sum("flops")).alias("total"), F.avg("flops").alias("mean"))
+
+
+@query("""with t as (select 'forward' as timer, l_quantity as ms from lineitem union all select 'backward', l_linenumber * 2.0 from lineitem)
+select timer, sum(ms) as ms, sum(ms) / sum(sum(ms)) over () as share from t group by timer""")
+def timer_shares(spark, sf_dir):
+    line = F.concat(F.lit("rank 0 forward: "), F.format_string("%.1f", "l_quantity"), F.lit(" | backward: "), F.format_string("%.1f", F.col("l_linenumber") * 2.0))
+    sums = framing.log_timers(table(spark, sf_dir, "lineitem").select(line.alias("value")), ["forward", "backward"]).groupBy("timer").agg(F.sum("ms").alias("ms"))
+    total = sums.agg(F.sum("ms").alias("total"))
+    return sums.join(F.broadcast(total)).select("timer", "ms", (F.col("ms") / F.col("total")).alias("share"))
+
+
+@query("""select 'news:' || conv_id as id, 'https://example.org/' || conv_id as url, string_agg(case when role = 'system' then '• ' || text || chr(10) || '• end' else text end, chr(10) || chr(10) order by turn) as text
+from conversations where role <> 'assistant' and trim(text) <> '' group by conv_id""")
+def news_documents(spark, sf_dir):
+    """JSON trees of one document a conversation: assistants' turns as images, systems' as bullet lists."""
+    turns = table(spark, sf_dir, "conversations")
+    kind = F.when(F.col("role") == "assistant", "image").when(F.col("role") == "system", "bullet-list").otherwise("text")
+    item = F.struct("turn", F.struct(kind.alias("type"), F.when(F.col("role") != "system", F.col("text")).alias("text"), F.when(F.col("role") == "system", F.array("text", F.lit("end"))).alias("items")).alias("c"))
+    docs = turns.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["c"]).alias("content"))
+    data = F.array(F.struct(F.col("conv_id").alias("id"), F.struct(F.concat(F.lit("https://example.org/"), "conv_id").alias("full")).alias("url"), "content"))
+    return framing_news(docs.select(F.to_json(F.struct(data.alias("data"))).alias("value")))
+
+
+def framing_news(raw: DataFrame) -> DataFrame:
+    return files.news_json(raw).where("text <> ''").select("id", "url", "text")
