@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.functions import masking, patterns as P
+from corpuskiln.functions import masking, news
+from corpuskiln.functions import patterns as P
 from corpuskiln.functions import text as T
-from corpuskiln.operators import filters, packing, relations, repeats
+from corpuskiln.operators import filters, language_model, packing, relations, repeats
 from corpuskiln.sources import files, framing
+from corpuskiln.streaming import streams
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -263,8 +265,9 @@ def word_distribution(spark, sf_dir):
 
 
 @query(f"""with f as (select word, sum(freq) over (order by freq desc, word desc rows unbounded preceding) as upto, freq, sum(freq) over () as total from ({WORDS_SQL})),
-d as (select event_id, (event_id * 7919 % 10007) / 10007.0::double as u from events)
-select event_id, u, word from d join f on greatest(ceil(u * total), 1) - 1 >= upto - freq and greatest(ceil(u * total), 1) - 1 < upto""")
+d as (select event_id, (event_id * 7919 % 10007) / 10007.0::double as u from events),
+p as (select event_id, u, greatest(ceil(u * (select max(total) from f)), 1) - 1 as place from d)
+select event_id, u, word from p asof join (select word, upto - freq as below from f) f on p.place >= f.below""")
 def sampled_words(spark, sf_dir):
     draws = table(spark, sf_dir, "events").select("event_id", ((F.col("event_id") * 7919 % 10007) / F.lit(10007.0)).alias("u"))
     return relations.inverse_distribution(draws, relations.frequency_table(word_table(spark, sf_dir))).select("event_id", "u", "word")
@@ -416,10 +419,10 @@ def loaded_word_frequencies(spark, sf_dir):
     return framing.word_frequencies(table(spark, sf_dir, "part").select(F.concat_ws(" ", F.col("p_size").cast("string"), "p_name").alias("value")))
 
 
-@query("select count(*) as n, sum(cast(printf('%.1f', l_quantity) as double)) * 1e12 as total, avg(cast(printf('%.1f', l_quantity) as double)) * 1e12 as mean from lineitem where l_returnflag = 'A'")
+@query("select count(*) as n, sum(cast(printf('%.1f', l_quantity) as double) * 1e12) as total, sum(cast(printf('%.1f', l_quantity) as double) * 1e12) / count(*) as mean from lineitem where l_returnflag = 'A'")
 def flops_average(spark, sf_dir):
     line = F.concat(F.lit("host: FLOPS per GPU = x: "), F.format_string("%.1f", "l_quantity"), F.when(F.col("l_returnflag") == "A", " TFLOPS").otherwise(" FLOPS"))
-    return framing.log_rates(table(spark, sf_dir, "lineitem").select(line.alias("value"))).agg(F.count("*").alias("n"), (F.sum("flops")).alias("total"), F.avg("flops").alias("mean"))
+    return framing.log_rates(table(spark, sf_dir, "lineitem").select(line.alias("value"))).agg(F.count("*").alias("n"), F.sum("flops").alias("total"), (F.sum("flops") / F.count("*")).alias("mean"))
 
 
 @query("""with t as (select 'forward' as timer, l_quantity as ms from lineitem union all select 'backward', l_linenumber * 2.0 from lineitem)
@@ -445,3 +448,90 @@ def news_documents(spark, sf_dir):
 
 def framing_news(raw: DataFrame) -> DataFrame:
     return files.news_json(raw).where("text <> ''").select("id", "url", "text")
+
+
+# ---- newswire and books ----
+
+@query()
+def news_cleaned(spark, sf_dir):
+    """Lines as paragraphs, through the whole cleaning chain and the joining of split headings."""
+    parts = news.clean_paragraphs(F.split("text", "\n"), ["ah", "rs"])
+    return table(spark, sf_dir, "documents").select("doc_id", T.join_split_headings(parts).alias("paragraphs"))
+
+
+@query()
+def book_texts(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", news.split_metadata(news.book_paragraphs("text")).alias("m"))
+    return rows.select("doc_id", "m.license", "m.produced_by", F.translate(F.array_join("m.paragraphs", "\n\n"), "_", "").alias("text"))
+
+
+@query("""with t as (select doc_id, unnest(list_filter(string_split(text, ' '), lambda w: w <> '')) as w, unnest(range(0, len(list_filter(string_split(text, ' '), lambda w: w <> '')))) as i from documents)
+select doc_id, md5(string_agg(w || case when i % 5 = 0 then chr(10) when i % 5 = 1 then '' else ' ' end, '' order by i)) as text_md5 from t group by doc_id""")
+def token_texts(spark, sf_dir):
+    """Words with marks of the white space after them."""
+    words = F.filter(F.split("text", " "), lambda w: w != "")
+    marks = F.transform(words, lambda w, i: F.struct(w.alias("word"), F.when(i % 5 == 0, "SpacesAfter=\\n").when(i % 5 == 1, "SpaceAfter=No").otherwise("_").alias("spaces")))
+    return table(spark, sf_dir, "documents").where(F.size(words) > 0).select("doc_id", F.md5(framing.token_text(marks).cast("binary")).alias("text_md5"))
+
+
+# ---- language models ----
+
+LINES_SQL = f"""with l as (select doc_id, unnest(string_split(text, chr(10))) as x, unnest(range(0, len(string_split(text, chr(10))))) as line from documents),
+t as (select doc_id, line, list_concat(['<s>'], {BASIC_SQL.replace('regexp_replace(text,', 'regexp_replace(x,')}, ['</s>']) as t from l where not regexp_full_match(x, {q(f'[{P.SPACES}]*')})),
+b as (select doc_id, line, unnest(list_transform(range(1, len(t)), lambda i: {{'a': t[i], 'b': t[i + 1]}})) as p from t),
+c as (select p.a as a, p.b as b, count(*) as n_ab from b group by 1, 2), f as (select a, sum(n_ab) as n_a from c group by a), v as (select count(distinct b) as v from c)"""
+
+
+@query(f"""{LINES_SQL} select doc_id, cast(floor(pow(10.0::double, -sum(log10((n_ab + 1) / (n_a + v))) / count(*))) as bigint) as ppl
+from (select doc_id, p.a as a, p.b as b from b) b join c using (a, b) join f using (a) cross join v group by doc_id""")
+def document_perplexity(spark, sf_dir):
+    """Of a bigram model of the same documents, truncated."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return language_model.document_perplexity(docs, language_model.bigram_model(docs)).select("doc_id", F.floor("perplexity").alias("ppl"))
+
+
+@query()
+def perplexity_filtered_lines(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return language_model.drop_lines(docs, language_model.bigram_model(docs), 20_000)
+
+
+@query()
+def language_probability(spark, sf_dir):
+    return language_model.language_classes(table(spark, sf_dir, "documents"), "en")
+
+
+@query()
+def filter_with_language(spark, sf_dir):
+    """The whole cascade: native conditions and the language probability last."""
+    docs = table(spark, sf_dir, "documents")
+    scored = docs.join(language_model.language_classes(docs, "en").withColumnRenamed("doc_id", "i"), F.col("doc_id") == F.col("i"))
+    return filters.judged(scored, filters.PRESETS["forum"], lang_prob=F.col("lang_prob")).groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+# ---- streams, drained over what the tables hold ----
+
+def stream_of(spark, sf_dir: str, name: str) -> DataFrame:
+    return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(f"{sf_dir}/{name}.parquet*")
+
+
+def _drained(stream: DataFrame, name: str) -> DataFrame:
+    import uuid
+
+    return streams.drained(stream, f"{name}_{uuid.uuid4().hex}")
+
+
+@query("select distinct conv_id from conversations")
+def streamed_first_seen(spark, sf_dir):
+    return _drained(streams.first_seen(stream_of(spark, sf_dir, "conversations"), "conv_id").select("conv_id"), "first_seen")
+
+
+@query(f"select d.doc_id from documents d join ({REASON_SQL}) r on d.doc_id = r.doc_id where outcome = 'pass-all'")
+def streamed_filter(spark, sf_dir):
+    return _drained(streams.filtered(stream_of(spark, sf_dir, "documents"), filters.PRESETS["encyclopedia"]).select("doc_id"), "filtered")
+
+
+@query("select user_id % 4 as shard, cast(floor(count(*) * 3 / 256) as bigint) as blocks from events group by 1")
+def streamed_packing(spark, sf_dir):
+    rows = stream_of(spark, sf_dir, "events").select((F.col("user_id") % 4).alias("shard"), F.array(F.lit(1), F.col("event_id").cast("int") % 1000, F.lit(2)).alias("ids"))
+    return _drained(streams.packed(rows, "shard", "ids", 256), "packed").groupBy("shard").agg(F.count("*").alias("blocks"))
