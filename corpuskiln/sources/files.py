@@ -73,19 +73,13 @@ def archive_records(content: bytes):
 
 def newsml(spark: SparkSession, path: str, headline: bool = True, glob: str = "*.xml") -> DataFrame:
     """(id, paragraphs, meta map<string, array<string>>) of news items in XML, one a file."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path)
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path, wholetext=True)
     return files.select(news_item(F.col("value"), headline).alias("x")).select("x.*")
 
 
 def news_item(xml: Column, headline: bool = True) -> Column:
-    @F.pandas_udf("id string, paragraphs array<string>, meta map<string, array<string>>")
-    def parse(values: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([parse_news(v, headline) for v in values], columns=["id", "paragraphs", "meta"])
-
-    return parse(xml)
-
-
-news_item.__annotations__ = {}
+    each = lambda values: pd.DataFrame([parse_news(v, headline) for v in values], columns=["id", "paragraphs", "meta"])
+    return F.pandas_udf(each, "id string, paragraphs array<string>, meta map<string, array<string>>")(xml)
 
 
 def parse_news(xml: str, headline: bool) -> tuple[str | None, list[str], dict[str, list[str]]]:

@@ -14,9 +14,9 @@ from corpuskiln.functions import text as T
 
 def read_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """(file, pos, value) of text files, plain or gzip; pos counts lines within a file."""
-    reader = spark.read.option("wholetext", True).option("recursiveFileLookup", True)
+    reader = spark.read.option("recursiveFileLookup", True)
     reader = reader.option("pathGlobFilter", glob) if glob else reader
-    whole = reader.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    whole = reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     return whole.select("file", F.posexplode(F.split("value", "\n")).alias("pos", "value"))
 
 
@@ -35,7 +35,7 @@ def attributes(line: Column) -> Column:
 
 def first_after(lines: Column, prefix: str) -> Column:
     """What follows the prefix in the first line that starts with it."""
-    return F.substr(F.element_at(F.filter(lines, lambda x: x.startswith(prefix)), 1), F.lit(len(prefix) + 1))
+    return F.substr(F.try_element_at(F.filter(lines, lambda x: x.startswith(prefix)), F.lit(1)), F.lit(len(prefix) + 1))
 
 
 def parsed_corpus(lines: DataFrame, collection: str = "parsebank") -> DataFrame:
@@ -53,7 +53,7 @@ def parsed_corpus(lines: DataFrame, collection: str = "parsebank") -> DataFrame:
     numbers = F.array_distinct(F.transform("sent", lambda x: x["par"]))
     par = lambda k: F.array_join(F.transform(F.filter("sent", lambda x: x["par"] == k), lambda x: x["s"]), " ")
     text = F.array_join(F.filter(F.transform(numbers, par), lambda p: p != ""), "\n\n")
-    attrs = attributes(F.element_at("head", 1))
+    attrs = attributes(F.try_element_at("head", F.lit(1)))
     named = F.coalesce(attrs["id"], attrs["urn"], F.concat_ws(":", attrs["collection"], attrs["url"]))
     return docs.select(
         F.concat(F.lit(f"{collection}:"), named).alias("id"), text.alias("text"), first_after(F.col("head"), "# predicted register: ").alias("register"),
