@@ -34,16 +34,21 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
+def inner_hashes(c: np.ndarray) -> np.ndarray:
+    """Hashes of all runs of S code points."""
+    n = len(c) - S + 1
+    out = np.zeros(n, dtype=np.uint64)
+    for i in range(S):
+        out = out * np.uint64(0x100000001B3) + c[i : n + i]
+    return fmix(out)
+
+
 def anchors(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(places, hashes) of the closed syncmers of a run of code points."""
     if len(code) < K:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
     c = code.astype(np.uint64)
-    n = len(c)
-    inner = np.zeros(n - S + 1, dtype=np.uint64)
-    for i in range(S):
-        inner = inner * np.uint64(0x100000001B3) + c[i : n - S + 1 + i]
-    inner = fmix(inner)
+    inner = inner_hashes(c)
     w = K - S + 1
     low = sliding_min(inner, w)
     at = np.flatnonzero((inner[: len(low)] == low) | (inner[w - 1 :] == low))

@@ -27,6 +27,7 @@ from corpuskiln.llm.common import CHUNK_CHARS, fmix, map_arrow, table
 TRAIN_ROWS, TRAIN_CHARS, TRAIN_LINES = 2000, 20_000, 200
 #: A document is predicted good from this score on.
 THRESHOLD = 0.7
+RIDGE = 0.02
 
 # character classes
 SPACE, LETTER, UPPER, DIGIT, PLAIN, LOUD, SYMBOL = range(7)
@@ -218,17 +219,22 @@ def fit(rows: list[tuple[str, int]], base: float = 0.5, rounds: int = 120) -> Mo
     y = np.array([label for _, label in rows], dtype=np.float64)
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(0), np.zeros((2, 2)), (0.0, 0.0), float(base))
+    # the rarer class is repeated to about the size of the other, so that neither drowns
+    rare = float(y.mean() < 0.5)
+    again = int((y != rare).sum() // (y == rare).sum()) - 1
+    rows = [*rows, *([r for r in rows if r[1] == rare] * again)]
+    y = np.array([label for _, label in rows], dtype=np.float64)
     texts = ["\n".join(t[:TRAIN_CHARS].split("\n")[:TRAIN_LINES]) for t, _ in rows]
     f = lines_of(texts)
     doc = np.repeat(np.arange(len(texts)), f.counts)
     # lines start with their document's label; in bad documents those that look good become good,
     # but for the worst line of each
-    w = logistic(f.x, y[doc], f.length / max(f.length.mean(), 1), 1.0)
+    w = logistic(f.x, y[doc], f.length / max(f.length.mean(), 1), RIDGE)
     p = sigmoid(f.x @ w)
     worst = np.full(len(texts), np.inf)
     np.minimum.at(worst, doc, p)
     line_y = np.where(y[doc] == 1, 1.0, ((p > 0.5) & (p > worst[doc])).astype(float))
-    w = logistic(f.x, line_y, np.ones(len(p)), 1.0)
+    w = logistic(f.x, line_y, np.ones(len(p)), RIDGE)
     # conditional likelihood of the chain by Adam
     follows = np.concatenate(([False], doc[1:] == doc[:-1]))
     state = line_y.astype(int)
@@ -238,7 +244,7 @@ def fit(rows: list[tuple[str, int]], base: float = 0.5, rounds: int = 120) -> Mo
     m = v = np.zeros(len(w) + 4)
     for k in range(1, rounds + 1):
         good, pairs, _ = forward_backward(f.x @ w, f.counts, trans)
-        g = np.concatenate((f.x.T @ (line_y - good) - w, (seen - pairs).ravel() - trans.ravel())) / len(rows)
+        g = np.concatenate((f.x.T @ (line_y - good) - RIDGE * w, (seen - pairs).ravel() - RIDGE * trans.ravel())) / len(rows)
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         step = 0.1 * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.99**k)) + 1e-8)
         w, trans = w + step[: len(w)], trans + step[len(w) :].reshape(2, 2)
