@@ -60,3 +60,20 @@ def hash_sample(rows: DataFrame, key: str, share: float) -> DataFrame:
     """A Bernoulli sample that is the same on every run: by the md5 of the key."""
     point = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("bigint")
     return rows.where(point < F.lit(int(share * (1 << 32))))
+
+
+def line_chunks(lines: DataFrame, size: int, file: str = "file", pos: str = "pos", value: str = "value") -> DataFrame:
+    """(file, chunk, text): every so many lines of a file joined; pos counts from 0; the last chunk may be short."""
+    numbered = lines.withColumn("chunk", F.floor(F.col(pos) / size))
+    parts = F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(value).alias("v"))))
+    return numbered.groupBy(file, "chunk").agg(F.array_join(F.transform(parts, lambda x: x["v"]), "\n").alias("text"))
+
+
+def with_end_mark(rows: DataFrame, ids: str, mark: int) -> DataFrame:
+    """Token arrays with an end-of-document id."""
+    return rows.withColumn(ids, F.array_append(F.coalesce(ids, F.expr("cast(array() as array<int>)")), F.lit(mark)))
+
+
+def shuffled(rows: DataFrame, key: str, seed: int = 0) -> DataFrame:
+    """All rows in an order that depends on the seed and the key only."""
+    return rows.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key)

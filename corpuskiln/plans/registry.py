@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpuskiln.functions import masking, news
 from corpuskiln.functions import patterns as P
 from corpuskiln.functions import text as T
+from corpuskiln.functions import unicode as U
 from corpuskiln.operators import filters, language_model, packing, relations, repeats
 from corpuskiln.sources import files, framing
 from corpuskiln.streaming import streams
@@ -535,3 +536,61 @@ def streamed_filter(spark, sf_dir):
 def streamed_packing(spark, sf_dir):
     rows = stream_of(spark, sf_dir, "events").select((F.col("user_id") % 4).alias("shard"), F.array(F.lit(1), F.col("event_id").cast("int") % 1000, F.lit(2)).alias("ids"))
     return _drained(streams.packed(rows, "shard", "ids", 256), "packed").groupBy("shard").agg(F.count("*").alias("blocks"))
+
+
+# ---- unicode, chunks, generated text ----
+
+@query("select doc_id, md5(nfc_normalize(text)) as text_md5 from documents")
+def normalized_texts(spark, sf_dir):
+    return U.normalized(table(spark, sf_dir, "documents").select("doc_id", "text"), "NFC").select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+@query("select doc_id, md5(text) as text_md5 from documents")
+def repaired_texts(spark, sf_dir):
+    """Texts whose UTF-8 bytes were read as Latin-1 are themselves again after repair."""
+    broken = table(spark, sf_dir, "documents").select("doc_id", F.decode(F.encode("text", "UTF-8"), "ISO-8859-1").alias("text"))
+    return U.repaired(broken).select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+@query("select doc_id, md5(text) as text_md5 from documents where regexp_full_match(text, '[\\x00-\\x{FF}]*')")
+def decoded_texts(spark, sf_dir):
+    """Bytes in one of two encodings, by the parity of the id."""
+    docs = table(spark, sf_dir, "documents").where(F.col("text").rlike("^[\\x00-\\x{FF}]*$"))
+    content = F.when(F.col("doc_id") % 2 == 0, F.encode("text", "UTF-8")).otherwise(F.encode("text", "ISO-8859-1"))
+    return docs.select("doc_id", F.md5(U.decoded(content).cast("binary")).alias("text_md5"))
+
+
+@query("""with l as (select doc_id, unnest(string_split(text, chr(10))) as v, unnest(range(0, len(string_split(text, chr(10))))) as p from documents)
+select doc_id, cast(floor(p / 4) as bigint) as chunk, md5(string_agg(v, chr(10) order by p)) as text_md5 from l group by doc_id, cast(floor(p / 4) as bigint)""")
+def line_chunks(spark, sf_dir):
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "value"))
+    return packing.line_chunks(lines, 4, "doc_id").select("doc_id", "chunk", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+@query(f"""with f as (select word, sum(freq) over (order by freq desc, word desc rows unbounded preceding) as upto, freq, sum(freq) over () as total from ({WORDS_SQL})),
+d as (select event_id, (event_id * 7919 % 10007) / 10007.0::double as u from events),
+p as (select event_id, u, greatest(ceil(u * (select max(total) from f)), 1) - 1 as place from d),
+w as (select event_id, word from p asof join (select word, upto - freq as below from f) f on p.place >= f.below)
+select cast(floor(event_id / 10) as bigint) as line, string_agg(word, ' ' order by event_id) as text from w group by 1""")
+def generated_lines(spark, sf_dir):
+    """Ten words a line, drawn by frequency."""
+    parts = F.array_sort(F.collect_list(F.struct("event_id", "word")))
+    return sampled_words(spark, sf_dir).groupBy(F.floor(F.col("event_id") / 10).alias("line")).agg(F.array_join(F.transform(parts, lambda x: x["word"]), " ").alias("text"))
+
+
+@query("""with t as (select event_id, list_append(list_transform(range(0, event_id % 5), lambda i: cast((event_id + i) % 1000 as integer)), 50256) as ids from events)
+select event_id, cast(len(ids) as integer) as n, ids[-1] as last from t""")
+def marked_ends(spark, sf_dir):
+    n = (F.col("event_id") % 5).cast("int")
+    ids = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: ((F.col("event_id") + i) % 1000).cast("int")))
+    rows = packing.with_end_mark(table(spark, sf_dir, "events").select("event_id", ids.alias("ids")), "ids", 50256)
+    return rows.select("event_id", F.size("ids").alias("n"), F.element_at("ids", -1).alias("last"))
+
+
+@query()
+def toxicity_scores(spark, sf_dir):
+    """A word classifier learned from the labels, for all documents."""
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("i"), F.col("toxic").cast("string").alias("mark"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.join(labels, docs["doc_id"] == labels["i"], "left").select("doc_id", "text", "mark")
+    return language_model.language_classes(docs, "1", lang_col="mark").withColumnRenamed("lang_prob", "toxic_prob")
