@@ -380,7 +380,7 @@ def corpus_lines(spark, sf_dir) -> DataFrame:
 
 PARSED_SQL = """with s as (select conv_id, turn, unnest(string_split(text, chr(10))) as s, unnest(range(0, len(string_split(text, chr(10))))) as i from conversations),
 p as (select conv_id, turn, string_agg(s, ' ' order by i) as par from s group by conv_id, turn)
-select 'parsebank:c' || conv_id as id, coalesce(string_agg(par, chr(10) || chr(10) order by turn) filter (where par <> ''), '') as text,
+select 'corpus:c' || conv_id as id, coalesce(string_agg(par, chr(10) || chr(10) order by turn) filter (where par <> ''), '') as text,
        case when conv_id % 5 = 0 then 'machine translated' else 'narrative' end as register, cast(conv_id % 100 as double) as lex_ppl from p group by conv_id"""
 
 

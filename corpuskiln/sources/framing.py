@@ -38,7 +38,7 @@ def first_after(lines: Column, prefix: str) -> Column:
     return F.substr(F.try_element_at(F.filter(lines, lambda x: x.startswith(prefix)), F.lit(1)), F.lit(len(prefix) + 1))
 
 
-def parsed_corpus(lines: DataFrame, collection: str = "parsebank") -> DataFrame:
+def parsed_corpus(lines: DataFrame, collection: str = "corpus") -> DataFrame:
     """(id, text, register, lex_ppl, delex_ppl, attributes) of '# <doc', '# <p>' and '# text = ' lines.
 
     Sentences of a paragraph are joined by a space, paragraphs by a blank line; empty ones are left out.

@@ -80,7 +80,7 @@ def test_frames(spark):
     text = ['pre', '# <doc urn="u1">', "# <p>", "# text = Yksi.", "1\tYksi", "# text = Kaksi.", "# <p>", "# <p>", "# text = Kolme.", "# predicted register: news", "# </doc>", '# <doc collection="c" url="x">', "# text = Loppu."]
     lines = spark.createDataFrame([("f", i, v) for i, v in enumerate(text)], "file string, pos int, value string")
     rows = framing.parsed_corpus(lines).orderBy("id").collect()
-    assert [(r["id"], r["text"], r["register"]) for r in rows] == [("parsebank:c:x", "Loppu.", None), ("parsebank:u1", "Yksi. Kaksi.\n\nKolme.", "news")]
+    assert [(r["id"], r["text"], r["register"]) for r in rows] == [("corpus:c:x", "Loppu.", None), ("corpus:u1", "Yksi. Kaksi.\n\nKolme.", "news")]
     wiki = ['<doc id="1" url="u" title="T &amp; t">', "a\xa0b", "", "c   d", "</doc>"]
     lines = spark.createDataFrame([("f", i, v) for i, v in enumerate(wiki)], "file string, pos int, value string")
     assert tuple(framing.encyclopedia(lines).first()) == ("wiki:T &amp; t", "a b\n\nc  d", "u")
