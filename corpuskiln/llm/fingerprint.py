@@ -22,12 +22,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.llm.common import CHUNK_CHARS, as_signed, fmix, map_arrow, sliding_min, table
+from corpuskiln.llm.common import CHUNK_CHARS, fmix, map_arrow, sliding_min, table
 
 K, S = 16, 5
 #: Anchors kept of a text, and the shift that counts as the same place, as a share of the length.
 SIZE, SLACK = 96, 0.05
 SEP = "\x00"
+#: Rows of one range of ids, and ranges at most; beyond that ranges grow, and are streamed all the same.
+ROWS_PER_RANGE, MAX_RANGES = 20_000, 100_000
+#: A null id sorts before all others.
+NULL_ID = -(1 << 63)
 
 
 def code_points(text: str) -> np.ndarray:
@@ -138,56 +142,56 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - q] + following[:q]
 
 
-def in_ranges(docs: DataFrame, id_col: str, text_col: str, rows_per_range: int = 20_000) -> DataFrame:
-    """(id and text, the range of each id, number of ranges): ranges of ascending ids, about equal.
+def range_bounds(docs: DataFrame, id_col: str, rows_per_range: int = ROWS_PER_RANGE) -> np.ndarray:
+    """Bounds that cut the ids into about equal ranges: approximate quantiles, at most MAX_RANGES of
+    them, so what reaches the driver and the tasks is bounded."""
+    ids = docs.select(F.col(id_col).alias("i")).where("i is not null")
+    parts = max(1, min(MAX_RANGES, ids.count() // rows_per_range + 1))
+    if parts == 1:
+        return np.zeros(0, dtype=np.int64)
+    return np.unique(np.array(ids.approxQuantile("i", [k / parts for k in range(1, parts)], 0.2 / parts), dtype=np.int64))
 
-    Their bounds are approximate quantiles: one number a range reaches the driver, whatever the rows hold.
-    """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    ids = rows.select("doc_id")
-    n = ids.count()
-    parts = max(1, min(100_000, n // rows_per_range + 1))
-    cuts = sorted({int(x) for x in ids.where("doc_id is not null").approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.2 / parts)}) if parts > 1 else []
-    place = F.lit(0)
-    if cuts:
-        # the number of cuts not above the id, by the bounds' own array
-        bounds = F.array(*[F.lit(c).cast("bigint") for c in cuts])
-        place = F.when(F.col("doc_id").isNull(), 0).otherwise(F.size(F.filter(bounds, lambda c: c <= F.col("doc_id"))))
-    return rows, place.cast("int"), len(cuts) + 1
-
-
-def op10_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+
+def op10_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Fingerprints of each text, of its edited text, and their likeness to it and to the next text.
 
     One row a document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
-    near_next. The next document is that of the next higher id; after the last comes the first.
+    near_next. The next document is that of the next higher id; after the last comes the first. Texts
+    are shuffled once, compressed, to ranges of ascending ids; each range also gets the first row of
+    the range after it as a guard.
     """
-    rows, place, parts = in_ranges(docs, id_col, text_col)
-    lowest = rows.select("doc_id", place.alias("r")).groupBy("r").agg(F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("low"))
-    firsts = sorted((r["r"], r["low"]) for r in lowest.collect())  # one row a range
+    sc = docs.sparkSession.sparkContext
+    bounds = sc.broadcast(range_bounds(docs, id_col, rows_per_range))
+    place = lambda ids: [0 if i is None else int(np.searchsorted(bounds.value, i, side="right")) for i in ids]
+
+    def lows(cols: dict, n: int) -> dict:
+        low: dict[int, int] = {}
+        for i, r in zip(cols["doc_id"], place(cols["doc_id"]), strict=True):
+            low[r] = min(low.get(r, NULL_ID if i is None else i), NULL_ID if i is None else i)
+        return {"r": list(low), "low": list(low.values())}
+
+    ids = map_arrow(docs.select(F.col(id_col).alias("doc_id")), "r int, low bigint", lows)
+    firsts = sorted((r["r"], r["low"]) for r in ids.groupBy("r").agg(F.min("low").alias("low")).collect())  # one row a range
     if not firsts:
         return docs.sparkSession.createDataFrame([], OUT)
     numbers = [r for r, _ in firsts]
     # the first row of every range goes to the range before it too, that of the first to the last
-    before = {low: numbers[i - 1] for i, (_, low) in enumerate(firsts)}
-
-    packed = map_arrow(
-        rows.withColumn("r", place), "doc_id bigint, r int, guard int, packed binary",
-        lambda cols, n: pack(cols, before), 4 * CHUNK_CHARS,
-    )
-    dealt = packed.repartition(parts, "r").sortWithinPartitions("r", "guard", "doc_id", "packed")
+    before = sc.broadcast({low: numbers[i - 1] for i, (_, low) in enumerate(firsts)})
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    packed = map_arrow(rows, "doc_id bigint, r int, guard int, packed binary", lambda cols, n: pack(cols, place(cols["doc_id"]), before.value), 4 * CHUNK_CHARS)
+    dealt = packed.repartition(len(bounds.value) + 1, "r").sortWithinPartitions("r", "guard", "doc_id", "packed")
     return dealt.mapInArrow(follow, OUT)
 
 
 OUT = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
-def pack(cols: dict, before: dict[int, int]) -> dict:
+def pack(cols: dict, ranges: list[int], before: dict[int, int]) -> dict:
     squeeze = zstandard.ZstdCompressor(level=1).compress
     out: dict[str, list] = {"doc_id": [], "r": [], "guard": [], "packed": []}
-    for i, r, t in zip(cols["doc_id"], cols["r"], cols["text"], strict=True):
+    for i, r, t in zip(cols["doc_id"], ranges, cols["text"], strict=True):
         blob = squeeze((t or "").encode("utf-8"))
-        low = -(1 << 63) if i is None else i
+        low = NULL_ID if i is None else i
         for where, guard in [(r, 0), *([(before[low], 1)] if low in before else [])]:
             out["doc_id"].append(i)
             out["r"].append(where)

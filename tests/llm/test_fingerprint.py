@@ -36,14 +36,8 @@ def test_edits_and_order_against_brute_force(spark, sf, monkeypatch):
 def test_many_ranges(spark):
     rows = [(i * 3, f"text number {i} " + "word " * (i % 40)) for i in range(500)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
-    ranged, place, parts = fp.in_ranges(df, "doc_id", "text", 50)
-    assert parts > 5
-    original = fp.in_ranges
-    try:
-        fp.in_ranges = lambda d, i, t: original(d, i, t, 50)
-        got = {r["doc_id"]: (r["n_chars"], r["edited_sha256"]) for r in fp.op10_pairs(df).collect()}
-    finally:
-        fp.in_ranges = original
+    assert len(fp.range_bounds(df, "doc_id", 50)) > 5
+    got = {r["doc_id"]: (r["n_chars"], r["edited_sha256"]) for r in fp.op10_pairs(df, rows_per_range=50).collect()}
     assert got == brute(rows)
 
 
