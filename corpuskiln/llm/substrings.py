@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.llm.common import CHUNK_CHARS, as_signed, if_small, map_arrow, materialize, rolling, slices, sliding_min, table, without_ids
+from corpuskiln.llm.common import CHUNK_CHARS, as_signed, discard, if_small, map_arrow, materialize, rolling, slices, sliding_min, table, without_ids
 
 WINDOW, GRAM = 13, 4
 #: Words of a suffix by which it is dealt to a partition.
@@ -100,7 +100,7 @@ def packed(docs: DataFrame) -> DataFrame:
     """(doc_id, packed): words joined by one space, compressed, for the shuffle."""
 
     def each(cols: dict, n: int) -> dict:
-        squeeze = zstandard.ZstdCompressor(level=1).compress
+        squeeze = zstandard.ZstdCompressor(level=6).compress
         return {"doc_id": cols["doc_id"], "packed": [squeeze(b" ".join(words(t))) for t in cols["text"]]}
 
     return map_arrow(docs, f"doc_id {dict(docs.dtypes)['doc_id']}, packed binary", each)
@@ -139,9 +139,9 @@ def suffix_rows(marked: DataFrame) -> DataFrame:
                 same[by_key] = ~first
                 send = np.flatnonzero(~settled & ~same)
                 inside = np.flatnonzero(~settled & same)  # later places within the smallest document follow the first
-                symbols = (b.h[at[send][:, None] + np.arange(WINDOW)] >> np.uint64(32)).astype(">u4")
+                symbols = (b.h[at[send][:, None] + np.arange(WINDOW)] >> np.uint64(48)).astype(">u2")
                 deal = rolling(b.h, DEAL)[at[send]]
-                blob = np.concatenate((symbols.view(np.uint8).reshape(-1, 4 * WINDOW), key[send].astype(">u8").view(np.uint8).reshape(-1, 8)), axis=1)
+                blob = np.concatenate((symbols.view(np.uint8).reshape(-1, 2 * WINDOW), key[send].astype(">u8").view(np.uint8).reshape(-1, 8)), axis=1)
                 # places of equal windows of the same document go along with the first
                 more: dict[int, list[int]] = {}
                 for k in inside:
@@ -242,9 +242,13 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         active = active.dropDuplicates(["doc_id"])  # rows that repeat an id are one document
     found = minimizer_rows(active)
     shared = materialize(found.groupBy("m").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("m"), "shared")
-    marks = materialize(found.join(if_small(shared), "m").groupBy("doc_id").agg(F.collect_set("m").alias("marks")), "marks")
-    text = materialize(packed(active).join(marks, "doc_id"), "marked")
-    flags = repeats(suffix_rows(text)).groupBy("doc_id").agg(F.flatten(F.collect_list("found")).alias("places"))
+    marks = materialize(found.join(shared, "m").groupBy("doc_id").agg(F.collect_set("m").alias("marks")), "marks")
+    # texts that share passages lie together, so that most windows are settled within a batch; ranges
+    # split a mark that many documents have
+    marked = materialize(packed(active).join(marks, "doc_id"), "marked")
+    text = materialize(marked.withColumn("low", F.array_min("marks")).repartitionByRange("low", "doc_id").sortWithinPartitions("low", "doc_id").drop("low"), "neighbours")
+    discard(marked)
+    flags = materialize(repeats(suffix_rows(text)).groupBy("doc_id").agg(F.flatten(F.collect_list("found")).alias("places")), "places")
 
     def each(cols: dict, n: int) -> dict:
         out: dict[str, list] = {"doc_id": cols["doc_id"], "removed": [], "sha": [], "spans": []}
@@ -257,7 +261,9 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             out["spans"].append([{"first_word": a, "n_words": b} for a, b in runs(gone)])
         return out
 
-    changed = map_arrow(text.select("doc_id", "packed").join(flags, "doc_id"), f"doc_id {kind}, removed bigint, sha string, {SPANS}", each)
+    # texts that lose nothing are left out before the shuffle, if the ids of the others are few enough
+    some = text.select("doc_id", "packed").join(if_small(flags.select("doc_id")), "doc_id", "left_semi")
+    changed = map_arrow(some.join(flags, "doc_id"), f"doc_id {kind}, removed bigint, sha string, {SPANS}", each)
     changed = materialize(changed.withColumnRenamed("doc_id", "changed"), "changed")
     out = seqs.join(changed, seqs["doc_id"] == changed["changed"], "left").join(if_small(copies), seqs["doc_id"] == copies["copy"], "left")
     copy = F.col("copy").isNotNull()
