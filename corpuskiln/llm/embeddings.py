@@ -5,7 +5,7 @@ hold a partner. If two unit vectors of cosine >= THRESHOLD, so at most d = sqrt(
 apart, have different homes, the plane between the two centroids parts them, and one of them is
 within d / 2 of it. A vector visits the cells to whose plane it is that near; so every pair meets in
 a cell whatever the centroids are, and recall is 1. Cells are cut into blocks of BLOCK rows; each
-pair of blocks is one double-precision product. From a block come the rows' link counts and, for the
+pair of blocks is one product, in double precision. From a block come the rows' link counts and, for the
 classes, one edge a row to the smallest row of its part of the block's graph, never the pairs.
 
 The centroids are fitted on a bounded sample (SAMPLE vectors with the smallest hashes of their ids);
@@ -32,7 +32,7 @@ from corpuskiln.llm.components import connected_components
 
 THRESHOLD = 0.95
 SAMPLE, CELL, MAX_CELLS, ROUNDS = 20_000, 1500, 4096, 8
-BLOCK = 1024
+BLOCK = 16_384
 #: Added to the distance to a plane within which a cell is visited, for rounding.
 EPSILON = 1e-9
 
@@ -77,19 +77,24 @@ def visits(x: np.ndarray, centre: np.ndarray, threshold: float = THRESHOLD) -> t
 
 
 def assigned(vectors: DataFrame, centre: np.ndarray, threshold: float) -> DataFrame:
-    """(cell, home, vec_id, visited array<int>, v array<double>): a row for the home and each visited cell."""
+    """(cell, home, vec_id, visited array<int>, v binary): a row for the home and each visited cell.
+
+    v holds the components as they are stored, single or double; all arithmetic is in double precision.
+    """
     shared = vectors.sparkSession.sparkContext.broadcast(centre)
     kind = dict(vectors.dtypes)["vec_id"]
     from pyspark.sql.pandas.types import to_arrow_type
 
     id_type = to_arrow_type(vectors.schema["vec_id"].dataType)
+    width = np.dtype(stored(vectors))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
-                good, x = unit(part.column("embedding").to_pylist(), c.shape[1])
+                rows = part.column("embedding").to_pylist()
+                good, x = unit(rows, c.shape[1])
                 if not len(good):
                     continue
                 ids = part.column("vec_id").take(pa.array(good)).cast(id_type)
@@ -97,16 +102,21 @@ def assigned(vectors: DataFrame, centre: np.ndarray, threshold: float) -> DataFr
                 row, cell = np.nonzero(near)
                 row, cell = np.concatenate((np.arange(len(x)), row)), np.concatenate((home, cell))
                 visited = [np.flatnonzero(n).astype(np.int32) for n in near]
+                raw = [np.array(rows[i], dtype=width).tobytes() for i in good]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(cell.astype(np.int32)), pa.array(home[row].astype(np.int32)), ids.take(pa.array(row)),
-                        as_array([visited[r] for r in row], pa.list_(pa.int32())), pa.array([x[r].tobytes() for r in row], pa.binary()),
+                        as_array([visited[r] for r in row], pa.list_(pa.int32())), pa.array([raw[r] for r in row], pa.binary()),
                     ], names=["cell", "home", "vec_id", "visited", "v"],
                 )
 
     return vectors.mapInArrow(run, f"cell int, home int, vec_id {kind}, visited array<int>, v binary")
 
 
+def stored(vectors: DataFrame) -> str:
+    return "float32" if dict(vectors.dtypes)["embedding"] == "array<float>" else "float64"
+
+
 def block_parts(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest row that each of n rows reaches over the links a-b, by label spreading and jumping."""
     label = np.arange(n)
@@ -123,7 +133,7 @@ def block_parts(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = after
 
 
-def compared(placed: DataFrame, threshold: float) -> DataFrame:
+def compared(placed: DataFrame, threshold: float, width: str) -> DataFrame:
     """(vec_id, n, edge): links counted in one pair of blocks, and a row of the same class there."""
     kind = dict(placed.dtypes)["vec_id"]
     size = placed.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
@@ -149,21 +159,29 @@ def compared(placed: DataFrame, threshold: float) -> DataFrame:
     def block(t: pa.Table, key) -> Iterator[pa.RecordBatch]:
         cell, i, j = key
         t = t.combine_chunks()
-        x = np.frombuffer(b"".join(t.column("v").to_pylist()), dtype=np.float64).reshape(t.num_rows, -1)
+        x = np.frombuffer(b"".join(t.column("v").to_pylist()), dtype=width).reshape(t.num_rows, -1).astype(np.float64)
+        x /= np.abs(x).max(axis=1, keepdims=True)
+        x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
         own, home, ids = t.column("own").to_numpy(), t.column("home").to_numpy(), t.column("vec_id").combine_chunks()
-        left = np.flatnonzero(own == i)
-        right = left if i == j else np.flatnonzero(own == j)
+        # rows at home meet all rows, visitors only those at home; two visitors meet elsewhere
+        local_i, all_j = np.flatnonzero((own == i) & (home == cell)), np.flatnonzero(own == j)
+        sides = [(local_i, all_j)]
+        if i != j:
+            sides.append((np.flatnonzero((own == j) & (home == cell)), np.flatnonzero((own == i) & (home != cell))))
         found_a, found_b = [], []
-        for at in range(0, len(left), 512):
-            a, b = np.nonzero(x[left[at : at + 512]] @ x[right].T >= threshold)
-            found_a.append(left[at + a])
-            found_b.append(right[b])
+        for left, right in sides:
+            other = x[right].T
+            for at in range(0, len(left), 256):
+                a, b = np.nonzero(x[left[at : at + 256]] @ other >= threshold)
+                found_a.append(left[at + a])
+                found_b.append(right[b])
         if not found_a:
             return
         a, b = np.concatenate(found_a), np.concatenate(found_b)
-        # two visitors meet elsewhere; of two cells where a pair meets the smaller counts it
-        ok = ((home[a] == cell) | (home[b] == cell)) & ((a < b) if i == j else True)
-        a, b = a[ok], b[ok]
+        if i == j:
+            ok = (a < b) | (home[b] != cell)
+            a, b = a[ok], b[ok]
+        # of two cells where a pair meets the smaller counts it
         mixed = np.flatnonzero(home[a] != home[b])
         if len(mixed):
             local, guest = np.where(home[a] == cell, a, b)[mixed], np.where(home[a] == cell, b, a)[mixed]
@@ -197,7 +215,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     sample = [r["embedding"] for r in usable.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()]
     points = unit(sample, dim)[1]
     centre = fit(points, min(MAX_CELLS, n // CELL + 1)) if len(points) else np.zeros((1, dim))
-    found = materialize(compared(assigned(usable, centre, threshold), threshold), "vector-links")
+    found = materialize(compared(assigned(usable, centre, threshold), threshold, stored(usable)), "vector-links")
     component = connected_components(found.select(F.col("vec_id").alias("a"), F.col("edge").alias("b")))
     links = found.groupBy("vec_id").agg(F.sum("n").alias("n")).select(F.col("vec_id").alias("linked"), "n")
     out = rows.select("vec_id").join(links, F.col("vec_id") == links["linked"], "left").join(component, F.col("vec_id") == component["node"], "left")
