@@ -245,8 +245,10 @@ def across(rows: DataFrame, reps: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): component_id is the smallest id reachable by links."""
     rows = materialize(signed(docs, id_col, text_col), "signatures")
-    classes = rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    members = materialize(rows.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left").select("doc_id", "n_shingles", "rep"), "members")
+    classes = rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
+    classes = materialize(classes.where("rep < last").select("digest", "rep"), "equal")
+    members = rows.select("doc_id", "n_shingles", "digest").join(if_small(classes), "digest", "left")
+    members = materialize(members.select("doc_id", "n_shingles", F.coalesce("rep", F.when(F.col("digest").isNotNull(), F.col("doc_id"))).alias("rep")), "members")
     firsts = materialize(members.where("doc_id = rep").select("rep").distinct(), "firsts")
     reps = rows.where("digest is not null").join(if_small(firsts), rows["doc_id"] == firsts["rep"]).select("rep", "n_shingles", "sig", "low").dropDuplicates(["rep"])
     links, component = link_classes(docs, id_col, text_col, reps)
