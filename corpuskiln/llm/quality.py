@@ -125,6 +125,19 @@ def lines_of(texts: list[str | None]) -> Lines:
     return Lines(np.concatenate((np.ones((n, 1)), own, before, after), axis=1), length, counts)
 
 
+def lines_in_parts(texts: list[str], chunk: int = CHUNK_CHARS // 4) -> Lines:
+    """The same for many texts, few at a time: only the lines' features are held together."""
+    parts, at = [], 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size + len(texts[end]) <= chunk):
+            size += len(texts[end])
+            end += 1
+        parts.append(lines_of(texts[at:end]))
+        at = end
+    return Lines(*(np.concatenate([getattr(p, k) for p in parts]) for k in ("x", "length", "counts")))
+
+
 def grouped(counts: np.ndarray, cells: int = 400_000):
     """Texts in groups of like numbers of lines: (texts, first line of each, lines of each)."""
     first = np.concatenate(([0], np.cumsum(counts)[:-1]))
@@ -189,7 +202,7 @@ class Model:
         return np.where(weight > 0, sigmoid(self.curve[0] * mean + self.curve[1]), self.base)
 
     def mean_marginals(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        f = lines_of(texts)
+        f = lines_in_parts([t or "" for t in texts], CHUNK_CHARS)
         good, _, _ = forward_backward(f.x @ self.w, f.counts, self.trans)
         doc = np.repeat(np.arange(len(texts)), f.counts)
         weight = sums(f.length, doc, len(texts))
@@ -225,7 +238,7 @@ def fit(rows: list[tuple[str, int]], base: float = 0.5, rounds: int = 120) -> Mo
     rows = [*rows, *([r for r in rows if r[1] == rare] * again)]
     y = np.array([label for _, label in rows], dtype=np.float64)
     texts = ["\n".join(t[:TRAIN_CHARS].split("\n")[:TRAIN_LINES]) for t, _ in rows]
-    f = lines_of(texts)
+    f = lines_in_parts(texts)
     doc = np.repeat(np.arange(len(texts)), f.counts)
     # lines start with their document's label; in bad documents those that look good become good,
     # but for the worst line of each
