@@ -79,15 +79,24 @@ def posteriors(docs: DataFrame, model: tuple, id_col: str = "doc_id", text_col:
     return sums.select("row", "doc_id", F.col("tokens").cast("bigint").alias("tokens"), F.transform("g", lambda x: x / share).alias("p"))
 
 
-def step_size(scaled: list[list[float]]) -> float:
-    """1.8 over the largest eigenvalue of a small non-negative matrix; below 2 over it steps converge."""
-    v = [1.0] * len(scaled)
-    top = 1.0
-    for _ in range(200):
-        w = [sum(x * y for x, y in zip(row, v, strict=True)) for row in scaled]
-        top = max(w, default=0.0) or 1.0
+def largest(matrix: list[list[float]]) -> float:
+    """Largest eigenvalue of a small non-negative definite matrix, by power iteration."""
+    v = [1.0 + 0.1 * k for k in range(len(matrix))]
+    top = 0.0
+    for _ in range(500):
+        w = [sum(x * y for x, y in zip(row, v, strict=True)) for row in matrix]
+        top = max(map(abs, w), default=0.0)
+        if not top:
+            return 0.0
         v = [x / top for x in w]
-    return 1.8 / top
+    return top
+
+
+def step_size(scaled: list[list[float]]) -> float:
+    """2 / (smallest + largest eigenvalue), the step that converges fastest."""
+    top = largest(scaled) or 1.0
+    low = top - largest([[(top if a == b else 0.0) - x for b, x in enumerate(row)] for a, row in enumerate(scaled)])
+    return 2 / (top + max(low, 0.05 * top))
 
 
 def rates(found: DataFrame, targets: list[float], floor: float = 0.0) -> tuple[DataFrame, list[float], int]:
