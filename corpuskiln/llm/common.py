@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -11,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Characters of text that one numpy pass works on; bounds a Python worker's memory.
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 750_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -56,7 +57,27 @@ def map_arrow(df: DataFrame, schema: str, each: Callable[[dict[str, list], int],
                 cols = each(part, len(part[batch.schema.names[0]]))
                 yield pa.RecordBatch.from_arrays([as_array(cols[f.name], f.type) for f in out], schema=out)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(released(run), schema)
+
+
+def release() -> None:
+    """Give freed memory back to the system: workers stay for later tasks and would hold it while idle."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def released(run: Callable) -> Callable:
+    """A function over batches that releases memory when its task ends."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
 
 
 def as_array(values, kind: pa.DataType) -> pa.Array:

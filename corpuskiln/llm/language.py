@@ -215,7 +215,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         return {"doc_id": cols["doc_id"], "lang_pred": lang, "score": score}
 
     kind = dict(docs.dtypes)[id_col]
-    return map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), f"doc_id {kind}, lang_pred string, score double", each, 8 * CHUNK_CHARS)
+    return map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), f"doc_id {kind}, lang_pred string, score double", each, 20 * CHUNK_CHARS)
 
 
 def spans(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

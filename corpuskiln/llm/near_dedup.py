@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.llm.common import as_signed, fmix, if_small, map_arrow, materialize, rolling, table, without_ids
+from corpuskiln.llm.common import as_signed, fmix, if_small, map_arrow, materialize, released, rolling, table, without_ids
 from corpuskiln.llm.components import connected_components
 
 WORDS = 5
@@ -239,7 +239,7 @@ def across(rows: DataFrame, reps: DataFrame) -> DataFrame:
         if found_a:
             yield pa.RecordBatch.from_arrays([rep.take(pa.array(np.concatenate(x))) for x in (found_a, found_b)], names=["a", "b"])
 
-    return dealt.mapInArrow(run, f"a {kind}, b {kind}").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return dealt.mapInArrow(released(run), f"a {kind}, b {kind}").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.llm.common import CHUNK_CHARS, fmix, map_arrow, table
+from corpuskiln.llm.common import CHUNK_CHARS, fmix, map_arrow, release, table
 
 #: Bounds of the training sample: rows of each class, characters a row, lines a row.
 TRAIN_ROWS, TRAIN_CHARS, TRAIN_LINES = 2000, 20_000, 200
@@ -125,7 +125,7 @@ def lines_of(texts: list[str | None]) -> Lines:
     return Lines(np.concatenate((np.ones((n, 1)), own, before, after), axis=1), length, counts)
 
 
-def lines_in_parts(texts: list[str], chunk: int = CHUNK_CHARS // 4) -> Lines:
+def lines_in_parts(texts: list[str], chunk: int = CHUNK_CHARS) -> Lines:
     """The same for many texts, few at a time: only the lines' features are held together."""
     parts, at = [], 0
     while at < len(texts):
@@ -312,6 +312,7 @@ def only_good(docs: DataFrame, model: Model, text_col: str = "text") -> DataFram
                 end += 1
             out.append(shared.value.score(values[at:end]) >= THRESHOLD)
             at = end
+        release()
         return pd.Series(np.concatenate(out) if out else np.zeros(0, dtype=bool))
 
     return docs.where(good(F.col(text_col)))

@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.llm.common import CHUNK_CHARS, as_signed, discard, if_small, map_arrow, materialize, rolling, slices, sliding_min, table, without_ids
+from corpuskiln.llm.common import CHUNK_CHARS, as_signed, discard, if_small, map_arrow, materialize, released, rolling, slices, sliding_min, table, without_ids
 
 WINDOW, GRAM = 13, 4
 #: Words of a suffix by which it is dealt to a partition.
@@ -139,7 +139,7 @@ def suffix_rows(marked: DataFrame) -> DataFrame:
                 same[by_key] = ~first
                 send = np.flatnonzero(~settled & ~same)
                 inside = np.flatnonzero(~settled & same)  # later places within the smallest document follow the first
-                symbols = (b.h[at[send][:, None] + np.arange(WINDOW)] >> np.uint64(48)).astype(">u2")
+                symbols = (b.h >> np.uint64(48)).astype(">u2")[at[send][:, None] + np.arange(WINDOW)]
                 deal = rolling(b.h, DEAL)[at[send]]
                 blob = np.concatenate((symbols.view(np.uint8).reshape(-1, 2 * WINDOW), key[send].astype(">u8").view(np.uint8).reshape(-1, 8)), axis=1)
                 # places of equal windows of the same document go along with the first
@@ -166,7 +166,7 @@ def suffix_rows(marked: DataFrame) -> DataFrame:
                         ], names=NAMES,
                     )
 
-    return marked.mapInArrow(run, f"part int, suffix binary, doc_id {kind}, place int, found array<int>")
+    return marked.mapInArrow(released(run), f"part int, suffix binary, doc_id {kind}, place int, found array<int>")
 
 
 NAMES = ["part", "suffix", "doc_id", "place", "found"]
@@ -211,7 +211,7 @@ def repeats(suffixes: DataFrame) -> DataFrame:
             last = suffix[-1]
 
     dealt = suffixes.repartition("part").sortWithinPartitions("suffix", "doc_id")
-    return dealt.mapInArrow(run, f"doc_id {kind}, found array<int>")
+    return dealt.mapInArrow(released(run), f"doc_id {kind}, found array<int>")
 
 
 def removed_mask(n: int, places: list[int]) -> np.ndarray:
