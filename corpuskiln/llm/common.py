@@ -3,35 +3,18 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from corpuskiln.storage import if_small, materialize, shared_dir  # noqa: F401
+
 #: Characters of text that one numpy pass works on; bounds a Python worker's memory.
 CHUNK_CHARS = 750_000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; one of our own only where the setting is unset (tests)."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not where:
-        where = "file://" + tempfile.mkdtemp(prefix="spark-corpuskiln-")
-        spark.sparkContext.setCheckpointDir(where)
-    return where
-
-
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def discard(df: DataFrame) -> None:
     """Delete a table that materialize() wrote and that nothing lazy reads any more."""
     spark = df.sparkSession
@@ -138,13 +121,6 @@ def as_signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def if_small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
-    """df marked for broadcast if it has at most so many (narrow) rows, else as it is, for a shuffled join."""
-    from pyspark.sql import functions as F
-
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def without_ids(docs: DataFrame, dropped: DataFrame, id_col: str) -> DataFrame:
     """The rows of docs, all its columns, whose id isn't in the one column of dropped."""
     gone = if_small(dropped.toDF("__gone").distinct())

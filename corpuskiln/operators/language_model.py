@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskiln.functions import text as T
+from corpuskiln.storage import if_small, materialize
+
+#: So many of the commonest words at most are broadcast; all others are joined by a shuffle.
+COMMON_WORDS = 50_000
 
 
 def line_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -58,25 +62,53 @@ def drop_lines(docs: DataFrame, model: tuple, threshold: float, id_col: str = "d
     return out.where(F.trim("text") != "")
 
 
-def language_classes(docs: DataFrame, target: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", size: int = 5000) -> DataFrame:
-    """(doc_id, lang_prob): probability of the target by naive Bayes over the commonest words of the
-    labelled rows, 0.0 where another language is likelier."""
-    words = F.filter(F.split(F.lower(text_col), f"[{T.P.SPACES}]+"), lambda w: w != "")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), words.alias("w"))
-    langs = sorted(r["lang"] for r in rows.where("lang is not null").select("lang").distinct().limit(256).collect())
-    if not langs:
-        return rows.select("doc_id", F.lit(0.0).alias("lang_prob"))
-    counts = rows.where("lang is not null").select("lang", F.explode("w").alias("word")).groupBy("word").pivot("lang", langs).count()
-    counts = counts.select("word", *[F.coalesce(F.col(f"`{x}`"), F.lit(0)).alias(f"c{k}") for k, x in enumerate(langs)])
-    top = counts.orderBy(F.desc(sum((F.col(f"c{k}") for k in range(len(langs))), F.lit(0))), "word").limit(size)
-    totals = top.agg(*[F.sum(f"c{k}").alias(f"t{k}") for k in range(len(langs))])
-    logs = top.join(F.broadcast(totals)).select("word", *[F.log((F.col(f"c{k}") + 0.5) / (F.col(f"t{k}") + 0.5 * size)).alias(f"l{k}") for k in range(len(langs))])
-    sums = rows.select("doc_id", F.explode_outer("w").alias("word")).join(F.broadcast(logs), "word", "left").groupBy("doc_id").agg(*[F.coalesce(F.sum(f"l{k}"), F.lit(0.0)).alias(f"s{k}") for k in range(len(langs))])
-    if target not in langs:
-        return sums.select("doc_id", F.lit(0.0).alias("lang_prob"))
-    best, own = F.greatest(*[F.col(f"s{k}") for k in range(len(langs))]) if len(langs) > 1 else F.col("s0"), F.col(f"s{langs.index(target)}")
-    share = F.exp(own - best) / sum((F.exp(F.col(f"s{k}") - best) for k in range(len(langs))), F.lit(0.0))
-    return sums.select("doc_id", F.when(own == best, share).otherwise(0.0).alias("lang_prob"))
+def word_list(text_col: str):
+    return F.filter(F.split(F.lower(text_col), f"[{T.P.SPACES}]+"), lambda w: w != "")
+
+
+def word_gains(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, int]:
+    """((word, n, gains array<(lang, x)>) of all words of the rows with a label, number of labels).
+
+    x is the log-odds that a word speaks for a label, ln(1 + 2 * count / share of the label's words):
+    naive Bayes with half a word of pseudo-count, dealt by the labels' shares. A label that a word never
+    had has 0, so only the labels that occur are held.
+    """
+    rows = labelled.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.explode(word_list(text_col)).alias("word"))
+    counts = materialize(rows.groupBy("word", "lang").agg(F.count("*").alias("k")), "word-labels")
+    totals = materialize(counts.groupBy("lang").agg(F.sum("k").alias("of_lang")), "labels")
+    every = totals.agg(F.sum("of_lang").alias("of_all"))
+    gain = F.log1p(2.0 * F.col("k") * F.col("of_all") / F.col("of_lang"))
+    known = counts.join(if_small(totals), "lang").join(F.broadcast(every)).select("word", "k", F.struct("lang", gain.alias("x")).alias("g"))
+    return materialize(known.groupBy("word").agg(F.sum("k").alias("n"), F.collect_list("g").alias("gains")), "word-gains"), totals.count()
+
+
+def label_shares(texts: DataFrame, model: tuple[DataFrame, int], target: str, id_col: str = "doc_id", text_col: str = "text", common: int = COMMON_WORDS) -> DataFrame:
+    """(doc_id, lang_prob): probability of the target, 0.0 where another label is likelier or no word is known.
+
+    The commonest words are broadcast, all others are joined as a shuffled table, counted by document before.
+    """
+    gains, n_langs = model
+    seen = texts.select(F.col(id_col).alias("doc_id"), F.explode(word_list(text_col)).alias("word"))
+    if gains.count() <= common:
+        hits = seen.join(F.broadcast(gains), "word").select("doc_id", F.lit(1).alias("k"), "gains")
+    else:
+        cut = gains.orderBy(F.desc("n")).limit(common + 1).agg(F.min("n").alias("n")).first()["n"]
+        head, rest = F.broadcast(gains.where(F.col("n") > cut)), gains.where(F.col("n") <= cut)
+        hits = seen.join(head, "word").select("doc_id", F.lit(1).alias("k"), "gains")
+        rare = seen.join(head.select("word"), "word", "left_anti").groupBy("doc_id", "word").agg(F.count("*").cast("int").alias("k"))
+        hits = hits.union(rare.join(rest, "word").select("doc_id", "k", "gains"))
+    each = hits.select("doc_id", "k", F.explode("gains").alias("g")).groupBy("doc_id", "g.lang").agg(F.sum(F.col("k") * F.col("g.x")).alias("s"))
+    each = each.union(texts.select(F.col(id_col).alias("doc_id"), F.lit(None).cast("string").alias("lang"), F.lit(None).cast("double").alias("s")))
+    sums = each.groupBy("doc_id").agg(F.max("s").alias("best"), F.max(F.when(F.col("lang") == target, F.col("s"))).alias("own"), F.collect_list("s").alias("all"))
+    unseen = (F.lit(n_langs) - F.size("all")) * F.exp(-F.col("best"))
+    total = F.aggregate(F.transform("all", lambda x: F.exp(x - F.col("best"))), F.lit(0.0), lambda a, x: a + x) + unseen
+    return sums.select("doc_id", F.when(F.col("own") == F.col("best"), 1.0 / total).otherwise(0.0).alias("lang_prob"))
+
+
+def language_classes(docs: DataFrame, target: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(doc_id, lang_prob): probability of the target by naive Bayes over all words of the labelled rows,
+    0.0 where another language is likelier or no word is known."""
+    return label_shares(docs, word_gains(docs, text_col, lang_col), target, id_col, text_col)
 
 
 def read_arpa(spark: SparkSession, path: str) -> DataFrame:
