@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuskiln.functions import text as T
+from corpuskiln.operators import language_model
 
 
 @dataclass(frozen=True)
@@ -109,6 +110,27 @@ def label_filter(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str
     return docs.join(marked, docs[id_col] == marked["__marked"], "left_semi" if invert else "left_anti")
 
 
+def toxicity_filter(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5, invert: bool = False) -> DataFrame:
+    """docs, all columns, without (or, inverted, only) the toxic ones.
+
+    A label of 1 or 0 decides where there is one (1 if an id has both); every other text is scored whole by
+    language_model's word classifier, learned from the labels, and is toxic if its probability, by the labels' share of
+    toxic ones (half at most), reaches the threshold. Equal texts are scored once. A null text has no score and stays, and so do rows with a null id whose text isn't toxic.
+    """
+    marks = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__marked")).agg(F.max(label_col).cast("int").alias("__mark"))
+    rows = docs.join(marks, docs[id_col] == marks["__marked"], "left").withColumn("__digest", F.sha2(F.col(text_col).cast("binary"), 256))
+    model = language_model.word_gains(rows.select(F.col(text_col).alias("text"), F.col("__mark").cast("string").alias("lang")))
+    unmarked = rows.where("__mark is null and __digest is not null").groupBy("__digest").agg(F.first(text_col).alias("text"))
+    share = marks.agg(F.least(F.avg("__mark"), F.lit(0.5)).alias("__share"))  # the scores are of labels equally likely
+    p, prior = F.col("lang_prob"), F.col("__share")
+    posterior = p * prior / (p * prior + (1 - p) * (1 - prior))
+    scores = language_model.label_shares(unmarked, model, "1", "__digest").where("lang_prob > 0").join(F.broadcast(share))
+    scores = scores.where(posterior >= threshold).select(F.col("doc_id").alias("__found"))
+    judged = rows.join(scores, rows["__digest"] == scores["__found"], "left")
+    toxic = F.coalesce(F.col("__mark") == 1, F.col("__found").isNotNull())
+    return judged.where(toxic if invert else ~toxic).select(*docs.columns)
+
+
 def register_filter(docs: DataFrame, register: str, lex_ppl: str, delex_ppl: str, max_ppl: float | None = None, max_delex_ppl: float | None = None, registers: tuple[str, ...] = ("machine translated",)) -> DataFrame:
     """docs of other registers whose perplexities don't exceed the maxima; nulls pass."""
     bad = F.coalesce(F.lower(F.col(register)).isin(*registers), F.lit(False))

@@ -594,3 +594,17 @@ def toxicity_scores(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     docs = docs.join(labels, docs["doc_id"] == labels["i"], "left").select("doc_id", "text", "mark")
     return language_model.language_classes(docs, "1", lang_col="mark").withColumnRenamed("lang_prob", "toxic_prob")
+
+
+@query()
+def toxicity_filtered(spark, sf_dir):
+    """Every text is judged: by its label where there is one, else by its score."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return filters.toxicity_filter(docs, table(spark, sf_dir, "labels")).select("doc_id", "source")
+
+
+@query()
+def toxicity_removed(spark, sf_dir):
+    """What toxicity_filtered drops."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return filters.toxicity_filter(docs, table(spark, sf_dir, "labels"), invert=True).select("doc_id", "source")
