@@ -516,26 +516,23 @@ def stream_of(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(f"{sf_dir}/{name}.parquet*")
 
 
-def _drained(stream: DataFrame, name: str) -> DataFrame:
-    import uuid
-
-    return streams.drained(stream, f"{name}_{uuid.uuid4().hex}")
-
-
 @query("select distinct conv_id from conversations")
 def streamed_first_seen(spark, sf_dir):
-    return _drained(streams.first_seen(stream_of(spark, sf_dir, "conversations"), "conv_id").select("conv_id"), "first_seen")
+    return streams.drained(streams.first_seen(stream_of(spark, sf_dir, "conversations"), "conv_id").select("conv_id"), "first_seen")
 
 
 @query(f"select d.doc_id from documents d join ({REASON_SQL}) r on d.doc_id = r.doc_id where outcome = 'pass-all'")
 def streamed_filter(spark, sf_dir):
-    return _drained(streams.filtered(stream_of(spark, sf_dir, "documents"), filters.PRESETS["encyclopedia"]).select("doc_id"), "filtered")
+    return streams.drained(streams.filtered(stream_of(spark, sf_dir, "documents"), filters.PRESETS["encyclopedia"]).select("doc_id"), "filtered")
 
 
 @query("select user_id % 4 as shard, cast(floor(count(*) * 3 / 256) as bigint) as blocks from events group by 1")
 def streamed_packing(spark, sf_dir):
-    rows = stream_of(spark, sf_dir, "events").select((F.col("user_id") % 4).alias("shard"), F.array(F.lit(1), F.col("event_id").cast("int") % 1000, F.lit(2)).alias("ids"))
-    return _drained(streams.packed(rows, "shard", "ids", 256), "packed").groupBy("shard").agg(F.count("*").alias("blocks"))
+    """Each shard is packed in parts of 16384 event ids, so that their number grows with the events."""
+    ids = F.array(F.lit(1), F.col("event_id").cast("int") % 1000, F.lit(2))
+    rows = stream_of(spark, sf_dir, "events").select((F.col("user_id") % 4).alias("shard"), F.shiftright("event_id", 14).alias("part"), ids.alias("ids"))
+    out = streams.drained(streams.packed(rows, ["shard", "part"], "ids", 256), "packed")
+    return streams.totals(out, ["shard", "part"], "shard", 256)
 
 
 # ---- unicode, chunks, generated text ----

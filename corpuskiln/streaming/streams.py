@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -11,6 +12,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from corpuskiln.functions import text as T
 from corpuskiln.operators import filters
+from corpuskiln.storage import shared_dir
 
 
 def filtered(docs: DataFrame, config: filters.FilterConfig, text_col: str = "text") -> DataFrame:
@@ -54,8 +56,13 @@ def quoted(rows: DataFrame, thread: str, comment: str, quoted_comment: str, text
     return rows.groupBy(thread).applyInPandasWithState(step, "comment string, quoted_text string", "ids array<string>, texts array<string>", "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
-def packed(rows: DataFrame, shard: str, ids: str, block: int) -> DataFrame:
-    """(shard, n, ids): fixed blocks of each shard's token stream; what is left over waits in the state."""
+def packed(rows: DataFrame, shard: str | list[str], ids: str, block: int) -> DataFrame:
+    """(shard columns, n, ids): fixed blocks of each shard's token stream, and at the end of each batch what is left.
+
+    What is left over waits in the state; its row is shorter than a block and n is the number of blocks before
+    it, so that of each shard's short rows the last by (n, length) holds what no block holds yet, see totals().
+    """
+    keys = [shard] if isinstance(shard, str) else list(shard)
 
     def step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         done, left = state.get if state.exists else (0, [])
@@ -64,14 +71,25 @@ def packed(rows: DataFrame, shard: str, ids: str, block: int) -> DataFrame:
             out = []
             for row in frame[ids]:
                 left.extend(int(x) for x in row)
-            while len(left) >= block:
-                out.append((key[0], done, left[:block]))
-                left, done = left[block:], done + 1
-            yield pd.DataFrame(out, columns=["shard", "n", "ids"])
+                at = 0
+                while len(left) - at >= block:
+                    out.append((*key, done, left[at : at + block]))
+                    at, done = at + block, done + 1
+                left = left[at:]
+            yield pd.DataFrame(out, columns=[*keys, "n", "ids"])
         state.update((done, left))
+        yield pd.DataFrame([(*key, done, left)], columns=[*keys, "n", "ids"])
+
+    kinds = dict(rows.dtypes)
+    schema = ", ".join(f"{k} {kinds[k]}" for k in keys)
+    return rows.groupBy(*keys).applyInPandasWithState(step, f"{schema}, n bigint, ids array<int>", "done bigint, left array<int>", "append", GroupStateTimeout.NoTimeout)
+
 
-    kind = dict(rows.dtypes)[shard]
-    return rows.groupBy(shard).applyInPandasWithState(step, f"shard {kind}, n bigint, ids array<int>", "done bigint, left array<int>", "append", GroupStateTimeout.NoTimeout)
+def totals(out: DataFrame, parts: list[str], shard: str, block: int) -> DataFrame:
+    """(shard, blocks): blocks of each shard over the written output of packed() by parts of the shard; what the
+    parts leave over is put together. Python-free, and one row a part."""
+    rest = out.where(F.size("ids") < block).groupBy(*parts).agg(F.max(F.struct("n", F.size("ids").alias("size"))).alias("last"))
+    return rest.groupBy(shard).agg((F.sum("last.n") + F.floor(F.sum("last.size") / block)).cast("bigint").alias("blocks"))
 
 
 def windowed_counts(events: DataFrame, event_time: str, by: str, length: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
@@ -80,7 +98,11 @@ def windowed_counts(events: DataFrame, event_time: str, by: str, length: str = "
 
 
 def drained(stream: DataFrame, name: str) -> DataFrame:
-    """Run a stream over what its source holds now, and return the table of its output."""
-    q = stream.writeStream.outputMode("append").format("memory").queryName(name).trigger(availableNow=True).start()
+    """Run a stream over what its source holds now, and return the table of its output, written to the shared folder."""
+    spark = stream.sparkSession
+    base = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/out")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)  # a source without rows writes nothing
+    q = stream.writeStream.outputMode("append").format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
     q.awaitTermination()
-    return stream.sparkSession.table(name)
+    return spark.read.schema(stream.schema).parquet(f"{base}/out")
