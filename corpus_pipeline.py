@@ -7,7 +7,8 @@
 5. bpe: texts become token ids.
 
 All stages but the last return the columns of documents. Rows with null or empty texts pass through
-them (an empty text is scored like an unknown one); an empty table stays one.
+them, as the line model can't judge them; rows with a null id link with nothing and stay; an empty table
+stays one.
 """
 
 from __future__ import annotations

@@ -285,12 +285,16 @@ def link_classes(docs: DataFrame, id_col: str, text_col: str, reps: DataFrame) -
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, all columns, less those that are near-duplicates of a row with a smaller id.
 
-    Rows that repeat an id stay once.
+    Rows that repeat both an id and a text stay once; an id goes only if none of its texts is kept. Rows with a
+    null id link with nothing and all stay.
     """
     found = materialize(near_duplicates(docs, id_col, text_col), "near")
-    left = without_ids(docs, found.where("not kept").select("doc_id"), id_col)
-    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return left.dropDuplicates([id_col]) if repeated else left
+    named = found.where("doc_id is not null")
+    if not named.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        return without_ids(docs, named.where("not kept").select("doc_id"), id_col)
+    gone = named.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("not kept").select("doc_id")
+    left = without_ids(docs.where(F.col(id_col).isNotNull()), gone, id_col).dropDuplicates([id_col, text_col])
+    return left.unionByName(docs.where(F.col(id_col).isNull()))
 
 
 def op1_minhash(spark, sf_dir: str) -> DataFrame:

@@ -196,10 +196,14 @@ class Model:
     base: float  # score of texts without content
 
     def score(self, texts: list[str | None]) -> np.ndarray:
+        return self.judged(texts)[0]
+
+    def judged(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(scores, whether each could be judged: there is a model, and the text has content)."""
         if not len(self.w) or not texts:
-            return np.full(len(texts), self.base)
+            return np.full(len(texts), self.base), np.zeros(len(texts), dtype=bool)
         mean, weight = self.mean_marginals(texts)
-        return np.where(weight > 0, sigmoid(self.curve[0] * mean + self.curve[1]), self.base)
+        return np.where(weight > 0, sigmoid(self.curve[0] * mean + self.curve[1]), self.base), weight > 0
 
     def mean_marginals(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         f = lines_in_parts([t or "" for t in texts], CHUNK_CHARS)
@@ -299,7 +303,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def only_good(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of docs, all columns, that are predicted good; empty texts count as the share of label 1."""
+    """The rows of docs, all columns, that aren't predicted bad; what the model cannot judge (there is none, or a
+    text without content) stays."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")
@@ -310,7 +315,8 @@ def only_good(docs: DataFrame, model: Model, text_col: str = "text") -> DataFram
             while end < len(values) and (end == at or size + len(values[end] or "") <= CHUNK_CHARS):
                 size += len(values[end] or "")
                 end += 1
-            out.append(shared.value.score(values[at:end]) >= THRESHOLD)
+            score, known = shared.value.judged(values[at:end])
+            out.append((score >= THRESHOLD) | ~known)
             at = end
         release()
         return pd.Series(np.concatenate(out) if out else np.zeros(0, dtype=bool))
