@@ -8,6 +8,7 @@ built-in test can't rule out.
 from __future__ import annotations
 
 from functools import lru_cache
+from importlib import resources
 
 import pandas as pd
 import regex
@@ -98,16 +99,20 @@ def mask_numbers(text_col: str) -> Column:
     return _batched(mask_numbers_in)(F.col(text_col))
 
 
-def mask_emails(text_col: str, tlds) -> Column:
-    known = frozenset(t.lower() for t in tlds)  # a few thousand at most
+def mask_emails(text_col: str, tlds=None) -> Column:
+    """tlds: known top-level domains, all of them if none are given."""
+    known = all_tlds() if tlds is None else frozenset(t.lower() for t in tlds)  # a few thousand at most
     return _batched(lambda t: mask_emails_in(t, known))(F.col(text_col))
 
 
-# fixed values: common top-level domains, for use without a list of all
-COMMON_TLDS = ["com", "net", "org", "edu", "gov", "info", "fi", "se", "no", "dk", "de", "fr", "es", "uk", "eu", "io"]
+@lru_cache(maxsize=1)
+def all_tlds() -> frozenset[str]:
+    """All top-level domains, of the list that comes with the package; lines with # are skipped."""
+    lines = resources.files("corpuskiln").joinpath("data/tlds-alpha-by-domain.txt").read_text(encoding="utf-8").splitlines()
+    return frozenset(x.strip().lower() for x in lines if not x.startswith("#"))
 
 
-def mask_all(docs: DataFrame, text_col: str = "text", tlds=COMMON_TLDS) -> DataFrame:
+def mask_all(docs: DataFrame, text_col: str = "text", tlds=None) -> DataFrame:
     """docs with e-mail addresses, ids and numbers masked, in that order; other columns as they are.
 
     Python sees only texts with an at-sign variant or a run of digits.

@@ -223,7 +223,7 @@ def masked_texts(spark, sf_dir):
 
 @query()
 def masked_emails(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", masking.mask_emails("text", masking.COMMON_TLDS).alias("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", masking.mask_emails("text").alias("text"))
 
 
 @query()
