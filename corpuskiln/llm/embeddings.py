@@ -14,7 +14,8 @@ MAX_CELLS, so what is broadcast is bounded.
 
 Defined cases: vectors that are null, empty, zero, hold null or non-finite components, or whose
 length isn't the commonest one link with nothing (n_links 0, component_id their own id); equal
-vectors are linked; ids are unique (equal rows count as one another's partners); an empty table
+vectors are linked, and merged before all else, so that copies are counted but not compared; ids are
+unique (equal rows count as one another's partners); an empty table
 gives an empty result; further columns of the input are ignored.
 """
 
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.llm.common import as_array, materialize, table
+from corpuskiln.llm.common import as_array, if_small, materialize, table
 from corpuskiln.llm.components import connected_components
 
 THRESHOLD = 0.95
@@ -77,7 +78,7 @@ def visits(x: np.ndarray, centre: np.ndarray, threshold: float = THRESHOLD) -> t
 
 
 def assigned(vectors: DataFrame, centre: np.ndarray, threshold: float) -> DataFrame:
-    """(cell, home, vec_id, visited array<int>, v binary): a row for the home and each visited cell.
+    """(cell, home, vec_id, w, visited array<int>, v binary): a row for the home and each visited cell.
 
     v holds the components as they are stored, single or double; all arithmetic is in double precision.
     """
@@ -105,12 +106,12 @@ def assigned(vectors: DataFrame, centre: np.ndarray, threshold: float) -> DataFr
                 raw = [np.array(rows[i], dtype=width).tobytes() for i in good]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(cell.astype(np.int32)), pa.array(home[row].astype(np.int32)), ids.take(pa.array(row)),
+                        pa.array(cell.astype(np.int32)), pa.array(home[row].astype(np.int32)), ids.take(pa.array(row)), part.column("w").take(pa.array(good[row])),
                         as_array([visited[r] for r in row], pa.list_(pa.int32())), pa.array([raw[r] for r in row], pa.binary()),
-                    ], names=["cell", "home", "vec_id", "visited", "v"],
+                    ], names=["cell", "home", "vec_id", "w", "visited", "v"],
                 )
 
-    return vectors.mapInArrow(run, f"cell int, home int, vec_id {kind}, visited array<int>, v binary")
+    return vectors.mapInArrow(run, f"cell int, home int, vec_id {kind}, w bigint, visited array<int>, v binary")
 
 
 def stored(vectors: DataFrame) -> str:
@@ -134,12 +135,13 @@ def block_parts(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def compared(placed: DataFrame, threshold: float, width: str) -> DataFrame:
-    """(vec_id, n, edge): links counted in one pair of blocks, and a row of the same class there."""
+    """(vec_id, n, edge): links counted in one pair of blocks, each as often as its other end stands for rows (w),
+    and a row of the same class there. Pairs are held for 256 rows at a time."""
     kind = dict(placed.dtypes)["vec_id"]
     size = placed.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     cut = placed.join(F.broadcast(size), "cell")  # at most MAX_CELLS rows
     cut = cut.withColumn("own", F.expr("cast(pmod(xxhash64(vec_id), blocks) as int)")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    cut = cut.select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "home", "vec_id", "visited", "v")
+    cut = cut.select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "home", "vec_id", "w", "visited", "v")
     dealt = cut.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j", "vec_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,41 +165,39 @@ def compared(placed: DataFrame, threshold: float, width: str) -> DataFrame:
         x /= np.abs(x).max(axis=1, keepdims=True)
         x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
         own, home, ids = t.column("own").to_numpy(), t.column("home").to_numpy(), t.column("vec_id").combine_chunks()
+        visited = t.column("visited").combine_chunks()
         # rows at home meet all rows, visitors only those at home; two visitors meet elsewhere
         local_i, all_j = np.flatnonzero((own == i) & (home == cell)), np.flatnonzero(own == j)
         sides = [(local_i, all_j)]
         if i != j:
             sides.append((np.flatnonzero((own == j) & (home == cell)), np.flatnonzero((own == i) & (home != cell))))
-        found_a, found_b = [], []
+        w = t.column("w").to_numpy()
+        n, part = np.zeros(len(x), dtype=np.int64), np.arange(len(x))
         for left, right in sides:
             other = x[right].T
             for at in range(0, len(left), 256):
                 a, b = np.nonzero(x[left[at : at + 256]] @ other >= threshold)
-                found_a.append(left[at + a])
-                found_b.append(right[b])
-        if not found_a:
+                a, b = left[at + a], right[b]
+                if i == j:
+                    ok = (a < b) | (home[b] != cell)
+                    a, b = a[ok], b[ok]
+                # of two cells where a pair meets the smaller counts it; those on the left are at home
+                mixed = np.flatnonzero(home[b] != cell)
+                if len(mixed):
+                    rows = np.unique(a[mixed])
+                    goes = np.zeros((len(rows), int(home.max()) + 1), dtype=bool)
+                    for k, cells in enumerate(visited.take(pa.array(rows)).to_pylist()):
+                        goes[k, [c for c in cells if c < goes.shape[1]]] = True
+                    guest = home[b[mixed]]
+                    keep = np.ones(len(a), dtype=bool)
+                    keep[mixed[goes[np.searchsorted(rows, a[mixed]), guest] & (guest < cell)]] = False
+                    a, b = a[keep], b[keep]
+                if len(a):
+                    n += np.bincount(a, w[b], len(x)).astype(np.int64) + np.bincount(b, w[a], len(x)).astype(np.int64)
+                    moved = np.flatnonzero(part != np.arange(len(x)))
+                    part = block_parts(len(x), np.concatenate((a, moved)), np.concatenate((b, part[moved])))
+        if not n.any():
             return
-        a, b = np.concatenate(found_a), np.concatenate(found_b)
-        if i == j:
-            ok = (a < b) | (home[b] != cell)
-            a, b = a[ok], b[ok]
-        # of two cells where a pair meets the smaller counts it
-        mixed = np.flatnonzero(home[a] != home[b])
-        if len(mixed):
-            local, guest = np.where(home[a] == cell, a, b)[mixed], np.where(home[a] == cell, b, a)[mixed]
-            rows = np.unique(local)
-            visited = t.column("visited").combine_chunks().take(pa.array(rows)).to_pylist()
-            goes = np.zeros((len(rows), int(home.max()) + 1), dtype=bool)
-            for k, cells in enumerate(visited):
-                goes[k, [c for c in cells if c < goes.shape[1]]] = True
-            twice = goes[np.searchsorted(rows, local), home[guest]] & (home[guest] < cell)
-            keep = np.ones(len(a), dtype=bool)
-            keep[mixed[twice]] = False
-            a, b = a[keep], b[keep]
-        if not len(a):
-            return
-        n = np.bincount(a, minlength=len(x)) + np.bincount(b, minlength=len(x))
-        part = block_parts(len(x), a, b)
         rows = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows)), pa.array(n[rows].astype(np.int64)), ids.take(pa.array(part[rows]))], names=["vec_id", "n", "edge"])
 
@@ -211,15 +211,27 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     if not sizes:
         return rows.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     dim, n = sizes[0]
-    usable = rows.where(F.col("vec_id").isNotNull() & (F.size("embedding") == dim))
-    sample = [r["embedding"] for r in usable.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()]
-    points = unit(sample, dim)[1]
-    centre = fit(points, min(MAX_CELLS, n // CELL + 1)) if len(points) else np.zeros((1, dim))
-    found = materialize(compared(assigned(usable, centre, threshold), threshold, stored(usable)), "vector-links")
+    number = lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))  # noqa: E731  (NaN is larger)
+    usable = F.col("vec_id").isNotNull() & (F.size("embedding") == dim) & F.forall("embedding", number) & F.exists("embedding", lambda x: x != 0)
+    # equal vectors are merged: the smallest id stands for all
+    rows = rows.withColumn("key", F.when(usable, F.unhex(F.sha2(F.col("embedding").cast("string").cast("binary"), 256))))
+    classes = rows.where("key is not null").groupBy("key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("w")).where("w > 1")
+    classes = materialize(classes, "equal-vectors")
+    marked = rows.join(if_small(classes), "key", "left")
+    alone = marked.where("key is not null and rep is null").select("vec_id", "embedding", F.lit(1).cast("bigint").alias("w"))
+    firsts = marked.where("vec_id = rep").dropDuplicates(["key"]).select("vec_id", "embedding", "w")
+    points = alone.union(firsts)
+    sample = unit([r["embedding"] for r in points.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").collect()], dim)[1]
+    centre = fit(sample, min(MAX_CELLS, n // CELL + 1)) if len(sample) else np.zeros((1, dim))
+    found = materialize(compared(assigned(points, centre, threshold), threshold, stored(points)), "vector-links")
     component = connected_components(found.select(F.col("vec_id").alias("a"), F.col("edge").alias("b")))
     links = found.groupBy("vec_id").agg(F.sum("n").alias("n")).select(F.col("vec_id").alias("linked"), "n")
-    out = rows.select("vec_id").join(links, F.col("vec_id") == links["linked"], "left").join(component, F.col("vec_id") == component["node"], "left")
-    out = out.select("vec_id", F.coalesce("n", F.lit(0)).alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
+    # one row for each id that has links or stands for several, then the rows of the classes by their own
+    known = links.join(component, F.col("linked") == component["node"], "left").select("linked", "n", "component")
+    merged = classes.join(known, classes["rep"] == known["linked"], "left")
+    merged = merged.select("key", F.col("rep").alias("lead"), (F.coalesce("n", F.lit(0)) + F.col("w") - 1).alias("m"), F.coalesce("component", "rep").alias("of"))
+    out = rows.select("vec_id", "key").join(if_small(merged), "key", "left").join(known, (F.col("vec_id") == known["linked"]) & F.col("lead").isNull(), "left")
+    out = out.select("vec_id", F.coalesce("m", "n", F.lit(0)).alias("n_links"), F.coalesce("of", "component", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
 
