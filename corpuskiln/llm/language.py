@@ -185,15 +185,13 @@ def spans_of(model: Model, text: str | None) -> list[tuple[int, int, str]]:
 
 
 def training_rows(docs: DataFrame, allowed, id_col: str, text_col: str, lang_col: str, rows: int) -> list[tuple[str, str]]:
-    """At most ``rows`` rows of each of at most 200 languages: those with the smallest hash of their id."""
+    """At most ``rows`` rows of each language: those with the smallest hash of their id."""
     from pyspark.sql import Window
 
     labelled = docs.where(allowed & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     few = labelled.select(F.col(id_col).alias("i"), F.col(lang_col).alias("l"), F.xxhash64(id_col).alias("h"))
-    langs = [r["l"] for r in few.groupBy("l").count().orderBy(F.desc("count"), "l").limit(200).collect()]
-    picks = []
-    for lang in langs:
-        picks += [(r["i"], lang) for r in few.where(F.col("l") == lang).orderBy("h", "i").limit(rows).collect()]
+    place = F.row_number().over(Window.partitionBy("l").orderBy("h", "i"))  # cut down in each task before the shuffle
+    picks = [(r["i"], r["l"]) for r in few.withColumn("place", place).where(F.col("place") <= rows).select("i", "l").collect()]
     if not picks:
         return []
     spark = docs.sparkSession

@@ -135,10 +135,11 @@ def flattened(totals: list[float], power: float) -> list[float]:
     return [need * w for w in weight]
 
 
-def mixed(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.8, floor: float = 0.0, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "lang") -> tuple[DataFrame, list[str]]:
-    """((row, doc_id, tokens, p, rate, copies), domains).
+def mixed(docs: DataFrame, weights: dict[str, float] | float | None = None, power: float = 0.8, floor: float = 0.0, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "lang") -> tuple[DataFrame, list[str], list[float]]:
+    """((row, doc_id, tokens, p, rate, copies), domains, residuals as a share of each domain's target).
 
-    weights: target share of each domain, of as many tokens as the corpus has; without them the
+    weights: target share of each domain (or one number for every learned domain), of as many tokens as the
+    corpus has; residuals over TOLERANCE mean that the steps ended before the targets were met. Without weights the
     targets are the domains' own totals flattened by power, at a size that no domain has to shrink.
     copies is the rate rounded to one of its two neighbours by a hash of the id, right on average.
     """
@@ -146,25 +147,26 @@ def mixed(docs: DataFrame, weights: dict[str, float] | None = None, power: float
     domains = model[0]
     if not domains:
         rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.size(tokens(text_col)).cast("bigint").alias("tokens"))
-        return rows.withColumn("p", F.expr("cast(array() as array<double>)")).withColumn("rate", F.lit(1.0)).withColumn("copies", F.lit(1)), []
+        return rows.withColumn("p", F.expr("cast(array() as array<double>)")).withColumn("rate", F.lit(1.0)).withColumn("copies", F.lit(1)), [], []
     found = materialize(posteriors(docs, model, id_col, text_col), "posteriors")
     got = found.agg(*[F.coalesce(F.sum(F.col("p")[k] * F.col("tokens")), F.lit(0.0)).alias(f"t{k}") for k in range(len(domains))]).first()
     totals = [got[f"t{k}"] for k in range(len(domains))]
     if weights is None:
         targets = flattened(totals, power)
     else:
+        weights = weights if isinstance(weights, dict) else dict.fromkeys(domains, weights)
         named = sum(weights.get(d, 0.0) for d in domains) or 1.0
         targets = [weights.get(d, 0.0) / named * sum(totals) for d in domains]
-    rated, _, _ = rates(found, targets, floor)
+    rated, reached, _ = rates(found, targets, floor)
+    residuals = [(r - t) / max(t, 1.0) for r, t in zip(reached, targets, strict=True)]
     even = F.pmod(F.xxhash64(F.lit(17), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return rated.withColumn("copies", F.floor(F.col("rate") + even).cast("int")), domains
+    return rated.withColumn("copies", F.floor(F.col("rate") + even).cast("int")), domains, residuals
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:
     """All documents, mixed to equal weights of their languages: posterior, rate and copies of each."""
     docs = table(spark, sf_dir, "documents")
-    names = [r["lang"] for r in docs.where("lang is not null").select("lang").distinct().orderBy("lang").limit(MAX_DOMAINS).collect()]
-    found, domains = mixed(docs, dict.fromkeys(names, 1.0))
+    found, domains, _ = mixed(docs, 1.0)
     return found.select("doc_id", "tokens", F.map_from_arrays(F.array(*map(F.lit, domains)) if domains else F.expr("cast(array() as array<string>)"), "p").alias("posterior"), "rate", "copies")
 
 
@@ -173,7 +175,7 @@ def resampled(docs: DataFrame, power: float = 0.8, id_col: str = "doc_id", text_
 
     Weak domains are raised towards the targets (flattened totals); no document is lost.
     """
-    found, domains = mixed(docs, None, power, 1.0, id_col, text_col, domain_col)
+    found, domains, _ = mixed(docs, None, power, 1.0, id_col, text_col, domain_col)
     if not domains:
         return docs
     more = materialize(found.where("copies > 1").select(F.col("doc_id").alias("__id"), F.col("copies").alias("__copies")).groupBy("__id").agg(F.max("__copies").alias("__copies")), "copies")
