@@ -26,6 +26,24 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def if_small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
-    """df marked for broadcast if it has at most so many (narrow) rows, else as it is, for a shuffled join."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+#: Bytes of a table, as measured, up to which it is broadcast.
+BROADCAST_BYTES = 32_000_000
+
+
+def measured(df: DataFrame) -> int:
+    """About how many bytes the rows of df take: fixed widths, and the lengths of texts and arrays as they are."""
+    width = F.lit(16)
+    for name, kind in df.dtypes:
+        c = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            width = width + F.coalesce(F.octet_length(c), F.lit(0))
+        elif kind.startswith(("array", "map")):
+            width = width + 32 * F.greatest(F.size(c), F.lit(0))
+        else:
+            width = width + 16
+    return df.agg(F.sum(width.cast("bigint")).alias("b")).first()["b"] or 0
+
+
+def if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """df marked for broadcast if its measured bytes are within the bound, else as it is, for a shuffled join."""
+    return F.broadcast(df) if measured(df) <= max_bytes else df
