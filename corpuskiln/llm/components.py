@@ -1,7 +1,8 @@
 """Connected components of an edge table by alternating large-star and small-star steps.
 
-Each step is a groupBy with partial aggregation plus a join back; nothing is collected but one
-count per round. State between rounds is written to the shared folder.
+Each step is a groupBy with partial aggregation plus a join back, in which the edges of a node with many
+neighbours are cut into parts (spread_join); nothing is collected but counts. State between rounds is
+written to the shared folder.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.llm.common import materialize
+from corpuskiln.llm.common import materialize, spread_join
 
 MAX_ROUNDS = 40
 
@@ -24,10 +25,12 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     now = materialize(now.where("u is not null and v is not null and u <> v").distinct(), "edges")
     for _ in range(MAX_ROUNDS):
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small_low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(small_low, "u").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
+        low = materialize(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("n")), "lows")
+        large = spread_join(both.where("v > u"), low.select("u", "m"), "u", low.select("u", "n"), "v")
+        large = materialize(large.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "edges")
+        small_low = materialize(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "lows")
+        small = spread_join(large, small_low.select("u", "m"), "u", small_low.select("u", "n"), "v")
+        small = small.select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
         small = small.union(small_low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         after = materialize(small, "edges")
         # a forest of stars: no centre is itself a leaf, and each leaf has one centre

@@ -8,13 +8,15 @@ pairs within the radius share a key. Links are confirmed on the full sets.
 
 Equal sets are one class. First every class is compared with one other only, the bucket leader that
 it shares most keys with; what that links is merged, and only then members of a bucket that are
-still of different classes are compared with one another, in blocks of BLOCK rows. So copies are never expanded into pairs and no bucket meets in one task.
+still of different classes are compared with one another, in blocks of BLOCK rows. So copies are never
+expanded into pairs, and no bucket meets in one task: joins by key cut keys with many rows into parts.
 
 Defined cases: null texts and texts without words have an empty set (n_shingles 0) and link with
 nothing; texts of one to four words have one shingle, the sequence; a null id links with nothing and
 has a null component; rows that share id and text are equal; ids are otherwise taken as unique (of
-texts under one id one stands for all); an empty table gives an empty result; further columns of the
-input are ignored.
+texts under one id one stands for all); a very long text is split into words piece by piece and then takes
+8 bytes a word; equal similarities need no order, as every link counts; an empty table gives an empty
+result; further columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -24,18 +26,17 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.llm.common import as_signed, fmix, if_small, map_arrow, materialize, released, rolling, table, without_ids
+from corpuskiln.llm.common import as_signed, fmix, if_small, map_arrow, materialize, released, rolling, spread_join, table, without_ids, word_hashes
 from corpuskiln.llm.components import connected_components
 
 WORDS = 5
 #: Similarity in hundredths from which two sets are linked.
 PERCENT = 75
 K, CHUNKS, RADIUS = 64, 16, 31
-BLOCK = 1024
+BLOCK = 8192
 #: Smallest hashes of a set kept to judge a pair before its full sets are fetched, and the standard
 #: deviations that their estimate may lie below the similarity.
 SKETCH, DEVIATIONS = 192, 4.75
@@ -48,10 +49,9 @@ _SALT = _rng.integers(1, 1 << 63, (CHUNKS, K // CHUNKS), dtype=np.uint64)
 
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles; bytes.split cuts at exactly x20 and x09-x0D."""
-    words = (text or "").encode("utf-8").lower().split()
-    if not words:
+    h = word_hashes((text or "").encode("utf-8").lower())
+    if not len(h):
         return np.zeros(0, dtype=np.uint64)
-    h = np.array([xxhash.xxh3_64_intdigest(w) for w in words], dtype=np.uint64)
     if len(h) < WORDS:
         return fmix(rolling(h, len(h)) + np.uint64(len(h)))
     return np.unique(rolling(h, WORDS))
@@ -140,11 +140,17 @@ def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a != b).sum(axis=-1)
 
 
+def both_sides(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """pairs (a, b) joined with a table by a and one by b; one end may be that of very many pairs."""
+    ends = [materialize(pairs.groupBy(c).agg(F.count("*").alias("n")).where("n > 1"), "ends") for c in ("a", "b")]
+    return spread_join(spread_join(pairs, left, "a", ends[0], "b"), right, "b", ends[1], "a")
+
+
 def near(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes whose sizes and signatures allow a link."""
     left = reps.select(F.col("rep").alias("a"), F.col("n_shingles").alias("na"), F.col("sig").alias("sa"))
     right = reps.select(F.col("rep").alias("b"), F.col("n_shingles").alias("nb"), F.col("sig").alias("sb"))
-    both = pairs.join(left, "a").join(right, "b").where("4 * least(na, nb) >= 3 * greatest(na, nb)")
+    both = both_sides(pairs, left, right).where("4 * least(na, nb) >= 3 * greatest(na, nb)")
 
     def each(cols: dict, n: int) -> dict:
         d = distance(*(np.frombuffer(b"".join(cols[c]), dtype=np.uint16).reshape(n, K) for c in ("sa", "sb")))
@@ -163,7 +169,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) ->
     rows = rows.join(ids, rows["doc_id"] == ids["i"], "left_semi")
     sets = map_arrow(rows, f"doc_id {kind}, s binary", lambda cols, n: {"doc_id": cols["doc_id"], "s": [shingles(t).tobytes() for t in cols["text"]]})
     sets = materialize(sets.dropDuplicates(["doc_id"]), "sets")
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("y")), "b")
+    both = both_sides(pairs, sets.select(F.col("doc_id").alias("a"), F.col("s").alias("x")), sets.select(F.col("doc_id").alias("b"), F.col("s").alias("y")))
 
     def each(cols: dict, n: int) -> dict:
         hit = []
@@ -177,15 +183,16 @@ def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) ->
     return map_arrow(both.select("a", "b", "x", "y"), f"a {kind}, b {kind}", each)
 
 
-def across(rows: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different classes that share a key and lie within the radius.
+def across(rows: DataFrame, reps: DataFrame, sketched: bool = True) -> DataFrame:
+    """Pairs (a, b) of different classes that share a key and lie within the radius; if sketched, less those that
+    their sketches rule out.
 
     rows: (key, rep, c), c the class found so far; reps: (rep, n_shingles, sig, low). Buckets are cut into blocks by a
     hash of rep; each pair of blocks is one group, compared as arrays and streamed in key order.
     """
     kind = dict(rows.dtypes)["rep"]
-    size = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    cut = rows.join(size, "key").withColumn("own", F.expr("cast(pmod(xxhash64(rep), blocks) as int)"))
+    size = materialize(rows.groupBy("key").agg(F.count("*").alias("n"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "sizes")
+    cut = spread_join(rows, size.select("key", "blocks"), "key", size.select("key", "n"), "rep").withColumn("own", F.expr("cast(pmod(xxhash64(rep), blocks) as int)"))
     cut = cut.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     cut = cut.join(reps, "rep").select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "c", "n_shingles", "sig", "low")
     dealt = cut.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
@@ -218,8 +225,9 @@ def across(rows: DataFrame, reps: DataFrame) -> DataFrame:
             _, i, j = group[lo]
             rows = np.arange(lo, hi)
             left, right = (rows, rows) if i == j else (rows[own[lo:hi] == i], rows[own[lo:hi] == j])
-            for at in range(0, len(left), 64):
-                a = left[at : at + 64]
+            step = max(1, 131_072 // max(1, len(right)))
+            for at in range(0, len(left), step):
+                a = left[at : at + step]
                 ok = (c[a][:, None] != c[right][None, :]) & (4 * np.minimum(n[a][:, None], n[right]) >= 3 * np.maximum(n[a][:, None], n[right]))
                 if i == j:
                     ok &= a[:, None] < right[None, :]
@@ -233,7 +241,7 @@ def across(rows: DataFrame, reps: DataFrame) -> DataFrame:
                 p, q = p[once], q[once]
                 for cut in range(0, len(p), 4096):
                     x, y = p[cut : cut + 4096], q[cut : cut + 4096]
-                    ok = likely([low[k] for k in x], [low[k] for k in y])
+                    ok = likely([low[k] for k in x], [low[k] for k in y]) if sketched else np.ones(len(x), dtype=bool)
                     found_a.append(x[ok])
                     found_b.append(y[ok])
         if found_a:
@@ -242,40 +250,48 @@ def across(rows: DataFrame, reps: DataFrame) -> DataFrame:
     return dealt.mapInArrow(released(run), f"a {kind}, b {kind}").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept): component_id is the smallest id reachable by links."""
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sketched: bool = True) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept): component_id is the smallest id reachable by links.
+
+    sketched: leave out pairs whose sketches, DEVIATIONS below the estimate, rule a link out; without it every
+    pair within the radius is confirmed on its full sets.
+    """
     rows = materialize(signed(docs, id_col, text_col), "signatures")
-    classes = rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
-    classes = materialize(classes.where("rep < last").select("digest", "rep"), "equal")
-    members = rows.select("doc_id", "n_shingles", "digest").join(if_small(classes), "digest", "left")
+    classes = rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
+    classes = materialize(classes.where("rep < last").select("digest", "rep", "n"), "equal")
+    members = spread_join(rows.select("doc_id", "n_shingles", "digest"), classes.select("digest", "rep"), "digest", classes.select("digest", "n"), "doc_id", "left")
     members = materialize(members.select("doc_id", "n_shingles", F.coalesce("rep", F.when(F.col("digest").isNotNull(), F.col("doc_id"))).alias("rep")), "members")
     firsts = materialize(members.where("doc_id = rep").select("rep").distinct(), "firsts")
     reps = rows.where("digest is not null").join(if_small(firsts), rows["doc_id"] == firsts["rep"]).select("rep", "n_shingles", "sig", "low").dropDuplicates(["rep"])
-    links, component = link_classes(docs, id_col, text_col, reps)
-    out = members.select("doc_id", "n_shingles", "rep").join(component, members["rep"] == component["node"], "left")
+    links, component = link_classes(docs, id_col, text_col, reps, sketched)
+    component = materialize(component.withColumnRenamed("node", "rep"), "component")
+    out = spread_join(members.select("doc_id", "n_shingles", "rep"), component, "rep", classes.select("rep", "n"), "doc_id", "left")
     out = out.withColumn("component_id", F.coalesce("component", "rep", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def link_classes(docs: DataFrame, id_col: str, text_col: str, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+def link_classes(docs: DataFrame, id_col: str, text_col: str, reps: DataFrame, sketched: bool = True) -> tuple[DataFrame, DataFrame]:
     """Links between classes of equal sets, and (node, component) of the classes that have any."""
     reps = materialize(reps, "classes")
     buckets = materialize(keyed(reps).groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
-    shared = materialize(keyed(reps).join(buckets, "key").select("key", "rep", "n"), "shared")
+    shared = materialize(spread_join(keyed(reps), buckets.select("key", F.col("n").alias("of")), "key", buckets, "rep").select("key", "rep", F.col("of").alias("n")), "shared")
     # the member that meets most others leads a bucket: the original of a group rather than a copy
     hubs = shared.groupBy("rep").agg(F.sum("n").alias("hub"))
     leads = shared.join(hubs, "rep").groupBy("key").agg(F.max(F.struct("hub", "rep")).alias("lead"))
-    meets = shared.join(leads.select("key", F.col("lead.rep").alias("b")), "key").where("rep <> b").groupBy("rep", "b").count()
+    leads = materialize(leads.select("key", F.col("lead.rep").alias("b")), "leads")
+    meets = spread_join(shared.select("key", "rep"), leads, "key", buckets, "rep").where("rep <> b").groupBy("rep", "b").count()
     best = meets.groupBy("rep").agg(F.max(F.struct("count", "b")).alias("m")).select("rep", F.col("m.b").alias("b"))
-    stars = materialize(near(best.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct(), reps), "stars")
+    best = materialize(best.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct(), "best")
+    stars = materialize(near(best, reps), "stars")
     links = materialize(confirmed(stars, docs, id_col, text_col), "links")
     component = connected_components(links)
     # members of one bucket that are still apart
     now = shared.select("key", "rep").join(component, F.col("rep") == component["node"], "left").select("key", "rep", F.coalesce("component", "rep").alias("c"))
     apart = materialize(now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key"), "apart")
-    rest = materialize(now.join(apart, "key", "left_semi").select("key", "rep", "c"), "rest")
-    more = materialize(across(rest, reps), "pairs")
-    extra = materialize(confirmed(more.join(stars, ["a", "b"], "left_anti"), docs, id_col, text_col), "links")
+    rest = materialize(spread_join(now, apart, "key", buckets, "rep").select("key", "rep", "c"), "rest")
+    more = materialize(across(rest, reps, sketched), "pairs")
+    more = materialize(more.join(stars, ["a", "b"], "left_anti"), "pairs")
+    extra = materialize(confirmed(more, docs, id_col, text_col), "links")
     if extra.limit(1).count():
         links = links.union(extra)
         component = connected_components(links)
