@@ -1,23 +1,26 @@
 """Removal of word runs that repeat across documents, by prefix-partitioned suffix trees.
 
 Words are [^\\x20\\x09-\\x0D]+. A window of WINDOW consecutive words is removed where its words also
-start in a document with a smaller id. The suffixes that can matter, cut at WINDOW words (deeper
-nodes have the same leaves below a smaller part of the tree), are dealt out by their first words and
-arrive sorted; the sorted run is cut into groups under one prefix each, as long as the group needs
-to be to fit in memory, and neighbouring suffixes' common prefixes give the subtree of a group. Its
-internal nodes of depth WINDOW are the repeats, the smallest id below one is its first place, and
-all other leaves are removed. Runs of removed windows of a document are its maximal repeats.
+start in a document with a smaller id. The suffixes that can matter are counted under their first
+words: a prefix that starts more than GROUP_ROWS of them is lengthened along LADDER until each of its
+groups fits (a prefix of WINDOW words is one node, which is read as a stream whatever its size). Suffixes
+are dealt by these prefixes of different lengths and arrive sorted; the words that neighbours have in
+common are the depths of a group's suffix tree, and the leaves below a node of depth WINDOW are a
+repeat: the smallest id among them is its first place, all others are removed. Suffixes are cut at
+WINDOW words, since every deeper node lies below one of that depth; the removed windows of a document
+that overlap or touch make its maximal repeats.
 
 What can't repeat is left out first: word sequences that equal a smaller document's are removed
 whole, and a window is looked at only if its minimizer (the smallest hash of its runs of GRAM words)
 occurs in another document too; equal windows have equal minimizers, so nothing is lost. Windows
 that meet within one batch are settled there, so that a passage in a third of all documents sends
-one row a batch.
+one row a batch. Words stand in suffixes as 16 bits each, and a 64-bit hash of the window decides equality.
 
 Defined cases: null texts have no words; texts of fewer than WINDOW words lose none; a null id is
 neither a source nor loses words; repeats inside one document stay; rows that repeat an id and its
-text are equal (ids are otherwise taken as unique); an empty table gives an empty result; further
-columns of the input are ignored.
+text are equal (ids are otherwise taken as unique); of equal windows the smallest id's stays, wherever it
+stands; a very long text is split piece by piece and then takes some 40 bytes a word, about 100 where
+words are cut out of it; an empty table gives an empty result; further columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -28,31 +31,37 @@ from hashlib import blake2b, sha256
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.llm.common import CHUNK_CHARS, as_signed, discard, if_small, map_arrow, materialize, released, rolling, slices, sliding_min, table, without_ids
+from corpuskiln.llm.common import CHUNK_CHARS, as_signed, discard, fmix, if_small, map_arrow, materialize, pieces, released, rolling, slices, sliding_min, spread_join, table, without_ids, word_hashes
 
 WINDOW, GRAM = 13, 4
-#: Words of a suffix by which it is dealt to a partition.
-DEAL = 4
+#: Words of the prefixes that groups are made by, tried in this order.
+LADDER = (3, 6, 9, WINDOW)
+#: Suffixes of a group at most, and prefixes with more that are held at once: the bound grows with the number of
+#: suffixes so that they stay that few.
+GROUP_ROWS, HEAVY_PREFIXES = 200_000, 1_000_000
 EMPTY = sha256(b"").hexdigest()
 
 
-def words(text: str | bytes | None) -> list[bytes]:
-    """bytes.split() cuts at exactly x20 and x09-x0D."""
-    return (text.encode("utf-8") if isinstance(text, str) else text or b"").split()
+def single_spaced(text: str | None) -> Iterator[tuple[bytes, int]]:
+    """A text's words joined by one space, in pieces with their numbers of words."""
+    first = True
+    for piece in pieces((text or "").encode("utf-8")):
+        if w := piece.split():
+            yield (b"" if first else b" ") + b" ".join(w), len(w)
+            first = False
 
 
 class Batch:
     """Word hashes of some texts laid end to end, and where their windows start."""
 
-    def __init__(self, texts: list[list[bytes]]):
-        n = np.array([len(w) for w in texts], dtype=np.int64)
-        digest = xxhash.xxh3_64_intdigest
-        self.h = np.fromiter((digest(w) for t in texts for w in t), dtype=np.uint64, count=int(n.sum()))
+    def __init__(self, texts: list[bytes]):
+        hashes = [word_hashes(t) for t in texts]
+        n = np.array([len(h) for h in hashes], dtype=np.int64)
+        self.h = np.concatenate(hashes) if hashes else np.zeros(0, dtype=np.uint64)
         self.start = np.concatenate(([0], np.cumsum(n)))
         owner = np.repeat(np.arange(len(n)), n)
         place = np.arange(len(owner)) - self.start[owner]
@@ -70,12 +79,17 @@ def sequences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, n_words, digest, whole_sha256): of the words joined by one space."""
 
     def each(cols: dict, n: int) -> dict:
-        split = [words(t) for t in cols["text"]]
-        joined = [b" ".join(w) for w in split]
-        return {
-            "doc_id": cols["doc_id"], "n_words": list(map(len, split)),
-            "digest": [blake2b(j, digest_size=16).digest() for j in joined], "whole_sha256": [sha256(j).hexdigest() for j in joined],
-        }
+        out: dict[str, list] = {"doc_id": cols["doc_id"], "n_words": [], "digest": [], "whole_sha256": []}
+        for text in cols["text"]:
+            short, sha, total = blake2b(digest_size=16), sha256(), 0
+            for piece, count in single_spaced(text):
+                short.update(piece)
+                sha.update(piece)
+                total += count
+            out["n_words"].append(total)
+            out["digest"].append(short.digest())
+            out["whole_sha256"].append(sha.hexdigest())
+        return out
 
     kind = dict(docs.dtypes)[id_col]
     return map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), f"doc_id {kind}, n_words bigint, digest binary, whole_sha256 string", each)
@@ -88,7 +102,7 @@ def minimizer_rows(docs: DataFrame) -> DataFrame:
     id_type = to_arrow_type(docs.schema["doc_id"].dataType)
 
     def each(cols: dict, n: int) -> dict:
-        b = Batch([words(t) for t in cols["text"]])
+        b = Batch([(t or "").encode("utf-8") for t in cols["text"]])
         m = b.minimizers()
         new = np.concatenate(([True], (m[1:] != m[:-1]) | (b.owner[1:] != b.owner[:-1]))) if len(m) else np.zeros(0, dtype=bool)
         return {"m": pa.array(as_signed(m[new])), "doc_id": pa.array(cols["doc_id"], id_type).take(pa.array(b.owner[new]))}
@@ -97,120 +111,215 @@ def minimizer_rows(docs: DataFrame) -> DataFrame:
 
 
 def packed(docs: DataFrame) -> DataFrame:
-    """(doc_id, packed): words joined by one space, compressed, for the shuffle."""
+    """(doc_id, n_words, packed): words joined by one space, compressed, for the shuffle."""
 
     def each(cols: dict, n: int) -> dict:
         squeeze = zstandard.ZstdCompressor(level=6).compress
-        return {"doc_id": cols["doc_id"], "packed": [squeeze(b" ".join(words(t))) for t in cols["text"]]}
+        joined = [list(single_spaced(t)) for t in cols["text"]]
+        return {"doc_id": cols["doc_id"], "n_words": [sum(c for _, c in j) for j in joined], "packed": [squeeze(b"".join(p for p, _ in j)) for j in joined]}
+
+    return map_arrow(docs, f"doc_id {dict(docs.dtypes)['doc_id']}, n_words bigint, packed binary", each)
+
+
+class Settled:
+    """The windows to look at of some documents (doc_id, packed, marks), those that meet among them settled."""
 
-    return map_arrow(docs, f"doc_id {dict(docs.dtypes)['doc_id']}, packed binary", each)
+    def __init__(self, cols: dict, id_type: pa.DataType):
+        unpack = zstandard.ZstdDecompressor().decompress
+        order = sorted(range(len(cols["doc_id"])), key=lambda i: cols["doc_id"][i])
+        self.ids = pa.array([cols["doc_id"][i] for i in order], id_type)
+        b = Batch([unpack(cols["packed"][i]) for i in order])
+        marks = [np.sort(np.array(cols["marks"][i], dtype=np.int64).view(np.uint64)) for i in order]
+        m = b.minimizers()
+        cut = np.searchsorted(b.owner, np.arange(len(order) + 1))
+        hit = [lo + np.flatnonzero(np.isin(m[lo:hi], marks[k])) for k, (lo, hi) in enumerate(zip(cut[:-1], cut[1:], strict=True))]
+        hit = np.concatenate(hit) if hit else np.zeros(0, dtype=np.int64)
+        at, self.owner, self.place = b.at[hit], b.owner[hit], b.place[hit]
+        self.key = key = rolling(b.h, WINDOW)[at] if len(hit) else np.zeros(0, dtype=np.uint64)
+        # rows are in the order of ids: the first of equal keys is of the smallest document
+        by_key = np.argsort(key, kind="stable")
+        first = np.concatenate(([True], key[by_key][1:] != key[by_key][:-1])) if len(hit) else np.zeros(0, dtype=bool)
+        home = self.owner[by_key[np.flatnonzero(first)[np.cumsum(first) - 1]]] if len(hit) else self.owner
+        settled, same = np.zeros(len(hit), dtype=bool), np.zeros(len(hit), dtype=bool)
+        settled[by_key] = self.owner[by_key] > home
+        same[by_key] = ~first
+        self.gone = np.flatnonzero(settled)
+        self.send = np.flatnonzero(~settled & ~same)
+        # later places within the smallest document go along with the first
+        self.inside = np.flatnonzero(~settled & same)
+        self.symbols = (b.h >> np.uint64(48)).astype(np.uint16)[at[self.send][:, None] + np.arange(WINDOW)]
+
+
+def prefix_hash(symbols: np.ndarray, length: int) -> np.ndarray:
+    """Of every suffix, a 64-bit hash of the symbols of its first words."""
+    h = np.zeros(len(symbols), dtype=np.uint64)
+    for i in range(length):
+        h = fmix(h + symbols[:, i] + np.uint64(1))
+    return h
+
+
+def prefix_lengths(symbols: np.ndarray, heavy: list[np.ndarray]) -> np.ndarray:
+    """Of every suffix, the words of its group's prefix: the first of LADDER under which the group fits.
+
+    heavy: for each length tried so far the sorted hashes of the prefixes that start too many suffixes.
+    """
+    length = np.full(len(symbols), LADDER[0])
+    for k, h in enumerate(heavy):
+        open_ = np.flatnonzero(length == LADDER[k])
+        length[open_[np.isin(prefix_hash(symbols[open_], LADDER[k]), h)]] = LADDER[k + 1]
+    return length
 
 
-def suffix_rows(marked: DataFrame) -> DataFrame:
-    """(part, suffix, doc_id, place, found) of marked (doc_id, packed, marks).
+def heavy_prefixes(marked: DataFrame) -> list[np.ndarray]:
+    """Prefixes to lengthen, by length: those that start more suffixes than a group may have.
 
-    Either a suffix that starts a window to be settled, or, with a null suffix, the places of a
-    document's windows that a smaller document of the same batch holds too.
+    A pass over the documents for each length, counting under prefixes that are still too heavy only; the
+    hashes that come to the driver are at most HEAVY_PREFIXES by arithmetic.
+    """
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    heavy: list[np.ndarray] = []
+    bound, id_type = None, to_arrow_type(marked.schema["doc_id"].dataType)
+    for k, length in enumerate(LADDER[:-1]):
+
+        def count(cols: dict, n: int, k=k, length=length) -> dict:
+            symbols = Settled(cols, id_type).symbols
+            open_ = symbols[prefix_lengths(symbols, heavy) == length] if k else symbols
+            p, c = np.unique(prefix_hash(open_, length), return_counts=True)
+            return {"p": pa.array(as_signed(p)), "n": pa.array(c.astype(np.int64))}
+
+        counts = materialize(map_arrow(marked.select("doc_id", "packed", "marks"), "p bigint, n bigint", count, CHUNK_CHARS // 2).groupBy("p").agg(F.sum("n").alias("n")), "prefixes")
+        if bound is None:
+            total = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
+            bound = max(GROUP_ROWS, total // HEAVY_PREFIXES)
+        found = counts.where(F.col("n") > bound).select("p").toArrow().column("p").to_numpy()
+        if not len(found):
+            break
+        heavy.append(np.sort(found.astype(np.int64).view(np.uint64)))
+    return heavy
+
+
+def suffix_rows(marked: DataFrame, heavy: list[np.ndarray] = ()) -> DataFrame:
+    """(prefix, suffix, doc_id, place, found) of marked (doc_id, packed, marks).
+
+    Either a suffix that starts a window to be settled, with the prefix of its group, or, with a null suffix,
+    the places of a document's windows that a smaller document of the same batch holds too.
     """
     kind = dict(marked.dtypes)["doc_id"]
+    shared = marked.sparkSession.sparkContext.broadcast(list(heavy))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for cols in slices(batch, CHUNK_CHARS // 2):
-                unpack = zstandard.ZstdDecompressor().decompress
-                order = sorted(range(len(cols["doc_id"])), key=lambda i: cols["doc_id"][i])
-                ids = pa.array([cols["doc_id"][i] for i in order], batch.schema.field("doc_id").type)
-                b = Batch([unpack(cols["packed"][i]).split() for i in order])
-                marks = [np.sort(np.array(cols["marks"][i], dtype=np.int64).view(np.uint64)) for i in order]
-                m = b.minimizers()
-                cut = np.searchsorted(b.owner, np.arange(len(order) + 1))
-                hit = np.concatenate([lo + np.flatnonzero(np.isin(m[lo:hi], marks[k])) for k, (lo, hi) in enumerate(zip(cut[:-1], cut[1:], strict=True))]) if len(order) else np.zeros(0, dtype=np.int64)
-                if not len(hit):
-                    continue
-                at, owner, place = b.at[hit], b.owner[hit], b.place[hit]
-                key = rolling(b.h, WINDOW)[at]
-                # rows are in the order of ids: the first of equal keys is of the smallest document
-                by_key = np.argsort(key, kind="stable")
-                first = np.concatenate(([True], key[by_key][1:] != key[by_key][:-1]))
-                home = owner[by_key[np.flatnonzero(first)[np.cumsum(first) - 1]]]
-                settled = np.zeros(len(hit), dtype=bool)
-                settled[by_key] = owner[by_key] > home
-                same = np.zeros(len(hit), dtype=bool)
-                same[by_key] = ~first
-                send = np.flatnonzero(~settled & ~same)
-                inside = np.flatnonzero(~settled & same)  # later places within the smallest document follow the first
-                symbols = (b.h >> np.uint64(48)).astype(">u2")[at[send][:, None] + np.arange(WINDOW)]
-                deal = rolling(b.h, DEAL)[at[send]]
-                blob = np.concatenate((symbols.view(np.uint8).reshape(-1, 2 * WINDOW), key[send].astype(">u8").view(np.uint8).reshape(-1, 8)), axis=1)
-                # places of equal windows of the same document go along with the first
-                more: dict[int, list[int]] = {}
-                for k in inside:
-                    more.setdefault(int(key[k]), []).append(int(place[k]))
-                extra = [more.get(int(k), None) for k in key[send]] if more else [None] * len(send)
-                width = blob.shape[1]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array((deal >> np.uint64(33)).astype(np.int32)), pa.Array.from_buffers(pa.binary(), len(send), [None, pa.py_buffer((np.arange(len(send) + 1) * width).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(blob))]),
-                        ids.take(pa.array(owner[send])), pa.array(place[send].astype(np.int32)), pa.array(extra, pa.list_(pa.int32())),
-                    ], names=NAMES,
-                )
-                gone = np.flatnonzero(settled)
-                if len(gone):
-                    gone = gone[np.argsort(owner[gone], kind="stable")]
-                    docs, begin = np.unique(owner[gone], return_index=True)
+                s = Settled(cols, batch.schema.field("doc_id").type)
+                send = s.send
+                if len(send):
+                    words = s.symbols.astype(">u2").view(np.uint8)
+                    blob = np.concatenate((words, s.key[send].astype(">u8").view(np.uint8).reshape(-1, 8)), axis=1)
+                    length = 2 * prefix_lengths(s.symbols, shared.value)
+                    inside = np.arange(words.shape[1]) < length[:, None]
+                    # places of equal windows of the same document go along with the first
+                    more: dict[int, list[int]] = {}
+                    for k in s.inside:
+                        more.setdefault(int(s.key[k]), []).append(int(s.place[k]))
+                    extra = [more.get(int(k), None) for k in s.key[send]] if more else [None] * len(send)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            binaries(words[inside], length), binaries(blob.reshape(-1), np.full(len(send), blob.shape[1])), s.ids.take(pa.array(s.owner[send])),
+                            pa.array(s.place[send].astype(np.int32)), pa.array(extra, pa.list_(pa.int32())),
+                        ], names=NAMES,
+                    )
+                if len(s.gone):
+                    gone = s.gone[np.argsort(s.owner[s.gone], kind="stable")]
+                    docs, begin = np.unique(s.owner[gone], return_index=True)
                     n = len(docs)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(docs.astype(np.int32)), pa.nulls(n, pa.binary()), ids.take(pa.array(docs)), pa.nulls(n, pa.int32()),
-                            pa.ListArray.from_arrays(pa.array(np.concatenate((begin, [len(gone)])).astype(np.int32)), pa.array(place[gone].astype(np.int32))),
+                            binaries(docs.astype(">u4").view(np.uint8), np.full(n, 4)), pa.nulls(n, pa.binary()), s.ids.take(pa.array(docs)), pa.nulls(n, pa.int32()),
+                            pa.ListArray.from_arrays(pa.array(np.concatenate((begin, [len(gone)])).astype(np.int32)), pa.array(s.place[gone].astype(np.int32))),
                         ], names=NAMES,
                     )
 
-    return marked.mapInArrow(released(run), f"part int, suffix binary, doc_id {kind}, place int, found array<int>")
+    return marked.select("doc_id", "packed", "marks").mapInArrow(released(run), f"prefix binary, suffix binary, doc_id {kind}, place int, found array<int>")
+
+
+NAMES = ["prefix", "suffix", "doc_id", "place", "found"]
+
+
+def binaries(data: np.ndarray, width: np.ndarray) -> pa.Array:
+    """Bytes laid end to end as a binary column."""
+    ends = np.concatenate(([0], np.cumsum(width))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(width), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def depths(tree: np.ndarray) -> np.ndarray:
+    """Of sorted suffixes [row, byte], the words that each has in common with the one before it: the depth of the
+    node that joins them. All WINDOW words only if the windows' hashes agree too."""
+    words, check = tree[:, : 2 * WINDOW].reshape(len(tree), WINDOW, 2), tree[:, 2 * WINDOW :]
+    same = (words[1:] == words[:-1]).all(axis=2)
+    depth = np.where(same.all(axis=1), WINDOW, same.argmin(axis=1))
+    depth[(depth == WINDOW) & (check[1:] != check[:-1]).any(axis=1)] = WINDOW - 1
+    return depth
 
 
-NAMES = ["part", "suffix", "doc_id", "place", "found"]
+def deep_nodes(depth: np.ndarray, least: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """(first leaf, leaf after the last) of the topmost internal nodes at least so deep."""
+    deep = np.concatenate(([0], (depth >= least).astype(np.int8), [0]))
+    edge = np.diff(deep)
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) + 1
 
 
 def repeats(suffixes: DataFrame) -> DataFrame:
-    """(doc_id, found array<int>): places of windows to remove, from the subtrees of sorted suffixes."""
+    """(doc_id, found array<int>): places of windows to remove, from the suffix trees of the prefix groups."""
     kind = dict(suffixes.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, home = None, None  # the open node at the end of a batch, and its smallest document
+        held = None  # rows of the group that is still open at the end of a batch
         for batch in batches:
             t = pa.Table.from_batches([batch])
             plain = t.filter(pa.compute.is_null(t.column("suffix")))
             if plain.num_rows:
                 yield pa.RecordBatch.from_arrays([plain.column("doc_id").combine_chunks(), plain.column("found").combine_chunks()], names=["doc_id", "found"])
-            t = t.filter(pa.compute.is_valid(t.column("suffix"))).combine_chunks()
+            t = t.filter(pa.compute.is_valid(t.column("suffix")))
             if not t.num_rows:
                 continue
-            suffix = t.column("suffix").to_pylist()
-            tree = np.frombuffer(b"".join(suffix), dtype=np.uint8).reshape(len(suffix), -1)
-            # depth of the node that joins a suffix to the one before it: all its bytes, or less
-            joined = np.concatenate(([suffix[0] == last], (tree[1:] == tree[:-1]).all(axis=1)))
-            ids = t.column("doc_id").combine_chunks()
-            codes = ids.dictionary_encode()
-            code = codes.indices.to_numpy()
-            begin = np.flatnonzero(~joined)
-            node = np.cumsum(~joined) - 1
-            first = np.where(node >= 0, code[begin[np.maximum(node, 0)]] if len(begin) else -1, -1)
-            if joined[0]:  # leaves of the node still open from the batch before
-                first = np.where(node < 0, (codes.dictionary.to_pylist().index(home) if home in codes.dictionary.to_pylist() else -1), first)
-            gone = np.flatnonzero(code != first)
-            if len(gone):
-                place, extra = t.column("place").to_numpy(), t.column("found").to_pylist()
-                rows = sorted((int(code[k]), [int(place[k]), *(extra[k] or [])]) for k in gone)
-                docs: dict[int, list[int]] = {}
-                for c, p in rows:
-                    docs.setdefault(c, []).extend(p)
-                yield pa.RecordBatch.from_arrays([codes.dictionary.take(pa.array(list(docs), pa.int32())), pa.array(list(docs.values()), pa.list_(pa.int32()))], names=["doc_id", "found"])
-            if len(begin):
-                home = ids[int(begin[-1])].as_py()
-            last = suffix[-1]
-
-    dealt = suffixes.repartition("part").sortWithinPartitions("suffix", "doc_id")
+            t = pa.concat_tables([held, t]) if held is not None else t
+            group = t.column("prefix").to_pylist()
+            cut = len(group)
+            while cut and group[cut - 1] == group[-1]:
+                cut -= 1
+            yield from subtrees(t.slice(0, cut))
+            held = t.slice(cut)
+            if len(group[-1]) == 2 * WINDOW and held.num_rows > 1:
+                # a prefix of all words is one node: its first leaf is kept, the others go as they come
+                yield from subtrees(held)
+                held = held.slice(0, 1)
+        if held is not None:
+            yield from subtrees(held)
+
+    def subtrees(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        """Removed leaves of whole groups: neighbours of different groups have less than WINDOW words in common."""
+        if t.num_rows < 2:
+            return
+        t = t.combine_chunks()
+        suffix = t.column("suffix").to_pylist()
+        begin, end = deep_nodes(depths(np.frombuffer(b"".join(suffix), dtype=np.uint8).reshape(len(suffix), -1)))
+        if not len(begin):
+            return
+        codes = t.column("doc_id").combine_chunks().dictionary_encode()
+        code = codes.indices.to_numpy()
+        node = np.repeat(np.arange(len(begin)), end - begin)
+        leaf = np.arange(len(node)) + np.repeat(begin - np.concatenate(([0], np.cumsum(end - begin)[:-1])), end - begin)
+        gone = leaf[code[leaf] != code[begin[node]]]  # leaves are sorted by id within a node
+        if not len(gone):
+            return
+        place, extra = t.column("place").to_numpy(), t.column("found").to_pylist()
+        docs: dict[int, list[int]] = {}
+        for k in gone:
+            docs.setdefault(int(code[k]), []).extend([int(place[k]), *(extra[k] or [])])
+        yield pa.RecordBatch.from_arrays([codes.dictionary.take(pa.array(list(docs), pa.int32())), pa.array(list(docs.values()), pa.list_(pa.int32()))], names=["doc_id", "found"])
+
+    dealt = suffixes.repartition("prefix").sortWithinPartitions("suffix", "doc_id")
     return dealt.mapInArrow(released(run), f"doc_id {kind}, found array<int>")
 
 
@@ -235,34 +344,41 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     seqs = materialize(sequences(docs, id_col, text_col), "sequences")
     long = seqs.where(f"doc_id is not null and n_words >= {WINDOW}").select("doc_id", "digest")
-    copies = long.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last")).where("rep < last").select("digest", "rep")
-    copies = materialize(long.join(if_small(materialize(copies, "copied")), "digest").where("doc_id > rep").select(F.col("doc_id").alias("copy")).distinct(), "copies")
+    copied = long.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("rep < last")
+    copied = materialize(copied.select("digest", "rep", "n"), "copied")
+    copies = spread_join(long, copied.select("digest", "rep"), "digest", copied.select("digest", "n"), "doc_id")
+    copies = materialize(copies.where("doc_id > rep").select(F.col("doc_id").alias("copy")).distinct(), "copies")
     active = without_ids(rows.where("doc_id is not null"), copies, "doc_id").select("doc_id", "text")
     if seqs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
         active = active.dropDuplicates(["doc_id"])  # rows that repeat an id are one document
     found = minimizer_rows(active)
-    shared = materialize(found.groupBy("m").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("m"), "shared")
-    marks = materialize(found.join(shared, "m").groupBy("doc_id").agg(F.collect_set("m").alias("marks")), "marks")
+    shared = materialize(found.groupBy("m").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n")).where("a < b").select("m", "n"), "shared")
+    marks = materialize(spread_join(found, shared.select("m"), "m", shared, "doc_id").groupBy("doc_id").agg(F.collect_set("m").alias("marks")), "marks")
     # texts that share passages lie together, so that most windows are settled within a batch; ranges
     # split a mark that many documents have
     marked = materialize(packed(active).join(marks, "doc_id"), "marked")
     text = materialize(marked.withColumn("low", F.array_min("marks")).repartitionByRange("low", "doc_id").sortWithinPartitions("low", "doc_id").drop("low"), "neighbours")
     discard(marked)
-    flags = materialize(repeats(suffix_rows(text)).groupBy("doc_id").agg(F.flatten(F.collect_list("found")).alias("places")), "places")
+    flags = materialize(repeats(suffix_rows(text, heavy_prefixes(text))).groupBy("doc_id").agg(F.flatten(F.collect_list("found")).alias("places")), "places")
 
     def each(cols: dict, n: int) -> dict:
         out: dict[str, list] = {"doc_id": cols["doc_id"], "removed": [], "sha": [], "spans": []}
         unpack = zstandard.ZstdDecompressor().decompress
-        for blob, places in zip(cols["packed"], cols["places"], strict=True):
-            w = unpack(blob).split()
-            gone = removed_mask(len(w), places)
+        for blob, total, places in zip(cols["packed"], cols["n_words"], cols["places"], strict=True):
+            gone, sha, at, space = removed_mask(total, places), sha256(), 0, b""
+            for piece in pieces(unpack(blob)):
+                w = piece.split()
+                if kept := [x for x, g in zip(w, gone[at : at + len(w)].tolist(), strict=True) if not g]:
+                    sha.update(space + b" ".join(kept))
+                    space = b" "
+                at += len(w)
             out["removed"].append(int(gone.sum()))
-            out["sha"].append(sha256(b" ".join(x for x, g in zip(w, gone, strict=True) if not g)).hexdigest())
+            out["sha"].append(sha.hexdigest())
             out["spans"].append([{"first_word": a, "n_words": b} for a, b in runs(gone)])
         return out
 
     # texts that lose nothing are left out before the shuffle, if the ids of the others are few enough
-    some = text.select("doc_id", "packed").join(if_small(flags.select("doc_id")), "doc_id", "left_semi")
+    some = text.select("doc_id", "n_words", "packed").join(if_small(flags.select("doc_id")), "doc_id", "left_semi")
     changed = map_arrow(some.join(flags, "doc_id"), f"doc_id {kind}, removed bigint, sha string, {SPANS}", each)
     changed = materialize(changed.withColumnRenamed("doc_id", "changed"), "changed")
     out = seqs.join(changed, seqs["doc_id"] == changed["changed"], "left").join(if_small(copies), seqs["doc_id"] == copies["copy"], "left")
@@ -292,7 +408,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """docs, all columns and rows, with the repeated words cut out of the texts."""
     edits = find_repeats(docs, id_col, text_col).where("n_removed > 0").select(F.col("doc_id").alias("__id"), F.col("spans").alias("__spans"))
     edits = materialize(edits.dropDuplicates(["__id"]), "edits")
-    both = docs.join(if_small(edits, 100_000), docs[id_col] == edits["__id"], "left").drop("__id")
+    both = docs.join(if_small(edits), docs[id_col] == edits["__id"], "left").drop("__id")
     cut = F.pandas_udf(lambda t, s: _cut_series(t, s), "string")
     text = F.when(F.col("__spans").isNotNull(), cut(F.col(text_col), F.col("__spans"))).otherwise(F.col(text_col))
     return both.withColumn(text_col, text).drop("__spans").select(*docs.columns)

@@ -70,3 +70,59 @@ def test_empty_table_repeated_rows_and_null_ids(spark):
     df = spark.createDataFrame([(1, text), (1, text), (None, text), (2, text + " tail")], schema)
     got = sorted((str(r["doc_id"]), r["n_removed"]) for r in substrings.find_repeats(df).collect())
     assert got == [("1", 0), ("1", 0), ("2", 20), ("None", 0)]
+
+
+def marked_rows(spark, rows):
+    """(doc_id, packed, marks) of texts, every window marked."""
+    import numpy as np
+    from corpuskiln.llm.common import as_signed
+
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = {i: as_signed(np.unique(substrings.Batch([t.encode()]).minimizers())).tolist() for i, t in rows}
+    return substrings.packed(df).join(spark.createDataFrame(list(marks.items()), "doc_id long, marks array<long>"), "doc_id")
+
+
+def test_heavy_prefixes_are_lengthened_until_each_group_fits(spark, monkeypatch):
+    """One four-word prefix starts most windows; no group may have more than the bound but one-node groups."""
+    rnd = random.Random(9)
+    rows = [(i, " ".join(w for k in range(12) for w in ("to", "be", "or", "not", *(f"w{rnd.randrange(40)}" for _ in range(rnd.randrange(1, 9)))))) for i in range(80)]
+    passage = " ".join(f"p{k}" for k in range(30))
+    rows += [(100 + i, f"{passage} tail{i} {rows[i][1]}") for i in range(20)]
+    monkeypatch.setattr(substrings, "GROUP_ROWS", 40)
+    monkeypatch.setattr(substrings, "CHUNK_CHARS", 2000)  # small batches, so that little is settled within one
+    marked = marked_rows(spark, rows).repartition(8)
+    marked = spark.createDataFrame(marked.collect(), marked.schema).repartition(8)
+    heavy = substrings.heavy_prefixes(marked)
+    assert 1 <= len(heavy) < len(substrings.LADDER)
+    suffixes = substrings.suffix_rows(marked, heavy).where("suffix is not null").collect()
+    size, lengths = {}, set()
+    for r in suffixes:
+        prefix = bytes(r["prefix"])
+        assert bytes(r["suffix"]).startswith(prefix)
+        size[prefix] = size.get(prefix, 0) + 1
+        lengths.add(len(prefix) // 2)
+    assert len(lengths) > 1 and all(n <= 40 or len(p) == 2 * substrings.WINDOW for p, n in size.items())
+    # prefixes of different lengths don't overlap
+    assert not any(p != q and q.startswith(p) for p in size for q in size)
+    assert answers(substrings.find_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(6))) == brute(rows)
+
+
+def test_depths_and_nodes_against_plain_python():
+    import numpy as np
+
+    rnd = np.random.default_rng(3)
+    rows = sorted(rnd.integers(0, 2, (60, 26)).astype(np.uint8).tolist() + [[1] * 26] * 3)
+    tree = np.concatenate((np.array(rows, dtype=np.uint8), np.zeros((63, 8), dtype=np.uint8)), axis=1)
+    got = substrings.depths(tree)
+    common = lambda a, b: next((k for k in range(13) if a[2 * k : 2 * k + 2] != b[2 * k : 2 * k + 2]), 13)
+    assert got.tolist() == [common(a, b) for a, b in zip(rows, rows[1:])]
+    for least in (1, 2, 13):
+        begin, end = substrings.deep_nodes(got, least)
+        for a, b in zip(begin, end):
+            assert b - a >= 2 and (got[a : b - 1] >= least).all() and (a == 0 or got[a - 1] < least) and (b == len(rows) or got[b - 1] < least)
+
+
+def test_a_very_long_text(spark):
+    words = [f"w{k % 70001}" for k in range(400_000)]
+    rows = [(1, " ".join(words[1000:1100])), (2, "\n".join(words)), (3, "x" * 3_000_000)]
+    assert answers(substrings.find_repeats(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
