@@ -12,8 +12,9 @@ response and the others are revisits without a payload, which refer to it.
 
 Defined cases: a null payload is an empty one; payloads under REVISIT_BYTES are always responses;
 ids are unique and not null (rows that repeat an id and its payload are each written); a null target
-is left out of the headers; an empty table gives no archives and an empty result; further columns
-of the input are ignored.
+is left out of the headers; of equal payloads the largest id's is the response; a very long payload is
+one record and takes some five times its bytes in the task that writes or reads it; an empty table gives no
+archives and an empty result; further columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskiln.llm.common import materialize, shared_dir, table
+from corpuskiln.llm.common import materialize, shared_dir, spread_join, table
 
 REVISIT_BYTES = 1000
 DICT_SAMPLE, DICT_CHARS, DICT_BYTES = 1000, 16_000, 112_640
@@ -78,9 +79,10 @@ def sha1_label(hex_digest: str) -> str:
 
 
 def file_system(where: str):
-    """(file system, path) of a folder given as path or URI."""
+    """(file system, path) of a folder given as path or URI; Arrow names s3a s3."""
     from pyarrow import fs
 
+    where = "s3://" + where[6:] if where.startswith("s3a://") else where
     return fs.FileSystem.from_uri(where if "://" in where or where.startswith("file:/") else "file://" + where)
 
 
@@ -134,13 +136,16 @@ def records_of(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def decide(pages: DataFrame, id_col: str, payload_col: str, url_col: str | None) -> DataFrame:
-    """(id, url, payload, digest, refers_to): refers_to is the response's id for revisits."""
+    """(id, url, payload, digest, refers_to): refers_to is the response's id for revisits.
+
+    Payloads are told apart by SHA-256; SHA-1 is what the records are labelled with.
+    """
     rows = pages.select(F.col(id_col).alias("id"), (F.col(url_col) if url_col else F.lit(None).cast("string")).alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
-    rows = rows.withColumn("digest", F.sha1(F.encode("payload", "UTF-8"))).withColumn("bytes", F.octet_length("payload"))
-    groups = rows.where(F.col("bytes") >= REVISIT_BYTES).groupBy("digest", "bytes").agg(F.max("id").alias("top"), F.min("id").alias("low")).where("low < top")
-    groups = materialize(groups.select(F.col("digest").alias("g"), F.col("bytes").alias("b"), "top"), "equal-payloads")
-    both = rows.join(groups, (rows["digest"] == groups["g"]) & (rows["bytes"] == groups["b"]), "left")
-    return both.select("id", "url", "payload", "digest", F.when(F.col("top") > F.col("id"), F.col("top")).alias("refers_to"))
+    rows = rows.withColumn("key", F.unhex(F.sha2(F.encode("payload", "UTF-8"), 256)))
+    groups = rows.where(F.octet_length("payload") >= REVISIT_BYTES).groupBy("key").agg(F.max("id").alias("top"), F.min("id").alias("low"), F.count("*").alias("n")).where("low < top")
+    groups = materialize(groups.select("key", "top", "n"), "equal-payloads")
+    both = spread_join(rows, groups.select("key", "top"), "key", groups.select("key", "n"), "id", "left")
+    return both.select("id", "url", "payload", F.sha1(F.encode("payload", "UTF-8")).alias("digest"), F.when(F.col("top") > F.col("id"), F.col("top")).alias("refers_to"))
 
 
 def write_archives(pages: DataFrame, where: str, id_col: str = "page_id", payload_col: str = "html", url_col: str | None = "url", date: str = "1970-01-01T00:00:00Z") -> DataFrame:
@@ -233,7 +238,10 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", payload_col: str = "ht
     plain = found.where("record_type <> 'revisit'").select("page_id", "payload_bytes", F.col("payload_sha1").alias("payload_digest"), "record_type", "refers_to")
     again = found.where("record_type = 'revisit'").select("page_id", "record_type", "refers_to")
     sources = plain.select(F.col("page_id").alias("source"), "payload_bytes", "payload_digest").dropDuplicates(["source"])
-    again = again.join(sources, again["refers_to"] == sources["source"]).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    again = again.withColumn("source", F.col("refers_to"))
+    sizes = materialize(again.groupBy("source").agg(F.count("*").alias("n")), "revisits")
+    sources = sources.join(sizes.select("source"), "source", "left_semi")
+    again = spread_join(again, sources, "source", sizes, "page_id").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     return plain.union(again)
 
 
