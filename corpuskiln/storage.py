@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; one of our own only where the setting is unset (tests)."""
+    """The folder named in spark.checkpoint.dir; one of our own only where the setting is unset and all of Spark runs
+    in this process (tests). On a cluster without the setting this is an error."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("name a folder that all machines share in spark.checkpoint.dir")
         where = "file://" + tempfile.mkdtemp(prefix="spark-corpuskiln-")
         spark.sparkContext.setCheckpointDir(where)
     return where
@@ -27,7 +30,7 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
 
 
 #: Bytes of a table, as measured, up to which it is broadcast.
-BROADCAST_BYTES = 32_000_000
+BROADCAST_BYTES = 8_000_000
 
 
 def measured(df: DataFrame) -> int:
@@ -47,3 +50,9 @@ def measured(df: DataFrame) -> int:
 def if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """df marked for broadcast if its measured bytes are within the bound, else as it is, for a shuffled join."""
     return F.broadcast(df) if measured(df) <= max_bytes else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt out evenly if its files give fewer tasks than there are cores; larger inputs are read as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
