@@ -25,6 +25,8 @@ ALONE = (
     r"[\p{P}\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E\x{4E00}-\x{9FFF}\x{3400}-\x{4DBF}\x{20000}-\x{2A6DF}\x{2A700}-\x{2B73F}"
     r"\x{2B740}-\x{2B81F}\x{2B820}-\x{2CEAF}\x{F900}-\x{FAFF}\x{2F800}-\x{2FA1F}]"
 )
+# fixed value: the finer tokens, letter runs and single characters
 TOKEN = rf"[\p{{L}}\p{{Nl}}\p{{No}}]+|[^{SPACES}]"
+# fixed values: national identity numbers, and signs of HTML in a text
 NATIONAL_ID = r"[0-9]{6}[A+\-][0-9]{3}[0-9A-Z]"
 HTML_HINT = "<[/?]?[a-zA-Z0-9]|&[a-zA-Z0-9#]+;"

@@ -36,6 +36,20 @@ def word_runs(text) -> Column:
     return matches(text, f"[{P.WORD_CHAR}]+")
 
 
+def alone(body: str) -> str:
+    """A pattern for whole runs of word characters that are this."""
+    return f"(?<![{P.WORD_CHAR}])(?:{body})(?![{P.WORD_CHAR}])"
+
+
+def word_count(text) -> Column:
+    """Size of words(text), without the array."""
+    return F.regexp_count(_col(text), F.lit(alone(P.WORD_BODY.strip("^$"))))
+
+
+def short_word_count(text) -> Column:
+    return F.regexp_count(_col(text), F.lit(alone(P.SHORT_BODY.strip("^$"))))
+
+
 def words(text) -> Column:
     """Word-character runs that are lower-case words of two letters or more, or capitalised ones."""
     return F.filter(word_runs(text), lambda w: w.rlike(P.WORD_BODY))
@@ -62,7 +76,7 @@ def uppers(text) -> Column:
 
 
 def foreign_letters(text) -> Column:
-    return F.regexp_count(_col(text), F.lit(P.LETTERLIKE)) - F.regexp_count(_col(text), F.lit(P.NATIVE))
+    return F.regexp_count(_col(text), F.lit(rf"[{P.LETTERLIKE[1:-1]}&&[^{P.NATIVE[1:-1]}]]"))
 
 
 def punctuation(text) -> Column:
@@ -82,7 +96,7 @@ def tokens(text) -> Column:
 
 
 def type_token_ratio(text) -> Column:
-    return ratio(F.size(F.array_distinct(tokens(text))), F.size(tokens(text)))
+    return ratio(F.size(F.array_distinct(tokens(text))), F.regexp_count(_col(text), F.lit(P.TOKEN)))
 
 
 def repeats_unit(text, max_repeat: int) -> Column:
@@ -134,16 +148,20 @@ def corpus_spaces(text) -> Column:
     return F.array_join(F.filter(F.transform(parts, lambda p: collapse(p)), lambda p: p != ""), "\n\n")
 
 
+# fixed values: dashes that keep their line, and from when on lines are kept: the share of short lines, their length, the length of all
+DASHES = "-‐‑‒–—―−﹣－"
+LISTED, SHORT_LINE, LONG_TEXT = 0.8, 60, 800
+
+
 def news_paragraph(text) -> Column:
-    """Long or list-like paragraphs keep their lines; others become one, but for lines led by a dash."""
+    """Long or list-like paragraphs keep their lines; others become one line, but for lines led by a dash."""
     c = _col(text)
     lines = F.split(c, "\n")
-    short = F.size(F.filter(lines, lambda x: (F.length(x) < 60) & ~is_blank(x)))
-    keep = (short.cast("double") / F.size(lines) > 0.8) | (F.length(c) > 800)
-    kept = strip(line_spaces(c, keep_blank=True))
-    dashed = F.transform(lines, lambda x: F.regexp_replace(x, "^([-‐‑‒–—―−﹣－])", "\u0001$1"))
-    joined = collapse(F.array_join(dashed, " "))
-    return F.when(keep, kept).otherwise(strip(F.regexp_replace(joined, " *\u0001", "\n")))
+    filled = F.filter(lines, lambda x: ~is_blank(x))
+    listed = F.size(F.filter(filled, lambda x: F.length(x) < SHORT_LINE)).cast("double") / F.size(lines) > LISTED
+    flowing = F.transform(filled, lambda x: F.concat(F.when(x.rlike(f"^[{DASHES}]"), "\n").otherwise(" "), collapse(x)))
+    parts = F.when(listed | (F.length(c) > LONG_TEXT), F.array(F.array_join(F.transform(lines, lambda x: collapse(x)), "\n"))).otherwise(flowing)
+    return strip(F.array_join(parts, ""))
 
 
 def news_spaces(text) -> Column:

@@ -37,30 +37,33 @@ PRESETS = {
 }
 
 
-def with_metrics(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with a struct column ``metrics``; ratios of empty texts are null."""
+def measures(text_col: str = "text", words: Column | None = None) -> dict[str, Column]:
+    """Every metric by name; ratios of empty texts are null."""
     t = F.col(text_col)
-    n = F.length(t)
-    out = docs.withColumn("__w", F.size(T.words(t))).withColumn("__s", F.size(T.short_words(t)))
-    metrics = F.struct(
-        n.cast("bigint").alias("chars"), F.col("__w").alias("words"), F.col("__s").alias("short_words"), F.size(T.paragraphs(t)).alias("paragraphs"),
-        T.ratio(F.col("__w"), F.size(T.paragraphs(t))).alias("avg_len"), T.ratio(T.punctuation(t), n).alias("punct_ratio"),
-        T.ratio(T.uppers(t), n).alias("upper_ratio"), T.ratio(T.digits(t), n).alias("digit_ratio"), T.ratio(T.foreign_letters(t), n).alias("foreign_ratio"),
-        F.coalesce(T.ratio(F.col("__s"), F.col("__w") + F.col("__s")), F.lit(0.0)).alias("short_ratio"), T.type_token_ratio(t).alias("type_token_ratio"),
-    )
-    return out.withColumn("metrics", metrics).drop("__w", "__s")
-
-
-def reason(config: FilterConfig, text_col: str = "text", lang_prob: Column | None = None) -> Column:
-    """The first condition that a text fails, null if none. Needs with_metrics; cheap conditions first,
-    the language probability, where one is given, last."""
-    m = lambda name: F.col(f"metrics.{name}")
+    n, w, s = F.length(t), T.word_count(t) if words is None else words, T.short_word_count(t)
+    return {
+        "chars": n.cast("bigint"), "words": w, "short_words": s, "paragraphs": F.size(T.paragraphs(t)),
+        "avg_len": T.ratio(w, F.size(T.paragraphs(t))), "punct_ratio": T.ratio(T.punctuation(t), n),
+        "upper_ratio": T.ratio(T.uppers(t), n), "digit_ratio": T.ratio(T.digits(t), n), "foreign_ratio": T.ratio(T.foreign_letters(t), n),
+        "short_ratio": F.coalesce(T.ratio(s, w + s), F.lit(0.0)), "type_token_ratio": T.type_token_ratio(t),
+    }
+
+
+def with_metrics(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """docs with a struct column ``metrics``."""
+    return docs.withColumn("metrics", F.struct(*[c.alias(k) for k, c in measures(text_col).items()]))
+
+
+def reason(config: FilterConfig, text_col: str = "text", lang_prob: Column | None = None, words: Column | None = None) -> Column:
+    """The first condition that a text fails, null if none; a metric is computed only for texts that reach its
+    condition. The language probability, where one is given, comes last."""
+    m = measures(text_col, words)
     out = F.when(F.col(text_col).isNull() | T.is_blank(text_col), "empty")
     steps = [
-        ("avg-len", config.avg_len, lambda x: m("avg_len") < x), ("punct-ratio", config.punct_ratio, lambda x: m("punct_ratio") > x),
-        ("upper-ratio", config.upper_ratio, lambda x: m("upper_ratio") > x), ("digit-ratio", config.digit_ratio, lambda x: m("digit_ratio") > x),
-        ("foreign-ratio", config.foreign_ratio, lambda x: m("foreign_ratio") > x), ("short-ratio", config.short_ratio, lambda x: m("short_ratio") > x),
-        ("type-token-ratio", config.type_token_ratio, lambda x: m("type_token_ratio") < x), ("min-words", config.min_words, lambda x: m("words") < x),
+        ("avg-len", config.avg_len, lambda x: m["avg_len"] < x), ("punct-ratio", config.punct_ratio, lambda x: m["punct_ratio"] > x),
+        ("upper-ratio", config.upper_ratio, lambda x: m["upper_ratio"] > x), ("digit-ratio", config.digit_ratio, lambda x: m["digit_ratio"] > x),
+        ("foreign-ratio", config.foreign_ratio, lambda x: m["foreign_ratio"] > x), ("short-ratio", config.short_ratio, lambda x: m["short_ratio"] > x),
+        ("type-token-ratio", config.type_token_ratio, lambda x: m["type_token_ratio"] < x), ("min-words", config.min_words, lambda x: m["words"] < x),
         ("max-repeat", config.max_repeat, lambda x: T.repeats_unit(text_col, x)),
         ("lang-prob", config.lang_prob if lang_prob is not None else None, lambda x: lang_prob < x),
     ]
@@ -71,8 +74,9 @@ def reason(config: FilterConfig, text_col: str = "text", lang_prob: Column | Non
 
 
 def judged(docs: DataFrame, config: FilterConfig, text_col: str = "text", lang_prob: Column | None = None) -> DataFrame:
-    """docs with their outcome: a reason, or pass-all."""
-    return with_metrics(docs, text_col).withColumn("outcome", F.coalesce(reason(config, text_col, lang_prob), F.lit("pass-all"))).drop("metrics")
+    """docs with their outcome: a reason, or pass-all. Words are counted once for the three conditions on them."""
+    counted = docs.withColumn("__words", T.word_count(text_col))
+    return counted.withColumn("outcome", F.coalesce(reason(config, text_col, lang_prob, F.col("__words")), F.lit("pass-all"))).drop("__words")
 
 
 def kept(docs: DataFrame, config: FilterConfig, text_col: str = "text", lang_prob: Column | None = None) -> DataFrame:
@@ -131,13 +135,30 @@ def toxicity_filter(docs: DataFrame, labels: DataFrame, label_col: str = "toxic"
     return judged.where(toxic if invert else ~toxic).select(*docs.columns)
 
 
-def register_filter(docs: DataFrame, register: str, lex_ppl: str, delex_ppl: str, max_ppl: float | None = None, max_delex_ppl: float | None = None, registers: tuple[str, ...] = ("machine translated",)) -> DataFrame:
-    """docs of other registers whose perplexities don't exceed the maxima; nulls pass."""
+def label_sets(docs: DataFrame, labels: DataFrame, label_cols: list[str], id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """(doc_id, labels array<string>): the labels, in alphabetical order, whose probability reaches the threshold.
+
+    Each label column (0, 1 or null) has a word classifier of its own, learned from its labelled rows; a document
+    is toxic, say, if any of its labels is one of the toxic ones.
+    """
+    marks = labels.groupBy(F.col(id_col).alias("__i")).agg(*[F.max(c).cast("string").alias(f"__{c}") for c in label_cols])
+    rows = docs.join(marks, docs[id_col] == marks["__i"], "left").select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[f"__{c}" for c in label_cols])
+    found = None
+    for c in sorted(label_cols):  # a handful
+        hits = language_model.language_classes(rows, "1", lang_col=f"__{c}").where(F.col("lang_prob") >= threshold).select("doc_id", F.lit(c).alias("label"))
+        found = hits if found is None else found.union(hits)
+    sets = found.groupBy(F.col("doc_id").alias("__d")).agg(F.array_sort(F.collect_set("label")).alias("labels"))
+    out = docs.select(F.col(id_col).alias("doc_id")).join(sets, F.col("doc_id") == F.col("__d"), "left")
+    return out.select("doc_id", F.coalesce("labels", F.expr("cast(array() as array<string>)")).alias("labels"))
+
+
+def register_filter(docs: DataFrame, register: str, lex_ppl: str, delex_ppl: str, max_ppl: float | None = None, max_delex_ppl: float | None = None, registers: tuple[str, ...] = ("machine translated",), invert: bool = False) -> DataFrame:
+    """docs of other registers whose perplexities don't exceed the maxima, nulls pass; inverted, the others."""
     bad = F.coalesce(F.lower(F.col(register)).isin(*registers), F.lit(False))
     for column, most in ((lex_ppl, max_ppl), (delex_ppl, max_delex_ppl)):
         if most is not None:
             bad = bad | F.coalesce(F.col(column) > most, F.lit(False))
-    return docs.where(~bad)
+    return docs.where(bad if invert else ~bad)
 
 
 def config_from(**options) -> FilterConfig:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskiln.functions import text as T
+from corpuskiln.operators.joins import spread_join
 from corpuskiln.storage import if_small, materialize
 
 #: So many of the commonest words at most are broadcast; all others are joined by a shuffle.
@@ -26,8 +27,8 @@ def bigrams(tokens: DataFrame) -> DataFrame:
 def bigram_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(pair counts, first-word counts, one row with the number of words) of a corpus."""
     rows = bigrams(line_tokens(docs, id_col, text_col))
-    pairs = rows.groupBy("a", "b").agg(F.count("*").alias("n_ab"))
-    firsts = pairs.groupBy("a").agg(F.sum("n_ab").alias("n_a"))
+    pairs = materialize(rows.groupBy("a", "b").agg(F.count("*").alias("n_ab")), "pairs")
+    firsts = materialize(pairs.groupBy("a").agg(F.sum("n_ab").alias("n_a")), "firsts")
     return pairs, firsts, pairs.agg(F.countDistinct("b").alias("v"))
 
 
@@ -38,7 +39,11 @@ def line_scores(docs: DataFrame, model: tuple[DataFrame, DataFrame, DataFrame],
     """
     pairs, firsts, size = model
     seen = bigrams(line_tokens(docs, id_col, text_col)).groupBy("a", "b", "doc_id", "line").agg(F.count("*").alias("k"))
-    both = seen.join(pairs, ["a", "b"], "left").join(firsts, "a", "left").join(F.broadcast(size))
+    seen = seen.select("a", F.struct("a", "b").alias("ab"), "doc_id", "line", "k")
+    # every line begins with the same mark, and many with the same word: such keys are cut into parts
+    known = pairs.select(F.struct("a", "b").alias("ab"), "n_ab")
+    both = spread_join(seen, known, "ab", known.withColumnRenamed("n_ab", "n"), "doc_id", "left")
+    both = spread_join(both, firsts, "a", firsts.withColumnRenamed("n_a", "n"), "doc_id", "left").join(F.broadcast(size))
     p = (F.coalesce("n_ab", F.lit(0)) + 1) / (F.coalesce("n_a", F.lit(0)) + F.col("v"))
     return both.groupBy("doc_id", "line").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.log10(p)).alias("log10p"))
 
@@ -116,3 +121,48 @@ def read_arpa(spark: SparkSession, path: str) -> DataFrame:
     parts = F.split("value", "\t")
     rows = spark.read.text(path).where(F.col("value").rlike("^-?[0-9.]+\t"))
     return rows.select(F.size(F.split(parts[1], " ")).alias("order"), parts[1].alias("ngram"), parts[0].cast("double").alias("log10p"), F.coalesce(F.try_element_at(parts, F.lit(3)).cast("double"), F.lit(0.0)).alias("backoff"))
+
+
+def backoff_scores(tokens: DataFrame, arpa: DataFrame, highest: int, unknown: float = -100.0) -> DataFrame:
+    """(doc_id, line, n, log10p) of (doc_id, line, t) token arrays between sentence marks, by a back-off model.
+
+    A word's probability is that of the longest n-gram the model has that ends in it, times the back-off weights
+    of the longer histories. Every place looks up its n-grams of all orders and its histories in one join;
+    a word that the model lacks counts as <unk>, or as ``unknown``.
+    """
+    words = arpa.where("order = 1").select(F.col("ngram").alias("w"))
+    flat = tokens.select("doc_id", "line", F.posexplode("t").alias("pos", "w"))
+    sizes = flat.groupBy("w").agg(F.count("*").alias("n"))
+    known = spread_join(flat, words.withColumn("in_model", F.lit(True)), "w", sizes, "doc_id", "left")
+    named = known.select("doc_id", "line", F.struct("pos", F.when(F.col("in_model"), F.col("w")).otherwise("<unk>").alias("w")).alias("x"))
+    lines = named.groupBy("doc_id", "line").agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["w"]).alias("t"))
+    gram = lambda end, n: F.array_join(F.slice("t", end - n + 1, n), " ")
+    at = F.sequence(F.lit(2), F.size("t"))
+    orders = F.sequence(F.lit(1), F.lit(highest))
+    asked = F.flatten(F.transform(at, lambda i: F.flatten(F.transform(F.filter(orders, lambda n: n <= i), lambda n: F.array(
+        F.struct(i.alias("pos"), n.alias("n"), F.lit(True).alias("whole"), gram(i, n).alias("ngram")),
+        F.struct(i.alias("pos"), n.alias("n"), F.lit(False).alias("whole"), F.when((n < highest) & (n < i), gram(i - 1, n)).alias("ngram")))))))
+    asked = lines.where(F.size("t") > 1).select("doc_id", "line", F.explode(asked).alias("q")).select("doc_id", "line", "q.*").where("ngram is not null")
+    asked = materialize(asked, "asked")
+    found = spread_join(asked, arpa.select("ngram", "log10p", "backoff"), "ngram", asked.groupBy("ngram").agg(F.count("*").alias("n")), "doc_id", "left")
+    whole = F.col("whole") & F.col("log10p").isNotNull()
+    longest = F.max(F.when(whole, F.struct("n", "log10p")))
+    weights = F.map_from_entries(F.collect_list(F.when(~F.col("whole") & F.col("backoff").isNotNull(), F.struct("n", "backoff"))))
+    each = found.groupBy("doc_id", "line", "pos").agg(longest.alias("best"), weights.alias("w"))
+    n = F.coalesce("best.n", F.lit(1))
+    missed = F.aggregate(F.filter(F.map_entries("w"), lambda e: e["key"] >= n), F.lit(0.0), lambda a, e: a + e["value"])
+    each = each.select("doc_id", "line", (F.coalesce("best.log10p", F.lit(unknown)) + missed).alias("p"))
+    return each.groupBy("doc_id", "line").agg(F.count("*").alias("n"), F.sum("p").alias("log10p"))
+
+
+def retention(before: DataFrame, after: DataFrame, text_col: str = "text") -> DataFrame:
+    """(docs_in, docs_out, chars_in, chars_out, kept_share): what a filter left of documents and characters."""
+    count = lambda df, x: df.agg(F.count("*").alias(f"docs_{x}"), F.coalesce(F.sum(F.length(text_col)), F.lit(0)).alias(f"chars_{x}"))
+    both = count(before, "in").join(F.broadcast(count(after, "out")))
+    return both.select("docs_in", "docs_out", "chars_in", "chars_out", F.try_divide(F.col("chars_out").cast("double"), F.col("chars_in")).alias("kept_share"))
+
+
+def tokenized_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, line, tokens): one line of tokens joined by spaces for every line that isn't blank."""
+    lines = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(text_col, "\n")).alias("line", "x")).where(~T.is_blank("x"))
+    return lines.select("doc_id", "line", F.array_join(T.basic_tokens("x"), " ").alias("tokens"))

@@ -2,32 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuskiln.operators.joins import running_sum
 
-def with_offsets(rows: DataFrame, order: str, size: str, buckets: int = 64) -> DataFrame:
-    """rows with ``offset``: the sum of size over the rows before, by a numeric order column.
 
-    A prefix sum in two levels: running sums within ranges of the order column, plus the ranges'
-    totals, one row a range.
-    """
-    bounds = rows.agg(F.min(order).alias("__lo"), F.max(order).alias("__hi"))
-    cell = F.floor((F.col(order) - F.col("__lo")) * F.lit(buckets) / (F.col("__hi") - F.col("__lo") + 1))
-    cut = rows.join(F.broadcast(bounds)).withColumn("__cell", cell).drop("__lo", "__hi")
-    totals = cut.groupBy("__cell").agg(F.sum(size).alias("__sum"))
-    before = totals.withColumn("__before", F.sum("__sum").over(Window.orderBy("__cell")) - F.col("__sum")).select("__cell", "__before")
-    w = Window.partitionBy("__cell").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    out = cut.withColumn("__in", F.sum(size).over(w) - F.col(size)).join(F.broadcast(before), "__cell")
-    return out.withColumn("offset", F.col("__before") + F.col("__in")).drop("__cell", "__before", "__in")
+def with_offsets(rows: DataFrame, order: str, size: str) -> DataFrame:
+    """rows with ``offset``: the sum of size over the rows before, by an order column; nulls of it come first."""
+    return running_sum(rows, [F.col(order)], size, "offset")
 
 
-def pack(rows: DataFrame, order: str, tokens: str, block: int, buckets: int = 64) -> DataFrame:
+def pack(rows: DataFrame, order: str, tokens: str, block: int) -> DataFrame:
     """(block, ids): the token streams of all rows end to end in blocks of equal size, the rest dropped.
 
     A row becomes one slice for each block that it touches; a block is put together from its slices.
     """
-    sized = with_offsets(rows.select(order, F.col(tokens).alias("__tokens"), F.size(tokens).cast("bigint").alias("__n")), order, "__n", buckets).where("__n > 0")
+    sized = with_offsets(rows.select(order, F.col(tokens).alias("__tokens"), F.size(tokens).cast("bigint").alias("__n")).where("__n > 0"), order, "__n")
     first, last = F.floor(F.col("offset") / block), F.floor((F.col("offset") + F.col("__n") - 1) / block)
     cut = sized.withColumn("block", F.explode(F.sequence(first, last)))
     begin = F.greatest(F.col("block") * block - F.col("offset"), F.lit(0))

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpuskiln.operators.joins import carried, running_sum, spread_join
+from corpuskiln.storage import materialize
+
 
 def keyed_dedup(rows: DataFrame, key: str, order: list[Column], deleted: Column | None = None) -> DataFrame:
     """The first row of each key; rows that are deleted go afterwards, so a deleted first copy
@@ -16,45 +19,42 @@ def keyed_dedup(rows: DataFrame, key: str, order: list[Column], deleted: Column
 def quote_lookup(rows: DataFrame, id_col: str, quoted_col: str, pos_col: str, text_col: str, none="0") -> DataFrame:
     """rows with ``quoted_text``: the latest text stored under the quoted id at or before the row.
 
-    Stores and lookups are one stream per comment id, so that a window with the last text so far
-    replaces a join of all pairs; at one position a row is stored before it looks up.
+    Stores and lookups are one table in the order of comment id and position, in which the last text is carried
+    forward: no pairs, and no id meets in one task. At one position a row is stored before it looks up.
     """
-    stores = rows.select(F.col(id_col).alias("__k"), F.col(pos_col).alias("__p"), F.lit(0).alias("__lookup"), F.col(text_col).alias("__t"), F.lit(None).cast(dict(rows.dtypes)[pos_col]).alias("__row"))
-    looks = rows.where(F.col(quoted_col) != F.lit(none)).select(F.col(quoted_col).alias("__k"), F.col(pos_col).alias("__p"), F.lit(1).alias("__lookup"), F.lit(None).cast("string").alias("__t"), F.col(pos_col).alias("__row"))
-    w = Window.partitionBy("__k").orderBy("__p", "__lookup").rowsBetween(Window.unboundedPreceding, 0)
-    found = stores.unionByName(looks).withColumn("quoted_text", F.last("__t", ignorenulls=True).over(w)).where("__lookup = 1").select("__row", "quoted_text")
+    stores = rows.select(F.col(id_col).alias("__k"), F.col(pos_col).alias("__p"), F.lit(0).alias("__lookup"), F.col(text_col).alias("__t"))
+    looks = rows.where(F.col(quoted_col) != F.lit(none)).select(F.col(quoted_col).alias("__k"), F.col(pos_col).alias("__p"), F.lit(1).alias("__lookup"), F.lit(None).cast("string").alias("__t"))
+    found = carried(stores.unionByName(looks), ["__k"], ["__p", "__lookup"], "__t", "quoted_text").where("__lookup = 1").select(F.col("__p").alias("__row"), "quoted_text")
     return rows.join(found, rows[pos_col] == found["__row"], "left").drop("__row")
 
 
 def frequency_table(freqs: DataFrame, word: str = "word", freq: str = "freq") -> DataFrame:
-    """(word, freq, below, upto, cum): running totals by falling frequency, then word; cum is a share.
+    """(word, freq, below, upto, cum, total): running totals by falling frequency, then word; cum is a share.
 
-    Totals of equal frequencies are summed first, so that the running total over all rows is one over
-    the distinct frequencies, and within one frequency over its words.
+    The order is cut into ranges of about equal size, so that words seen once, half of any vocabulary, are in many.
     """
     total = freqs.agg(F.sum(freq).alias("__total"))
-    levels = freqs.groupBy(freq).agg(F.sum(freq).alias("__sum"))
-    # distinct frequencies grow with the square root of the text at most: a small running sum
-    levels = levels.withColumn("__before", F.sum("__sum").over(Window.orderBy(F.col(freq).desc())) - F.col("__sum")).select(F.col(freq).alias("__f"), "__before")
-    rows = freqs.select(F.col(word).alias("word"), F.col(freq).alias("freq")).withColumn("__in", F.sum("freq").over(Window.partitionBy("freq").orderBy(F.col("word").desc()).rowsBetween(Window.unboundedPreceding, 0)))
-    out = rows.join(F.broadcast(levels), rows["freq"] == levels["__f"]).join(F.broadcast(total))
-    upto = F.col("__before") + F.col("__in")
-    return out.select("word", "freq", (upto - F.col("freq")).alias("below"), upto.alias("upto"), (upto / F.col("__total")).alias("cum"), F.col("__total").alias("total"))
+    rows = freqs.select(F.col(word).alias("word"), F.col(freq).alias("freq"))
+    out = running_sum(rows, [F.desc("freq"), F.desc("word")], "freq", "below").join(F.broadcast(total))
+    upto = F.col("below") + F.col("freq")
+    return out.select("word", "freq", "below", upto.alias("upto"), (upto / F.col("__total")).alias("cum"), F.col("__total").alias("total"))
 
 
-def inverse_distribution(draws: DataFrame, table: DataFrame, u: str = "u", cells: int = 1024) -> DataFrame:
-    """draws with ``word``: the first of the table whose cumulative share reaches u (0 to 1).
+def inverse_distribution(draws: DataFrame, table: DataFrame, u: str = "u") -> DataFrame:
+    """draws with ``word``: the first of the table whose cumulative share reaches u (0 to 1); null for a null u.
 
-    A range join by cells of equal width: an interval stands in every cell that it touches.
+    Draws and words are one table in the order of their places, in which the last word is carried forward;
+    equal draws are one row of it.
     """
-    width = F.ceil(F.col("total") / cells)
-    parts = table.withColumn("__cell", F.explode(F.sequence(F.floor(F.col("below") / width), F.floor((F.col("upto") - 1) / width))))
-    parts = parts.select("word", "below", "upto", "__cell")
     size = table.agg(F.max("total").alias("__total"))
     place = F.greatest(F.ceil(F.col(u) * F.col("__total")), F.lit(1)) - 1
-    want = draws.join(F.broadcast(size)).withColumn("__place", place).withColumn("__cell", F.floor(F.col("__place") / F.ceil(F.col("__total") / cells)))
-    hit = (F.col("__place") >= F.col("below")) & (F.col("__place") < F.col("upto"))
-    return want.join(parts, "__cell").where(hit).drop("__cell", "__place", "__total", "below", "upto")
+    want = draws.join(F.broadcast(size)).withColumn("__place", place.cast("bigint")).drop("__total")
+    marks = table.select(F.lit(0).alias("__one"), F.col("below").cast("bigint").alias("__at"), F.lit(0).alias("__draw"), "word")
+    marks = marks.unionByName(want.where("__place is not null").select(F.lit(0).alias("__one"), F.col("__place").alias("__at"), F.lit(1).alias("__draw"), F.lit(None).cast("string").alias("word")).distinct())
+    found = carried(marks, ["__one"], ["__at", "__draw"], "word", "__word").where("__draw = 1").select(F.col("__at").alias("__place"), F.col("__word").alias("word"))
+    found = materialize(found, "drawn")
+    sizes = want.groupBy("__place").agg(F.count("*").alias("n"))
+    return spread_join(want, found, "__place", sizes, u, "left").drop("__place")
 
 
 def interval_anti_join(spans: DataFrame, keeps: DataFrame, key: str, start: str = "start", end: str = "end") -> DataFrame:

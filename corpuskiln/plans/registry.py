@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.functions import masking, news
+from corpuskiln.functions import html, masking, news
 from corpuskiln.functions import patterns as P
 from corpuskiln.functions import text as T
 from corpuskiln.functions import unicode as U
 from corpuskiln.operators import filters, language_model, packing, relations, repeats
-from corpuskiln.sources import files, framing
+from corpuskiln.sources import files, framing, web
+from corpuskiln.storage import materialize, spread
 from corpuskiln.streaming import streams
 
 QUERIES: dict = {}
@@ -28,7 +29,9 @@ def query(sql: str | None = None):
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; one of texts is dealt out where its files give fewer tasks than there are cores."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in ("documents", "pages") else df
 
 
 def q(pattern: str) -> str:
@@ -94,13 +97,31 @@ def filter_inverted(spark, sf_dir):
     return filters.judged(table(spark, sf_dir, "documents").select("doc_id", "text"), filters.PRESETS["encyclopedia"]).where("outcome <> 'pass-all'").select("doc_id", "outcome")
 
 
-@query()
+# the longest run of characters equal to the one so many places on, over periods of one to three: no line end among them
+REPEAT_SQL = """
+with c as (select doc_id, unnest(string_split(text, '')) as ch, generate_subscripts(string_split(text, ''), 1) as i from documents),
+l as (select doc_id, i, ch, lead(ch, 1) over w as c1, lead(ch, 2) over w as c2, lead(ch, 3) over w as c3 from c window w as (partition by doc_id order by i)),
+e as (select doc_id, i, 1 as p from l where ch = c1 and ch <> chr(10) union all select doc_id, i, 2 from l where ch = c2 and ch <> chr(10) union all select doc_id, i, 3 from l where ch = c3 and ch <> chr(10)),
+g as (select doc_id, p, i - row_number() over (partition by doc_id, p order by i) as island from e),
+r as (select doc_id, p, count(*) as m from g group by doc_id, p, island)
+select d.doc_id, coalesce(max(m // p), 0) as again from documents d left join r using (doc_id) group by d.doc_id
+"""
+FORUM_REASON_SQL = f"""
+select doc_id, case when text is null or regexp_full_match(text, {q(f'[{P.SPACES}]*')}) then 'empty'
+  when avg_len < 5 then 'avg-len' when punct_ratio > 0.1 then 'punct-ratio' when upper_ratio > 0.1 then 'upper-ratio'
+  when digit_ratio > 0.1 then 'digit-ratio' when foreign_ratio > 0.01 then 'foreign-ratio' when short_ratio > 0.05 then 'short-ratio'
+  when type_token_ratio < 0.5 then 'type-token-ratio' when words < 5 then 'min-words' when again >= 6 then 'max-repeat' else 'pass-all' end as outcome
+from ({RATIOS_SQL}) join ({REPEAT_SQL}) using (doc_id)
+"""
+
+
+@query(f"select outcome, count(*) as n, count(*) * 100.0::double / sum(count(*)) over () as share from ({FORUM_REASON_SQL}) group by outcome")
 def filter_forum_report(spark, sf_dir):
-    """With repetition and type-token conditions: back references have no RE2 form."""
+    """With repetition and type-token conditions."""
     return filters.report(table(spark, sf_dir, "documents").select("text"), filters.PRESETS["forum"])
 
 
-@query()
+@query(f"select doc_id, again >= 4 as over_3, again >= 6 as over_5, again >= 11 as over_10 from ({REPEAT_SQL})")
 def repeated_units(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", *[T.repeats_unit("text", k).alias(f"over_{k}") for k in (3, 5, 10)])
 
@@ -175,7 +196,12 @@ def corpus_spaces(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(T.corpus_spaces("text").cast("binary")).alias("text_md5"))
 
 
-@query()
+NEWS_PARAGRAPH = f"""(case when len(list_filter(string_split(p, '\n'), lambda x: length(x) < {T.SHORT_LINE} and not regexp_full_match(x, {q(f'[{P.SPACES}]*')}))) / len(string_split(p, '\n')) > {T.LISTED} or length(p) > {T.LONG_TEXT}
+  then {stripped(f"array_to_string(list_transform(string_split(p, chr(10)), lambda x: {squeezed('x')}), chr(10))")}
+  else {stripped(f"array_to_string(list_transform(list_filter(string_split(p, chr(10)), lambda x: not regexp_full_match(x, {q(f'[{P.SPACES}]*')})), lambda x: case when regexp_matches(x, {q(f'^[{T.DASHES}]')}) then chr(10) else ' ' end || {squeezed('x')}), '')")} end)"""
+
+
+@query(f"""select doc_id, array_to_string(list_filter(list_transform(regexp_split_to_array(text, {q(f'\n(?:[{P.SPACES}]+\n|\n)+')}), lambda p: {NEWS_PARAGRAPH}), lambda p: p <> ''), '\n\n') as text from documents""")
 def news_spaces(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", T.news_spaces("text").alias("text"))
 
@@ -191,22 +217,88 @@ def html_presence(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", T.has_html("html").alias("has_html"))
 
 
-@query()
+def page_sql(x: str, extractor: str = "plain") -> str:
+    """The text of a page; character references as far as the tables hold them."""
+    out = f"regexp_replace({x}, {q(html.COMMENT)}, '', 'g')"
+    for e in html.HIDDEN + (html.BESIDE if extractor == "main" else []):
+        out = f"regexp_replace({out}, {q(html.element(e))}, '', 'g')"
+    out = f"regexp_replace(regexp_replace(regexp_replace({out}, {q(f'[{P.SPACES}]+')}, ' ', 'g'), {q(html.BLOCK)}, chr(10), 'g'), {q(html.TAG)}, '', 'g')"
+    for name in ("quot", "lt", "gt", "copy", "middot", "nbsp", "amp"):
+        out = f"regexp_replace({out}, '&{name};?', {q(html.names()[name])}, 'g')"
+    return f"array_to_string(list_filter(list_transform(string_split({out}, chr(10)), lambda x: {squeezed('x')}), lambda x: x <> ''), chr(10))"
+
+
+@query(f"select page_id, {page_sql('html')} as text from pages")
 def page_texts(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", files.extract_html("html").alias("text"))
+    return table(spark, sf_dir, "pages").select("page_id", html.html_text("html").alias("text"))
 
 
-MIMES = ["text/plain", "text/plain; charset=utf-8", "text/html", "text/html; charset=x", "application/xhtml+xml", "application/pdf", "application/json", "image/png", "video/mp4", "text/calendar", "text/css", "application/xml-dtd", "audio/ogg", "application/http", "", "multipart/mixed"]
+@query(f"select page_id, {page_sql('html', 'main')} as text from pages")
+def main_texts(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", html.html_text("html", "main").alias("text"))
+
 
+@query(f"""select page_id, cast(len(p) as integer) as paragraphs, md5(array_to_string(p, '|')) as text_md5 from (select page_id,
+       case when page_id % 2 = 0 then list_filter(string_split({page_sql('html')}, chr(10)), lambda x: x <> '') else list_filter(regexp_split_to_array(replace(replace(html, '<', ''), '&', ''), '\n\n+'), lambda x: x <> '') end as p from pages)""")
+def html_paragraphs(spark, sf_dir):
+    """Every other page without its marks, as plain text."""
+    text = F.when(F.col("page_id") % 2 == 0, F.col("html")).otherwise(F.translate("html", "<&", ""))
+    parts = table(spark, sf_dir, "pages").select("page_id", html.html_aware_paragraphs(text).alias("p"))
+    return parts.select("page_id", F.size("p").alias("paragraphs"), F.md5(F.array_join("p", "|").cast("binary")).alias("text_md5"))
 
-@query(f"""with m as (select page_id, list_element({MIMES!r}, cast(page_id % {len(MIMES)} + 1 as integer)) as mime from pages)
-select page_id, mime, case
+
+MIMES = ["text/plain", "text/plain; charset=utf-8", "text/html", "text/html; charset=x", "application/xhtml+xml", "application/pdf", "application/json", "image/png", "video/mp4", "text/calendar", "text/css", "application/xml-dtd", "audio/ogg", "application/http", "", "multipart/mixed"]
+MEDIA_SQL = """case
   when mime not in ('text/plain','text/html','application/xhtml+xml','application/xml','application/http') and (mime in ('application/pdf','application/json','text/calendar') or
     (mime not like 'text/plain;%' and mime not like 'text/html;%' and regexp_matches(mime, '^(image|audio|video|application)/'))) then 'unsupported'
-  when mime = 'text/plain' then 'plain' when regexp_matches(mime, '^(text/html|application/xhtml\\+xml|application/xml|application/http)') then 'html' else 'other' end as class from m""")
+  when mime = 'text/plain' then 'plain' when regexp_matches(mime, '^(text/html|application/xhtml\\+xml|application/xml|application/http)') then 'html' else 'other' end"""
+MIME_SQL = f"list_element({MIMES!r}, cast(length(html) % {len(MIMES)} + 1 as integer))"
+
+
+def mime_of_page():
+    """A media type for every page, by its length."""
+    return F.element_at(F.array(*map(F.lit, MIMES)), (F.length("html") % len(MIMES) + 1).cast("int"))
+
+
+@query(f"with m as (select page_id, {MIME_SQL} as mime from pages) select page_id, mime, {MEDIA_SQL} as class from m")
 def media_classes(spark, sf_dir):
-    mime = F.element_at(F.array(*map(F.lit, MIMES)), (F.col("page_id") % len(MIMES) + 1).cast("int"))
-    return table(spark, sf_dir, "pages").select("page_id", mime.alias("mime"), T.media_class(mime).alias("class"))
+    return table(spark, sf_dir, "pages").select("page_id", mime_of_page().alias("mime"), T.media_class(mime_of_page()).alias("class"))
+
+
+def page_records(spark, sf_dir) -> DataFrame:
+    """Pages as records of an archive: every fifth of another kind, some empty, some with bytes that aren't UTF-8."""
+    kind = F.when(F.col("page_id") % 5 == 0, "request").when(F.col("page_id") % 5 < 3, "response").otherwise("conversion")
+    body = F.when(F.col("page_id") % 11 == 0, F.lit(b"")).when(F.col("page_id") % 13 == 0, F.concat(F.encode("html", "UTF-8"), F.lit(b"\xff"))).otherwise(F.encode("html", "UTF-8"))
+    rows = table(spark, sf_dir, "pages").withColumn("mime", F.nullif(mime_of_page(), F.lit("")))
+    return rows.select(F.concat(F.lit("r"), "page_id").alias("record_id"), F.concat(F.lit("o"), "page_id").alias("refers_to"), kind.alias("record_type"), F.col("url").alias("uri"), F.lit("1970-01-01").alias("date"), "mime", F.octet_length("html").cast("bigint").alias("length"), body.alias("payload"))
+
+
+WEB_SQL = f"""
+with p as (select *, {MIME_SQL} as mime, case when page_id % 5 = 0 then 'request' when page_id % 5 < 3 then 'response' else 'conversion' end as record_type from pages),
+c as (select *, {MEDIA_SQL} as class from p),
+t as (select *, case when class = 'plain' then case when page_id % 13 = 0 then null else html end else {page_sql('html')} || case when page_id % 13 = 0 then chr(65533) else '' end end as body from c)
+select 'commoncrawl:r' || page_id as id, record_type, case when record_type = 'request' then 'other-record' when page_id % 11 = 0 then 'empty-content' when class = 'unsupported' then 'unsupported'
+  when body is null then 'error' when body = '' then 'empty-text' else 'output' end as outcome, md5(body) as body_md5 from t
+"""
+
+
+@query(f"select id, outcome, case when outcome = 'output' then body_md5 end as text_md5 from ({WEB_SQL})")
+def web_outcomes(spark, sf_dir):
+    """Every record's outcome and text: by media type decoded or extracted."""
+    rows = web.web_outcomes(page_records(spark, sf_dir))
+    return rows.select("id", "outcome", F.when(F.col("outcome") == "output", F.md5(F.col("text").cast("binary"))).alias("text_md5"))
+
+
+@query(f"""select count(*) as total, count_if(record_type = 'response') as responses, count_if(record_type = 'conversion') as conversions, count_if(outcome in ('empty-content', 'empty-text')) as empties,
+       count_if(outcome = 'unsupported') as unsupported, count_if(outcome = 'error') as errors, count_if(outcome = 'output') as output from ({WEB_SQL})""")
+def web_counts(spark, sf_dir):
+    return web.web_counts(web.web_outcomes(page_records(spark, sf_dir)))
+
+
+@query("""select 'commoncrawl:o' || page_id as id, 'r' || page_id as wet_id, url as uri, md5(html) as text_md5 from pages where page_id % 5 > 2 and page_id % 13 <> 0 and page_id % 11 <> 0""")
+def wet_documents(spark, sf_dir):
+    rows = page_records(spark, sf_dir).where("octet_length(payload) > 0 and is_valid_utf8(cast(payload as string))")
+    return web.wet_documents(rows).select("id", "wet_id", "uri", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
 # ---- masking ----
@@ -352,20 +444,37 @@ def shape_counts(spark, sf_dir):
 
 # ---- n-gram near-duplicates ----
 
-@query(f"""with p as (select doc_id, unnest({PARS}) as paragraph, unnest(range(0, len({PARS}))) as par from documents),
+def shares_sql(units: str) -> str:
+    return f"""with p as (select doc_id, unnest({units}) as paragraph, unnest(range(0, len({units}))) as par from documents),
 t as (select doc_id, par, list_filter(regexp_split_to_array(paragraph, {q(f'[{P.SPACES}]+')}), lambda x: x <> '') as t from p),
 g as (select distinct doc_id, par, unnest(list_transform(range(1, greatest(len(t) - 6, 1) + 1), lambda i: array_to_string(t[i:i + 6], ' '))) as g from t),
 f as (select g, min({{'d': doc_id, 'p': par}}) as first from g group by g)
-select doc_id, cast(par as integer) as par, count(*) as n_grams, cast(sum(case when first <> {{'d': doc_id, 'p': par}} then 1 else 0 end) as bigint) as n_seen from g join f using (g) group by doc_id, par""")
+select doc_id, cast(par as integer) as par, count(*) as n_grams, cast(sum(case when first <> {{'d': doc_id, 'p': par}} then 1 else 0 end) as bigint) as n_seen from g join f using (g) group by doc_id, par"""
+
+
+LINE_UNITS = f"list_filter(string_split(text, chr(10)), lambda p: not regexp_full_match(p, {q(f'[{P.SPACES}]*')}))"
+
+
+def deduplicated_sql(units: str, joint: str) -> str:
+    return f"""with s as ({shares_sql(units)}), p as (select doc_id, unnest({units}) as paragraph, unnest(range(0, len({units}))) as par from documents)
+select doc_id, string_agg(paragraph, {joint} order by par) as text from p anti join (select doc_id, par from s where n_seen > n_grams * 0.5) using (doc_id, par) group by doc_id"""
+
+
+@query(shares_sql(PARS))
 def duplicate_shares(spark, sf_dir):
     return repeats.duplicate_shares(table(spark, sf_dir, "documents"))
 
 
-@query()
+@query(deduplicated_sql(PARS, "chr(10) || chr(10)"))
 def deduplicated_paragraphs(spark, sf_dir):
     return repeats.without_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query(deduplicated_sql(LINE_UNITS, "chr(10)"))
+def deduplicated_lines(spark, sf_dir):
+    return repeats.without_duplicates(table(spark, sf_dir, "documents"), lines=True)
+
+
 # ---- framed sources, over lines that Spark derives from the tables ----
 
 def corpus_lines(spark, sf_dir) -> DataFrame:
@@ -375,7 +484,7 @@ def corpus_lines(spark, sf_dir) -> DataFrame:
     head = F.array(F.concat(F.lit('# <doc id="c'), F.col("conv_id"), F.lit('" collection="x">')), F.concat(F.lit("# predicted register: "), F.when(F.col("conv_id") % 5 == 0, "machine translated").otherwise("narrative")), F.concat(F.lit("# lex_lm_mean_perplexity: "), (F.col("conv_id") % 100).cast("string")))
     docs = turns.groupBy("conv_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("turn", par.alias("par")))), lambda x: x["par"])).alias("body"))
     lines = docs.select(F.lit("f").alias("f"), "conv_id", F.concat(head, "body", F.array(F.lit("# </doc>"))).alias("lines"))
-    return lines.select(F.concat("f", (F.col("conv_id") % 8).cast("string")).alias("file"), "conv_id", F.posexplode("lines").alias("at", "value")).select("file", (F.col("conv_id") * 1_000_000 + F.col("at")).alias("pos"), "value")
+    return lines.select(F.concat("f", F.floor(F.col("conv_id") / 200).cast("string")).alias("file"), "conv_id", F.posexplode("lines").alias("at", "value")).select("file", (F.col("conv_id") * 1_000_000 + F.col("at")).alias("pos"), "value")
 
 
 PARSED_SQL = """with s as (select conv_id, turn, unnest(string_split(text, chr(10))) as s, unnest(range(0, len(string_split(text, chr(10))))) as i from conversations),
@@ -401,7 +510,7 @@ from (select 'T' || doc_id as title, 'https://example.org/' || doc_id as url, te
 def encyclopedia_documents(spark, sf_dir):
     head = F.concat(F.lit('<doc id="'), "doc_id", F.lit('" url="https://example.org/'), "doc_id", F.lit('" title="T'), "doc_id", F.lit('">'))
     lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.concat(F.array(head), F.split("text", "\n"), F.array(F.lit("</doc>")))).alias("at", "value"))
-    lines = lines.select(F.concat(F.lit("wiki_"), (F.col("doc_id") % 16).cast("string")).alias("file"), (F.col("doc_id") * 1_000_000 + F.col("at")).alias("pos"), "value")
+    lines = lines.select(F.concat(F.lit("wiki_"), F.floor(F.col("doc_id") / 200).cast("string")).alias("file"), (F.col("doc_id") * 1_000_000 + F.col("at")).alias("pos"), "value")
     return framing.encyclopedia(lines).select("id", "url", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
@@ -415,6 +524,93 @@ def forum_documents(spark, sf_dir):
     return posts.select(*[F.when(~F.col("bad"), F.col(c)).alias(c) for c in ("id", "forum", "title", "body")], "bad")
 
 
+@query("""with s as (select conv_id, turn, unnest(string_split(text, chr(10))) as s, unnest(range(0, len(string_split(text, chr(10))))) as i from conversations),
+p as (select conv_id, turn, string_agg(s, ' ' order by i) as par from s group by conv_id, turn)
+select 'c' || conv_id as id, string_agg(par, chr(10) || chr(10) order by turn) as text from p group by conv_id""")
+def plain_corpus(spark, sf_dir):
+    """The framing that closes at its end mark only; the ids stay as they are."""
+    return framing.plain_corpus(corpus_lines(spark, sf_dir)).select("id", "text")
+
+
+@query("""with s as (select conv_id, turn, unnest(string_split(text, chr(10))) as s, unnest(range(0, len(string_split(text, chr(10))))) as i from conversations),
+p as (select conv_id, turn, '# <p>' || chr(10) || string_agg('# text = ' || s, chr(10) order by i) || chr(10) || '1' || chr(9) || 'token' || chr(9) || '_' as par from s group by conv_id, turn)
+select md5('# <doc id="c' || conv_id || '" collection="x">' || chr(10) || '# predicted register: ' || case when conv_id % 5 = 0 then 'machine translated' else 'narrative' end || chr(10) || '# lex_lm_mean_perplexity: ' || conv_id % 100 || chr(10)
+  || string_agg(par, chr(10) order by turn) || chr(10) || '# </doc>') as block_md5, cast(conv_id % 100 as double) as lex_ppl from p where conv_id % 5 <> 0 and conv_id % 100 <= 60 group by conv_id""")
+def parsed_blocks(spark, sf_dir):
+    """Documents of a parsed corpus as they are, those that the register filter keeps."""
+    kept = filters.register_filter(framing.corpus_blocks(corpus_lines(spark, sf_dir)), "register", "lex_ppl", "delex_ppl", 60)
+    return kept.select(F.md5(F.col("block").cast("binary")).alias("block_md5"), "lex_ppl")
+
+
+def token_lines(spark, sf_dir) -> DataFrame:
+    """Conversations as texts of one token a line, a sentence a turn."""
+    words = F.filter(F.split("text", f"[{P.SPACES}]+"), lambda w: w != "")
+    marks = F.array(*map(F.lit, ["_", "SpaceAfter=No", "SpacesAfter=\\n\\n", "SpacesBefore=\\t|SpacesAfter=\\s"]))
+    escaped = lambda w: F.replace(F.replace(F.replace(w, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    token = lambda w, i: F.concat_ws("\t", escaped(w), *[F.lit("_")] * 7, F.element_at(marks, (i % 4 + 1).cast("int")), F.lit("_"), F.lit("_"))
+    body = F.concat(F.array(F.lit("<paragraph id=\"1\">"), F.lit("<sentence id=\"1\">")), F.transform(words, token), F.array(F.lit("</sentence>"), F.lit("<!-- end -->"), F.lit("</paragraph>")))
+    turns = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("turn", body.alias("b")))), lambda x: x["b"])).alias("body"))
+    head = F.concat(F.lit('<text comment_id="'), "conv_id", F.lit('" title="yö &amp; päivä &quot;'), "conv_id", F.lit('&quot;">'))
+    lines = turns.select("conv_id", F.posexplode(F.concat(F.array(head), "body", F.array(F.lit("</text>")))).alias("at", "value"))
+    return lines.select(F.floor(F.col("conv_id") / 200).alias("file"), (F.col("conv_id") * 1_000_000 + F.col("at")).alias("pos"), "value")
+
+
+@query(f"""with w as (select conv_id, turn, unnest(list_filter(regexp_split_to_array(text, {q(f'[{P.SPACES}]+')}), lambda w: w <> '')) as w, unnest(range(0, len(list_filter(regexp_split_to_array(text, {q(f'[{P.SPACES}]+')}), lambda w: w <> '')))) as i from conversations),
+t as (select conv_id, string_agg(case when i % 4 = 3 then chr(9) else '' end || w || case i % 4 when 0 then ' ' when 1 then '' when 2 then chr(10) || chr(10) else ' ' end, '' order by turn, i) as text from w group by conv_id)
+select 's24:' || md5('<text comment_id="' || c.conv_id || '" title="y&#246; &amp; p&#228;iv&#228; &quot;' || c.conv_id || '&quot;" />') as id,
+  coalesce(array_to_string(list_filter(list_transform(regexp_split_to_array(regexp_replace(t.text, '  +', ' ', 'g'), '\n\n+'), lambda p: {squeezed('p')}), lambda p: p <> ''), chr(10) || chr(10)), '') as text
+from (select distinct conv_id from conversations) c left join t using (conv_id)""")
+def token_documents(spark, sf_dir):
+    """Texts of one token a line, white space by their marks, ids by the MD5 of their start elements."""
+    return framing.vrt_documents(token_lines(spark, sf_dir)).select("id", "text")
+
+
+FORUM_SQL = """with p as (select event_id, event_id % 7 as file, 'e' || event_id % 5000 as pid, event_type, case when event_id % 17 = 0 then '[deleted]' when event_id % 19 = 0 then '[removed]' else 'body ' || user_id end as body, event_id % 11 = 0 as bad from events),
+n as (select *, row_number() over (partition by pid, not bad and event_type = 'click' order by event_id) as n from p)
+select event_id, file, case when bad then 'bad' when event_type <> 'click' then 'other-forum' when n > 1 then 'duplicate' when body in ('[deleted]', '[removed]') then 'deleted' else 'output' end as outcome from n"""
+
+
+def forum_lines(spark, sf_dir) -> DataFrame:
+    body = F.when(F.col("event_id") % 17 == 0, "[deleted]").when(F.col("event_id") % 19 == 0, "[removed]").otherwise(F.concat(F.lit("body "), "user_id"))
+    post = F.struct(F.concat(F.lit("e"), F.col("event_id") % 5000).alias("id"), F.col("event_type").alias("subreddit"), body.alias("body"))
+    raw = table(spark, sf_dir, "events").select("event_id", (F.col("event_id") % 7).alias("file"), F.when(F.col("event_id") % 11 == 0, '{"id": "x').otherwise(F.to_json(post)).alias("value"))
+    return framing.post_outcomes(framing.forum_posts(raw), "event_id", "click")
+
+
+@query(FORUM_SQL)
+def forum_outcomes(spark, sf_dir):
+    """Bad lines, posts of other forums, repeated ids and deleted posts, each with its reason."""
+    return forum_lines(spark, sf_dir).select("event_id", "file", "outcome")
+
+
+@query(f"select file, count(*) as total, count_if(outcome not in ('bad', 'other-forum')) as in_forum, count_if(outcome = 'duplicate') as duplicates, count_if(outcome = 'deleted') as deleted, count_if(outcome = 'output') as output from ({FORUM_SQL}) group by file")
+def forum_counts(spark, sf_dir):
+    return framing.post_counts(forum_lines(spark, sf_dir), ["file"])
+
+
+CLEAN_TURN = "regexp_replace(text, '[^\\p{L}\\p{N} .,\\n]', '', 'g')"
+
+
+@query(f"""with c as (select conv_id, turn, {squeezed(CLEAN_TURN)} as t from conversations)
+select 'reddit:' || conv_id || '-' || turn as id, md5('Title ' || conv_id || ' words' || chr(10) || chr(10) || 'x' || t || 'x' || chr(10) || 'y' || t || ' link' || chr(10) || chr(10) || 'quote z' || t || 'z' || chr(10) || '* item') as text_md5 from c""")
+def post_texts(spark, sf_dir):
+    """Turns of conversations as posts with marks around them."""
+    t = T.collapse(F.regexp_replace("text", r"[^\p{L}\p{N} .,\n]", ""))
+    body = F.concat(F.lit("~~x"), t, F.lit("x~~\ny"), t, F.lit(" [link](http://a.b/c_(d))\n\n&gt; quote **z"), t, F.lit("z**\n- item\n\n***\n"))
+    posts = table(spark, sf_dir, "conversations").select(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"), F.concat(F.lit("Title  "), "conv_id", F.lit(" _words_")).alias("title"), body.alias("body"), F.lit("f").alias("forum"), F.lit("output").alias("outcome"))
+    return framing.post_documents(posts).select("id", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+@query("""select outcome, count(*) as n, cast(sum(case when outcome = 'bad-number' then null else p_size end) as bigint) as total, count(distinct word) as words from
+(select p_size, case when p_partkey % 10 = 0 then 'bad-number' when p_partkey % 7 = 0 then 'undecodable' else 'word' end as outcome, case when p_partkey % 10 <> 0 and p_partkey % 7 <> 0 then ' ' || p_name end as word from part) group by outcome""")
+def numbered_words(spark, sf_dir):
+    """Lines of numbers and words as bytes: some without a number, some that aren't UTF-8."""
+    number = F.when(F.col("p_partkey") % 10 == 0, "x").otherwise(F.col("p_size").cast("string"))
+    line = F.concat(F.encode(F.concat(F.lit(" "), number, F.lit(" "), "p_name"), "UTF-8"), F.when(F.col("p_partkey") % 7 == 0, F.lit(b"\xe4")).otherwise(F.lit(b"")))
+    rows = framing.numbered_words(table(spark, sf_dir, "part").select(line.alias("content")))
+    return rows.groupBy("outcome").agg(F.count("*").alias("n"), F.sum("number").alias("total"), F.countDistinct("word").alias("words"))
+
+
 @query("""select word, cast(sum(f) as bigint) as freq from (select p_size as f, unnest(list_filter(string_split(p_name, ' '), lambda x: x <> '')) as word from part) group by word""")
 def loaded_word_frequencies(spark, sf_dir):
     return framing.word_frequencies(table(spark, sf_dir, "part").select(F.concat_ws(" ", F.col("p_size").cast("string"), "p_name").alias("value")))
@@ -453,14 +649,60 @@ def framing_news(raw: DataFrame) -> DataFrame:
 
 # ---- newswire and books ----
 
-@query()
+def edited_sql(x: str, edits) -> str:
+    for pattern, by in edits:
+        x = f"regexp_replace({x}, {q(pattern)}, {q(by.replace('$', chr(92)))}, 'g')"
+    return x
+
+
+def after_first_sql(parts: str, bad: str) -> str:
+    first = f"coalesce(list_position(list_transform({parts}, lambda p: not ({bad})), true), 0)"
+    return f"(case when {first} = 0 then [] else {parts}[{first}:] end)"
+
+
+BLANK_SQL = f"regexp_full_match(p, {q(f'[{P.SPACES}]*')})"
+ENDED_SQL = lambda x: f"regexp_matches({stripped(x)}, '[.:!?]$')"
+NEWS_SQL = f"""
+with l as (select doc_id, string_split(text, chr(10)) as l from documents),
+c as (select doc_id, list_transform(l, lambda p: case when contains(p, '//') then {squeezed("regexp_replace(regexp_replace(p, '(?i)(https?|ftp)://', '\1:' || chr(1), 'g'), '//+.*//+', ' ', 'g')")} else p end) as l from l),
+d as (select doc_id, list_transform(l, lambda p: case when contains(p, '//') and length(replace(p, chr(1), repeat('x', {news.URL_LENGTH}))) < {news.SHORT_COMMENT} then '' else replace(p, chr(1), '//') end) as l from c),
+i as (select doc_id, list_transform(l, lambda p: case when contains(p, '*') or contains(p, '---') or contains(p, '___') or contains(p, '===') then {edited_sql('p', news.INSERTS)} else p end) as a, l from d),
+r as (select doc_id, list_transform(range(1, len(l) + 1), lambda k: case when a[k] = l[k] and not (contains(l[k], '*') or contains(l[k], '---') or contains(l[k], '___') or contains(l[k], '===')) then l[k]
+  when starts_with({stripped('a[k]')}, '*') and contains(a[k], '{news.INSERT_WORD}') then '' when starts_with({stripped('a[k]')}, '***') and length(a[k]) < {news.SHORT_INSERT} then '' else {edited_sql('a[k]', news.RULES)} end) as l from i),
+t as (select doc_id, {after_first_sql('l', f"p = '' or regexp_matches(p, {q(news.TAG_LINE)})")} as l from r),
+a as (select doc_id, list_filter(list_reverse({after_first_sql('list_reverse(l)', f"p = '' or regexp_matches(p, {q(news.AUTHOR_LINE)})")}), lambda p: {stripped('p')} not in ('ah', 'rs')) as l from t),
+s as (select doc_id, list_transform(l, lambda p: case when contains(p, '(STT') then {squeezed(edited_sql('p', news.CREDITS))} else p end) as l from a),
+f as (select doc_id, list_filter(list_transform(list_filter(l, lambda p: not regexp_matches(p, {q(news.PUNCTUATION_ONLY)})), lambda p: {squeezed('p')}), lambda p: p <> '') as l from s)
+select doc_id, coalesce(array_to_string(case when len(l) = 0 then l else list_reduce(list_transform(l, lambda p: [p]), lambda acc, x:
+  case when regexp_matches(x[1], '^\\p{{Ll}}') and length(x[1]) < 50 and not {ENDED_SQL('x[1]')} and regexp_matches(acc[-1], '^[\\p{{Lu}}\\p{{Nd}}]') and length(acc[-1]) < 50 and not {ENDED_SQL('acc[-1]')}
+  then list_concat(acc[:-2], [acc[-1] || ' ' || x[1]]) else list_concat(acc, x) end) end, chr(10)), '') as text from f
+"""
+
+
+@query(NEWS_SQL)
 def news_cleaned(spark, sf_dir):
     """Lines as paragraphs, through the whole cleaning chain and the joining of split headings."""
     parts = news.clean_paragraphs(F.split("text", "\n"), ["ah", "rs"])
-    return table(spark, sf_dir, "documents").select("doc_id", T.join_split_headings(parts).alias("paragraphs"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(T.join_split_headings(parts), "\n").alias("text"))
+
+
+MARKED_SQL = lambda x, marks: "(" + " or ".join(f"contains({squeezed(x)}, {q(m)})" for m in marks) + ")"
+BOOK_SQL = f"""
+with p as (select doc_id, unnest(regexp_split_to_array(replace(text, chr(13) || chr(10), chr(10)), '\n\n+')) as p, generate_subscripts(regexp_split_to_array(replace(text, chr(13) || chr(10), chr(10)), '\n\n+'), 1) as k from documents),
+l as (select doc_id, k, string_split(p, chr(10)) as l from p),
+w as (select doc_id, k, l, list_sort(list_transform(range(1, len(l)), lambda i: length(l[i]) + 1 + length(regexp_extract(l[i + 1], {q(f'[^{P.SPACES}]+')}, 0)))) as w,
+  coalesce(list_min(list_transform(list_filter(l, lambda p: not {BLANK_SQL}), lambda p: length(regexp_extract(p, '^ *', 0)))), 0) as indent from l),
+b as (select doc_id, k, regexp_replace(case when len(w) > 0 and (w[(len(w) + 1) // 2] + w[len(w) // 2 + 1]) / 2 > 65 then {squeezed("array_to_string(l, ' ')")}
+  else array_to_string(list_transform(l, lambda p: regexp_replace(substr(p, indent + 1), {q(f'[{P.SPACES}]+$')}, '')), chr(10)) end, ' {{2,}}', '  ', 'g') as p from w),
+g as (select doc_id, coalesce(list(p order by k) filter (where not {BLANK_SQL}), []) as l from b group by doc_id),
+h as (select doc_id, case when {MARKED_SQL("coalesce(l[1], '')", news.LICENSE_MARKS)} then l[1] end as license, l from g),
+r as (select doc_id, license, case when license is not null then l[2:] else l end as l from h),
+m as (select doc_id, license, case when {MARKED_SQL("coalesce(l[1], '')", news.PRODUCER_MARKS)} then l[1] end as produced_by, l from r)
+select doc_id, license, produced_by, replace(array_to_string(case when produced_by is not null then l[2:] else l end, chr(10) || chr(10)), '_', '') as text from m
+"""
 
 
-@query()
+@query(BOOK_SQL)
 def book_texts(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select("doc_id", news.split_metadata(news.book_paragraphs("text")).alias("m"))
     return rows.select("doc_id", "m.license", "m.produced_by", F.translate(F.array_join("m.paragraphs", "\n\n"), "_", "").alias("text"))
@@ -491,18 +733,75 @@ def document_perplexity(spark, sf_dir):
     return language_model.document_perplexity(docs, language_model.bigram_model(docs)).select("doc_id", F.floor("perplexity").alias("ppl"))
 
 
-@query()
+PPL_LINES_SQL = f"""{LINES_SQL}, m as (select doc_id, line, pow(10.0::double, -sum(log10((n_ab + 1) / (n_a + v))) / count(*)) as ppl
+  from (select doc_id, line, p.a as a, p.b as b from b) b join c using (a, b) join f using (a) cross join v group by doc_id, line),
+d as (select doc_id, text, string_split(text, chr(10)) as lines from documents), n as (select l.doc_id, l.line, l.x, coalesce(ppl, 0) < 20000 as good from l left join m using (doc_id, line)),
+k as (select doc_id, count(*) as n, string_agg(x, chr(10) order by line) as kept from n where good group by doc_id)
+select doc_id, text as before, case when n = len(lines) then text else regexp_replace({stripped("coalesce(kept, '')")}, {q(f'\n[{P.SPACES}]*\n')}, '\n\n', 'g') end as text from d left join k using (doc_id)"""
+
+
+@query(f"select doc_id, text from ({PPL_LINES_SQL}) where trim(text) <> ''")
 def perplexity_filtered_lines(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return language_model.drop_lines(docs, language_model.bigram_model(docs), 20_000)
 
 
-@query()
+@query(f"""select count(*) as docs_in, count_if(trim(text) <> '') as docs_out, cast(sum(length(before)) as bigint) as chars_in, cast(sum(case when trim(text) <> '' then length(text) else 0 end) as bigint) as chars_out,
+       sum(case when trim(text) <> '' then length(text) else 0 end)::double / sum(length(before)) as kept_share from ({PPL_LINES_SQL})""")
+def line_filter_retention(spark, sf_dir):
+    """What the line filter leaves of documents and characters."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return language_model.retention(docs, language_model.drop_lines(docs, language_model.bigram_model(docs), 20_000))
+
+
+@query(f"""with l as (select doc_id, unnest(string_split(text, chr(10))) as x, unnest(range(0, len(string_split(text, chr(10))))) as line from documents)
+select doc_id, cast(line as integer) as line, md5(array_to_string({BASIC_SQL.replace('regexp_replace(text,', 'regexp_replace(x,')}, ' ')) as tokens_md5 from l where not regexp_full_match(x, {q(f'[{P.SPACES}]*')})""")
+def tokenized_lines(spark, sf_dir):
+    return language_model.tokenized_lines(table(spark, sf_dir, "documents")).select("doc_id", "line", F.md5(F.col("tokens").cast("binary")).alias("tokens_md5"))
+
+
+ARPA_SQL = """with t as (select p_partkey, list_concat(['<s>'], list_filter(string_split(p_name, ' '), lambda w: w <> ''), ['</s>']) as t from part),
+w as (select p_partkey, unnest(t) as w from t), b as (select p_partkey, unnest(list_transform(range(1, len(t)), lambda i: {'a': t[i], 'b': t[i + 1]})) as p from t),
+u as (select w, count(*) as n from w group by w), g as (select p.a as a, p.b as b, count(*) as n from b group by 1, 2 having count(*) > 1)
+select b.p_partkey as part, count(*) as n, sum(case when g.n is not null then log10(g.n / ua.n) else -0.25 + log10(ub.n / (select sum(n) from u)) end) as log10p
+from b left join g on g.a = b.p.a and g.b = b.p.b join u ua on ua.w = b.p.a join u ub on ub.w = b.p.b group by b.p_partkey"""
+
+
+@query(ARPA_SQL)
+def backoff_scores(spark, sf_dir):
+    """Names of parts by a model of their own words, and of pairs of words that occur more than once."""
+    words = F.filter(F.split("p_name", " "), lambda w: w != "")
+    lines = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc_id"), F.lit(0).alias("line"), F.concat(F.array(F.lit("<s>")), words, F.array(F.lit("</s>"))).alias("t"))
+    single = lines.select(F.explode("t").alias("ngram")).groupBy("ngram").agg(F.count("*").alias("n"))
+    total = single.agg(F.sum("n").alias("total"))
+    pairs = language_model.bigrams(lines).groupBy("a", "b").agg(F.count("*").alias("n_ab")).where("n_ab > 1").join(single.select(F.col("ngram").alias("a"), "n"), "a")
+    arpa = single.join(F.broadcast(total)).select(F.lit(1).alias("order"), "ngram", F.log10(F.col("n") / F.col("total")).alias("log10p"), F.lit(-0.25).alias("backoff"))
+    arpa = arpa.union(pairs.select(F.lit(2), F.concat_ws(" ", "a", "b"), F.log10(F.col("n_ab") / F.col("n")), F.lit(0.0)))
+    return language_model.backoff_scores(lines, materialize(arpa, "arpa"), 2).select(F.col("doc_id").alias("part"), "n", "log10p")
+
+
+def bayes_sql(rows: str, target: str) -> str:
+    """(doc_id, prob) by the words of rows (doc_id, text, l), of those with a label l."""
+    words = f"list_filter(regexp_split_to_array(lower(text), {q(f'[{P.SPACES}]+')}), lambda w: w <> '')"
+    return f"""(with r as ({rows}), w as (select doc_id, l, unnest({words}) as word from r), c as (select word, l, count(*) as k from w where l is not null group by 1, 2),
+    t as (select l, sum(k) as of_l from c group by l), g as (select word, l, ln(1 + 2.0::double * k * (select sum(of_l) from t) / of_l) as x from c join t using (l)),
+    n as (select doc_id, word, count(*) as k from w group by 1, 2), s as (select doc_id, g.l, sum(n.k * x) as s from n join g using (word) group by 1, 2),
+    m as (select doc_id, max(s) as best, max(case when l = {q(target)} then s end) as own, count(*) as seen from s group by doc_id),
+    z as (select doc_id, sum(exp(s.s - m.best)) as z from s join m using (doc_id) group by doc_id)
+    select r.doc_id, case when own = best then 1.0::double / (z + ((select count(*) from t) - seen) * exp(-best)) else 0.0::double end as prob from (select distinct doc_id from r) r left join m using (doc_id) left join z using (doc_id))"""
+
+
+LANG_SQL = bayes_sql("select doc_id, text, lang as l from documents", "en")
+TOXIC_SQL = bayes_sql("select d.doc_id, text, cast(toxic as varchar) as l from documents d left join labels using (doc_id)", "1")
+
+
+@query(f"select doc_id, round(prob, 6) as lang_prob from {LANG_SQL}")
 def language_probability(spark, sf_dir):
-    return language_model.language_classes(table(spark, sf_dir, "documents"), "en")
+    """Rounded: sums of logarithms depend on their order in the last places."""
+    return language_model.language_classes(table(spark, sf_dir, "documents"), "en").select("doc_id", F.round("lang_prob", 6).alias("lang_prob"))
 
 
-@query()
+@query(f"select case when outcome = 'pass-all' and prob < 0.9 then 'lang-prob' else outcome end as outcome, count(*) as n from ({FORUM_REASON_SQL}) join {LANG_SQL} using (doc_id) group by 1")
 def filter_with_language(spark, sf_dir):
     """The whole cascade: native conditions and the language probability last."""
     docs = table(spark, sf_dir, "documents")
@@ -535,6 +834,20 @@ def streamed_packing(spark, sf_dir):
     return streams.totals(out, ["shard", "part"], "shard", 256)
 
 
+@query("""select c.conv_id || '-' || c.turn as comment, q.text as quoted_text from conversations c left join conversations q on q.conv_id = c.conv_id and q.turn = c.turn - 1""")
+def streamed_quotes(spark, sf_dir):
+    """Every turn quotes the one before it in its conversation."""
+    name = lambda back: F.concat_ws("-", F.col("conv_id").cast("string"), (F.col("turn") - back).cast("string"))
+    rows = stream_of(spark, sf_dir, "conversations").select("conv_id", name(0).alias("comment"), name(1).alias("quoted"), "text", "turn")
+    return streams.drained(streams.quoted(rows, "conv_id", "comment", "quoted", "text", "turn"), "quotes")
+
+
+@query(f"""select doc_id, md5(regexp_replace(text, {q(f'(^|[^{P.WORD_CHAR}]){P.NATIONAL_ID}($|[^{P.WORD_CHAR}])')}, '\\1010101-001Z\\2', 'g')) as text_md5 from documents""")
+def streamed_masks(spark, sf_dir):
+    out = streams.masked_ids(stream_of(spark, sf_dir, "documents").select("doc_id", "text"))
+    return streams.drained(out.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5")), "masked")
+
+
 # ---- unicode, chunks, generated text ----
 
 @query("select doc_id, md5(nfc_normalize(text)) as text_md5 from documents")
@@ -549,12 +862,12 @@ def repaired_texts(spark, sf_dir):
     return U.repaired(broken).select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
-@query("select doc_id, md5(text) as text_md5 from documents where regexp_full_match(text, '[\\x00-\\x{FF}]*')")
+@query("select doc_id, md5(text) as text_md5 from documents")
 def decoded_texts(spark, sf_dir):
-    """Bytes in one of two encodings, by the parity of the id."""
-    docs = table(spark, sf_dir, "documents").where(F.col("text").rlike("^[\\x00-\\x{FF}]*$"))
-    content = F.when(F.col("doc_id") % 2 == 0, F.encode("text", "UTF-8")).otherwise(F.encode("text", "ISO-8859-1"))
-    return docs.select("doc_id", F.md5(U.decoded(content).cast("binary")).alias("text_md5"))
+    """Bytes in one of two encodings: every other text is Latin-1 if it can be."""
+    latin = (F.col("doc_id") % 2 == 1) & F.col("text").rlike("^[\\x00-\\x{FF}]*$")
+    content = F.when(latin, F.encode("text", "ISO-8859-1")).otherwise(F.encode("text", "UTF-8"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(U.decoded(content).cast("binary")).alias("text_md5"))
 
 
 @query("""with l as (select doc_id, unnest(string_split(text, chr(10))) as v, unnest(range(0, len(string_split(text, chr(10))))) as p from documents)
@@ -584,24 +897,49 @@ def marked_ends(spark, sf_dir):
     return rows.select("event_id", F.size("ids").alias("n"), F.element_at("ids", -1).alias("last"))
 
 
-@query()
+@query(f"select doc_id, round(prob, 6) as toxic_prob from {TOXIC_SQL}")
 def toxicity_scores(spark, sf_dir):
     """A word classifier learned from the labels, for all documents."""
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("i"), F.col("toxic").cast("string").alias("mark"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     docs = docs.join(labels, docs["doc_id"] == labels["i"], "left").select("doc_id", "text", "mark")
-    return language_model.language_classes(docs, "1", lang_col="mark").withColumnRenamed("lang_prob", "toxic_prob")
+    return language_model.language_classes(docs, "1", lang_col="mark").select("doc_id", F.round("lang_prob", 6).alias("toxic_prob"))
 
 
-@query()
+JUDGED_SQL = f"""select d.doc_id, d.source, case when toxic is not null then toxic = 1 else prob * share / (prob * share + (1 - prob) * (1 - share)) >= 0.5 end as is_toxic
+from documents d left join labels using (doc_id) join {TOXIC_SQL} p on p.doc_id = d.doc_id cross join (select least(avg(toxic), 0.5) as share from labels)"""
+
+
+@query(f"select doc_id, source from ({JUDGED_SQL}) where not is_toxic")
 def toxicity_filtered(spark, sf_dir):
     """Every text is judged: by its label where there is one, else by its score."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return filters.toxicity_filter(docs, table(spark, sf_dir, "labels")).select("doc_id", "source")
 
 
-@query()
+@query(f"select doc_id, source from ({JUDGED_SQL}) where is_toxic")
 def toxicity_removed(spark, sf_dir):
     """What toxicity_filtered drops."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return filters.toxicity_filter(docs, table(spark, sf_dir, "labels"), invert=True).select("doc_id", "source")
+
+
+LOW_SQL = bayes_sql("select d.doc_id, text, cast(1 - quality as varchar) as l from documents d left join labels using (doc_id)", "1")
+
+
+@query(f"""select doc_id, array_to_string(list_filter([case when l.prob >= 0.5 then 'low' end, case when t.prob >= 0.5 then 'toxic' end], lambda x: x is not null), ' ') as labels
+from {LOW_SQL} l join {TOXIC_SQL} t using (doc_id)""")
+def document_labels(spark, sf_dir):
+    """All labels of every document, each by a classifier of its own."""
+    marks = table(spark, sf_dir, "labels").select("doc_id", "toxic", (1 - F.col("quality")).alias("low"))
+    found = filters.label_sets(table(spark, sf_dir, "documents").select("doc_id", "text"), marks, ["toxic", "low"])
+    return found.select("doc_id", F.array_join("labels", " ").alias("labels"))
+
+
+@query("""with t as (select doc_id, replace(replace(text, 'a', 'a' || chr(803) || chr(769)), '. ', '. ' || chr(769)) as text from documents)
+select doc_id, md5(regexp_replace(nfc_normalize(replace(text, ' ' || chr(769), chr(39))), '[\\x{300}-\\x{36F}]', '', 'g')) as text_md5 from t""")
+def unmarked_texts(spark, sf_dir):
+    """Composed forms without the combining marks that are left, of texts that got some."""
+    marked = F.replace(F.replace(F.col("text"), F.lit("a"), F.lit("a\u0323\u0301")), F.lit(". "), F.lit(". \u0301"))
+    rows = U.normalized(table(spark, sf_dir, "documents").select("doc_id", marked.alias("text")), "NFC", combining=False)
+    return rows.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"))

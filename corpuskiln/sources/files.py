@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpuskiln.functions.masking import replaced
+
 
 def jsonl(spark: SparkSession, path, schema: str = "id string, text string", tolerant: bool = False) -> DataFrame:
     """JSON lines by an explicit schema. Strict reading fails on a bad line; tolerant reading keeps it in
@@ -22,40 +24,84 @@ def jsonl(spark: SparkSession, path, schema: str = "id string, text string", tol
     return reader.schema(schema + (", _corrupt_record string" if tolerant else "")).json(path)
 
 
-def text_documents(spark: SparkSession, path) -> DataFrame:
-    """(text): every line that isn't blank."""
+def text_documents(spark: SparkSession, path, recursive: bool = False) -> DataFrame:
+    """(text): every line that isn't blank, of a file or of all files below a folder."""
     from corpuskiln.functions.text import is_blank
 
-    return spark.read.text(path).withColumnRenamed("value", "text").where(~is_blank("text"))
+    found = spark.read.option("recursiveFileLookup", recursive).text(path)
+    return found.withColumnRenamed("value", "text").where(~is_blank("text"))
+
+
+def zst_lines(spark: SparkSession, path: str, glob: str = "*.zst") -> DataFrame:
+    """(file, pos, value) of text files in Zstandard frames of any window up to 2**31 bytes, decompressed as a stream."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path).select("path", "content")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        for batch in batches:
+            for file, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                raw = zstandard.ZstdDecompressor(max_window_size=2**31).stream_reader(io.BytesIO(content.as_py()), read_across_frames=True)
+                lines, size, pos = [], 0, 0
+                for line in io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline="\n"):
+                    lines.append(line.rstrip("\n"))
+                    size += len(line)
+                    if size > BATCH_BYTES:
+                        yield lines_batch(file, pos, lines)
+                        pos, lines, size = pos + len(lines), [], 0
+                if lines:
+                    yield lines_batch(file, pos, lines)
+
+    return found.mapInArrow(run, "file string, pos bigint, value string")
+
 
+def lines_batch(file: str, pos: int, lines: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([file] * len(lines)), pa.array(range(pos, pos + len(lines)), pa.int64()), pa.array(lines)], names=["file", "pos", "value"])
 
-def web_records(spark: SparkSession, path: str, types: tuple[str, ...] = ("response", "conversion"), glob: str = "*.gz") -> DataFrame:
-    """(record_id, refers_to, record_type, uri, date, mime, payload) of gzip or plain web archives.
 
-    Only the given record types; ids without their angle brackets; a response's payload is what
-    follows its HTTP headers.
+#: Bytes of payload that a reader holds before it hands rows on.
+BATCH_BYTES = 8_000_000
+RECORD = pa.schema([(c, pa.string()) for c in ("record_id", "refers_to", "record_type", "uri", "date", "mime")] + [("length", pa.int64()), ("payload", pa.binary())])
+
+
+def web_records(spark: SparkSession, path: str, types: tuple[str, ...] | None = ("response", "conversion"), glob: str = "*.gz") -> DataFrame:
+    """(record_id, refers_to, record_type, uri, date, mime, length, payload) of gzip or plain web archives.
+
+    Only the given record types, all if None; ids without their angle brackets; a response's payload is what
+    follows its HTTP headers; length is what the record's header says. An archive is read as a stream and its
+    records handed on as they come; its compressed bytes are one value, so a file may have 2 GB.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path).select("content")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path).select("content")
+
+    def row(fields: dict, body: bytes) -> tuple:
+        inner = None
+        if fields.get("warc-type") == "response" and body.startswith(b"HTTP/"):
+            head, _, body = body.partition(b"\r\n\r\n")
+            inner = next((x.split(":", 1)[1].strip() for x in head.decode("latin-1").split("\r\n") if x.lower().startswith("content-type:")), None)
+        bare = lambda x: x[1:-1] if x and x[0] == "<" and x[-1] == ">" else x
+        mime = fields.get("warc-identified-payload-type") or inner or fields.get("content-type")
+        return bare(fields.get("warc-record-id")), bare(fields.get("warc-refers-to")), fields.get("warc-type"), fields.get("warc-target-uri"), fields.get("warc-date"), mime, int(fields.get("content-length", 0)), body
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
         for batch in batches:
             for content in batch.column("content"):
-                rows = []
                 for fields, body in archive_records(content.as_py()):
-                    kind = fields.get("warc-type")
-                    if kind not in types:
+                    if types is not None and fields.get("warc-type") not in types:
                         continue
-                    inner = None
-                    if kind == "response" and body.startswith(b"HTTP/"):
-                        head, _, body = body.partition(b"\r\n\r\n")
-                        inner = next((x.split(":", 1)[1].strip() for x in head.decode("latin-1").split("\r\n") if x.lower().startswith("content-type:")), None)
-                    bare = lambda x: x[1:-1] if x and x[0] == "<" and x[-1] == ">" else x
-                    mime = fields.get("warc-identified-payload-type") or inner or fields.get("content-type")
-                    rows.append((bare(fields.get("warc-record-id")), bare(fields.get("warc-refers-to")), kind, fields.get("warc-target-uri"), fields.get("warc-date"), mime, body))
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.string()] * 6 + [pa.binary()], strict=True)], names=["record_id", "refers_to", "record_type", "uri", "date", "mime", "payload"])
+                    rows.append(row(fields, body))
+                    size += len(body)
+                    if size > BATCH_BYTES:
+                        yield records_batch(rows)
+                        rows, size = [], 0
+        if rows:
+            yield records_batch(rows)
+
+    return found.mapInArrow(run, "record_id string, refers_to string, record_type string, uri string, date string, mime string, length bigint, payload binary")
 
-    return files.mapInArrow(run, "record_id string, refers_to string, record_type string, uri string, date string, mime string, payload binary")
+
+def records_batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), RECORD, strict=True)], schema=RECORD)
 
 
 def archive_records(content: bytes):
@@ -108,16 +154,16 @@ IGNORED_CONTENT = [
 
 
 def content_text(node: dict) -> list[str]:
-    """Paragraphs of a tree of content items: texts, lists and nested documents."""
+    """Paragraphs of a tree of content items: texts, lists and nested documents. An item of the wrong shape is left out."""
     out = []
-    for item in node.get("content") or []:
+    for item in (x for x in node.get("content") or [] if isinstance(x, dict)):
         kind = item.get("type")
         if kind in IGNORED_CONTENT:
             continue
         if kind == "bullet-list":
-            out.append("\n".join(f"• {x}" for x in item.get("items", [])))
+            out.append("\n".join(f"• {x}" for x in item.get("items") or []))
         elif kind == "numbered-list":
-            out.append("\n".join(f"{i}. {x}" for i, x in enumerate(item.get("items", []), 1)))
+            out.append("\n".join(f"{i}. {x}" for i, x in enumerate(item.get("items") or [], 1)))
         elif "text" in item:
             out.append(item["text"])
         for inner in (item, *(item.get("pages") or []), *(x for x in item.get("items") or [] if isinstance(x, dict))):
@@ -131,10 +177,36 @@ def news_json(raw: DataFrame, value: str = "value", prefix: str = "news") -> Dat
     so its rendering is an Arrow-batched function over its JSON."""
     fields = "data array<string>"
     docs = raw.select(F.explode(F.from_json(value, fields)["data"]).alias("d"))
-    render = F.pandas_udf(lambda s: pd.Series(["\n\n".join(content_text(json.loads(x))) for x in s]), "string")
+    render = F.pandas_udf(lambda s: pd.Series(["\n\n".join(content_text(read_tree(x))) for x in s]), "string")
     return docs.select(F.concat(F.lit(f"{prefix}:"), F.get_json_object("d", "$.id")).alias("id"), render("d").alias("text"), F.get_json_object("d", "$.url.full").alias("url"), F.get_json_object("d", "$.language").alias("language"))
 
 
+def read_tree(text: str | None) -> dict:
+    """A document's JSON; an empty one for what is not an object."""
+    try:
+        tree = json.loads(text or "")
+    except ValueError:
+        return {}
+    return tree if isinstance(tree, dict) else {}
+
+
+def news_files(spark: SparkSession, path: str, prefix: str = "news", glob: str = "*.json") -> DataFrame:
+    """news_json() of all JSON files below a folder."""
+    found = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path, wholetext=True)
+    return news_json(found, "value", prefix)
+
+
+def book_documents(spark: SparkSession, path: str, prefix: str = "book", glob: str = "*.txt") -> DataFrame:
+    """(id, license, produced_by, text) of book files, one a file, named after it; UTF-8 or ISO-8859-1."""
+    from corpuskiln.functions import news
+    from corpuskiln.functions.unicode import decoded
+
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
+    name = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "")
+    rows = found.select(F.concat(F.lit(f"{prefix}:"), name).alias("id"), news.split_metadata(news.book_paragraphs(decoded("content"))).alias("m"))
+    return rows.select("id", "m.license", "m.produced_by", F.translate(F.array_join("m.paragraphs", "\n\n"), "_", "").alias("text"))
+
+
 def fixed_vectors(spark: SparkSession, path: str, columns: list[str], dim: int) -> DataFrame:
     """Rows of little-endian unsigned 16-bit vectors, one of dim numbers for each column."""
     width = 2 * dim * len(columns)
@@ -152,46 +224,6 @@ def fixed_vectors(spark: SparkSession, path: str, columns: list[str], dim: int)
     return files.mapInArrow(run, ", ".join(f"{c} array<int>" for c in columns))
 
 
-def html_text(html: str | None) -> str | None:
-    """Text of a page: scripts and styles left out, block elements on lines of their own."""
-    if html is None:
-        return None
-    from html.parser import HTMLParser
-
-    blocks = {"p", "div", "br", "li", "ul", "ol", "tr", "table", "h1", "h2", "h3", "h4", "h5", "h6", "article", "section", "header", "footer", "nav", "title", "body", "blockquote", "pre"}
-
-    class Reader(HTMLParser):
-        def __init__(self):
-            super().__init__(convert_charrefs=True)
-            self.out, self.skip = [], 0
-
-        def handle_starttag(self, tag, attrs):
-            if tag in ("script", "style", "noscript"):
-                self.skip += 1
-            elif tag in blocks:
-                self.out.append("\n")
-
-        def handle_endtag(self, tag):
-            if tag in ("script", "style", "noscript"):
-                self.skip = max(0, self.skip - 1)
-            elif tag in blocks:
-                self.out.append("\n")
-
-        def handle_data(self, data):
-            if not self.skip:
-                self.out.append(data)
-
-    reader = Reader()
-    reader.feed(html)
-    reader.close()
-    lines = (" ".join(x.split()) for x in "".join(reader.out).split("\n"))
-    return "\n".join(x for x in lines if x)
-
-
-def extract_html(html) -> Column:
-    return F.pandas_udf(lambda s: pd.Series([html_text(x) for x in s]), "string")(html)
-
-
 def write_jsonl(docs: DataFrame, path: str, sort_keys: bool = False, mode: str = "errorifexists") -> None:
     (docs.select(*sorted(docs.columns)) if sort_keys else docs).write.mode(mode).json(path)
 
@@ -206,3 +238,13 @@ def readable(docs: DataFrame, id_col: str = "id", text_col: str = "text") -> Dat
     """(value): a dashed header with the id, then the text."""
     line = F.repeat(F.lit("-"), 10)
     return docs.select(F.concat(line, F.lit(" "), F.col(id_col), F.lit(" "), line, F.lit("\n"), F.col(text_col)).alias("value"))
+
+
+def ascii_json(value: Column) -> Column:
+    """JSON text with every character beyond ASCII written as \\uXXXX, by UTF-16 units."""
+    units = lambda p: F.lower(F.regexp_replace(F.hex(F.encode(p, "UTF-16BE")), "(.{4})", r"\\\\u$1"))
+    return replaced(value, r"[^\x00-\x7F]+", units)
+
+
+def write_ascii_jsonl(docs: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    docs.select(ascii_json(F.to_json(F.struct(*docs.columns))).alias("value")).write.mode(mode).text(path)

@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpuskiln.functions import text as T
+from corpuskiln.functions.html import resolved
+from corpuskiln.functions.markdown import post_text
+from corpuskiln.functions.masking import bound, replaced
 
 
 def read_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
@@ -27,10 +30,16 @@ def segments(lines: DataFrame, starts: Column) -> DataFrame:
 
 
 def attributes(line: Column) -> Column:
-    """name="value" pairs of a line as a map; the last of equal names wins."""
-    pairs = F.regexp_extract_all(line, F.lit('([A-Za-z_:][\\w:.-]*)="[^"]*"'), F.lit(1))
+    """name="value" pairs of a line as a map, character references resolved; the last of equal names wins."""
+    last = bound(attribute_pairs(line), lambda pairs: F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["name"] == p["name"])))
+    return F.map_from_entries(F.transform(last, lambda p: F.struct(p["name"], resolved(p["value"]))))
+
+
+def attribute_pairs(line: Column) -> Column:
+    """array<struct<name, value>> of a line's attributes, as they are written."""
+    names = F.regexp_extract_all(line, F.lit('([A-Za-z_:][\\w:.-]*)="[^"]*"'), F.lit(1))
     values = F.regexp_extract_all(line, F.lit('[A-Za-z_:][\\w:.-]*="([^"]*)"'), F.lit(1))
-    return F.map_from_entries(F.arrays_zip(pairs, values))
+    return F.zip_with(names, values, lambda n, v: F.struct(n.alias("name"), v.alias("value")))
 
 
 def first_after(lines: Column, prefix: str) -> Column:
@@ -62,6 +71,60 @@ def parsed_corpus(lines: DataFrame, collection: str = "corpus") -> DataFrame:
     )
 
 
+def plain_corpus(lines: DataFrame) -> DataFrame:
+    """(id, text, attributes) of the same lines, closed by '# </doc>' only: documents that aren't closed, or that
+    have no paragraph line, don't count; ids have no prefix, and are ERROR where attributes are missing."""
+    marked = segments(lines, F.col("value").startswith("# <doc "))
+    end = F.min(F.when(F.col("value").startswith("# </doc>"), F.col("pos"))).over(Window.partitionBy("file", "doc"))
+    inside = marked.withColumn("end", end).where("pos < end")
+    starts = inside.where(F.col("value").startswith("# <p>") | F.col("value").startswith("# <p ")).select("file", "doc").distinct()
+    inside = inside.join(starts, ["file", "doc"], "left_semi")
+    w = Window.partitionBy("file", "doc").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    par = F.sum(F.when(F.col("value").startswith("# <p>") | F.col("value").startswith("# <p "), 1).otherwise(0)).over(w)
+    sentence = F.when(F.col("value").startswith("# text = "), F.struct("par", "pos", F.substr("value", F.lit(10)).alias("s")))
+    docs = inside.withColumn("par", par).groupBy("file", "doc").agg(F.min_by("value", "pos").alias("head"), F.array_sort(F.collect_list(sentence)).alias("sent"))
+    numbers = F.array_distinct(F.transform("sent", lambda x: x["par"]))
+    text = F.array_join(F.transform(numbers, lambda k: F.array_join(F.transform(F.filter("sent", lambda x: x["par"] == k), lambda x: x["s"]), " ")), "\n\n")
+    attrs = attributes(F.col("head"))
+    both = F.when(attrs["collection"].isNotNull() & attrs["url"].isNotNull(), F.concat_ws(":", attrs["collection"], attrs["url"]))
+    return docs.select(F.coalesce(attrs["id"], attrs["urn"], both, F.lit("ERROR")).alias("id"), text.alias("text"), attrs.alias("attributes"))
+
+
+def corpus_blocks(lines: DataFrame) -> DataFrame:
+    """(file, doc, register, lex_ppl, delex_ppl, block): documents of a parsed corpus as they are, all their lines,
+    with what register_filter() looks at."""
+    marked = segments(lines, F.col("value").startswith("# <doc "))
+    docs = marked.groupBy("file", "doc").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "value"))), lambda x: x["value"]).alias("l"))
+    return docs.select(
+        "file", "doc", first_after(F.col("l"), "# predicted register: ").alias("register"), first_after(F.col("l"), "# lex_lm_mean_perplexity: ").cast("double").alias("lex_ppl"),
+        first_after(F.col("l"), "# delex_lm_mean_perplexity: ").cast("double").alias("delex_ppl"), F.array_join("l", "\n").alias("block"),
+    )
+
+
+def start_element_id(line: Column, prefix: str = "s24") -> Column:
+    """The prefix and the MD5 of a start line as a closed XML element: attributes in their order, references and
+    characters beyond ASCII as XML writes them."""
+    escape = lambda v: F.replace(F.replace(F.replace(F.replace(v, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), F.lit('"'), F.lit("&quot;"))
+    references = lambda v: replaced(v, r"[^\x00-\x7F]", lambda c: F.concat(F.lit("&#"), F.conv(F.hex(F.encode(c, "UTF-32")), 16, 10), F.lit(";")))
+    written = F.transform(attribute_pairs(line), lambda p: F.concat(F.lit(" "), p["name"], F.lit('="'), references(escape(resolved(p["value"]))), F.lit('"')))
+    name = F.regexp_extract(line, "^<([A-Za-z]+)", 1)
+    return F.concat(F.lit(f"{prefix}:"), F.md5(F.concat(F.lit("<"), name, F.array_join(written, ""), F.lit(" />")).cast("binary")))
+
+
+def vrt_documents(lines: DataFrame, prefix: str = "s24") -> DataFrame:
+    """(id, text, attributes) of <text ...> elements of one token a line: word first, white space marks ninth.
+
+    Comment lines and the start and end lines of paragraphs and sentences are left out; a text that isn't closed,
+    too. Words' &lt; &gt; &amp; are resolved, then white space is put in order.
+    """
+    marked = segments(lines.where(~F.col("value").startswith("<!-- ")), F.col("value").startswith("<text "))
+    fields = F.split("value", "\t")
+    token = F.when(~F.col("value").rlike("^</?(?:text|paragraph|sentence)[ >]"), F.struct("pos", T.unescape_markup(fields[0]).alias("word"), F.coalesce(F.get(fields, 8), F.lit("_")).alias("spaces")))
+    docs = marked.groupBy("file", "doc").agg(F.min_by("value", "pos").alias("head"), F.array_sort(F.collect_list(token)).alias("t"), F.max(F.col("value").startswith("</text>")).alias("closed"))
+    tokens = F.transform("t", lambda x: F.struct(x["word"], x["spaces"]))
+    return docs.where("closed").select(start_element_id(F.col("head"), prefix).alias("id"), T.corpus_spaces(token_text(tokens)).alias("text"), attributes(F.col("head")).alias("attributes"))
+
+
 def encyclopedia(lines: DataFrame, prefix: str = "wiki") -> DataFrame:
     """(id, text, url) of <doc id="" url="" title=""> ... </doc> frames; the id is made of the title."""
     marked = segments(lines, F.col("value").startswith("<doc "))
@@ -73,12 +136,50 @@ def encyclopedia(lines: DataFrame, prefix: str = "wiki") -> DataFrame:
 
 
 def forum_posts(raw: DataFrame, value: str = "value", subreddit: str | None = None) -> DataFrame:
-    """(id, title, body, forum, bad) of JSON lines; unreadable ones are kept with bad true, for counting."""
+    """(id, title, body, forum, bad) of JSON lines; unreadable ones are kept with bad true, for counting. With a
+    subreddit only its posts: those without one, and unreadable lines, go."""
     fields = "id string, subreddit string, title string, body string, selftext string"
     rows = raw.withColumn("j", F.from_json(value, fields + ", _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
     bad = F.col("j").isNull() | F.col("j._corrupt").isNotNull()
     out = rows.select(F.col("j.id").alias("id"), F.col("j.title").alias("title"), F.coalesce("j.body", "j.selftext").alias("body"), F.col("j.subreddit").alias("forum"), bad.alias("bad"), *[c for c in raw.columns if c != value])
-    return out.where(F.col("bad") | (F.col("forum") == subreddit)) if subreddit else out
+    return out.where(~F.col("bad") & (F.col("forum") == subreddit)) if subreddit else out
+
+
+#: Bodies of posts that are gone.
+DELETED = ["[deleted]", "[removed]"]
+
+
+def post_outcomes(posts: DataFrame, order: str, subreddit: str | None = None) -> DataFrame:
+    """posts with ``outcome``: bad, other-forum, duplicate, deleted or output. The first post of an id by the order
+    counts, so one that is deleted hides later copies."""
+    mine = ~F.col("bad") & (F.lit(True) if subreddit is None else F.coalesce(F.col("forum") == subreddit, F.lit(False)))
+    place = F.row_number().over(Window.partitionBy(F.when(mine, F.col("id")), mine).orderBy(order))
+    rows = posts.withColumn("__n", place)
+    outcome = F.when(F.col("bad"), "bad").when(~mine, "other-forum").when(F.col("__n") > 1, "duplicate").when(F.col("body").isin(*DELETED), "deleted").otherwise("output")
+    return rows.withColumn("outcome", outcome).drop("__n")
+
+
+def post_counts(outcomes: DataFrame, by: list[str]) -> DataFrame:
+    """(..., total, in_forum, duplicates, deleted, output): the counters of a conversion by file."""
+    n = lambda condition, name: F.count_if(condition).alias(name)
+    o = F.col("outcome")
+    return outcomes.groupBy(*by).agg(F.count("*").alias("total"), n(~o.isin("bad", "other-forum"), "in_forum"), n(o == "duplicate", "duplicates"), n(o == "deleted", "deleted"), n(o == "output", "output"))
+
+
+def post_documents(outcomes: DataFrame, prefix: str = "reddit") -> DataFrame:
+    """(id, text, forum) of the posts that count: title and body as running text."""
+    return outcomes.where("outcome = 'output'").select(F.concat(F.lit(f"{prefix}:"), "id").alias("id"), post_text("title", "body").alias("text"), "forum")
+
+
+def numbered_words(lines: DataFrame, content: str = "content") -> DataFrame:
+    """(number, word, outcome) of byte lines '<blanks>digits word': outcome is word, bad-number, or undecodable for
+    words that aren't UTF-8. The word keeps its leading blank."""
+    # bytes as characters of one byte each, so that the number can be cut off whatever follows it
+    chars = F.decode(F.regexp_replace(F.decode(content, "ISO-8859-1"), "\n$", "").cast("binary"), "UTF-8")
+    number, rest = F.regexp_extract(chars, "^[ \t]*([0-9]+)(?s)(.+)$", 1), F.regexp_extract(chars, "^[ \t]*([0-9]+)(?s)(.+)$", 2)
+    word = F.try_validate_utf8(F.encode(rest, "ISO-8859-1").cast("string"))
+    outcome = F.when(number == "", "bad-number").when(word.isNull(), "undecodable").otherwise("word")
+    return lines.select(F.when(number != "", number.cast("bigint")).alias("number"), F.when(number != "", word).alias("word"), outcome.alias("outcome"))
 
 
 def word_frequencies(lines: DataFrame, value: str = "value") -> DataFrame:

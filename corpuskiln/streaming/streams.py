@@ -31,28 +31,27 @@ def first_seen(rows: DataFrame, key: str, event_time: str | None = None, delay:
     return rows.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
 
 
-def quoted(rows: DataFrame, thread: str, comment: str, quoted_comment: str, text: str) -> DataFrame:
+def quoted(rows: DataFrame, thread: str, comment: str, quoted_comment: str, text: str, position: str, forget: str = "1 day") -> DataFrame:
     """(comment, quoted_text) by thread: the latest text seen so far under the quoted id.
 
-    State is the texts of a thread, dropped after a day without rows.
+    The rows of a thread in one batch are taken in the order of their position; a row is stored before it looks
+    up. State is the texts of a thread, dropped after so long without rows.
     """
-    schema = rows.schema
+    keep = pd.Timedelta(forget) // pd.Timedelta("1ms")
 
     def step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
         known = dict(zip(*state.get, strict=True)) if state.exists else {}
-        for frame in frames:
-            out = []
-            for c, wanted, body in zip(frame[comment], frame[quoted_comment], frame[text], strict=True):
-                known[str(c)] = body
-                out.append((str(c), known.get(str(wanted))))
-            yield pd.DataFrame(out, columns=["comment", "quoted_text"])
+        out = []
+        for _, r in pd.concat(list(frames)).sort_values(position, kind="stable").iterrows():
+            known[str(r[comment])] = r[text]
+            out.append((str(r[comment]), known.get(str(r[quoted_comment]))))
+        yield pd.DataFrame(out, columns=["comment", "quoted_text"])
         state.update((list(known), list(known.values())))
-        state.setTimeoutDuration(24 * 3600 * 1000)
+        state.setTimeoutDuration(keep)
 
-    assert {thread, comment, quoted_comment, text} <= set(schema.names)
     return rows.groupBy(thread).applyInPandasWithState(step, "comment string, quoted_text string", "ids array<string>, texts array<string>", "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 

@@ -45,3 +45,33 @@ def test_packing_is_dealt_into_more_parts_than_shards(spark, tmp_path, monkeypat
     got = {r["shard"]: r["blocks"] for r in registry.streamed_packing(spark, str(tmp_path)).collect()}
     assert got == {s: sum(i % 7 % 4 == s for i in range(70_000)) * 3 // 256 for s in range(4)}
     assert seen[0].select("shard", "part").distinct().count() == 20
+
+
+def test_quotes_follow_positions_within_and_across_batches(spark, tmp_path):
+    rnd = random.Random(7)
+    rows = []
+    for thread in range(6):
+        for pos in range(25):
+            rows.append((f"t{thread}", f"c{thread}-{rnd.randrange(12)}", f"c{thread}-{rnd.randrange(12)}", f"text {thread} {pos}", pos))
+    df = spark.createDataFrame(rows, "thread string, comment string, quoted string, text string, pos int")
+    for k in range(2):  # two batches, each out of order
+        df.where(f"pos {'<' if k == 0 else '>='} 12").orderBy(F.rand(3)).coalesce(1).write.parquet(str(tmp_path / "in" / f"{k}"))
+    stream = spark.readStream.schema(df.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    got = streams.drained(streams.quoted(stream, "thread", "comment", "quoted", "text", "pos"), "quotes").collect()
+    known, expected = {}, []
+    for thread, comment, quoted, text, _ in sorted(rows, key=lambda r: (r[0], r[4])):
+        known[thread, comment] = text
+        expected.append((comment, known.get((thread, quoted))))
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, expected))
+
+
+def test_first_seen_with_a_watermark(spark, tmp_path):
+    df = spark.sql("select id % 10 as k, timestamp_seconds(id) as ts from range(200)")
+    got = streams.drained(streams.first_seen(source(spark, tmp_path, df, 1), "k", "ts"), "watermark")
+    assert sorted(r["k"] for r in got.collect()) == list(range(10))
+
+
+def test_masked_ids_as_a_stream(spark, tmp_path):
+    df = spark.createDataFrame([(1, "x 010190-123A y"), (2, None)], "i int, text string")
+    got = streams.drained(streams.masked_ids(source(spark, tmp_path, df, 1)), "masks")
+    assert {r["i"]: r["text"] for r in got.collect()} == {1: "x 010101-001Z y", 2: None}
