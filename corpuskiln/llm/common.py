@@ -11,13 +11,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskiln.storage import BROADCAST_BYTES, if_small, materialize, measured, shared_dir  # noqa: F401
+from corpuskiln.operators.joins import spread_join  # noqa: F401
+from corpuskiln.storage import if_small, materialize, shared_dir  # noqa: F401
 
 #: Characters of text that one numpy pass works on; bounds a Python worker's memory.
 CHUNK_CHARS = 750_000
-#: Rows of one key that may meet in a task, and keys with more that may be broadcast: the bound on rows grows
-#: with the table so that the keys beyond it stay that few.
-HOT_ROWS, HOT_KEYS = 256, 100_000
 
 
 def discard(df: DataFrame) -> None:
@@ -146,23 +144,6 @@ def as_signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def spread_join(rows: DataFrame, other: DataFrame, key: str, sizes: DataFrame, by: str, how: str = "inner") -> DataFrame:
-    """rows joined (inner or left) with other, which has one row a key, so that no key meets in one task.
-
-    sizes: (key, n) of at least the keys that have many rows. Keys over the bound, at most HOT_KEYS of them
-    by arithmetic, are cut into parts by a hash of the column ``by``; their row of other goes to every part. A
-    table other that is measured small is broadcast instead.
-    """
-    if measured(other) <= BROADCAST_BYTES:
-        return rows.join(F.broadcast(other), key, how)
-    total = sizes.agg(F.sum("n").alias("n")).first()["n"] or 0
-    bound = max(HOT_ROWS, total // HOT_KEYS)
-    hot = F.broadcast(sizes.where(F.col("n") > bound).select(key, F.ceil(F.col("n") / bound).cast("int").alias("__parts")))
-    left = rows.join(hot, key, "left").withColumn("__part", F.expr(f"cast(pmod(xxhash64({by}), if({key} is null, 1000000, coalesce(__parts, 1))) as int)")).drop("__parts")
-    right = other.join(hot, key, "left").withColumn("__part", F.explode(F.expr("sequence(0, coalesce(__parts, 1) - 1)"))).drop("__parts")
-    return left.join(right, [key, "__part"], how).drop("__part")
-
-
 def without_ids(docs: DataFrame, dropped: DataFrame, id_col: str) -> DataFrame:
     """The rows of docs, all its columns, whose id isn't in the one column of dropped."""
     gone = if_small(dropped.toDF("__gone").distinct())

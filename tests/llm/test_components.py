@@ -1,7 +1,9 @@
 import random
 
 import pytest
+from corpuskiln import storage
 from corpuskiln.llm import common, components
+from corpuskiln.operators import joins
 from pyspark.sql import functions as F
 
 
@@ -10,15 +12,15 @@ def found(df):
 
 
 def test_a_star_of_many_leaves_is_cut_into_parts(spark, monkeypatch):
-    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(storage, "BROADCAST_BYTES", 0)
     star = spark.range(1, 100_001).select(F.lit(50_000_000).alias("a"), F.col("id").alias("b"))
     got = components.connected_components(star)
     assert got.count() == 100_001 and got.select("component").distinct().collect()[0][0] == 1
 
 
 def test_long_path_loops_and_random_edges(spark, monkeypatch):
-    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
-    monkeypatch.setattr(common, "HOT_ROWS", 3)
+    monkeypatch.setattr(storage, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(joins, "HOT_ROWS", 3)
     path = [(k, k + 1) for k in range(300)]
     rnd = random.Random(1)
     edges = path + [(1000 + rnd.randrange(200), 1000 + rnd.randrange(200)) for _ in range(90)] + [(5, 5), (7, None), (None, None), (3, 2), (2, 3)]
@@ -38,8 +40,8 @@ def test_rounds_that_run_out_are_an_error(spark, monkeypatch):
 
 
 def test_spread_join_equals_a_join(spark, monkeypatch):
-    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
-    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    monkeypatch.setattr(storage, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(joins, "HOT_ROWS", 5)
     rows = spark.range(500).select((F.col("id") % 7 * (F.col("id") % 3)).alias("k"), F.col("id").alias("v"))
     other = spark.createDataFrame([(k, f"x{k}") for k in range(8)], "k long, x string")
     sizes = rows.groupBy("k").agg(F.count("*").alias("n"))
