@@ -1,12 +1,15 @@
 """Near-duplicate vectors: spherical k-means cells, blocked cosine products within the cells.
 
-Every vector lies in the cell of its nearest centroid, its home, and visits the other cells that can
-hold a partner. If two unit vectors of cosine >= THRESHOLD, so at most d = sqrt(2 - 2 * THRESHOLD)
-apart, have different homes, the plane between the two centroids parts them, and one of them is
-within d / 2 of it. A vector visits the cells to whose plane it is that near; so every pair meets in
-a cell whatever the centroids are, and recall is 1. Cells are cut into blocks of BLOCK rows; each
-pair of blocks is one product, in double precision. From a block come the rows' link counts and, for the
-classes, one edge a row to the smallest row of its part of the block's graph, never the pairs.
+Every vector lies in the cell of its nearest centroid, its home, and visits other cells that can hold a
+partner. If two unit vectors of cosine >= THRESHOLD, so at most d = sqrt(2 - 2 * THRESHOLD) apart, have
+different homes, the plane between the two centroids parts them, and one of them is within d / 2 of it.
+With exact=True a vector visits all cells to whose plane it is that near; every pair then meets whatever
+the centroids are, but on vectors without clusters that is most cells. By default it visits the nearest of
+them only, as many as pairs at the threshold itself need to meet with a chance of RECALL; that is measured
+on the sample, with partners in random directions, before all vectors are placed (pairs of a higher cosine
+meet more often). Cells are cut into blocks of BLOCK rows; each pair of blocks is one product, in double
+precision. From a block come the rows' link counts and, for the classes, one edge a row to the smallest row
+of its part of the block's graph, never the pairs.
 
 The centroids are fitted on a bounded sample (SAMPLE vectors with the smallest hashes of their ids);
 all vectors are assigned and compared. Their number grows with the table, CELL vectors a cell, up to
@@ -14,9 +17,11 @@ MAX_CELLS, so what is broadcast is bounded.
 
 Defined cases: vectors that are null, empty, zero, hold null or non-finite components, or whose
 length isn't the commonest one link with nothing (n_links 0, component_id their own id); equal
-vectors are linked, and merged before all else, so that copies are counted but not compared; ids are
-unique (equal rows count as one another's partners); an empty table
-gives an empty result; further columns of the input are ignored.
+vectors are linked, and merged before all else, so that copies are counted but not compared; of equally near
+centroids the first is the home; ids are unique (equal rows count as one another's partners, rows that
+share an id with different vectors get the links of all of them); an empty table gives an empty result;
+further columns of the input are ignored; a vector takes its dimensions times 8 bytes for each cell of a
+worker's slice, however long it is.
 """
 
 from __future__ import annotations
@@ -28,12 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.llm.common import as_array, if_small, materialize, table
+from corpuskiln.llm.common import as_array, materialize, spread_join, table
 from corpuskiln.llm.components import connected_components
 
 THRESHOLD = 0.95
 SAMPLE, CELL, MAX_CELLS, ROUNDS = 20_000, 1500, 4096, 8
 BLOCK = 16_384
+#: Chance that a pair at the threshold meets, and the sampled vectors that it is measured on.
+RECALL, PROBED = 0.99, 2000
 #: Added to the distance to a plane within which a cell is visited, for rounding.
 EPSILON = 1e-9
 
@@ -67,17 +74,53 @@ def fit(sample: np.ndarray, cells: int) -> np.ndarray:
     return np.unique(centre, axis=0)
 
 
-def visits(x: np.ndarray, centre: np.ndarray, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
-    """(home of each row, [row, cell] whether it visits the cell; never its home)."""
+def gaps(centre: np.ndarray) -> np.ndarray:
+    """[cell, cell] distances of the centroids, from their products."""
+    dot = centre @ centre.T
+    size = np.diag(dot)
+    return np.sqrt(np.maximum(size[:, None] + size[None, :] - 2 * dot, 0))
+
+
+def to_planes(x: np.ndarray, centre: np.ndarray, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(home of each row, [row, cell] distance to the plane between its home and the cell; infinite for its home)."""
     dot = x @ centre.T
     home = dot.argmax(axis=1)
-    gap = np.linalg.norm(centre[:, None, :] - centre[None, :, :], axis=2)[home] if len(centre) <= 512 else np.sqrt(np.maximum(2 - 2 * (centre[home] @ centre.T), 0))
-    near = dot[np.arange(len(x)), home][:, None] - dot <= (np.sqrt(2 - 2 * threshold) / 2 + EPSILON) * gap + EPSILON
-    near[np.arange(len(x)), home] = False
+    rows = np.arange(len(x))
+    far = (dot[rows, home][:, None] - dot) / np.maximum(gap[home], 1e-12)
+    far[rows, home] = np.inf
+    return home, far
+
+
+def visits(x: np.ndarray, centre: np.ndarray, gap: np.ndarray, threshold: float = THRESHOLD, probes: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(home of each row, [row, cell] whether it visits the cell; never its home): the cells within reach, or the
+    nearest of them, as many as probes says."""
+    home, far = to_planes(x, centre, gap)
+    near = far <= np.sqrt(2 - 2 * threshold) / 2 + EPSILON
+    if probes is not None and probes < far.shape[1]:
+        few = np.zeros_like(near)
+        np.put_along_axis(few, np.argpartition(far, probes, axis=1)[:, :probes], True, axis=1)
+        near &= few
     return home, near
 
 
-def assigned(vectors: DataFrame, centre: np.ndarray, threshold: float) -> DataFrame:
+def probes_needed(sample: np.ndarray, centre: np.ndarray, threshold: float = THRESHOLD, recall: float = RECALL) -> int:
+    """How many of the nearest cells a vector has to visit so that a pair at the threshold meets with the chance
+    ``recall``: measured on sampled vectors and partners of exactly that cosine in random directions."""
+    x = sample[:PROBED]
+    if not len(x) or len(centre) < 2 or x.shape[1] < 2:
+        return len(centre)
+    side = np.random.default_rng(11).normal(size=x.shape)
+    side -= (side * x).sum(axis=1, keepdims=True) * x
+    side /= np.maximum(np.linalg.norm(side, axis=1, keepdims=True), 1e-12)
+    y = threshold * x + np.sqrt(1 - threshold**2) * side
+    gap, rows = gaps(centre), np.arange(len(x))
+    (home_x, far_x), (home_y, far_y) = to_planes(x, centre, gap), to_planes(y, centre, gap)
+    rank = lambda far, cell: (far < far[rows, cell][:, None]).sum(axis=1) + 1
+    need = np.where(home_x == home_y, 0, np.minimum(rank(far_x, home_y), rank(far_y, home_x)))
+    return max(1, int(np.quantile(need, recall, method="higher")))
+
+
+def assigned(vectors: DataFrame, centre: np.ndarray, threshold: float, probes: int | None = None) -> DataFrame:
     """(cell, home, vec_id, w, visited array<int>, v binary): a row for the home and each visited cell.
 
     v holds the components as they are stored, single or double; all arithmetic is in double precision.
@@ -91,6 +134,7 @@ def assigned(vectors: DataFrame, centre: np.ndarray, threshold: float) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = shared.value
+        gap = gaps(c)
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
@@ -99,7 +143,7 @@ def assigned(vectors: DataFrame, centre: np.ndarray, threshold: float) -> DataFr
                 if not len(good):
                     continue
                 ids = part.column("vec_id").take(pa.array(good)).cast(id_type)
-                home, near = visits(x, c, threshold)
+                home, near = visits(x, c, gap, threshold, probes)
                 row, cell = np.nonzero(near)
                 row, cell = np.concatenate((np.arange(len(x)), row)), np.concatenate((home, cell))
                 visited = [np.flatnonzero(n).astype(np.int32) for n in near]
@@ -204,8 +248,9 @@ def compared(placed: DataFrame, threshold: float, width: str) -> DataFrame:
     return dealt.mapInArrow(run, f"vec_id {kind}, n bigint, edge {kind}")
 
 
-def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) of every row."""
+def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = THRESHOLD, recall: float = RECALL, exact: bool = False) -> DataFrame:
+    """(vec_id, n_links, component_id, kept) of every row; exact: all cells within reach are visited, else as many
+    as the recall needs at the threshold."""
     rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("embedding"))
     sizes = rows.where("vec_id is not null and size(embedding) > 0").groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
     if not sizes:
@@ -217,20 +262,28 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     rows = rows.withColumn("key", F.when(usable, F.unhex(F.sha2(F.col("embedding").cast("string").cast("binary"), 256))))
     classes = rows.where("key is not null").groupBy("key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("w")).where("w > 1")
     classes = materialize(classes, "equal-vectors")
-    marked = rows.join(if_small(classes), "key", "left")
+    copies = classes.select("key", F.col("w").alias("n"))
+    marked = spread_join(rows, classes, "key", copies, "vec_id", "left")
     alone = marked.where("key is not null and rep is null").select("vec_id", "embedding", F.lit(1).cast("bigint").alias("w"))
     firsts = marked.where("vec_id = rep").dropDuplicates(["key"]).select("vec_id", "embedding", "w")
     points = alone.union(firsts)
-    sample = unit([r["embedding"] for r in points.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").collect()], dim)[1]
+    drawn = points.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").toArrow().column(0).combine_chunks()
+    sample = unit(list(drawn.flatten().to_numpy().reshape(-1, dim)), dim)[1]
     centre = fit(sample, min(MAX_CELLS, n // CELL + 1)) if len(sample) else np.zeros((1, dim))
-    found = materialize(compared(assigned(points, centre, threshold), threshold, stored(points)), "vector-links")
+    probes = None if exact else probes_needed(sample, centre, threshold, recall)
+    found = materialize(compared(assigned(points, centre, threshold, probes), threshold, stored(points)), "vector-links")
     component = connected_components(found.select(F.col("vec_id").alias("a"), F.col("edge").alias("b")))
     links = found.groupBy("vec_id").agg(F.sum("n").alias("n")).select(F.col("vec_id").alias("linked"), "n")
     # one row for each id that has links or stands for several, then the rows of the classes by their own
     known = links.join(component, F.col("linked") == component["node"], "left").select("linked", "n", "component")
     merged = classes.join(known, classes["rep"] == known["linked"], "left")
     merged = merged.select("key", F.col("rep").alias("lead"), (F.coalesce("n", F.lit(0)) + F.col("w") - 1).alias("m"), F.coalesce("component", "rep").alias("of"))
-    out = rows.select("vec_id", "key").join(if_small(merged), "key", "left").join(known, (F.col("vec_id") == known["linked"]) & F.col("lead").isNull(), "left")
+    merged = materialize(merged, "merged-vectors")
+    out = spread_join(rows.select("vec_id", "key"), merged, "key", copies, "vec_id", "left")
+    # copies have their answer already: only the others look for theirs, each under an id of its own
+    known = materialize(known.withColumnRenamed("linked", "look"), "known")
+    out = out.withColumn("look", F.when(F.col("lead").isNull(), F.col("vec_id")))
+    out = spread_join(out, known, "look", known.select("look", F.lit(1).alias("n")), "vec_id", "left")
     out = out.select("vec_id", F.coalesce("m", "n", F.lit(0)).alias("n_links"), F.coalesce("of", "component", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 

@@ -34,7 +34,12 @@ def answers(df):
 def test_table_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(embeddings, "CELL", 20)
     rows = [(r["vec_id"], r["embedding"]) for r in table(spark, "/root/testdata/sf0.01", "embeddings").collect()]
-    assert answers(embeddings.op7_embeddings(spark, "/root/testdata/sf0.01")) == brute(rows)
+    docs = table(spark, "/root/testdata/sf0.01", "embeddings")
+    exact = answers(embeddings.near_vectors(docs, exact=True))
+    assert exact == brute(rows)
+    got = answers(embeddings.op7_embeddings(spark, "/root/testdata/sf0.01"))
+    links = sum(n for n, _, _ in exact.values())
+    assert all(got[i][0] <= n for i, (n, _, _) in exact.items()) and sum(n for n, _, _ in got.values()) >= 0.98 * links
 
 
 def test_dense_vectors_in_few_dimensions(spark, monkeypatch):
@@ -44,7 +49,7 @@ def test_dense_vectors_in_few_dimensions(spark, monkeypatch):
     rnd = np.random.default_rng(2)
     rows = [(int(i), rnd.normal(size=4).tolist()) for i in rnd.permutation(600)]
     df = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, component_id int")
-    assert answers(embeddings.near_vectors(df)) == brute(rows)
+    assert answers(embeddings.near_vectors(df, exact=True)) == brute(rows)
 
 
 def test_odd_vectors(spark):
@@ -56,3 +61,20 @@ def test_odd_vectors(spark):
     assert all(got[i] == (0, i, True) for i in (1, 2, 3, 4, 5, 6, 10, 12))
     assert embeddings.near_vectors(spark.createDataFrame([], schema)).collect() == []
     assert {r["vec_id"] for r in embeddings.one_of_each(spark.createDataFrame(rows, schema)).collect()} == {1, 2, 3, 4, 5, 6, 7, 10, 12}
+
+
+def test_recall_on_vectors_without_clusters_and_visits_that_do_not_grow(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "CELL", 60)
+    rnd = np.random.default_rng(21)
+    x = rnd.normal(size=(3000, 32))
+    x[1500:] = x[:1500] / np.linalg.norm(x[:1500], axis=1, keepdims=True) + rnd.normal(size=(1500, 32)) * 0.05
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got, exact = answers(embeddings.near_vectors(df)), brute(rows)
+    links = sum(n for n, _, _ in exact.values())
+    assert links > 1500 and all(got[i][0] <= n for i, (n, _, _) in exact.items())
+    assert sum(n for n, _, _ in got.values()) >= 0.97 * links
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    centre = embeddings.fit(unit, 50)
+    few, all_ = (embeddings.visits(unit, centre, embeddings.gaps(centre), probes=p)[1].sum() for p in (embeddings.probes_needed(unit, centre), None))
+    assert few < 0.6 * all_
