@@ -3,29 +3,39 @@
 A naive-Bayes classifier learned from labelled rows gives every document a posterior over domains,
 whatever its own label says. Document i gets a rate r_i >= floor (how often it is to be read), so
 that the expected tokens of domain d, sum_i p(d | i) * tokens_i * r_i, match the targets. That is a
-least-squares problem with one row a domain; its rates are found by projected gradient steps from
-r = 1, in the variables r_i * sqrt(tokens_i) and scaled by the domains' Gram diagonal. A step's residuals are one aggregation over the
-documents and one number a domain on the driver; the rates are a column.
+least-squares problem with one row a domain; its rates are found by projected gradient steps from r = 1,
+in the variables r_i * sqrt(tokens_i), with every domain's residual divided by the domain's own tokens: the
+posteriors of a document sum to 1, so the largest eigenvalue is then 1 and a step of 1 is always safe. It
+is lengthened to 2 / (2 - q) once the first steps have shown by which factor q they shrink the residual. A
+step's residuals are one aggregation over the documents and one number a domain on the driver; the rates
+are a column.
 
 The classifier's words are the VOCABULARY most frequent ones of a bounded sample (train_rows rows of
-each domain, smallest hashes of the id first), so what is broadcast is bounded.
+each domain, smallest hashes of the id first, whole texts), so what is broadcast is bounded. Every labelled
+domain is learned, however many there are.
 
 Defined cases: null and empty texts have no tokens and rate 1; texts without a known word have the
-prior of the domains; rows with a null domain aren't learned from but get a rate; without labelled
-rows all rates are 1; domains without tokens in the corpus can't be raised and keep weight 0; rows
-that repeat are rated alike; further columns of the input are ignored.
+prior of the domains; equally frequent words are taken in alphabetical order; rows with a null domain aren't
+learned from but get a rate; without labelled rows all rates are 1; domains without tokens in the corpus
+can't be raised and keep weight 0; targets that can't be met leave a residual, which is returned; rows that
+repeat are rated alike; a very long text is split into an array of its words, in the JVM, and counted word
+by word; an empty table gives an empty result; further columns of the input are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuskiln.llm.common import materialize, table
+from corpuskiln.llm.common import if_small, materialize, table
 
-TRAIN_ROWS, TRAIN_CHARS, VOCABULARY, MAX_DOMAINS = 500, 20_000, 2000, 64
+TRAIN_ROWS, VOCABULARY = 500, 2000
 #: Steps of the projected gradient at most, and the residual at which it stops, as a share of a target.
-STEPS, TOLERANCE = 60, 1e-6
+STEPS, TOLERANCE = 100, 1e-6
+#: Steps end too where five of them leave more than this share of the residual: the floor keeps the targets out of reach.
+STALLED = 0.98
 #: How much of a document's evidence counts: posteriors of long texts stay soft.
 EVIDENCE = 0.2
 SPACE = r"[\x20\x09-\x0D]+"
@@ -37,66 +47,50 @@ def tokens(text: str) -> Column:
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "lang", rows: int = TRAIN_ROWS) -> tuple[list[str], dict[str, float], DataFrame | None]:
-    """(domains, prior, (word, log-likelihood of each domain l0, l1, ...)) from labelled rows."""
-    spark = docs.sparkSession
+    """(domains, prior, (word, l array<double>: log-likelihood in each domain)) from labelled rows."""
     named = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(domain_col).cast("string").alias("d")).where("d is not null")
-    sizes = named.groupBy("d").count().orderBy(F.desc("count"), "d").limit(MAX_DOMAINS).collect()
-    domains = sorted(r["d"] for r in sizes)
+    sizes = named.groupBy("d").count().orderBy("d").collect()  # one row a domain
+    domains = [r["d"] for r in sizes]
     if not domains:
         return [], {}, None
     total = sum(r["count"] for r in sizes)
     prior = {r["d"]: r["count"] / total for r in sizes}
-    picks = []
-    for d in domains:  # ids only, at most rows of each domain
-        picks += [(r["i"], d) for r in named.where(F.col("d") == d).select("i").orderBy(F.xxhash64("i"), "i").limit(rows).collect()]
-    wanted = spark.createDataFrame(picks, f"j {dict(docs.dtypes)[id_col]}, e string").distinct()
-    sample = named.join(F.broadcast(wanted), F.col("i").eqNullSafe(F.col("j")) & (F.col("d") == F.col("e")), "left_semi")
-    words = sample.select("d", F.explode(tokens(F.substring("t", 1, TRAIN_CHARS))).alias("word"))
-    counts = materialize(words.groupBy("word", "d").count(), "word-counts")
+    place = F.row_number().over(Window.partitionBy("d").orderBy("h", "i"))  # cut down in each task before the shuffle
+    picks = named.select("i", "d", F.xxhash64("i").alias("h")).withColumn("n", place).where(F.col("n") <= rows).select(F.col("i").alias("j"), F.col("d").alias("e")).distinct()
+    sample = named.join(if_small(materialize(picks, "picks")), F.col("i").eqNullSafe(F.col("j")) & (F.col("d") == F.col("e")), "left_semi")
+    counts = materialize(sample.select("d", F.explode(tokens("t")).alias("word")).groupBy("word", "d").count(), "word-counts")
     top = counts.groupBy("word").agg(F.sum("count").alias("n")).orderBy(F.desc("n"), "word").limit(VOCABULARY)
     sums = {r["d"]: r["n"] for r in counts.groupBy("d").agg(F.sum("count").alias("n")).collect()}
-    known = counts.join(F.broadcast(top.select("word")), "word").groupBy("word").pivot("d", domains).agg(F.sum("count"))
+    of = F.map_from_entries(F.collect_list(F.struct("d", "count")))
+    known = counts.join(F.broadcast(top.select("word")), "word").groupBy("word").agg(of.alias("of"))
     size = top.count()
-    likely = [F.log((F.coalesce(known[d], F.lit(0)) + 0.5) / F.lit(float(sums.get(d, 0) + 0.5 * size + 1))).alias(f"l{k}") for k, d in enumerate(domains)]
-    return domains, prior, materialize(known.select("word", *likely), "likelihood")
+    all_words = F.lit([float(sums.get(d, 0) + 0.5 * size + 1) for d in domains])
+    likely = F.transform(F.lit(domains), lambda d, k: F.log((F.coalesce(F.try_element_at("of", d), F.lit(0)) + 0.5) / all_words[k]))
+    return domains, prior, materialize(known.select("word", likely.alias("l")), "likelihood")
 
 
 def posteriors(docs: DataFrame, model: tuple, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row, doc_id, tokens, p array<double>): p in the order of the model's domains."""
     domains, prior, likely = model
     rows = docs.select(F.col(id_col).alias("doc_id"), tokens(text_col).alias("w"))
-    n = len(domains)
     # all words of a document are in one task: sums are complete before the shuffle
     rows = rows.withColumn("row", F.monotonically_increasing_id())
     seen = rows.select("row", "doc_id", F.size("w").alias("tokens"), F.explode_outer("w").alias("word"))
     seen = seen.join(F.broadcast(likely), "word", "left")  # at most VOCABULARY rows
-    sums = seen.groupBy("row", "doc_id", "tokens").agg(*[F.sum(f"l{k}").alias(f"s{k}") for k in range(n)])
-    import math
-
+    sums = seen.groupBy("row", "doc_id", "tokens").agg(*[F.sum(F.col("l")[k]).alias(f"s{k}") for k in range(len(domains))])
     logs = F.array(*[F.coalesce(f"s{k}", F.lit(0.0)) * EVIDENCE + F.lit(math.log(prior[d])) for k, d in enumerate(domains)])
     sums = sums.withColumn("g", logs).withColumn("g", F.transform("g", lambda x: F.exp(x - F.array_max("g"))))
     share = F.aggregate("g", F.lit(0.0), lambda a, x: a + x)
     return sums.select("row", "doc_id", F.col("tokens").cast("bigint").alias("tokens"), F.transform("g", lambda x: x / share).alias("p"))
 
 
-def largest(matrix: list[list[float]]) -> float:
-    """Largest eigenvalue of a small non-negative definite matrix, by power iteration."""
-    v = [1.0 + 0.1 * k for k in range(len(matrix))]
-    top = 0.0
-    for _ in range(500):
-        w = [sum(x * y for x, y in zip(row, v, strict=True)) for row in matrix]
-        top = max(map(abs, w), default=0.0)
-        if not top:
-            return 0.0
-        v = [x / top for x in w]
-    return top
-
-
-def step_size(scaled: list[list[float]]) -> float:
-    """2 / (smallest + largest eigenvalue), the step that converges fastest."""
-    top = largest(scaled) or 1.0
-    low = top - largest([[(top if a == b else 0.0) - x for b, x in enumerate(row)] for a, row in enumerate(scaled)])
-    return 2 / (top + max(low, 0.05 * top))
+def expected(found: DataFrame, n: int, weight: Column) -> list[float]:
+    """Sum of p * weight of each of n domains: one row a domain comes to the driver."""
+    got = found.select(F.posexplode("p").alias("k", "x"), weight.alias("w")).groupBy("k").agg(F.sum(F.col("x") * F.col("w")).alias("t")).collect()
+    out = [0.0] * n
+    for r in got:
+        out[r["k"]] = float(r["t"] or 0.0)
+    return out
 
 
 def rates(found: DataFrame, targets: list[float], floor: float = 0.0) -> tuple[DataFrame, list[float], int]:
@@ -105,26 +99,28 @@ def rates(found: DataFrame, targets: list[float], floor: float = 0.0) -> tuple[D
     found: (…, tokens, p); targets: expected tokens of each domain.
     """
     n = len(targets)
-    p = [F.col("p")[k] for k in range(n)]
-    load = [x * F.col("tokens") for x in p]
-    # in the variables rate * sqrt(tokens) a step moves documents of one posterior alike, long or short
-    pairs = [(a, b) for a in range(n) for b in range(a + 1)]
-    got = found.agg(*[F.coalesce(F.sum(load[a] * p[b]), F.lit(0.0)).alias(f"g{a}_{b}") for a, b in pairs]).first()
-    gram = {pair: got[f"g{a}_{b}"] for a, b in pairs for pair in ((a, b), (b, a))}
-    scale = [1 / gram[k, k] if gram[k, k] else 0.0 for k in range(n)]
-    size = step_size([[(scale[a] * scale[b]) ** 0.5 * gram[a, b] for b in range(n)] for a in range(n)])
-    now = found.withColumn("rate", F.lit(1.0))
-    steps, reached = 0, []
+    own = expected(found, n, F.col("tokens").cast("double"))
+    scale = [1 / t if t > 0 else 0.0 for t in own]
+    now, reached, size, shrink, norms = found.withColumn("rate", F.lit(1.0)), own, 1.0, 0.0, []
     for steps in range(1, STEPS + 1):
-        got = now.agg(*[F.coalesce(F.sum(load[k] * F.col("rate")), F.lit(0.0)).alias(f"t{k}") for k in range(n)]).first()
-        reached = [got[f"t{k}"] for k in range(n)]
         gap = [reached[k] - targets[k] if scale[k] else 0.0 for k in range(n)]
-        if all(abs(g) <= TOLERANCE * max(t, 1.0) for g, t in zip(gap, targets, strict=True)) or steps == STEPS:
+        norm = math.sqrt(sum(g * g * s for g, s in zip(gap, scale, strict=True)))
+        met = all(abs(g) <= TOLERANCE * max(t, 1.0) for g, t in zip(gap, targets, strict=True))
+        if met or steps == STEPS or (len(norms) >= 10 and norm > STALLED * norms[-5]):
             break
-        step = sum((p[k] * F.lit(gap[k] * scale[k] * size) for k in range(n)), F.lit(0.0))
+        if norms and norms[-1]:
+            if steps <= 6:  # the first steps have length 1
+                shrink = max(shrink, min(norm / norms[-1], 0.95))
+            elif norm > norms[-1]:
+                shrink = 0.0
+            size = 2 / (2 - shrink) if steps >= 6 else 1.0
+        norms.append(norm)
+        move = F.lit([gap[k] * scale[k] * size for k in range(n)])
+        step = F.aggregate(F.zip_with("p", move, lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
         now = now.withColumn("rate", F.greatest(F.col("rate") - step, F.lit(float(floor))))
-        if steps % 10 == 0:
+        if steps % 5 == 0:
             now = materialize(now, "rates")
+        reached = expected(now, n, F.col("tokens") * F.col("rate"))
     return now, reached, steps
 
 
@@ -149,8 +145,7 @@ def mixed(docs: DataFrame, weights: dict[str, float] | float | None = None, powe
         rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.size(tokens(text_col)).cast("bigint").alias("tokens"))
         return rows.withColumn("p", F.expr("cast(array() as array<double>)")).withColumn("rate", F.lit(1.0)).withColumn("copies", F.lit(1)), [], []
     found = materialize(posteriors(docs, model, id_col, text_col), "posteriors")
-    got = found.agg(*[F.coalesce(F.sum(F.col("p")[k] * F.col("tokens")), F.lit(0.0)).alias(f"t{k}") for k in range(len(domains))]).first()
-    totals = [got[f"t{k}"] for k in range(len(domains))]
+    totals = expected(found, len(domains), F.col("tokens").cast("double"))
     if weights is None:
         targets = flattened(totals, power)
     else:
@@ -164,10 +159,12 @@ def mixed(docs: DataFrame, weights: dict[str, float] | float | None = None, powe
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:
-    """All documents, mixed to equal weights of their languages: posterior, rate and copies of each."""
+    """All documents, mixed to equal weights of their languages: posterior, rate and copies of each, and in every
+    row the residual of the mix, the largest miss of a target as a share of it."""
     docs = table(spark, sf_dir, "documents")
-    found, domains, _ = mixed(docs, 1.0)
-    return found.select("doc_id", "tokens", F.map_from_arrays(F.array(*map(F.lit, domains)) if domains else F.expr("cast(array() as array<string>)"), "p").alias("posterior"), "rate", "copies")
+    found, domains, residuals = mixed(docs, 1.0)
+    names = F.lit(domains) if domains else F.expr("cast(array() as array<string>)")
+    return found.select("doc_id", "tokens", F.map_from_arrays(names, "p").alias("posterior"), "rate", "copies", F.lit(float(max(map(abs, residuals), default=0.0))).alias("residual"))
 
 
 def resampled(docs: DataFrame, power: float = 0.8, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "lang") -> DataFrame:
@@ -179,8 +176,6 @@ def resampled(docs: DataFrame, power: float = 0.8, id_col: str = "doc_id", text_
     if not domains:
         return docs
     more = materialize(found.where("copies > 1").select(F.col("doc_id").alias("__id"), F.col("copies").alias("__copies")).groupBy("__id").agg(F.max("__copies").alias("__copies")), "copies")
-    from corpuskiln.llm.common import if_small
-
     both = docs.join(if_small(more), docs[id_col] == more["__id"], "left")
     many = F.explode(F.sequence(F.lit(1), F.coalesce("__copies", F.lit(1)))).alias("__copy")
     return both.select(*docs.columns, many).drop("__copy")

@@ -4,6 +4,28 @@ from corpuskiln.llm import mixing
 from corpuskiln.llm.common import table
 
 
+def plain_rates(p, tokens, targets, floor=0.0):
+    """The same iteration in numpy, with the step's rule spelled out."""
+    load = p * tokens[:, None]
+    own = load.sum(axis=0)
+    scale = np.where(own > 0, 1 / np.maximum(own, 1e-300), 0)
+    r, shrink, norms = np.ones(len(p)), 0.0, []
+    for step in range(1, mixing.STEPS + 1):
+        gap = np.where(scale > 0, load.T @ r - targets, 0)
+        norm = np.sqrt((gap * gap * scale).sum())
+        if (np.abs(gap) <= mixing.TOLERANCE * np.maximum(targets, 1)).all() or step == mixing.STEPS or (len(norms) >= 10 and norm > mixing.STALLED * norms[-5]):
+            return r, step
+        size = 1.0
+        if norms and norms[-1]:
+            if step <= 6:
+                shrink = max(shrink, min(norm / norms[-1], 0.95))
+            elif norm > norms[-1]:
+                shrink = 0.0
+            size = 2 / (2 - shrink) if step >= 6 else 1.0
+        norms.append(norm)
+        r = np.maximum(r - p @ (gap * scale) * size, floor)
+
+
 def test_rates_meet_the_targets_and_match_brute_force(spark):
     rnd = np.random.default_rng(4)
     p = rnd.dirichlet([0.3] * 3, 200)
@@ -12,18 +34,37 @@ def test_rates_meet_the_targets_and_match_brute_force(spark):
     targets = [9000.0, 15000.0, 12000.0]
     got, reached, steps = mixing.rates(df, targets)
     rate = np.array([r["rate"] for r in got.orderBy("doc_id").collect()])
-    assert (rate >= 0).all() and np.allclose((p * tokens[:, None] * rate[:, None]).sum(axis=0), targets, rtol=1e-4)
-    # the same iteration in numpy
-    a = (p * tokens[:, None]).T
-    gram = (p * tokens[:, None]).T @ p
-    scale = 1 / np.diag(gram)
-    size = mixing.step_size((np.sqrt(scale[:, None] * scale) * gram).tolist())
-    eigen = np.linalg.eigvals(np.sqrt(scale[:, None] * scale) * gram).real
-    assert np.isclose(size, 2 / (eigen.min() + eigen.max()), rtol=1e-3)
-    r = np.ones(200)
-    for _ in range(steps - 1):
-        r = np.maximum(r - p @ ((a @ r - targets) * scale) * size, 0)
-    assert np.allclose(r, rate)
+    assert (rate >= 0).all() and np.allclose((p * tokens[:, None] * rate[:, None]).sum(axis=0), targets, rtol=1e-4) and np.allclose(reached, targets, rtol=1e-4)
+    plain, n = plain_rates(p, tokens, np.array(targets))
+    assert steps == n and np.allclose(plain, rate)
+
+
+def test_query_against_brute_force(spark, tmp_path):
+    """Posteriors, rates and copies restated in plain Python over a small table."""
+    rnd = np.random.default_rng(8)
+    words = {"en": ["the", "cat", "Of", "house"], "de": ["der", "hund", "und", "haus"], "fr": ["le", "chat", "et", "maison", "the"]}
+    rows = [(i, " \n".join(rnd.choice(words[d], rnd.integers(1, 30)).tolist()), d) for i, d in enumerate(rnd.choice(["en"] * 3 + ["de", "fr"], 60).tolist())]
+    rows += [(100, None, "en"), (101, "", None), (102, "the der le qqq", None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    split = {i: (t or "").lower().split() for i, t, _ in rows}
+    domains = sorted(words)
+    named = [(split[i], d) for i, _, d in rows if d]
+    vocabulary = {w for ws, _ in named for w in ws}
+    count = {d: {w: sum(ws.count(w) for ws, e in named if e == d) for w in vocabulary} for d in domains}
+    size = {d: sum(count[d].values()) + 0.5 * len(vocabulary) + 1 for d in domains}
+    prior = {d: sum(e == d for _, e in named) / len(named) for d in domains}
+    p = []
+    for i, _, _ in rows:
+        logs = np.array([mixing.EVIDENCE * sum(np.log((count[d][w] + 0.5) / size[d]) for w in split[i] if w in vocabulary) + np.log(prior[d]) for d in domains])
+        e = np.exp(logs - logs.max())
+        p.append(e / e.sum())
+    p, tokens = np.array(p), np.array([len(split[i]) for i, _, _ in rows])
+    rate, _ = plain_rates(p, tokens, np.full(3, tokens.sum() / 3))
+    got = {r["doc_id"]: r for r in mixing.op4_mixing(spark, str(tmp_path)).collect()}
+    for k, (i, _, _) in enumerate(rows):
+        r = got[i]
+        assert r["tokens"] == tokens[k] and np.allclose([r["posterior"][d] for d in domains], p[k]) and abs(r["rate"] - rate[k]) < 1e-6 * max(1, rate[k])
+        assert r["copies"] in (int(np.floor(r["rate"])), int(np.floor(r["rate"])) + 1) and 0 <= r["residual"] < 1e-5
 
 
 def test_documents_reach_equal_weights(spark):
@@ -64,3 +105,10 @@ def test_no_labels_and_empty_table(spark):
 def test_plan_is_native(spark, sf):
     plan = mixing.op4_mixing(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_very_long_text_and_ties(spark):
+    rows = [(1, "cat " * 500_000, "en"), (2, "hund " * 10, "de"), (3, "hund " * 10, "de"), (4, None, None)]
+    got, domains, residuals = mixing.mixed(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 1.0)
+    found = {r["doc_id"]: r for r in got.collect()}
+    assert found[1]["tokens"] == 500_000 and found[2]["rate"] == found[3]["rate"] and found[4]["tokens"] == 0 and domains == ["de", "en"]
