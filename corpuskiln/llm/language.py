@@ -5,25 +5,31 @@ scored by smoothed letter-trigram log-probabilities, and Viterbi with a switchin
 spans. The text's language is the one whose spans hold most letters; the score is its share.
 
 The model is learned from a bounded sample of labelled rows (train_rows per language, smallest
-hashes of the id first). Defined cases: null texts, texts without letters: ``und`` with score 0;
-ties between languages go to the first in alphabetical order; without labelled rows every text is
-``und``; rows with a null lang are predicted like others; repeated rows get equal results.
+hashes of the id first), whose whole texts are counted in tasks; what comes to the driver is the model, one
+number a language and letter trigram. Every language that has a label is learned.
+
+Defined cases: null texts, texts without letters: ``und`` with score 0; letters are those of all of Unicode;
+ties between languages go to the first in alphabetical order; without labelled rows every text is ``und``;
+rows with a null lang are predicted like others; repeated rows get equal results; an empty table gives an
+empty result; further columns of the input, lang and score included, are ignored; a very long text is scored
+in pieces cut at white space and then takes some 8 bytes a word and language.
 """
 
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuskiln.llm.common import CHUNK_CHARS, map_arrow, table
+from corpuskiln.llm.common import CHUNK_CHARS, if_small, map_arrow, materialize, table
 
-#: Bound of the training sample, rows a language and characters a row.
-TRAIN_ROWS, TRAIN_CHARS = 400, 20_000
+#: Bound of the training sample: rows a language.
+TRAIN_ROWS = 400
 #: Log-probability that a change of language between two words costs.
 SWITCH = 6.0
 BITS = 16
@@ -37,11 +43,11 @@ N_SCRIPTS = 16
 
 @lru_cache(maxsize=1)
 def alphabet() -> tuple[np.ndarray, np.ndarray]:
-    """For each code point: whether it is a letter (or a mark inside a word), and its lower case."""
+    """For each code point: whether it is a letter, and its lower case."""
     n = sys.maxunicode + 1
     letter = np.zeros(n, dtype=bool)
     lower = np.arange(n, dtype=np.uint32)
-    for c in range(0x30000):
+    for c in range(n):
         ch = chr(c)
         if ch.isalpha():
             letter[c] = True
@@ -92,18 +98,53 @@ class Model:
         return np.where(self.allowed[w.script], out, np.float32(-1e6))
 
 
-def fit(rows: list[tuple[str, str]]) -> Model:
-    """A model of (text, language) rows held in memory."""
-    langs = sorted({x for _, x in rows})
-    counts = np.ones((1 << BITS, max(1, len(langs))), dtype=np.float64) * 0.05
+def counted(texts: list[str | None]) -> np.ndarray:
+    """Letters of each trigram slot, then words of each script, over some texts."""
+    out = np.zeros((1 << BITS) + N_SCRIPTS, dtype=np.int64)
+    for part in in_parts([p for t in texts for p in text_pieces(t or "")]):
+        w = words_of(part)
+        out += np.concatenate((np.bincount(w.slots, minlength=1 << BITS), np.bincount(w.script, minlength=N_SCRIPTS)))
+    return out
+
+
+def model_of(langs: list[str], counts: np.ndarray) -> Model:
+    """A model from the counts [language, slot or script]."""
+    letters = np.ones((1 << BITS, max(1, len(langs))), dtype=np.float64) * 0.05
     seen = np.zeros((N_SCRIPTS, max(1, len(langs))), dtype=np.int64)
-    for i, lang in enumerate(langs):
-        w = words_of([t[:TRAIN_CHARS] for t, x in rows if x == lang])
-        counts[:, i] += np.bincount(w.slots, minlength=1 << BITS)
-        seen[:, i] = np.bincount(w.script, minlength=N_SCRIPTS)
+    if langs:
+        letters += counts[:, : 1 << BITS].T
+        seen += counts[:, 1 << BITS :].T
     allowed = seen > 0.001 * np.maximum(seen.sum(axis=0), 1)
     allowed[~allowed.any(axis=1)] = True  # a script seen in no language rules none out
-    return Model(langs, np.log(counts / counts.sum(axis=0)).astype(np.float32), allowed)
+    return Model(langs, np.log(letters / letters.sum(axis=0)).astype(np.float32), allowed)
+
+
+def fit(rows: list[tuple[str, str]]) -> Model:
+    """A model of (text, language) rows held in memory."""
+    langs = sorted({x for _, x in rows})
+    return model_of(langs, np.array([counted([t for t, x in rows if x == lang]) for lang in langs]))
+
+
+def learn(sample: DataFrame) -> Model:
+    """A model of a table (t, l) of texts and languages, counted where the texts are."""
+
+    def each(cols: dict, n: int) -> dict:
+        out: dict[str, list] = {"l": [], "slot": [], "n": []}
+        for lang in sorted(set(cols["l"])):
+            c = counted([t for t, x in zip(cols["t"], cols["l"], strict=True) if x == lang])
+            some = np.flatnonzero(c)
+            out["l"] += [lang] * len(some)
+            out["slot"].append(some)
+            out["n"].append(c[some])
+        return {"l": out["l"], **{k: np.concatenate(out[k]) if out[k] else [] for k in ("slot", "n")}}
+
+    found = map_arrow(sample.select("t", "l"), "l string, slot int, n bigint", each).groupBy("l", "slot").agg(F.sum("n").alias("n")).toArrow()
+    names = found.column("l").to_pylist()
+    langs = sorted(set(names))
+    counts = np.zeros((len(langs), (1 << BITS) + N_SCRIPTS), dtype=np.int64)
+    where = {lang: k for k, lang in enumerate(langs)}
+    np.add.at(counts, ([where[x] for x in names], found.column("slot").to_numpy()), found.column("n").to_numpy())
+    return model_of(langs, counts)
 
 
 def viterbi(scores: np.ndarray, counts: np.ndarray, penalty: float) -> np.ndarray:
@@ -147,21 +188,44 @@ def viterbi(scores: np.ndarray, counts: np.ndarray, penalty: float) -> np.ndarra
     return best
 
 
+def text_pieces(text: str, size: int = CHUNK_CHARS) -> list[str]:
+    """A text in pieces of about size, cut at white space, so that no word is cut."""
+    out, start = [], 0
+    while len(text) - start > size:
+        cut = max(text.rfind(c, start, start + size) for c in " \n\t")
+        if cut <= start:  # a word longer than a piece
+            cut = min((i for c in " \n\t" if (i := text.find(c, start + 1)) > 0), default=len(text))
+        out.append(text[start:cut])
+        start = cut
+    return [*out, text[start:]]
+
+
+def in_parts(texts: list[str], size: int = CHUNK_CHARS) -> Iterator[list[str]]:
+    """Texts in order, few at a time."""
+    part, n = [], 0
+    for t in texts:
+        if part and n + len(t) > size:
+            yield part
+            part, n = [], 0
+        part.append(t)
+        n += len(t)
+    if part:
+        yield part
+
+
 def predict_batch(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
     if not model.langs or not texts:
         return [UND] * len(texts), np.zeros(len(texts))
+    cut = [text_pieces(t or "") for t in texts]
+    owner_of = np.repeat(np.arange(len(texts)), [len(c) for c in cut])
     scores, lengths, owners, at = [], [], [], 0
-    while at < len(texts):  # features of few texts at a time, spans of all together
-        end, size = at, 0
-        while end < len(texts) and (end == at or size + len(texts[end] or "") <= CHUNK_CHARS):
-            size += len(texts[end] or "")
-            end += 1
-        w = words_of(texts[at:end])
+    for part in in_parts([p for c in cut for p in c]):  # features of few pieces at a time, spans of all together
+        w = words_of(part)
         if len(w.text):
             scores.append(model.scores(w))
             lengths.append(w.length)
-            owners.append(w.text + at)
-        at = end
+            owners.append(owner_of[w.text + at])
+        at += len(part)
     if not scores:
         return [UND] * len(texts), np.zeros(len(texts))
     owner, length = np.concatenate(owners), np.concatenate(lengths)
@@ -184,24 +248,16 @@ def spans_of(model: Model, text: str | None) -> list[tuple[int, int, str]]:
     return [(int(a), int(b - a), model.langs[label[a]]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
 
-def training_rows(docs: DataFrame, allowed, id_col: str, text_col: str, lang_col: str, rows: int) -> list[tuple[str, str]]:
-    """At most ``rows`` rows of each language: those with the smallest hash of their id."""
-    from pyspark.sql import Window
-
+def training_rows(docs: DataFrame, allowed, id_col: str, text_col: str, lang_col: str, rows: int) -> DataFrame:
+    """(t, l): whole texts of at most ``rows`` rows of each language, those with the smallest hash of their id."""
     labelled = docs.where(allowed & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     few = labelled.select(F.col(id_col).alias("i"), F.col(lang_col).alias("l"), F.xxhash64(id_col).alias("h"))
     place = F.row_number().over(Window.partitionBy("l").orderBy("h", "i"))  # cut down in each task before the shuffle
-    picks = [(r["i"], r["l"]) for r in few.withColumn("place", place).where(F.col("place") <= rows).select("i", "l").collect()]
-    if not picks:
-        return []
-    spark = docs.sparkSession
-    kind = dict(docs.dtypes)[id_col]
-    wanted = spark.createDataFrame(picks, f"i {kind}, l string").select("i").distinct()
-    got = labelled.join(F.broadcast(wanted), F.col(id_col).eqNullSafe(F.col("i")), "left_semi")
-    got = got.select(F.col(id_col).alias("i"), F.substring(text_col, 1, TRAIN_CHARS).alias("t"), F.col(lang_col).alias("l"))
+    wanted = materialize(few.withColumn("place", place).where(F.col("place") <= rows).select(F.col("i").alias("__i")).distinct(), "picks")
+    got = labelled.join(if_small(wanted), F.col(id_col).eqNullSafe(F.col("__i")), "left_semi")
     # repeated ids must not break the bound
-    got = got.withColumn("n", F.row_number().over(Window.partitionBy("i").orderBy("l", "t"))).where("n = 1")
-    return sorted((r["t"], r["l"]) for r in got.select("t", "l").collect())
+    first = F.row_number().over(Window.partitionBy("i").orderBy("l", "t"))
+    return got.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l")).withColumn("n", first).where("n = 1").select("t", "l")
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -236,5 +292,5 @@ def op5_language(spark, sf_dir: str) -> DataFrame:
     """The contract query: learned from rows that are not held out, predicted for all."""
     docs = table(spark, sf_dir, "documents")
     allowed = F.coalesce(~held_out(), F.lit(False))
-    model = fit(training_rows(docs, allowed, "doc_id", "text", "lang", TRAIN_ROWS))
+    model = learn(training_rows(docs, allowed, "doc_id", "text", "lang", TRAIN_ROWS))
     return identify(docs, model).select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score")

@@ -40,6 +40,29 @@ def test_spans_scripts_and_odd_texts(spark):
     df = spark.createDataFrame([(1, "the cat", None, 1), (1, "the cat", None, 1), (None, None, None, 1)], "doc_id long, text string, lang string, score int")
     assert [r["lang_pred"] for r in language.identify(df, model).collect()] == ["en", "en", "und"]
     assert [len(r["spans"]) for r in language.spans(df, model).collect()] == [1, 1, 0]
-    empty = language.fit(language.training_rows(df, df["doc_id"].isNotNull(), "doc_id", "text", "lang", 5))
+    empty = language.learn(language.training_rows(df, df["doc_id"].isNotNull(), "doc_id", "text", "lang", 5))
     assert {r["lang_pred"] for r in language.identify(df, empty).collect()} == {"und"}
     assert language.identify(df.limit(0), model).collect() == []
+
+
+def test_counting_in_tasks_equals_counting_in_memory(spark):
+    import numpy as np
+
+    rows = [(i, f"the cat {i} and the dog" if i % 2 else f"der hund {i} und ein haus", "en" if i % 2 else "de") for i in range(40)] + [(50, "the " * 300_000, "en"), (51, None, "fr"), (52, "кошка", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    got = language.learn(language.training_rows(df, df["doc_id"].isNotNull(), "doc_id", "text", "lang", 100))
+    plain = language.fit([(t, x) for _, t, x in rows if t and x])
+    assert got.langs == plain.langs == ["de", "en"] and np.allclose(got.table, plain.table) and (got.allowed == plain.allowed).all()
+
+
+def test_letters_of_the_last_planes_and_long_texts_in_pieces(monkeypatch):
+    model = language.fit([("the cat and the dog", "en"), ("\U00030010\U00030011\U00030012 \U00030010\U00030013", "zh")])
+    assert language.predict_batch(model, ["\U00030010\U00030011", "the dog"])[0] == ["zh", "en"]
+    text = " ".join(["the cat and the dog"] * 50 + ["\U00030010\U00030011"] * 40) + "x" * 500
+    whole = language.predict_batch(model, [text, None, "dog"])
+    monkeypatch.setattr(language, "CHUNK_CHARS", 64)
+    monkeypatch.setattr(language.text_pieces, "__defaults__", (64,))
+    monkeypatch.setattr(language.in_parts, "__defaults__", (64,))
+    assert len(language.text_pieces(text)) > 10 and "".join(language.text_pieces(text)) == text
+    cut = language.predict_batch(model, [text, None, "dog"])
+    assert cut[0] == whole[0] and (cut[1] == whole[1]).all()

@@ -1,16 +1,21 @@
+import numpy as np
 from corpuskiln.llm import language, mixing
 from pyspark.sql import functions as F
 
 
-def test_a_common_domain_late_in_the_alphabet_has_a_target(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(mixing, "MAX_DOMAINS", 3)
-    sizes = {"a": 12, "b": 11, "c": 5, "d": 5, "zz": 40}
-    rows = [(1000 * k + i, f"{d}word {d}other {d}third {d}fourth same", d) for k, (d, n) in enumerate(sizes.items()) for i in range(n)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    df.write.parquet(str(tmp_path / "documents.parquet"))
-    got = {r["doc_id"]: r for r in mixing.op4_mixing(spark, str(tmp_path)).collect()}
-    assert set(got[4000]["posterior"]) == {"a", "b", "zz"}
-    assert all(got[4000 + i]["rate"] > 0.2 for i in range(40))
+def test_seventy_domains_are_all_learned_and_met(spark, tmp_path):
+    rows = [(1000 * k + i, f"w{k} x{k} y{k} z{k} same " * (1 + i % 3), f"d{k:02d}") for k in range(70) for i in range(4 + k % 5)]
+    rows += [(900_000 + i, "w69 x69 same " * 9, "d69") for i in range(80)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = mixing.op4_mixing(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) and all(len(r["posterior"]) == 70 for r in got)
+    total: dict[str, float] = {}
+    for r in got:
+        for d, x in r["posterior"].items():
+            total[d] = total.get(d, 0) + x * r["tokens"] * r["rate"]
+    share = sum(total.values()) / 70
+    worst = max(abs(t - share) / share for t in total.values())
+    assert np.isclose(worst, got[0]["residual"], rtol=0.05, atol=1e-6) and worst < 0.01
 
 
 def test_residuals_tell_whether_targets_are_met(spark, monkeypatch):
@@ -21,7 +26,11 @@ def test_residuals_tell_whether_targets_are_met(spark, monkeypatch):
     assert max(map(abs, mixing.mixed(df, 1.0)[2])) > 0.1
 
 
-def test_more_than_200_languages_are_learned(spark):
-    df = spark.range(1050).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.concat(F.lit("l"), F.col("id") % 210).alias("lang"))
-    got = language.training_rows(df, F.lit(True), "doc_id", "text", "lang", 3)
-    assert len(got) == 630 and len({lang for _, lang in got}) == 210
+def test_three_hundred_languages_are_learned(spark):
+    df = spark.createDataFrame([(i, "same " + f"{chr(i % 300 + 0x4E00)} " * 20, f"l{i % 300}") for i in range(1200)], "doc_id long, text string, lang string")
+    sample = language.training_rows(df, F.lit(True), "doc_id", "text", "lang", 3)
+    assert sample.count() == 900 and sample.select("l").distinct().count() == 300
+    model = language.learn(sample)
+    assert len(model.langs) == 300
+    got, _ = language.predict_batch(model, [chr(k + 0x4E00) * 3 for k in range(300)])
+    assert sum(g == f"l{k}" for k, g in enumerate(got)) > 290
