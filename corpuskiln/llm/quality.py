@@ -5,10 +5,16 @@ marginals of "good", weighted by line length, give a document's mean quality, wh
 curve fitted on the training rows turns into a probability of label 1.
 
 The model is learned from a bounded sample: train_rows labelled rows of each class, smallest hashes
-of the id first, train_chars characters of each. Defined cases: null and empty texts (and texts of
-blank lines only) score the share of label 1 among the labelled rows; without labelled rows of both
-classes every text scores that share (0.5 without any); repeated label rows of one id count once,
-with the lowest quality; other columns of either table are ignored.
+of the id first. Their whole texts are made features in tasks; of a text of more than TRAIN_LINES lines the
+chain is learned from runs of RUN lines that are spread evenly over all of it, so that what comes to the
+driver is bounded.
+
+Defined cases: null and empty texts (and texts of blank lines only) score the share of label 1 among the
+labelled rows; without labelled rows of both classes every text scores that share (0.5 without any);
+repeated label rows of one id count once, with the lowest quality; documents that repeat an id are each
+scored, and the least of their texts is learned from; scores that tie need no order; an empty table gives an
+empty result; other columns of either table are ignored; a very long text is one sequence, which takes some
+80 bytes a character and 400 bytes a line in its task.
 """
 
 from __future__ import annotations
@@ -23,8 +29,8 @@ from pyspark.sql import functions as F
 
 from corpuskiln.llm.common import CHUNK_CHARS, fmix, map_arrow, release, table
 
-#: Bounds of the training sample: rows of each class, characters a row, lines a row.
-TRAIN_ROWS, TRAIN_CHARS, TRAIN_LINES = 2000, 20_000, 200
+#: Bounds of the training sample: rows of each class, lines of a row, lines of a run where a row has more.
+TRAIN_ROWS, TRAIN_LINES, RUN = 2000, 200, 25
 #: A document is predicted good from this score on.
 THRESHOLD = 0.7
 RIDGE = 0.02
@@ -231,63 +237,102 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float, rou
     return w
 
 
+@dataclass(frozen=True)
+class Example:
+    """What is learned from a text: the features and lengths of its lines, and how many lines each run has."""
+
+    label: int
+    x: np.ndarray
+    length: np.ndarray
+    runs: np.ndarray
+
+
+def examples(texts: list[str], labels: list[int]) -> list[Example]:
+    """Of texts of more than TRAIN_LINES lines runs of RUN lines spread over the text."""
+    f = lines_in_parts(texts)
+    out = []
+    for label, end, n in zip(labels, np.cumsum(f.counts), f.counts, strict=True):
+        if n <= TRAIN_LINES:
+            at, runs = np.arange(end - n, end), np.array([n])
+        else:
+            begin = np.linspace(0, n - RUN, TRAIN_LINES // RUN).astype(np.int64)
+            at, runs = (end - n + begin[:, None] + np.arange(RUN)).ravel(), np.full(len(begin), RUN)
+        out.append(Example(label, f.x[at], f.length[at], runs))
+    return out
+
+
 def fit(rows: list[tuple[str, int]], base: float = 0.5, rounds: int = 120) -> Model:
     """A model of (text, label) rows held in memory; base: share of label 1 where it is known better."""
-    y = np.array([label for _, label in rows], dtype=np.float64)
+    return fit_examples(examples([t for t, _ in rows], [y for _, y in rows]) if rows else [], base, rounds)
+
+
+def fit_examples(rows: list[Example], base: float = 0.5, rounds: int = 120) -> Model:
+    y = np.array([r.label for r in rows], dtype=np.float64)
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(0), np.zeros((2, 2)), (0.0, 0.0), float(base))
     # the rarer class is repeated to about the size of the other, so that neither drowns
     rare = float(y.mean() < 0.5)
     again = int((y != rare).sum() // (y == rare).sum()) - 1
-    rows = [*rows, *([r for r in rows if r[1] == rare] * again)]
-    y = np.array([label for _, label in rows], dtype=np.float64)
-    texts = ["\n".join(t[:TRAIN_CHARS].split("\n")[:TRAIN_LINES]) for t, _ in rows]
-    f = lines_in_parts(texts)
-    doc = np.repeat(np.arange(len(texts)), f.counts)
+    rows = [*rows, *([r for r in rows if r.label == rare] * again)]
+    y = np.array([r.label for r in rows], dtype=np.float64)
+    x, length, runs = (np.concatenate([getattr(r, k) for r in rows]) for k in ("x", "length", "runs"))
+    doc = np.repeat(np.arange(len(rows)), [len(r.length) for r in rows])
     # lines start with their document's label; in bad documents those that look good become good,
     # but for the worst line of each
-    w = logistic(f.x, y[doc], f.length / max(f.length.mean(), 1), RIDGE)
-    p = sigmoid(f.x @ w)
-    worst = np.full(len(texts), np.inf)
+    w = logistic(x, y[doc], length / max(length.mean(), 1), RIDGE)
+    p = sigmoid(x @ w)
+    worst = np.full(len(rows), np.inf)
     np.minimum.at(worst, doc, p)
     line_y = np.where(y[doc] == 1, 1.0, ((p > 0.5) & (p > worst[doc])).astype(float))
-    w = logistic(f.x, line_y, np.ones(len(p)), RIDGE)
-    # conditional likelihood of the chain by Adam
-    follows = np.concatenate(([False], doc[1:] == doc[:-1]))
+    w = logistic(x, line_y, np.ones(len(p)), RIDGE)
+    # conditional likelihood of the chains by Adam
+    run = np.repeat(np.arange(len(runs)), runs)
+    follows = run[1:] == run[:-1]
     state = line_y.astype(int)
     seen = np.zeros((2, 2))
-    np.add.at(seen, (state[:-1][follows[1:]], state[1:][follows[1:]]), 1)
+    np.add.at(seen, (state[:-1][follows], state[1:][follows]), 1)
     trans = np.zeros((2, 2))
     m = v = np.zeros(len(w) + 4)
     for k in range(1, rounds + 1):
-        good, pairs, _ = forward_backward(f.x @ w, f.counts, trans)
-        g = np.concatenate((f.x.T @ (line_y - good) - RIDGE * w, (seen - pairs).ravel() - RIDGE * trans.ravel())) / len(rows)
+        good, pairs, _ = forward_backward(x @ w, runs, trans)
+        g = np.concatenate((x.T @ (line_y - good) - RIDGE * w, (seen - pairs).ravel() - RIDGE * trans.ravel())) / len(rows)
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         step = 0.1 * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.99**k)) + 1e-8)
         w, trans = w + step[: len(w)], trans + step[len(w) :].reshape(2, 2)
-    model = Model(w, trans, (1.0, 0.0), float(base))
-    mean, weight = model.mean_marginals(texts)
+    good, _, _ = forward_backward(x @ w, runs, trans)
+    weight = sums(length, doc, len(rows))
     ok = weight > 0
+    mean = sums(good * length, doc, len(rows))[ok] / weight[ok]
     share = y[ok].mean()
     prior = np.where(y[ok] == 1, base / max(share, 1e-6), (1 - base) / max(1 - share, 1e-6)) if 0 < base < 1 else np.ones(ok.sum())
-    curve = logistic(np.stack((mean[ok], np.ones(ok.sum())), axis=1), y[ok], prior, 0.05)
+    curve = logistic(np.stack((mean, np.ones(ok.sum())), axis=1), y[ok], prior, 0.05)
     return Model(w, trans, (float(curve[0]), float(curve[1])), float(base))
 
 
 def learn(docs: DataFrame, labels: DataFrame, allowed=None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = TRAIN_ROWS) -> Model:
     """Fit on a bounded sample; allowed: condition on the label table's id column."""
-    kind = dict(labels.dtypes)[id_col]
     marked = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
     marked = marked.where(allowed) if allowed is not None else marked
     marked = marked.groupBy(F.col(id_col).alias("i")).agg(F.min(label_col).cast("int").alias("y"))
     share = marked.agg(F.avg("y").alias("p")).first()["p"]
-    picks = [(r["i"], y) for y in (0, 1) for r in marked.where(F.col("y") == y).orderBy(F.xxhash64("i"), "i").limit(rows).collect()]
-    if not picks:
+    if share is None:
         return fit([], 0.5)
-    wanted = docs.sparkSession.createDataFrame(picks, f"i {kind}, y int")
-    got = docs.select(F.col(id_col).alias("d"), F.substring(text_col, 1, TRAIN_CHARS).alias("t")).where("t is not null")
+    picks = [(r["i"], y) for y in (0, 1) for r in marked.where(F.col("y") == y).orderBy(F.xxhash64("i"), "i").limit(rows).collect()]
+    wanted = docs.sparkSession.createDataFrame(picks, f"i {dict(labels.dtypes)[id_col]}, y int")
+    got = docs.select(F.col(id_col).alias("d"), F.col(text_col).alias("t")).where("t is not null")
     got = got.join(F.broadcast(wanted), F.col("d") == F.col("i")).groupBy("i", "y").agg(F.min("t").alias("t"))
-    return fit(sorted((r["t"], r["y"]) for r in got.collect()), share)
+
+    def each(cols: dict, n: int) -> dict:
+        made = examples(cols["t"], cols["y"])
+        return {
+            "i": cols["i"], "y": cols["y"], "x": [e.x.astype(np.float64).tobytes() for e in made],
+            "length": [e.length.astype(np.float64).tobytes() for e in made], "runs": [e.runs.tolist() for e in made],
+        }
+
+    found = map_arrow(got, f"i {dict(labels.dtypes)[id_col]}, y int, x binary, length binary, runs array<int>", each).toArrow().to_pylist()
+    found.sort(key=lambda r: (r["y"], r["i"]))
+    as_floats = lambda b: np.frombuffer(b, dtype=np.float64)
+    return fit_examples([Example(r["y"], as_floats(r["x"]).reshape(len(r["length"]) // 8, -1), as_floats(r["length"]), np.array(r["runs"])) for r in found], share)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

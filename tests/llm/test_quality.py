@@ -48,3 +48,17 @@ def test_odd_texts_and_missing_labels(spark):
     twice = spark.createDataFrame([(1, 1), (1, 0), (2, 1)], "doc_id long, quality int")
     assert quality.learn(docs, twice).base == 0.5
     assert quality.only_good(docs, model).columns == docs.columns
+
+
+def test_long_texts_are_learned_from_all_over(spark):
+    """Only the last third of the bad texts is bad; a prefix would not show it."""
+    good, bad = "A calm line of plain words follows here.", "### !!! $$$ %%% x x x x"
+    long_bad = "\n".join([good] * 300 + [bad] * 150)
+    made = quality.examples([long_bad, good], [0, 1])
+    assert len(made[0].length) == quality.TRAIN_LINES and made[0].runs.tolist() == [quality.RUN] * 8 and made[1].runs.tolist() == [1]
+    assert (made[0].x[-1] != made[0].x[0]).any()
+    rows = [(i, long_bad + f" {i}") for i in range(20)] + [(100 + i, "\n".join([good] * 450) + f" {i}") for i in range(20)]
+    docs = spark.createDataFrame([*rows, rows[0], (None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 100)) for i, _ in rows], "doc_id long, quality int")
+    s = quality.learn(docs, labels).score([rows[0][1], rows[30][1]])
+    assert s[1] > 0.7 > s[0]
