@@ -8,8 +8,10 @@ shift agrees with the commonest shift, give or take SLACK of the longer text.
 
 Defined cases: a null text is an empty one; an empty text has an empty fingerprint, alike (1) to an
 empty one only; a text shorter than k, or without an anchor, is one anchor, the whole text; equal
-texts have equal fingerprints; ids are integers; rows with a null id sort first, rows that share an id
-in a fixed order of their own.
+texts have equal fingerprints; of equal hashes the first place counts, of equally common shifts neither is
+preferred, as only their number counts; a very long text is worked through in pieces that overlap by K - 1
+code points; ids are integers; rows with a null id sort first, rows that share an id in a fixed order of
+their own; further columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ K, S = 16, 5
 SIZE, SLACK = 96, 0.05
 SEP = "\x00"
 #: Rows of one range of ids, and ranges at most; beyond that ranges grow, and are streamed all the same.
-ROWS_PER_RANGE, MAX_RANGES = 20_000, 100_000
+ROWS_PER_RANGE, MAX_RANGES = 5_000, 100_000
 #: A null id sorts before all others.
 NULL_ID = -(1 << 63)
 
@@ -62,8 +64,29 @@ def anchors(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, fmix(h) >> np.uint64(32)
 
 
-def fingerprints(texts: list[str]) -> list[list[tuple[int, int]]]:
+def smallest(place: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The SIZE smallest hashes, each once, at its first place."""
+    order = np.lexsort((place, h))
+    place, h = place[order], h[order]
+    fresh = np.concatenate(([True], h[1:] != h[:-1])) if len(h) else np.zeros(0, dtype=bool)
+    return place[fresh][:SIZE], h[fresh][:SIZE]
+
+
+def of_long_text(text: str, step: int) -> list[tuple[int, int]]:
+    """The same fingerprint, from pieces of a long text."""
+    place, h = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+    for at in range(0, len(text), step):
+        p, x = anchors(code_points(text[at : at + step + K - 1]))
+        place, h = smallest(np.concatenate((place, p + at)), np.concatenate((h, x)))
+    return list(zip(h.tolist(), place.tolist(), strict=True))
+
+
+def fingerprints(texts: list[str], step: int = CHUNK_CHARS) -> list[list[tuple[int, int]]]:
     """For each text its (hash, place) pairs by rising hash, each hash once, at its first place."""
+    long = {i: of_long_text(t, step) for i, t in enumerate(texts) if len(t) > step}
+    if any(long.values()):
+        rest = iter(fingerprints([t for i, t in enumerate(texts) if not long.get(i)], max(map(len, texts))))
+        return [long.get(i) or next(rest) for i in range(len(texts))]
     joined = SEP.join(texts)
     place, h = anchors(code_points(joined))
     starts = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
@@ -179,7 +202,7 @@ def op10_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     before = sc.broadcast({low: numbers[i - 1] for i, (_, low) in enumerate(firsts)})
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     packed = map_arrow(rows, "doc_id bigint, r int, guard int, packed binary", lambda cols, n: pack(cols, place(cols["doc_id"]), before.value), 4 * CHUNK_CHARS)
-    dealt = packed.repartition(len(bounds.value) + 1, "r").sortWithinPartitions("r", "guard", "doc_id", "packed")
+    dealt = packed.repartitionById(len(bounds.value) + 1, "r").sortWithinPartitions("r", "guard", "doc_id", "packed")
     return dealt.mapInArrow(follow, OUT)
 
 
