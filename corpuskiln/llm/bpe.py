@@ -5,8 +5,9 @@ one token, so the text is cut there and the fragments are encoded independently
 The vocabulary is a tokenizers-library BPE file with word ends; its path is a parameter.
 
 Defined cases: null and empty texts give no ids and an empty decoded text; the strings of special
-tokens in a text become their ids, as the library does by default; repeated rows are encoded alike;
-other columns of the input are ignored.
+tokens in a text become their ids, as the library does by default; of pairs of equal rank the leftmost is
+joined first; repeated rows are encoded alike; a very long text is encoded in one task and takes some 100
+bytes a character there; an empty table gives an empty result; other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import unicodedata
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -164,8 +166,6 @@ def encoder(path: str) -> ForcedBoundaryBPE:
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, token_ids array<int>, decoded string) of every whole text. See the module for null and empty texts."""
-    import numpy as np
-
     def each(cols: dict, n: int) -> dict:
         e = encoder(path)
         got = [e.both(t) for t in cols["text"]]
@@ -203,8 +203,6 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
 def tokenized(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, token_ids, n_tokens, ids_sha256, decoded_sha256), a row for every row of docs."""
-    import numpy as np
-
     def each(cols: dict, n: int) -> dict:
         e, sha = encoder(path), hashlib.sha256
         got = [e.both(t) for t in cols["text"]]
@@ -218,6 +216,16 @@ def tokenized(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     return map_arrow(rows, f"doc_id {kind}, token_ids array<int>, n_tokens bigint, ids_sha256 string, decoded_sha256 string", each)
 
 
+def encoded_chunks(lines: DataFrame, path: str, size: int, file: str = "file", pos: str = "pos", value: str = "value") -> DataFrame:
+    """(file, chunk, token_ids): every so many lines of a file joined and encoded together."""
+    from corpuskiln.operators.packing import line_chunks
+
+    chunks = line_chunks(lines, size, file, pos, value)
+    return map_arrow(chunks.select(F.col(file).cast("string").alias("file"), "chunk", "text"), "file string, chunk bigint, token_ids array<int>", lambda cols, n: {
+        "file": cols["file"], "chunk": cols["chunk"], "token_ids": [np.frombuffer(encoder(path).both(t)[0], dtype="<u4").astype(np.int32) for t in cols["text"]],
+    })
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
 

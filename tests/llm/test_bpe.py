@@ -55,3 +55,16 @@ def test_nulls_repeats_empty_table_and_clashing_columns(spark):
     assert {r["decoded"] for r in bpe.decode(bpe.encode(df, path), path).collect()} == {"", "hi</w> hi</w>"}
     assert bpe.digests(df.limit(0), path).collect() == []
     assert {r["n_tokens"] for r in bpe.tokenized(df, path).collect()} == {0, 2}
+
+
+def test_chunks_of_lines(spark):
+    from corpuskiln.llm import bpe
+
+    path = bpe.default_vocabulary()
+    lines = spark.createDataFrame([("f", i, f"line {i} of text") for i in range(7)] + [("g", 0, None)], "file string, pos long, value string")
+    got = {(r["file"], r["chunk"]): r["token_ids"] for r in bpe.encoded_chunks(lines, path, 3).collect()}
+    joined = {("f", k): "\n".join(f"line {i} of text" for i in range(7)[3 * k : 3 * k + 3]) for k in range(3)}
+    e = bpe.encoder(path)
+    import numpy as np
+
+    assert {k: got[k] for k in joined} == {k: np.frombuffer(e.both(t)[0], dtype="<u4").tolist() for k, t in joined.items()} and got["g", 0] == []
