@@ -48,6 +48,29 @@ def test_mixing_loses_nothing_and_bpe_encodes_every_row(stages):
     assert stages[5].count() == stages[4].count()
 
 
+def test_token_ids_are_the_librarys(stages):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    library.no_truncation()
+    library.no_padding()
+    text = texts(stages[4])
+    for r in stages[5].collect():
+        assert r["token_ids"] == library.encode(text[r["doc_id"]] or "", add_special_tokens=False).ids and r["n_tokens"] == len(r["token_ids"])
+
+
+def test_clashing_columns_repeated_rows_and_a_very_long_text(spark, sf):
+    long = " ".join(f"word{k} and line\n" if k % 9 == 0 else f"word{k}" for k in range(200_000))
+    rows = [(1, long, "en", "s", 1, "k", 0.5), (2, "A calm line of words. It goes on.", "en", "s", 1, "k", 0.5), (2, "A calm line of words. It goes on.", "en", "s", 1, "k", 0.5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, rep string, rate double")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        docs = materialize(stage(spark, docs, sf), f"wide-{name}")
+        assert docs.columns == columns or name == "bpe"
+    assert {r["doc_id"] for r in docs.collect()} == {1, 2}
+
+
 def test_odd_rows(spark, sf):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     docs = spark.createDataFrame([(1, None, None, None, None), (2, "", "en", "s", 0), (2, "", "en", "s", 0), (None, "a", "en", None, 1)], schema)
