@@ -15,9 +15,11 @@ from corpuskiln.functions import text as T
 
 #: Marks at the start of lines, and lines that are nothing else.
 LINE_RULES = [
-    (r"^ {0,3}(?:```|~~~).*$", ""), (r"^ {0,3}(?:[-*_] *){3,}$", ""), (r"^ {0,3}(?:=+|-+) *$", ""), (r"^[| :-]*\|[ :|-]*$", ""),
+    (r"^ {0,3}(?:```|~~~).*$", ""), (r"^ {0,3}(?:[-*_] *){3,}$", ""), (r"^ {0,3}(?:=+|-+) *$", ""),
     (r"^ {0,3}#{1,6} +(.*?)(?: +#+)?$", "$1"), (r"^(?: {0,3}> ?)+", ""), (r"^( *)[*+-] +", "$1* "),
 ]
+#: The line under the head of a table.
+TABLE_RULE = r"^[| :-]*-[| :-]*\|[| :-]*$|^[| :-]*\|[| :-]*-[| :-]*$"
 #: Marks around spans, the longer before the shorter.
 SPAN_RULES = [
     (r"!\[([^\]\n]*)\]\([^)\n]*\)", "$1"), (r"\[([^\]\n]+)\]\((?:[^()\n]|\([^()\n]*\))*\)", "$1"), (r"<(https?://[^>\s]+)>", "$1"),
@@ -40,7 +42,7 @@ def markdown_text(md) -> Column:
     c = T._col(md)
     c = F.regexp_replace(F.replace(c, F.lit("~~"), F.lit("")), "(?:&gt;|>)!(.*?)!(?:&lt;|<)", "$1")
     c = F.regexp_replace(c, "(?m)^((?:&gt; ?)+)", "")
-    lines = F.array_join(F.transform(F.split(c, "\n"), _line), "\n")
+    lines = F.array_join(F.transform(F.filter(F.split(c, "\n"), lambda x: ~x.rlike(TABLE_RULE)), _line), "\n")
     spans = reduce(lambda x, r: F.regexp_replace(x, *r), SPAN_RULES, lines)
     plain = reduce(lambda x, e: F.replace(x, F.lit(e[0]), F.lit(e[1])), ENTITIES, spans)
     return T.forum_spaces(plain)

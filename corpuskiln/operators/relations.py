@@ -47,7 +47,7 @@ def inverse_distribution(draws: DataFrame, table: DataFrame, u: str = "u") -> Da
     equal draws are one row of it.
     """
     size = table.agg(F.max("total").alias("__total"))
-    place = F.greatest(F.ceil(F.col(u) * F.col("__total")), F.lit(1)) - 1
+    place = F.when(F.col(u).isNotNull(), F.greatest(F.ceil(F.col(u) * F.col("__total")), F.lit(1)) - 1)
     want = draws.join(F.broadcast(size)).withColumn("__place", place.cast("bigint")).drop("__total")
     marks = table.select(F.lit(0).alias("__one"), F.col("below").cast("bigint").alias("__at"), F.lit(0).alias("__draw"), "word")
     marks = marks.unionByName(want.where("__place is not null").select(F.lit(0).alias("__one"), F.col("__place").alias("__at"), F.lit(1).alias("__draw"), F.lit(None).cast("string").alias("word")).distinct())

@@ -239,10 +239,10 @@ def main_texts(spark, sf_dir):
 
 
 @query(f"""select page_id, cast(len(p) as integer) as paragraphs, md5(array_to_string(p, '|')) as text_md5 from (select page_id,
-       case when page_id % 2 = 0 then list_filter(string_split({page_sql('html')}, chr(10)), lambda x: x <> '') else list_filter(regexp_split_to_array(replace(replace(html, '<', ''), '&', ''), '\n\n+'), lambda x: x <> '') end as p from pages)""")
+       case when page_id % 2 = 0 then list_filter(string_split({page_sql('html')}, chr(10)), lambda x: x <> '') else list_filter(regexp_split_to_array(replace(replace(replace(html, '<', ''), '>', ''), '&', ''), '\n\n+'), lambda x: x <> '') end as p from pages)""")
 def html_paragraphs(spark, sf_dir):
     """Every other page without its marks, as plain text."""
-    text = F.when(F.col("page_id") % 2 == 0, F.col("html")).otherwise(F.translate("html", "<&", ""))
+    text = F.when(F.col("page_id") % 2 == 0, F.col("html")).otherwise(F.translate("html", "<>&", ""))
     parts = table(spark, sf_dir, "pages").select("page_id", html.html_aware_paragraphs(text).alias("p"))
     return parts.select("page_id", F.size("p").alias("paragraphs"), F.md5(F.array_join("p", "|").cast("binary")).alias("text_md5"))
 
@@ -276,7 +276,7 @@ def page_records(spark, sf_dir) -> DataFrame:
 WEB_SQL = f"""
 with p as (select *, {MIME_SQL} as mime, case when page_id % 5 = 0 then 'request' when page_id % 5 < 3 then 'response' else 'conversion' end as record_type from pages),
 c as (select *, {MEDIA_SQL} as class from p),
-t as (select *, case when class = 'plain' then case when page_id % 13 = 0 then null else html end else {page_sql('html')} || case when page_id % 13 = 0 then chr(65533) else '' end end as body from c)
+t as (select *, case when class = 'plain' then case when page_id % 13 = 0 then null else html end else {page_sql("(html || case when page_id % 13 = 0 then chr(65533) else '' end)")} end as body from c)
 select 'commoncrawl:r' || page_id as id, record_type, case when record_type = 'request' then 'other-record' when page_id % 11 = 0 then 'empty-content' when class = 'unsupported' then 'unsupported'
   when body is null then 'error' when body = '' then 'empty-text' else 'output' end as outcome, md5(body) as body_md5 from t
 """

@@ -242,7 +242,7 @@ def readable(docs: DataFrame, id_col: str = "id", text_col: str = "text") -> Dat
 
 def ascii_json(value: Column) -> Column:
     """JSON text with every character beyond ASCII written as \\uXXXX, by UTF-16 units."""
-    units = lambda p: F.lower(F.regexp_replace(F.hex(F.encode(p, "UTF-16BE")), "(.{4})", r"\\\\u$1"))
+    units = lambda p: F.lower(F.regexp_replace(F.hex(F.encode(p, "UTF-16BE")), "(.{4})", r"\\u$1"))
     return replaced(value, r"[^\x00-\x7F]+", units)
 
 

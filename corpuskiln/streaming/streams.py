@@ -31,13 +31,14 @@ def first_seen(rows: DataFrame, key: str, event_time: str | None = None, delay:
     return rows.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
 
 
-def quoted(rows: DataFrame, thread: str, comment: str, quoted_comment: str, text: str, position: str, forget: str = "1 day") -> DataFrame:
+def quoted(rows: DataFrame, thread: str, comment: str, quoted_comment: str, text: str, position: str, forget: str | None = None) -> DataFrame:
     """(comment, quoted_text) by thread: the latest text seen so far under the quoted id.
 
     The rows of a thread in one batch are taken in the order of their position; a row is stored before it looks
-    up. State is the texts of a thread, dropped after so long without rows.
+    up. State is the texts of a thread; an endless stream has them dropped after ``forget`` without rows ("1 day",
+    say; a stream with such a clock never runs dry, so it can't be drained).
     """
-    keep = pd.Timedelta(forget) // pd.Timedelta("1ms")
+    keep = pd.Timedelta(forget) // pd.Timedelta("1ms") if forget else None
 
     def step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -50,9 +51,11 @@ def quoted(rows: DataFrame, thread: str, comment: str, quoted_comment: str, text
             out.append((str(r[comment]), known.get(str(r[quoted_comment]))))
         yield pd.DataFrame(out, columns=["comment", "quoted_text"])
         state.update((list(known), list(known.values())))
-        state.setTimeoutDuration(keep)
+        if keep:
+            state.setTimeoutDuration(keep)
 
-    return rows.groupBy(thread).applyInPandasWithState(step, "comment string, quoted_text string", "ids array<string>, texts array<string>", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    clock = GroupStateTimeout.ProcessingTimeTimeout if keep else GroupStateTimeout.NoTimeout
+    return rows.groupBy(thread).applyInPandasWithState(step, "comment string, quoted_text string", "ids array<string>, texts array<string>", "append", clock)
 
 
 def packed(rows: DataFrame, shard: str | list[str], ids: str, block: int) -> DataFrame:

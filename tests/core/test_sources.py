@@ -23,8 +23,6 @@ def test_news_items_and_html(spark, tmp_path):
     (tmp_path / "n.xml").write_text(xml)
     r = files.newsml(spark, str(tmp_path)).first()
     assert (r["id"], r["paragraphs"], dict(r["meta"])) == ("g1", ["Otsikko", "Väli", "Yksi kaksi kolme"], {"headline": ["Otsikko"], "lang": ["fi"]})
-    assert files.html_text("<title>T</title><p>a<b>b</b> &amp; c</p><script>x</script><div>d<br>e</div>") == "T\nab & c\nd\ne"
-    assert files.html_text(None) is None and files.html_text("") == ""
 
 
 def test_news_trees(spark):
