@@ -38,7 +38,7 @@ def ranged(rows: DataFrame, order: list[Column], tag: str) -> DataFrame:
     Ranges are drawn by a sample of the rows, so they are about equal whatever the values are, and their number
     grows with the rows. The table is written, so that ranges stay what they are.
     """
-    spark = rows.sparkSession
+    spark, rows = rows.sparkSession, materialize(rows, tag)  # counted, sampled and dealt: three passes
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.count() // RANGE_ROWS + 1)
     return materialize(rows.repartitionByRange(n, *order).withColumn("__cell", F.spark_partition_id()), tag)
 

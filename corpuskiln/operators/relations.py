@@ -33,8 +33,8 @@ def frequency_table(freqs: DataFrame, word: str = "word", freq: str = "freq") ->
 
     The order is cut into ranges of about equal size, so that words seen once, half of any vocabulary, are in many.
     """
-    total = freqs.agg(F.sum(freq).alias("__total"))
-    rows = freqs.select(F.col(word).alias("word"), F.col(freq).alias("freq"))
+    rows = materialize(freqs.select(F.col(word).alias("word"), F.col(freq).alias("freq")), "frequencies")
+    total = rows.agg(F.sum("freq").alias("__total"))
     out = running_sum(rows, [F.desc("freq"), F.desc("word")], "freq", "below").join(F.broadcast(total))
     upto = F.col("below") + F.col("freq")
     return out.select("word", "freq", "below", upto.alias("upto"), (upto / F.col("__total")).alias("cum"), F.col("__total").alias("total"))
@@ -46,6 +46,7 @@ def inverse_distribution(draws: DataFrame, table: DataFrame, u: str = "u") -> Da
     Draws and words are one table in the order of their places, in which the last word is carried forward;
     equal draws are one row of it.
     """
+    table = materialize(table.select("word", "below", "total"), "distribution")
     size = table.agg(F.max("total").alias("__total"))
     place = F.when(F.col(u).isNotNull(), F.greatest(F.ceil(F.col(u) * F.col("__total")), F.lit(1)) - 1)
     want = draws.join(F.broadcast(size)).withColumn("__place", place.cast("bigint")).drop("__total")
