@@ -32,5 +32,5 @@ def test_three_hundred_languages_are_learned(spark):
     assert sample.count() == 900 and sample.select("l").distinct().count() == 300
     model = language.learn(sample)
     assert len(model.langs) == 300
-    got, _ = language.predict_batch(model, [chr(k + 0x4E00) * 3 for k in range(300)])
+    got, _ = language.predict_batch(model, [chr(k + 0x4E00) for k in range(300)])
     assert sum(g == f"l{k}" for k, g in enumerate(got)) > 290
