@@ -30,7 +30,7 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
 
 
 #: Bytes of a table, as measured, up to which it is broadcast.
-BROADCAST_BYTES = 8_000_000
+BROADCAST_BYTES = 1_000_000
 
 
 def measured(df: DataFrame) -> int:
