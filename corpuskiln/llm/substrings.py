@@ -12,13 +12,14 @@ that overlap or touch make its maximal repeats.
 
 What can't repeat is left out first: word sequences that equal a smaller document's are removed
 whole, and a window is looked at only if its minimizer (the smallest hash of its runs of GRAM words)
-occurs in another document too; equal windows have equal minimizers, so nothing is lost. Windows
-that meet within one batch are settled there, so that a passage in a third of all documents sends
-one row a batch. Words stand in suffixes as 16 bits each, and a 64-bit hash of the window decides equality.
+occurs in another document too; equal windows have equal minimizers, so nothing is lost. Before
+suffixes are sent, those of a batch are made a tree of their own by prefix doubling, and of each of its nodes of
+depth WINDOW one leaf stands for all, so that a passage in a third of all documents sends one row a batch.
+Words stand in suffixes as SYMBOL bytes each, and suffixes are compared word by word.
 
 Defined cases: null texts have no words; texts of fewer than WINDOW words lose none; a null id is
-neither a source nor loses words; repeats inside one document stay; rows that repeat an id and its
-text are equal (ids are otherwise taken as unique); of equal windows the smallest id's stays, wherever it
+neither a source nor loses words; repeats inside one document stay, and so do those between rows of one id, each of
+which is cut by its own spans; of equal windows the smallest id's stays, wherever it
 stands; a very long text is split piece by piece and then takes some 40 bytes a word, about 100 where
 words are cut out of it; an empty table gives an empty result; further columns of the input are ignored.
 """
@@ -35,9 +36,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.llm.common import CHUNK_CHARS, as_signed, discard, fmix, if_small, map_arrow, materialize, pieces, released, rolling, slices, sliding_min, spread_join, table, without_ids, word_hashes
+from corpuskiln.llm.common import CHUNK_CHARS, as_signed, discard, fmix, if_small, map_arrow, materialize, pieces, released, rolling, slices, sliding_min, spread_join, table, word_hashes
 
 WINDOW, GRAM = 13, 4
+#: Bytes of a word in a suffix, of its 64-bit hash.
+SYMBOL = 6
 #: Words of the prefixes that groups are made by, tried in this order.
 LADDER = (3, 6, 9, WINDOW)
 #: Suffixes of a group at most, and prefixes with more that are held at once: the bound grows with the number of
@@ -75,11 +78,11 @@ class Batch:
         return sliding_min(rolling(self.h, GRAM), WINDOW - GRAM + 1)[self.at]
 
 
-def sequences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n_words, digest, whole_sha256): of the words joined by one space."""
+def sequences(rows: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, n_words, digest, whole_sha256) of rows (doc_id, text_hash, text): of the words joined by one space."""
 
     def each(cols: dict, n: int) -> dict:
-        out: dict[str, list] = {"doc_id": cols["doc_id"], "n_words": [], "digest": [], "whole_sha256": []}
+        out: dict[str, list] = {"doc_id": cols["doc_id"], "text_hash": cols["text_hash"], "n_words": [], "digest": [], "whole_sha256": []}
         for text in cols["text"]:
             short, sha, total = blake2b(digest_size=16), sha256(), 0
             for piece, count in single_spaced(text):
@@ -91,12 +94,11 @@ def sequences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             out["whole_sha256"].append(sha.hexdigest())
         return out
 
-    kind = dict(docs.dtypes)[id_col]
-    return map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), f"doc_id {kind}, n_words bigint, digest binary, whole_sha256 string", each)
+    return map_arrow(rows, f"doc_id {dict(rows.dtypes)['doc_id']}, text_hash bigint, n_words bigint, digest binary, whole_sha256 string", each)
 
 
 def minimizer_rows(docs: DataFrame) -> DataFrame:
-    """(m, doc_id) of docs (doc_id, text); neighbouring windows with one minimizer give one row."""
+    """(m, doc_id, copy) of docs (doc_id, copy, text); neighbouring windows with one minimizer give one row."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     id_type = to_arrow_type(docs.schema["doc_id"].dataType)
@@ -105,29 +107,55 @@ def minimizer_rows(docs: DataFrame) -> DataFrame:
         b = Batch([(t or "").encode("utf-8") for t in cols["text"]])
         m = b.minimizers()
         new = np.concatenate(([True], (m[1:] != m[:-1]) | (b.owner[1:] != b.owner[:-1]))) if len(m) else np.zeros(0, dtype=bool)
-        return {"m": pa.array(as_signed(m[new])), "doc_id": pa.array(cols["doc_id"], id_type).take(pa.array(b.owner[new]))}
+        owner = pa.array(b.owner[new])
+        return {"m": pa.array(as_signed(m[new])), "doc_id": pa.array(cols["doc_id"], id_type).take(owner), "copy": pa.array(cols["copy"], pa.int64()).take(owner)}
 
-    return map_arrow(docs, f"m bigint, doc_id {dict(docs.dtypes)['doc_id']}", each)
+    return map_arrow(docs, f"m bigint, doc_id {dict(docs.dtypes)['doc_id']}, copy bigint", each)
 
 
 def packed(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_words, packed): words joined by one space, compressed, for the shuffle."""
+    """(doc_id, copy, n_words, packed): words joined by one space, compressed, for the shuffle."""
 
     def each(cols: dict, n: int) -> dict:
         squeeze = zstandard.ZstdCompressor(level=6).compress
         joined = [list(single_spaced(t)) for t in cols["text"]]
-        return {"doc_id": cols["doc_id"], "n_words": [sum(c for _, c in j) for j in joined], "packed": [squeeze(b"".join(p for p, _ in j)) for j in joined]}
+        return {"doc_id": cols["doc_id"], "copy": cols["copy"], "n_words": [sum(c for _, c in j) for j in joined], "packed": [squeeze(b"".join(p for p, _ in j)) for j in joined]}
+
+    return map_arrow(docs, f"doc_id {dict(docs.dtypes)['doc_id']}, copy bigint, n_words bigint, packed binary", each)
 
-    return map_arrow(docs, f"doc_id {dict(docs.dtypes)['doc_id']}, n_words bigint, packed binary", each)
 
+def leaf_order(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, depth) of the suffixes of the words h that begin at the places, cut at WINDOW words: their order as leaves
+    of a suffix tree, and the words that each has in common with the one before it, as far as WINDOW is concerned.
 
-class Settled:
-    """The windows to look at of some documents (doc_id, packed, marks), those that meet among them settled."""
+    By prefix doubling: runs of 1, 2, 4 and 8 words are ranked, then of WINDOW; a rank holds no hash but those of words.
+    """
+    if not len(at):
+        return at, np.zeros(0, dtype=np.int64)
+    inside = np.zeros(len(h) + 1, dtype=np.int64)
+    np.add.at(inside, at, 1)
+    np.add.at(inside, at + WINDOW, -1)
+    inside = np.cumsum(inside)[:-1] > 0  # other words are left out; the words of a suffix stay together
+    _, rank = np.unique(h[inside], return_inverse=True)
+    size = 1
+    while size < WINDOW:
+        step = min(size, WINDOW - size)
+        _, rank = np.unique(rank[: len(rank) - step] * (int(rank.max()) + 1) + rank[step:], return_inverse=True)
+        size += step
+    rank = rank[(np.cumsum(inside) - 1)[at]]
+    order = np.argsort(rank, kind="stable")
+    return order, np.where(rank[order][1:] == rank[order][:-1], WINDOW, 0)
+
+
+class Subtree:
+    """The windows to look at of some documents (doc_id, copy, packed, marks), as the leaves of their own suffix tree."""
 
     def __init__(self, cols: dict, id_type: pa.DataType):
         unpack = zstandard.ZstdDecompressor().decompress
-        order = sorted(range(len(cols["doc_id"])), key=lambda i: cols["doc_id"][i])
-        self.ids = pa.array([cols["doc_id"][i] for i in order], id_type)
+        order = sorted(range(len(cols["doc_id"])), key=lambda i: (cols["doc_id"][i], cols["copy"][i]))
+        ids = [cols["doc_id"][i] for i in order]
+        self.ids, self.copies = pa.array(ids, id_type), pa.array([cols["copy"][i] for i in order], pa.int64())
+        number = np.cumsum([0] + [a != b for a, b in zip(ids[1:], ids, strict=False)]) if ids else np.zeros(0, dtype=np.int64)
         b = Batch([unpack(cols["packed"][i]) for i in order])
         marks = [np.sort(np.array(cols["marks"][i], dtype=np.int64).view(np.uint64)) for i in order]
         m = b.minimizers()
@@ -135,19 +163,23 @@ class Settled:
         hit = [lo + np.flatnonzero(np.isin(m[lo:hi], marks[k])) for k, (lo, hi) in enumerate(zip(cut[:-1], cut[1:], strict=True))]
         hit = np.concatenate(hit) if hit else np.zeros(0, dtype=np.int64)
         at, self.owner, self.place = b.at[hit], b.owner[hit], b.place[hit]
-        self.key = key = rolling(b.h, WINDOW)[at] if len(hit) else np.zeros(0, dtype=np.uint64)
-        # rows are in the order of ids: the first of equal keys is of the smallest document
-        by_key = np.argsort(key, kind="stable")
-        first = np.concatenate(([True], key[by_key][1:] != key[by_key][:-1])) if len(hit) else np.zeros(0, dtype=bool)
-        home = self.owner[by_key[np.flatnonzero(first)[np.cumsum(first) - 1]]] if len(hit) else self.owner
-        settled, same = np.zeros(len(hit), dtype=bool), np.zeros(len(hit), dtype=bool)
-        settled[by_key] = self.owner[by_key] > home
-        same[by_key] = ~first
-        self.gone = np.flatnonzero(settled)
-        self.send = np.flatnonzero(~settled & ~same)
-        # later places within the smallest document go along with the first
-        self.inside = np.flatnonzero(~settled & same)
-        self.symbols = (b.h >> np.uint64(48)).astype(np.uint16)[at[self.send][:, None] + np.arange(WINDOW)]
+        # places are in the order of ids, and so are the leaves below a node: its first is of the smallest document
+        self.leaves, self.depth = leaf_order(b.h, at)
+        owner = self.owner[self.leaves]
+        node = np.concatenate(([True], self.depth < WINDOW)) if len(hit) else np.zeros(0, dtype=bool)
+        home = owner[np.flatnonzero(node)][np.cumsum(node) - 1]
+        # later places within a row of the smallest document go along with its first
+        first = node | np.concatenate(([True], owner[1:] != owner[:-1])) if len(hit) else node
+        gone, same, self.lead = np.zeros(len(hit), dtype=bool), np.zeros(len(hit), dtype=bool), np.zeros(len(hit), dtype=np.int64)
+        gone[self.leaves], same[self.leaves] = number[owner] > number[home], ~first
+        self.lead[self.leaves] = self.leaves[np.flatnonzero(first)][np.cumsum(first) - 1]
+        self.gone, self.send, self.inside = np.flatnonzero(gone), np.flatnonzero(~gone & ~same), np.flatnonzero(~gone & same)
+        drop = np.uint64(8 * (8 - SYMBOL))
+        self.symbols = (b.h >> drop << drop)[at[self.send][:, None] + np.arange(WINDOW)]
+
+    def suffixes(self) -> np.ndarray:
+        """Of the leaves to send, their words as bytes."""
+        return self.symbols.astype(">u8").view(np.uint8).reshape(-1, WINDOW, 8)[:, :, :SYMBOL].reshape(-1, WINDOW * SYMBOL)
 
 
 def prefix_hash(symbols: np.ndarray, length: int) -> np.ndarray:
@@ -183,12 +215,12 @@ def heavy_prefixes(marked: DataFrame) -> list[np.ndarray]:
     for k, length in enumerate(LADDER[:-1]):
 
         def count(cols: dict, n: int, k=k, length=length) -> dict:
-            symbols = Settled(cols, id_type).symbols
+            symbols = Subtree(cols, id_type).symbols
             open_ = symbols[prefix_lengths(symbols, heavy) == length] if k else symbols
             p, c = np.unique(prefix_hash(open_, length), return_counts=True)
             return {"p": pa.array(as_signed(p)), "n": pa.array(c.astype(np.int64))}
 
-        counts = materialize(map_arrow(marked.select("doc_id", "packed", "marks"), "p bigint, n bigint", count, CHUNK_CHARS // 2).groupBy("p").agg(F.sum("n").alias("n")), "prefixes")
+        counts = materialize(map_arrow(marked.select("doc_id", "copy", "packed", "marks"), "p bigint, n bigint", count, CHUNK_CHARS // 2).groupBy("p").agg(F.sum("n").alias("n")), "prefixes")
         if bound is None:
             total = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
             bound = max(GROUP_ROWS, total // HEAVY_PREFIXES)
@@ -200,10 +232,10 @@ def heavy_prefixes(marked: DataFrame) -> list[np.ndarray]:
 
 
 def suffix_rows(marked: DataFrame, heavy: list[np.ndarray] = ()) -> DataFrame:
-    """(prefix, suffix, doc_id, place, found) of marked (doc_id, packed, marks).
+    """(prefix, suffix, doc_id, copy, place, found) of marked (doc_id, copy, packed, marks).
 
-    Either a suffix that starts a window to be settled, with the prefix of its group, or, with a null suffix,
-    the places of a document's windows that a smaller document of the same batch holds too.
+    Either a leaf that stands for its node of the batch, its words being the prefix of its group and the suffix, or, with a
+    null suffix, the places of a document's leaves below nodes that a smaller document of the same batch has leaves below too.
     """
     kind = dict(marked.dtypes)["doc_id"]
     shared = marked.sparkSession.sparkContext.broadcast(list(heavy))
@@ -211,21 +243,20 @@ def suffix_rows(marked: DataFrame, heavy: list[np.ndarray] = ()) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for cols in slices(batch, CHUNK_CHARS // 2):
-                s = Settled(cols, batch.schema.field("doc_id").type)
+                s = Subtree(cols, batch.schema.field("doc_id").type)
                 send = s.send
                 if len(send):
-                    words = s.symbols.astype(">u2").view(np.uint8)
-                    blob = np.concatenate((words, s.key[send].astype(">u8").view(np.uint8).reshape(-1, 8)), axis=1)
-                    length = 2 * prefix_lengths(s.symbols, shared.value)
+                    words = s.suffixes()
+                    length = SYMBOL * prefix_lengths(s.symbols, shared.value)
                     inside = np.arange(words.shape[1]) < length[:, None]
-                    # places of equal windows of the same document go along with the first
                     more: dict[int, list[int]] = {}
                     for k in s.inside:
-                        more.setdefault(int(s.key[k]), []).append(int(s.place[k]))
-                    extra = [more.get(int(k), None) for k in s.key[send]] if more else [None] * len(send)
+                        more.setdefault(int(s.lead[k]), []).append(int(s.place[k]))
+                    extra = [more.get(int(k), None) for k in send] if more else [None] * len(send)
+                    owner = pa.array(s.owner[send])
                     yield pa.RecordBatch.from_arrays(
                         [
-                            binaries(words[inside], length), binaries(blob.reshape(-1), np.full(len(send), blob.shape[1])), s.ids.take(pa.array(s.owner[send])),
+                            binaries(words[inside], length), binaries(words[~inside], words.shape[1] - length), s.ids.take(owner), s.copies.take(owner),
                             pa.array(s.place[send].astype(np.int32)), pa.array(extra, pa.list_(pa.int32())),
                         ], names=NAMES,
                     )
@@ -235,15 +266,15 @@ def suffix_rows(marked: DataFrame, heavy: list[np.ndarray] = ()) -> DataFrame:
                     n = len(docs)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            binaries(docs.astype(">u4").view(np.uint8), np.full(n, 4)), pa.nulls(n, pa.binary()), s.ids.take(pa.array(docs)), pa.nulls(n, pa.int32()),
+                            binaries(docs.astype(">u4").view(np.uint8), np.full(n, 4)), pa.nulls(n, pa.binary()), s.ids.take(pa.array(docs)), s.copies.take(pa.array(docs)), pa.nulls(n, pa.int32()),
                             pa.ListArray.from_arrays(pa.array(np.concatenate((begin, [len(gone)])).astype(np.int32)), pa.array(s.place[gone].astype(np.int32))),
                         ], names=NAMES,
                     )
 
-    return marked.select("doc_id", "packed", "marks").mapInArrow(released(run), f"prefix binary, suffix binary, doc_id {kind}, place int, found array<int>")
+    return marked.select("doc_id", "copy", "packed", "marks").mapInArrow(released(run), f"prefix binary, suffix binary, doc_id {kind}, copy bigint, place int, found array<int>")
 
 
-NAMES = ["prefix", "suffix", "doc_id", "place", "found"]
+NAMES = ["prefix", "suffix", "doc_id", "copy", "place", "found"]
 
 
 def binaries(data: np.ndarray, width: np.ndarray) -> pa.Array:
@@ -254,12 +285,10 @@ def binaries(data: np.ndarray, width: np.ndarray) -> pa.Array:
 
 def depths(tree: np.ndarray) -> np.ndarray:
     """Of sorted suffixes [row, byte], the words that each has in common with the one before it: the depth of the
-    node that joins them. All WINDOW words only if the windows' hashes agree too."""
-    words, check = tree[:, : 2 * WINDOW].reshape(len(tree), WINDOW, 2), tree[:, 2 * WINDOW :]
+    node that joins them."""
+    words = tree.reshape(len(tree), WINDOW, SYMBOL)
     same = (words[1:] == words[:-1]).all(axis=2)
-    depth = np.where(same.all(axis=1), WINDOW, same.argmin(axis=1))
-    depth[(depth == WINDOW) & (check[1:] != check[:-1]).any(axis=1)] = WINDOW - 1
-    return depth
+    return np.where(same.all(axis=1), WINDOW, same.argmin(axis=1))
 
 
 def deep_nodes(depth: np.ndarray, least: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -270,7 +299,7 @@ def deep_nodes(depth: np.ndarray, least: int = WINDOW) -> tuple[np.ndarray, np.n
 
 
 def repeats(suffixes: DataFrame) -> DataFrame:
-    """(doc_id, found array<int>): places of windows to remove, from the suffix trees of the prefix groups."""
+    """(doc_id, copy, found array<int>): places of windows to remove, from the suffix trees of the prefix groups."""
     kind = dict(suffixes.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,7 +308,7 @@ def repeats(suffixes: DataFrame) -> DataFrame:
             t = pa.Table.from_batches([batch])
             plain = t.filter(pa.compute.is_null(t.column("suffix")))
             if plain.num_rows:
-                yield pa.RecordBatch.from_arrays([plain.column("doc_id").combine_chunks(), plain.column("found").combine_chunks()], names=["doc_id", "found"])
+                yield pa.RecordBatch.from_arrays([plain.column(c).combine_chunks() for c in ("doc_id", "copy", "found")], names=["doc_id", "copy", "found"])
             t = t.filter(pa.compute.is_valid(t.column("suffix")))
             if not t.num_rows:
                 continue
@@ -290,7 +319,7 @@ def repeats(suffixes: DataFrame) -> DataFrame:
                 cut -= 1
             yield from subtrees(t.slice(0, cut))
             held = t.slice(cut)
-            if len(group[-1]) == 2 * WINDOW and held.num_rows > 1:
+            if len(group[-1]) == SYMBOL * WINDOW and held.num_rows > 1:
                 # a prefix of all words is one node: its first leaf is kept, the others go as they come
                 yield from subtrees(held)
                 held = held.slice(0, 1)
@@ -302,7 +331,7 @@ def repeats(suffixes: DataFrame) -> DataFrame:
         if t.num_rows < 2:
             return
         t = t.combine_chunks()
-        suffix = t.column("suffix").to_pylist()
+        suffix = [p + s for p, s in zip(t.column("prefix").to_pylist(), t.column("suffix").to_pylist(), strict=True)]
         begin, end = deep_nodes(depths(np.frombuffer(b"".join(suffix), dtype=np.uint8).reshape(len(suffix), -1)))
         if not len(begin):
             return
@@ -313,14 +342,17 @@ def repeats(suffixes: DataFrame) -> DataFrame:
         gone = leaf[code[leaf] != code[begin[node]]]  # leaves are sorted by id within a node
         if not len(gone):
             return
-        place, extra = t.column("place").to_numpy(), t.column("found").to_pylist()
-        docs: dict[int, list[int]] = {}
+        place, extra, copy = t.column("place").to_numpy(), t.column("found").to_pylist(), t.column("copy").to_numpy()
+        docs: dict[tuple[int, int], list[int]] = {}
         for k in gone:
-            docs.setdefault(int(code[k]), []).extend([int(place[k]), *(extra[k] or [])])
-        yield pa.RecordBatch.from_arrays([codes.dictionary.take(pa.array(list(docs), pa.int32())), pa.array(list(docs.values()), pa.list_(pa.int32()))], names=["doc_id", "found"])
+            docs.setdefault((int(code[k]), int(copy[k])), []).extend([int(place[k]), *(extra[k] or [])])
+        yield pa.RecordBatch.from_arrays(
+            [codes.dictionary.take(pa.array([c for c, _ in docs], pa.int32())), pa.array([c for _, c in docs], pa.int64()), pa.array(list(docs.values()), pa.list_(pa.int32()))],
+            names=["doc_id", "copy", "found"],
+        )
 
-    dealt = suffixes.repartition("prefix").sortWithinPartitions("suffix", "doc_id")
-    return dealt.mapInArrow(released(run), f"doc_id {kind}, found array<int>")
+    dealt = suffixes.repartition("prefix").sortWithinPartitions("prefix", "suffix", "doc_id")
+    return dealt.mapInArrow(released(run), f"doc_id {kind}, copy bigint, found array<int>")
 
 
 def removed_mask(n: int, places: list[int]) -> np.ndarray:
@@ -339,30 +371,36 @@ def runs(mask: np.ndarray) -> list[tuple[int, int]]:
 
 
 def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_sha256, spans): spans are the removed runs of words, in order."""
+    """(doc_id, text_hash, n_words, n_removed, kept_sha256, spans): spans are the removed runs of words, in order; the hash of
+    the text tells rows apart that share an id."""
     kind = dict(docs.dtypes)[id_col]
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    seqs = materialize(sequences(docs, id_col, text_col), "sequences")
-    long = seqs.where(f"doc_id is not null and n_words >= {WINDOW}").select("doc_id", "digest")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    seqs = materialize(sequences(rows), "sequences")
+    ids = seqs.where("doc_id is not null").groupBy("doc_id").agg(F.min("text_hash").alias("low"), F.max("text_hash").alias("high"), F.count("*").alias("n"))
+    ids = materialize(ids.where("n > 1"), "repeated-ids")
+    several = ids.where("low < high").select(F.col("doc_id").alias("__id"))
+    rows, seqs = (numbered(df, several) for df in (rows, seqs))
+    long = seqs.where(f"doc_id is not null and n_words >= {WINDOW}").select("doc_id", "copy", "digest")
     copied = long.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("rep < last")
     copied = materialize(copied.select("digest", "rep", "n"), "copied")
     copies = spread_join(long, copied.select("digest", "rep"), "digest", copied.select("digest", "n"), "doc_id")
-    copies = materialize(copies.where("doc_id > rep").select(F.col("doc_id").alias("copy")).distinct(), "copies")
-    active = without_ids(rows.where("doc_id is not null"), copies, "doc_id").select("doc_id", "text")
-    if seqs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        active = active.dropDuplicates(["doc_id"])  # rows that repeat an id are one document
+    copies = materialize(copies.where("doc_id > rep").select(F.col("doc_id").alias("__id"), F.col("copy").alias("__copy")).distinct(), "copies")
+    row = (F.col("doc_id") == F.col("__id")) & (F.col("copy") == F.col("__copy"))
+    active = rows.where("doc_id is not null").join(if_small(copies), row, "left_anti").select("doc_id", "copy", "text")
+    if ids.limit(1).count():
+        active = active.dropDuplicates(["doc_id", "copy"])  # rows that repeat an id and its text are one document
     found = minimizer_rows(active)
     shared = materialize(found.groupBy("m").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n")).where("a < b").select("m", "n"), "shared")
-    marks = materialize(spread_join(found, shared.select("m"), "m", shared, "doc_id").groupBy("doc_id").agg(F.collect_set("m").alias("marks")), "marks")
-    # texts that share passages lie together, so that most windows are settled within a batch; ranges
+    marks = materialize(spread_join(found, shared.select("m"), "m", shared, "doc_id").groupBy("doc_id", "copy").agg(F.collect_set("m").alias("marks")), "marks")
+    # texts that share passages lie together, so that most leaves of a node are of one batch; ranges
     # split a mark that many documents have
-    marked = materialize(packed(active).join(marks, "doc_id"), "marked")
+    marked = materialize(packed(active).join(marks, ["doc_id", "copy"]), "marked")
     text = materialize(marked.withColumn("low", F.array_min("marks")).repartitionByRange("low", "doc_id").sortWithinPartitions("low", "doc_id").drop("low"), "neighbours")
     discard(marked)
-    flags = materialize(repeats(suffix_rows(text, heavy_prefixes(text))).groupBy("doc_id").agg(F.flatten(F.collect_list("found")).alias("places")), "places")
+    flags = materialize(repeats(suffix_rows(text, heavy_prefixes(text))).groupBy("doc_id", "copy").agg(F.flatten(F.collect_list("found")).alias("places")), "places")
 
     def each(cols: dict, n: int) -> dict:
-        out: dict[str, list] = {"doc_id": cols["doc_id"], "removed": [], "sha": [], "spans": []}
+        out: dict[str, list] = {"__id": cols["doc_id"], "__copy": cols["copy"], "removed": [], "sha": [], "spans": []}
         unpack = zstandard.ZstdDecompressor().decompress
         for blob, total, places in zip(cols["packed"], cols["n_words"], cols["places"], strict=True):
             gone, sha, at, space = removed_mask(total, places), sha256(), 0, b""
@@ -378,20 +416,26 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return out
 
     # texts that lose nothing are left out before the shuffle, if the ids of the others are few enough
-    some = text.select("doc_id", "n_words", "packed").join(if_small(flags.select("doc_id")), "doc_id", "left_semi")
-    changed = map_arrow(some.join(flags, "doc_id"), f"doc_id {kind}, removed bigint, sha string, {SPANS}", each)
-    changed = materialize(changed.withColumnRenamed("doc_id", "changed"), "changed")
-    out = seqs.join(changed, seqs["doc_id"] == changed["changed"], "left").join(if_small(copies), seqs["doc_id"] == copies["copy"], "left")
-    copy = F.col("copy").isNotNull()
+    some = text.select("doc_id", "copy", "n_words", "packed").join(if_small(flags.select("doc_id", "copy")), ["doc_id", "copy"], "left_semi")
+    changed = map_arrow(some.join(flags, ["doc_id", "copy"]), f"__id {kind}, __copy bigint, removed bigint, sha string, {SPANS}", each)
+    changed = materialize(changed, "changed")
+    out = seqs.join(changed, row, "left").drop("__id", "__copy").join(if_small(copies), row, "left")
+    copy = F.col("__id").isNotNull()
     whole = F.array(F.struct(F.lit(0).cast("bigint").alias("first_word"), F.col("n_words")))
     return out.select(
-        "doc_id", "n_words",
+        "doc_id", "text_hash", "n_words",
         F.when(copy, F.col("n_words")).otherwise(F.coalesce("removed", F.lit(0))).cast("bigint").alias("n_removed"),
         F.when(copy, EMPTY).otherwise(F.coalesce("sha", "whole_sha256")).alias("kept_sha256"),
         F.when(copy, whole).otherwise(F.coalesce("spans", F.expr(f"cast(array() as {SPANS.partition(' ')[2]})"))).alias("spans"),
     )
 
 
+def numbered(rows: DataFrame, several: DataFrame) -> DataFrame:
+    """rows with ``copy``: 0, but for rows whose id is among several, which has other texts too, their text_hash."""
+    other = if_small(several.withColumn("__several", F.lit(True)))
+    return rows.join(other, F.col("doc_id") == F.col("__id"), "left").withColumn("copy", F.when(F.col("__several"), F.col("text_hash")).otherwise(0).cast("bigint")).drop("__id", "__several")
+
+
 SPANS = "spans array<struct<first_word: bigint, n_words: bigint>>"
 _WORD = re.compile(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
 
@@ -406,9 +450,9 @@ def cut_spans(text: str, spans: list[dict]) -> str:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs, all columns and rows, with the repeated words cut out of the texts."""
-    edits = find_repeats(docs, id_col, text_col).where("n_removed > 0").select(F.col("doc_id").alias("__id"), F.col("spans").alias("__spans"))
-    edits = materialize(edits.dropDuplicates(["__id"]), "edits")
-    both = docs.join(if_small(edits), docs[id_col] == edits["__id"], "left").drop("__id")
+    edits = find_repeats(docs, id_col, text_col).where("n_removed > 0").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("spans").alias("__spans"))
+    edits = materialize(edits.dropDuplicates(["__id", "__hash"]), "edits")
+    both = docs.join(if_small(edits), (docs[id_col] == edits["__id"]) & (F.xxhash64(docs[text_col]) == edits["__hash"]), "left").drop("__id", "__hash")
     cut = F.pandas_udf(lambda t, s: _cut_series(t, s), "string")
     text = F.when(F.col("__spans").isNotNull(), cut(F.col(text_col), F.col("__spans"))).otherwise(F.col(text_col))
     return both.withColumn(text_col, text).drop("__spans").select(*docs.columns)
@@ -422,4 +466,4 @@ def _cut_series(texts, spans):
 
 def op6_substrings(spark, sf_dir: str) -> DataFrame:
     """The contract query: all documents."""
-    return find_repeats(table(spark, sf_dir, "documents")).drop("spans")
+    return find_repeats(table(spark, sf_dir, "documents")).drop("spans", "text_hash")

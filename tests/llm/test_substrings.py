@@ -73,11 +73,11 @@ def test_empty_table_repeated_rows_and_null_ids(spark):
 
 
 def marked_rows(spark, rows):
-    """(doc_id, packed, marks) of texts, every window marked."""
+    """(doc_id, copy, packed, marks) of texts, every window marked."""
     import numpy as np
     from corpuskiln.llm.common import as_signed
 
-    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df = spark.createDataFrame([(i, 0, t) for i, t in rows], "doc_id long, copy long, text string")
     marks = {i: as_signed(np.unique(substrings.Batch([t.encode()]).minimizers())).tolist() for i, t in rows}
     return substrings.packed(df).join(spark.createDataFrame(list(marks.items()), "doc_id long, marks array<long>"), "doc_id")
 
@@ -98,10 +98,10 @@ def test_heavy_prefixes_are_lengthened_until_each_group_fits(spark, monkeypatch)
     size, lengths = {}, set()
     for r in suffixes:
         prefix = bytes(r["prefix"])
-        assert bytes(r["suffix"]).startswith(prefix)
+        assert len(prefix) + len(r["suffix"]) == substrings.SYMBOL * substrings.WINDOW
         size[prefix] = size.get(prefix, 0) + 1
-        lengths.add(len(prefix) // 2)
-    assert len(lengths) > 1 and all(n <= 40 or len(p) == 2 * substrings.WINDOW for p, n in size.items())
+        lengths.add(len(prefix) // substrings.SYMBOL)
+    assert len(lengths) > 1 and all(n <= 40 or len(p) == substrings.SYMBOL * substrings.WINDOW for p, n in size.items())
     # prefixes of different lengths don't overlap
     assert not any(p != q and q.startswith(p) for p in size for q in size)
     assert answers(substrings.find_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(6))) == brute(rows)
@@ -110,11 +110,11 @@ def test_heavy_prefixes_are_lengthened_until_each_group_fits(spark, monkeypatch)
 def test_depths_and_nodes_against_plain_python():
     import numpy as np
 
-    rnd = np.random.default_rng(3)
-    rows = sorted(rnd.integers(0, 2, (60, 26)).astype(np.uint8).tolist() + [[1] * 26] * 3)
-    tree = np.concatenate((np.array(rows, dtype=np.uint8), np.zeros((63, 8), dtype=np.uint8)), axis=1)
-    got = substrings.depths(tree)
-    common = lambda a, b: next((k for k in range(13) if a[2 * k : 2 * k + 2] != b[2 * k : 2 * k + 2]), 13)
+    rnd, width = np.random.default_rng(3), substrings.SYMBOL
+    words = rnd.integers(0, 2, (60, 13)).astype(np.uint8).tolist() + [[1] * 13] * 3
+    rows = sorted([b for w in row for b in [7] * (width - 1) + [w]] for row in words)
+    got = substrings.depths(np.array(rows, dtype=np.uint8))
+    common = lambda a, b: next((k for k in range(13) if a[width * k : width * k + width] != b[width * k : width * k + width]), 13)
     assert got.tolist() == [common(a, b) for a, b in zip(rows, rows[1:])]
     for least in (1, 2, 13):
         begin, end = substrings.deep_nodes(got, least)
@@ -126,3 +126,55 @@ def test_a_very_long_text(spark):
     words = [f"w{k % 70001}" for k in range(400_000)]
     rows = [(1, " ".join(words[1000:1100])), (2, "\n".join(words)), (3, "x" * 3_000_000)]
     assert answers(substrings.find_repeats(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+
+
+def test_leaf_order_against_sorting():
+    import numpy as np
+
+    rnd = np.random.default_rng(8)
+    h = rnd.integers(0, 3, 400).astype(np.uint64)
+    h[200:230] = h[20:50]
+    for n in (0, 1, 50, 388):
+        at = np.sort(rnd.choice(388, n, replace=False))
+        order, depth = substrings.leaf_order(h, at)
+        suffix = [h[i : i + 13].tolist() for i in at]
+        assert order.tolist() == sorted(range(n), key=lambda k: (suffix[k], k))
+        assert [d == 13 for d in depth] == [suffix[a] == suffix[b] for a, b in zip(order, order[1:])]
+
+
+def test_every_removed_window_lies_under_a_node(spark, sf):
+    """No table of windows decides: what a batch removes are leaves of its tree's nodes, the rest comes from the groups' trees."""
+    rows = [(r["doc_id"], r["text"]) for r in table(spark, sf, "documents").collect() if r["text"]]
+    rows = [(i, t) for k, (i, t) in enumerate(rows) if t not in {x for _, x in rows[:k]}]
+    marked = marked_rows(spark, rows).toPandas().to_dict("list")
+    import pyarrow as pa
+
+    tree = substrings.Subtree(marked, pa.int64())
+    begin, end = substrings.deep_nodes(tree.depth)
+    below = {int(x) for a, b in zip(begin, end, strict=True) for x in tree.leaves[a:b]}
+    assert len(tree.gone) > 100 and set(tree.gone.tolist()) <= below
+    expected = brute(rows)
+    ids = tree.ids.to_pylist()
+    for k, i in enumerate(ids):
+        places = tree.place[tree.gone[tree.owner[tree.gone] == k]]
+        n, gone, _ = expected[i]
+        assert int(substrings.removed_mask(n, places.tolist()).sum()) == gone
+
+
+def test_one_id_with_several_texts(spark):
+    """Each row loses its own repeats, in its own places; rows of one id aren't sources of one another."""
+    p, q, r = ([f"{c}{k}" for k in range(n)] for c, n in (("p", 15), ("q", 30), ("r", 20)))
+    rows = [(1, [*p, "end"]), (2, ["x0", "x1", *p, "y0", "y1"]), (2, q), (2, q), (2, [*q, "more"]), (2, p), (3, [*r, *q]), (3, [*r, "z"]), (None, q)]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string").repartition(4)
+    first = {}
+    for i, w in rows:
+        for k in range(len(w) - 12 if i is not None else 0):
+            first[tuple(w[k : k + 13])] = min(i, first.get(tuple(w[k : k + 13]), i))
+    want = []
+    for i, w in rows:
+        gone = {j for k in range(len(w) - 12) if i is not None and first[tuple(w[k : k + 13])] < i for j in range(k, k + 13)}
+        want.append((i, len(w), len(gone), " ".join(x for j, x in enumerate(w) if j not in gone)))
+    got = [(x["doc_id"], x["n_words"], x["n_removed"], x["kept_sha256"]) for x in substrings.find_repeats(df).collect()]
+    assert sorted(got, key=repr) == sorted(((i, n, g, hashlib.sha256(t.encode()).hexdigest()) for i, n, g, t in want), key=repr)
+    cut = [(x["doc_id"], " ".join(x["text"].split())) for x in substrings.remove_repeats(df).collect()]
+    assert sorted(cut, key=repr) == sorted(((i, t) for i, _, _, t in want), key=repr)
