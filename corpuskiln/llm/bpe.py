@@ -2,7 +2,9 @@
 
 A pair of neighbouring byte symbols that occurs inside no vocabulary token can never end up inside
 one token, so the text is cut there and the fragments are encoded independently and concatenated.
-The vocabulary is a tokenizers-library BPE file with word ends; its path is a parameter.
+Decoding goes from the ids: their tokens, joined by one space, as files without a decoder say.
+The vocabulary is a tokenizers-library BPE file with word ends; its path is a parameter, and a file with another
+normaliser, pre-tokenizer, decoder or merge rule than those built here is an error.
 
 Defined cases: null and empty texts give no ids and an empty decoded text; the strings of special
 tokens in a text become their ids, as the library does by default; of pairs of equal rank the leftmost is
@@ -41,12 +43,35 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in PRINTABLE else chr(next(moved)) for b in range(256)]
 
 
+# fixed values: what the file has to say of the steps around the merges
+EXPECTED = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "byte_level": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    "split": {"behavior": "Removed", "invert": True},
+    "decoder": None,
+    "model": {"type": "BPE", "dropout": None, "continuing_subword_prefix": None, "byte_fallback": False, "ignore_merges": False},
+}
+
+
+def understood(spec: dict) -> None:
+    """Raise ValueError where the file asks for steps that this module doesn't have."""
+    pre = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}, {}]
+    got = {
+        "normalizer": spec.get("normalizer"), "byte_level": pre[-1], "split": {k: pre[0].get(k) for k in EXPECTED["split"]},
+        "decoder": spec.get("decoder"), "model": {k: spec["model"].get(k) for k in EXPECTED["model"]},
+    }
+    for name, value in EXPECTED.items():
+        if got[name] != value or len(pre) != 2:
+            raise ValueError(f"{name} of the vocabulary file: {got[name]!r} instead of {value!r}")
+
+
 class ForcedBoundaryBPE:
     """Encoder and decoder for one vocabulary file; one per Python worker."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        understood(spec)
         model = spec["model"]
         self.end = model["end_of_word_suffix"] or ""
         self.vocab: dict[str, int] = model["vocab"]
@@ -64,7 +89,7 @@ class ForcedBoundaryBPE:
             body = token.removesuffix(self.end) if self.end and token != self.end else token
             inside.update(zip(body, body[1:], strict=False))
         self.inside = inside
-        self.by_piece: dict[str, tuple[bytes, str]] = {}
+        self.by_piece: dict[str, bytes] = {}
 
     def normalize(self, text: str) -> str:
         """NFC, white space to one space, lower case character by character (no final-sigma rule)."""
@@ -124,39 +149,38 @@ class ForcedBoundaryBPE:
                     heappush(heap, (r, left, p))
         return [p for p in parts if p is not None]
 
-    def piece(self, piece: str) -> tuple[bytes, str]:
-        """(ids as little-endian unsigned 32-bit integers, tokens joined by spaces) of one piece."""
+    def piece(self, piece: str) -> bytes:
+        """Ids of one piece as little-endian unsigned 32-bit integers."""
         known = self.by_piece.get(piece)
         if known is None:
             cut = self.fragments(piece.encode("utf-8").decode("latin-1").translate(self.to_symbols))
-            tokens = [t for i, f in enumerate(cut) for t in self.merge(f, i == len(cut) - 1)]
-            known = b"".join(self.vocab[t].to_bytes(4, "little") for t in tokens), " ".join(tokens)
+            known = b"".join(self.vocab[t].to_bytes(4, "little") for i, f in enumerate(cut) for t in self.merge(f, i == len(cut) - 1))
             if len(self.by_piece) >= CACHE:
                 self.by_piece.clear()
             self.by_piece[piece] = known
         return known
 
-    def both(self, text: str | None) -> tuple[bytes, str]:
-        """Ids as bytes and the decoded text: what decode(ids, skip_special_tokens=False) gives is the
-        tokens joined by spaces, as the file names no decoder."""
+    def encode(self, text: str | None) -> bytes:
+        """Ids of a text, as those of a piece."""
         if not text:
-            return b"", ""
-        parts = self.split_special.split(text) if self.split_special else [text]
-        ids, words = [], []
-        get, make = self.by_piece.get, self.piece
-        for part in parts:
+            return b""
+        out, get, make = [], self.by_piece.get, self.piece
+        for part in self.split_special.split(text) if self.split_special else [text]:
             if part in self.special:
-                ids.append(self.special[part].to_bytes(4, "little"))
-                words.append(part)
+                out.append(self.special[part].to_bytes(4, "little"))
             elif part:
-                for p in self.pieces(self.normalize(part)):
-                    a, b = get(p) or make(p)
-                    ids.append(a)
-                    words.append(b)
-        return b"".join(ids), " ".join(words)
+                out += [get(p) or make(p) for p in self.pieces(self.normalize(part))]
+        return b"".join(out)
 
     def decode(self, ids: list[int]) -> str:
-        return " ".join(self.tokens[i] for i in ids if i in self.tokens)
+        """What the library's decode(ids, skip_special_tokens=False) gives; ids of no token are left out."""
+        get = self.tokens.get
+        return " ".join([t for i in ids if (t := get(i)) is not None])
+
+    def both(self, text: str | None) -> tuple[bytes, str]:
+        """Ids of a text, and the text that these ids decode to."""
+        ids = self.encode(text)
+        return ids, self.decode(np.frombuffer(ids, dtype="<u4").tolist())
 
 
 @lru_cache(maxsize=2)
@@ -222,7 +246,7 @@ def encoded_chunks(lines: DataFrame, path: str, size: int, file: str = "file", p
 
     chunks = line_chunks(lines, size, file, pos, value)
     return map_arrow(chunks.select(F.col(file).cast("string").alias("file"), "chunk", "text"), "file string, chunk bigint, token_ids array<int>", lambda cols, n: {
-        "file": cols["file"], "chunk": cols["chunk"], "token_ids": [np.frombuffer(encoder(path).both(t)[0], dtype="<u4").astype(np.int32) for t in cols["text"]],
+        "file": cols["file"], "chunk": cols["chunk"], "token_ids": [np.frombuffer(encoder(path).encode(t), dtype="<u4").astype(np.int32) for t in cols["text"]],
     })
 
 

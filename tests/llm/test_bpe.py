@@ -68,3 +68,21 @@ def test_chunks_of_lines(spark):
     import numpy as np
 
     assert {k: got[k] for k in joined} == {k: np.frombuffer(e.both(t)[0], dtype="<u4").tolist() for k, t in joined.items()} and got["g", 0] == []
+
+
+def test_files_that_ask_for_other_steps_are_refused(tmp_path):
+    import json
+
+    spec = json.load(open(bpe.default_vocabulary(), encoding="utf-8"))
+    bpe.understood(spec)
+    for key, value in (("normalizer", None), ("decoder", {"type": "BPEDecoder", "suffix": "</w>"}), ("pre_tokenizer", None), ("model", spec["model"] | {"byte_fallback": True})):
+        with pytest.raises(ValueError):
+            bpe.understood(spec | {key: value})
+
+
+def test_texts_come_from_their_ids(both):
+    """The decoder sees nothing but ids: other ids give another text, whatever was encoded before."""
+    ids, text = both[0].both("Hello there <|endoftext|> world")
+    array = np.frombuffer(ids, dtype="<u4").tolist()
+    assert text == both[1].decode(array, skip_special_tokens=False)
+    assert both[0].decode(array[::-1]) == both[1].decode(array[::-1], skip_special_tokens=False) and both[0].decode([*array, 10**6]) == text
