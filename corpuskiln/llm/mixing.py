@@ -10,12 +10,12 @@ is lengthened to 2 / (2 - q) once the first steps have shown by which factor q t
 step's residuals are one aggregation over the documents and one number a domain on the driver; the rates
 are a column.
 
-The classifier's words are the VOCABULARY most frequent ones of a bounded sample (train_rows rows of
-each domain, smallest hashes of the id first, whole texts), so what is broadcast is bounded. Every labelled
-domain is learned, however many there are.
+The classifier's words are all those of a bounded sample (train_rows rows of each domain, smallest hashes of
+the id first, whole texts). Their table goes to all tasks if it was measured to take at most TABLE_BYTES, else the
+documents' words are joined with it by a shuffle, counted first. Every labelled domain is learned, however many there are.
 
 Defined cases: null and empty texts have no tokens and rate 1; texts without a known word have the
-prior of the domains; equally frequent words are taken in alphabetical order; rows with a null domain aren't
+prior of the domains; rows with a null domain aren't
 learned from but get a rate; without labelled rows all rates are 1; domains without tokens in the corpus
 can't be raised and keep weight 0; targets that can't be met leave a residual, which is returned; rows that
 repeat are rated alike; a very long text is split into an array of its words, in the JVM, and counted word
@@ -29,9 +29,12 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuskiln.llm.common import if_small, materialize, table
+from corpuskiln.llm.common import if_small, materialize, spread_join, table
+from corpuskiln.storage import measured
 
-TRAIN_ROWS, VOCABULARY = 500, 2000
+TRAIN_ROWS = 500
+#: Bytes of the table of words up to which every executor holds it; a hash table of it takes about twice that.
+TABLE_BYTES = 64_000_000
 #: Steps of the projected gradient at most, and the residual at which it stops, as a share of a target.
 STEPS, TOLERANCE = 100, 1e-6
 #: Steps end too where five of them leave more than this share of the residual: the floor keeps the targets out of reach.
@@ -59,11 +62,10 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", domai
     picks = named.select("i", "d", F.xxhash64("i").alias("h")).withColumn("n", place).where(F.col("n") <= rows).select(F.col("i").alias("j"), F.col("d").alias("e")).distinct()
     sample = named.join(if_small(materialize(picks, "picks")), F.col("i").eqNullSafe(F.col("j")) & (F.col("d") == F.col("e")), "left_semi")
     counts = materialize(sample.select("d", F.explode(tokens("t")).alias("word")).groupBy("word", "d").count(), "word-counts")
-    top = counts.groupBy("word").agg(F.sum("count").alias("n")).orderBy(F.desc("n"), "word").limit(VOCABULARY)
     sums = {r["d"]: r["n"] for r in counts.groupBy("d").agg(F.sum("count").alias("n")).collect()}
     of = F.map_from_entries(F.collect_list(F.struct("d", "count")))
-    known = counts.join(F.broadcast(top.select("word")), "word").groupBy("word").agg(of.alias("of"))
-    size = top.count()
+    known = counts.groupBy("word").agg(of.alias("of"))
+    size = known.count()
     all_words = F.lit([float(sums.get(d, 0) + 0.5 * size + 1) for d in domains])
     likely = F.transform(F.lit(domains), lambda d, k: F.log((F.coalesce(F.try_element_at("of", d), F.lit(0)) + 0.5) / all_words[k]))
     return domains, prior, materialize(known.select("word", likely.alias("l")), "likelihood")
@@ -75,9 +77,13 @@ def posteriors(docs: DataFrame, model: tuple, id_col: str = "doc_id", text_col:
     rows = docs.select(F.col(id_col).alias("doc_id"), tokens(text_col).alias("w"))
     # all words of a document are in one task: sums are complete before the shuffle
     rows = rows.withColumn("row", F.monotonically_increasing_id())
-    seen = rows.select("row", "doc_id", F.size("w").alias("tokens"), F.explode_outer("w").alias("word"))
-    seen = seen.join(F.broadcast(likely), "word", "left")  # at most VOCABULARY rows
-    sums = seen.groupBy("row", "doc_id", "tokens").agg(*[F.sum(F.col("l")[k]).alias(f"s{k}") for k in range(len(domains))])
+    seen = rows.select("row", "doc_id", F.size("w").alias("tokens"), F.explode_outer("w").alias("word")).withColumn("n", F.lit(1))
+    if measured(likely) <= TABLE_BYTES:
+        seen = seen.join(F.broadcast(likely), "word", "left")
+    else:
+        seen = materialize(seen.groupBy("row", "doc_id", "tokens", "word").agg(F.sum("n").alias("n")), "document-words")
+        seen = spread_join(seen, likely, "word", seen.groupBy("word").agg(F.count("*").alias("n")), "row", "left")
+    sums = seen.groupBy("row", "doc_id", "tokens").agg(*[F.sum(F.col("n") * F.col("l")[k]).alias(f"s{k}") for k in range(len(domains))])
     logs = F.array(*[F.coalesce(f"s{k}", F.lit(0.0)) * EVIDENCE + F.lit(math.log(prior[d])) for k, d in enumerate(domains)])
     sums = sums.withColumn("g", logs).withColumn("g", F.transform("g", lambda x: F.exp(x - F.array_max("g"))))
     share = F.aggregate("g", F.lit(0.0), lambda a, x: a + x)

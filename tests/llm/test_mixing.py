@@ -112,3 +112,19 @@ def test_a_very_long_text_and_ties(spark):
     got, domains, residuals = mixing.mixed(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 1.0)
     found = {r["doc_id"]: r for r in got.collect()}
     assert found[1]["tokens"] == 500_000 and found[2]["rate"] == found[3]["rate"] and found[4]["tokens"] == 0 and domains == ["de", "en"]
+
+
+def test_a_rare_word_decides_and_both_joins_agree(spark, monkeypatch):
+    """Three thousand common words that tell nothing, and one word of each domain that occurs in one training row."""
+    common = " ".join(f"c{i}" for i in range(3000))
+    rows = [(i, f"{common} {common}", "a" if i % 2 else "b") for i in range(10)] + [(20, "rareone", "a"), (21, "raretwo", "b")]
+    rows += [(30, "rareone " * 40, None), (31, "raretwo " * 40, None), (32, None, None), (33, "", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    p = {}
+    for size in (mixing.TABLE_BYTES, 0):
+        monkeypatch.setattr(mixing, "TABLE_BYTES", size)
+        monkeypatch.setattr("corpuskiln.storage.BROADCAST_BYTES", size)
+        p[size] = {r["doc_id"]: r["p"] for r in mixing.mixed(df, 1.0)[0].collect()}
+    first, second = p.values()
+    assert first[30][0] > 0.9 and first[31][1] > 0.9 and len(first) == len(rows)
+    assert all(np.allclose(first[i], second[i]) for i in first)
