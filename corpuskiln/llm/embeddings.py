@@ -13,10 +13,12 @@ of its part of the block's graph, never the pairs.
 
 The centroids are fitted on a bounded sample (SAMPLE vectors with the smallest hashes of their ids);
 all vectors are assigned and compared. Their number grows with the table, CELL vectors a cell, up to
-MAX_CELLS, so what is broadcast is bounded.
+MAX_CELLS, so what is broadcast is bounded. Vectors of different lengths have no cosine: each length has cells of its
+own, in proportion to its rows; lengths too rare to be in the sample share one cell for each of RARE hashes
+of the length, in whose blocks they are told apart.
 
-Defined cases: vectors that are null, empty, zero, hold null or non-finite components, or whose
-length isn't the commonest one link with nothing (n_links 0, component_id their own id); equal
+Defined cases: vectors that are null, empty, zero, or hold null or non-finite components link with nothing
+(n_links 0, component_id their own id), and vectors of different lengths not with one another; equal
 vectors are linked, and merged before all else, so that copies are counted but not compared; of equally near
 centroids the first is the home; ids are unique (equal rows count as one another's partners, rows that
 share an id with different vectors get the links of all of them); an empty table gives an empty result;
@@ -30,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +42,8 @@ from corpuskiln.llm.components import connected_components
 THRESHOLD = 0.95
 SAMPLE, CELL, MAX_CELLS, ROUNDS = 20_000, 1500, 4096, 8
 BLOCK = 16_384
+#: Cells of the lengths that the sample lacks.
+RARE = 256
 #: Chance that a pair at the threshold meets, and the sampled vectors that it is measured on.
 RECALL, PROBED = 0.99, 2000
 #: Added to the distance to a plane within which a cell is visited, for rounding.
@@ -120,12 +125,35 @@ def probes_needed(sample: np.ndarray, centre: np.ndarray, threshold: float = THR
     return max(1, int(np.quantile(need, recall, method="higher")))
 
 
-def assigned(vectors: DataFrame, centre: np.ndarray, threshold: float, probes: int | None = None) -> DataFrame:
+class Cells:
+    """Of each length in the sample: number of its first cell, centroids, their distances, cells to visit."""
+
+    def __init__(self, sample: list, sizes: dict[int, int], threshold: float, recall: float | None):
+        self.of: dict[int, tuple[int, np.ndarray, np.ndarray, int | None]] = {}
+        self.count = RARE
+        for dim in sorted(sizes):
+            x = unit(sample, dim)[1]
+            if len(x):
+                centre = fit(x, min(MAX_CELLS, sizes[dim] // CELL + 1))
+                self.of[dim] = self.count, centre, gaps(centre), None if recall is None else probes_needed(x, centre, threshold, recall)
+                self.count += len(centre)
+
+    def place(self, x: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, int]:
+        """(home, visits as [row, cell]) of unit vectors of one length, and the number of its first cell."""
+        found = self.of.get(x.shape[1])
+        if found is None:
+            return np.zeros(len(x), dtype=np.int64), np.zeros((len(x), 1), dtype=bool), x.shape[1] * 2_654_435_761 % (1 << 32) % RARE
+        first, centre, gap, probes = found
+        home, near = visits(x, centre, gap, threshold, probes)
+        return home, near, first
+
+
+def assigned(vectors: DataFrame, cells: Cells, threshold: float) -> DataFrame:
     """(cell, home, vec_id, w, visited array<int>, v binary): a row for the home and each visited cell.
 
     v holds the components as they are stored, single or double; all arithmetic is in double precision.
     """
-    shared = vectors.sparkSession.sparkContext.broadcast(centre)
+    shared = vectors.sparkSession.sparkContext.broadcast(cells)
     kind = dict(vectors.dtypes)["vec_id"]
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -133,27 +161,26 @@ def assigned(vectors: DataFrame, centre: np.ndarray, threshold: float, probes: i
     width = np.dtype(stored(vectors))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = shared.value
-        gap = gaps(c)
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
                 rows = part.column("embedding").to_pylist()
-                good, x = unit(rows, c.shape[1])
-                if not len(good):
-                    continue
-                ids = part.column("vec_id").take(pa.array(good)).cast(id_type)
-                home, near = visits(x, c, gap, threshold, probes)
-                row, cell = np.nonzero(near)
-                row, cell = np.concatenate((np.arange(len(x)), row)), np.concatenate((home, cell))
-                visited = [np.flatnonzero(n).astype(np.int32) for n in near]
-                raw = [np.array(rows[i], dtype=width).tobytes() for i in good]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(cell.astype(np.int32)), pa.array(home[row].astype(np.int32)), ids.take(pa.array(row)), part.column("w").take(pa.array(good[row])),
-                        as_array([visited[r] for r in row], pa.list_(pa.int32())), pa.array([raw[r] for r in row], pa.binary()),
-                    ], names=["cell", "home", "vec_id", "w", "visited", "v"],
-                )
+                for dim in sorted({len(r) for r in rows if r}):
+                    good, x = unit(rows, dim)
+                    if not len(good):
+                        continue
+                    ids = part.column("vec_id").take(pa.array(good)).cast(id_type)
+                    home, near, first = shared.value.place(x, threshold)
+                    row, cell = np.nonzero(near)
+                    row, cell = np.concatenate((np.arange(len(x)), row)), np.concatenate((home, cell)) + first
+                    visited = [(np.flatnonzero(n) + first).astype(np.int32) for n in near]
+                    raw = [np.array(rows[i], dtype=width).tobytes() for i in good]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(cell.astype(np.int32)), pa.array((home[row] + first).astype(np.int32)), ids.take(pa.array(row)), part.column("w").take(pa.array(good[row])),
+                            as_array([visited[r] for r in row], pa.list_(pa.int32())), pa.array([raw[r] for r in row], pa.binary()),
+                        ], names=["cell", "home", "vec_id", "w", "visited", "v"],
+                    )
 
     return vectors.mapInArrow(run, f"cell int, home int, vec_id {kind}, w bigint, visited array<int>, v binary")
 
@@ -183,7 +210,7 @@ def compared(placed: DataFrame, threshold: float, width: str) -> DataFrame:
     and a row of the same class there. Pairs are held for 256 rows at a time."""
     kind = dict(placed.dtypes)["vec_id"]
     size = placed.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    cut = placed.join(F.broadcast(size), "cell")  # at most MAX_CELLS rows
+    cut = placed.join(F.broadcast(size), "cell")  # a row a cell: at most RARE, MAX_CELLS and a row for each length in the sample
     cut = cut.withColumn("own", F.expr("cast(pmod(xxhash64(vec_id), blocks) as int)")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     cut = cut.select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "home", "vec_id", "w", "visited", "v")
     dealt = cut.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j", "vec_id")
@@ -195,12 +222,17 @@ def compared(placed: DataFrame, threshold: float, width: str) -> DataFrame:
             edges = [0, *(np.flatnonzero((group[1:] != group[:-1]).any(axis=1)) + 1), len(group)]
             for lo, hi in zip(edges[:-1], edges[1:], strict=True):
                 if held and tuple(group[lo]) != key:
-                    yield from block(pa.Table.from_batches(held), key)
+                    yield from by_length(pa.Table.from_batches(held), key)
                     held = []
                 key = tuple(group[lo])
                 held.append(batch.slice(lo, hi - lo))
         if held:
-            yield from block(pa.Table.from_batches(held), key)
+            yield from by_length(pa.Table.from_batches(held), key)
+
+    def by_length(t: pa.Table, key) -> Iterator[pa.RecordBatch]:
+        size = pc.binary_length(t.column("v"))
+        for n in pc.unique(size):
+            yield from block(t.filter(pc.equal(size, n)), key)
 
     def block(t: pa.Table, key) -> Iterator[pa.RecordBatch]:
         cell, i, j = key
@@ -252,12 +284,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     """(vec_id, n_links, component_id, kept) of every row; exact: all cells within reach are visited, else as many
     as the recall needs at the threshold."""
     rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("embedding"))
-    sizes = rows.where("vec_id is not null and size(embedding) > 0").groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    if not sizes:
-        return rows.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    dim, n = sizes[0]
     number = lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))  # noqa: E731  (NaN is larger)
-    usable = F.col("vec_id").isNotNull() & (F.size("embedding") == dim) & F.forall("embedding", number) & F.exists("embedding", lambda x: x != 0)
+    usable = F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & F.forall("embedding", number) & F.exists("embedding", lambda x: x != 0)
     # equal vectors are merged: the smallest id stands for all
     rows = rows.withColumn("key", F.when(usable, F.unhex(F.sha2(F.col("embedding").cast("string").cast("binary"), 256))))
     classes = rows.where("key is not null").groupBy("key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("w")).where("w > 1")
@@ -267,11 +295,14 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     alone = marked.where("key is not null and rep is null").select("vec_id", "embedding", F.lit(1).cast("bigint").alias("w"))
     firsts = marked.where("vec_id = rep").dropDuplicates(["key"]).select("vec_id", "embedding", "w")
     points = alone.union(firsts)
-    drawn = points.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").toArrow().column(0).combine_chunks()
-    sample = unit(list(drawn.flatten().to_numpy().reshape(-1, dim)), dim)[1]
-    centre = fit(sample, min(MAX_CELLS, n // CELL + 1)) if len(sample) else np.zeros((1, dim))
-    probes = None if exact else probes_needed(sample, centre, threshold, recall)
-    found = materialize(compared(assigned(points, centre, threshold, probes), threshold, stored(points)), "vector-links")
+    # the sample is chosen by ids alone: whole vectors of no more than the chosen are fetched
+    chosen = points.select("vec_id", F.xxhash64("vec_id").alias("h")).orderBy("h", "vec_id").limit(SAMPLE).select(F.col("vec_id").alias("i")).distinct()
+    chosen = F.broadcast(materialize(chosen, "sample"))  # SAMPLE ids at most
+    drawn = points.join(chosen, points["vec_id"] == chosen["i"], "left_semi").orderBy(F.xxhash64("vec_id"), "vec_id")
+    sample = [r for batch in drawn.select("embedding").toArrow().to_batches() for r in batch.column(0).to_pylist()]
+    lengths = points.where(F.size("embedding").isin(sorted({len(r) for r in sample}))).groupBy(F.size("embedding").alias("d")).count().collect()  # those in the sample
+    cells = Cells(sample, {r["d"]: r["count"] for r in lengths}, threshold, None if exact else recall)
+    found = materialize(compared(assigned(points, cells, threshold), threshold, stored(points)), "vector-links")
     component = connected_components(found.select(F.col("vec_id").alias("a"), F.col("edge").alias("b")))
     links = found.groupBy("vec_id").agg(F.sum("n").alias("n")).select(F.col("vec_id").alias("linked"), "n")
     # one row for each id that has links or stands for several, then the rows of the classes by their own

@@ -78,3 +78,27 @@ def test_recall_on_vectors_without_clusters_and_visits_that_do_not_grow(spark, m
     centre = embeddings.fit(unit, 50)
     few, all_ = (embeddings.visits(unit, centre, embeddings.gaps(centre), probes=p)[1].sum() for p in (embeddings.probes_needed(unit, centre), None))
     assert few < 0.6 * all_
+
+
+def test_every_length_is_compared(spark, monkeypatch):
+    """Rarer lengths too: in the sample with cells of their own, out of it in shared ones; equal and near vectors link."""
+    rnd = np.random.default_rng(5)
+    rows = [(i, rnd.normal(size=3).tolist()) for i in range(400)]
+    for dim in (1, 2, 4, 7, 300):
+        rows += [(1000 * dim + i, rnd.normal(size=dim).tolist()) for i in range(12)]
+    rows += [(900, [1.0, 2.0]), (901, [1.0, 2.0]), (902, [2.0, 4.1]), (903, [0.0, 0.0]), (904, [5.0] * 20_000), (905, [5.0] * 19_999 + [5.1])]
+
+    def plain():
+        out = {}
+        for dim in {len(v) for _, v in rows}:
+            out |= brute([(i, v) for i, v in rows if len(v) == dim])
+        return out
+
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    want = plain()
+    assert want[901][0] >= 2 and not want[901][2] and want[905][:2] == (1, 904)
+    for cell, sample, rare in ((20_000, 20_000, 256), (30, 20_000, 256), (30, 40, 2)):
+        monkeypatch.setattr(embeddings, "CELL", cell)
+        monkeypatch.setattr(embeddings, "SAMPLE", sample)
+        monkeypatch.setattr(embeddings, "RARE", rare)
+        assert answers(embeddings.near_vectors(df, exact=True)) == want
