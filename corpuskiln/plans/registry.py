@@ -9,7 +9,7 @@ from corpuskiln.functions import html, masking, news
 from corpuskiln.functions import patterns as P
 from corpuskiln.functions import text as T
 from corpuskiln.functions import unicode as U
-from corpuskiln.operators import filters, language_model, packing, relations, repeats
+from corpuskiln.operators import filters, kneser_ney, language_model, packing, relations, repeats
 from corpuskiln.sources import files, framing, web
 from corpuskiln.storage import materialize, spread
 from corpuskiln.streaming import streams
@@ -780,6 +780,45 @@ def backoff_scores(spark, sf_dir):
     return language_model.backoff_scores(lines, materialize(arpa, "arpa"), 2).select(F.col("doc_id").alias("part"), "n", "log10p")
 
 
+KN_TOKENS_SQL = LINES_SQL.partition("\nb as (")[0].rstrip(",")
+KN_ORDERS_SQL = ",\n".join(
+    f"""y{k} as (select count_if(n = 1) as t1, count_if(n = 2) as t2, count_if(n = 3) as t3, count_if(n = 4) as t4, t1 / (t1 + 2.0::double * t2) as y from g{k}),
+    e{k} as (select 1 - 2 * y * t2 / t1 as a, 2 - 3 * y * t3 / t2 as b, 3 - 4 * y * t4 / t3 as c, t1 * t2 * t3 * t4 > 0 and a between 0 and 1 and b between 0 and 2 and c between 0 and 3 as ok from y{k}),
+    d{k} as (select case when ok then a else 0.5 end as d1, case when ok then b else 1 end as d2, case when ok then c else 1.5 end as d3 from e{k}),
+    h{k} as (select regexp_replace(ngram, ' ?[^ ]*$', '') as h, sum(n) as total, any_value(d1) * count_if(n = 1) + any_value(d2) * count_if(n = 2) + any_value(d3) * count_if(n >= 3) as taken, taken / total as b from g{k}, d{k} group by 1),
+    p{k} as (select g.ngram, (n - case when n >= 3 then d3 when n = 2 then d2 else d1 end) / total + b * {"(1.0::double / ((select count(*) from g1) + 1))" if k == 1 else "q.p"} as p
+      from g{k} g cross join d{k} join h{k} on h = regexp_replace(g.ngram, ' ?[^ ]*$', ''){"" if k == 1 else f" join p{k - 1} q on q.ngram = regexp_replace(g.ngram, '^[^ ]* ?', '')"})"""
+    for k in (1, 2, 3)
+)
+KN_SQL = f"""{KN_TOKENS_SQL},
+r as (select array_to_string(t[greatest(i - 2, 1):i], ' ') as ngram, least(i, 3) as k, count(*) as n from (select t, unnest(range(2, len(t) + 1)) as i from t) group by 1, 2),
+g3 as (select ngram, n from r where k = 3),
+g2 as (select regexp_replace(ngram, '^[^ ]* ?', '') as ngram, count(*) as n from g3 group by 1 union all select ngram, n from r where k = 2),
+g1 as (select regexp_replace(ngram, '^[^ ]* ?', '') as ngram, count(*) as n from g2 group by 1),
+{KN_ORDERS_SQL},
+m as (select 1 as k, ngram, log10(p) as log10p from p1 union all select 1, '<unk>', log10(b / ((select count(*) from g1) + 1)) from h1 union all select 1, '<s>', -99
+  union all select 2, ngram, log10(p) from p2 union all select 3, ngram, log10(p) from p3)"""
+
+
+@query(f"""{KN_SQL} select cast(k as integer) as \"order\", ngram, round(log10p, 6) as log10p, round(coalesce(log10(case k when 1 then h2.b when 2 then h3.b end), 0), 6) as backoff
+from m left join h2 on k = 1 and h2.h = ngram left join h3 on k = 2 and h3.h = ngram""")
+def kneser_ney_model(spark, sf_dir):
+    """Modified Kneser-Ney estimates of orders 1 to 3 from the lines of all documents."""
+    tokens = language_model.line_tokens(table(spark, sf_dir, "documents"))
+    model = kneser_ney.estimated(tokens, 3)
+    return model.select("order", "ngram", F.round("log10p", 6).alias("log10p"), F.round("backoff", 6).alias("backoff"))
+
+
+@query(f"""{KN_SQL}, s as (select doc_id, array_to_string(t[greatest(i - 2, 1):i], ' ') as ngram from (select doc_id, t, unnest(range(2, len(t) + 1)) as i from t))
+select doc_id, count(*) as n, round(pow(10.0::double, -sum(log10p) / count(*)), 4) as ppl from s join m using (ngram) group by doc_id""")
+def kneser_ney_perplexity(spark, sf_dir):
+    """Of all documents under that model, by the back-off scorer. Every n-gram is in the model, so SQL needs no back-off."""
+    tokens = materialize(language_model.line_tokens(table(spark, sf_dir, "documents")), "line-tokens")
+    model = materialize(kneser_ney.estimated(tokens, 3), "kneser-ney")
+    lines = language_model.backoff_scores(tokens, model, 3)
+    return lines.groupBy("doc_id").agg(F.sum("n").alias("n"), F.round(F.pow(F.lit(10.0), -F.sum("log10p") / F.sum("n")), 4).alias("ppl"))
+
+
 def bayes_sql(rows: str, target: str) -> str:
     """(doc_id, prob) by the words of rows (doc_id, text, l), of those with a label l."""
     words = f"list_filter(regexp_split_to_array(lower(text), {q(f'[{P.SPACES}]+')}), lambda w: w <> '')"
