@@ -43,12 +43,18 @@ def resolved(text: Column) -> Column:
     return F.when(text.contains("&"), replaced(text, "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});?", both)).otherwise(text)
 
 
+def without_open_tag(html: Column) -> Column:
+    """html less a tag that isn't closed at its end: with it gone, every other one finds its bracket at once."""
+    closed = F.regexp_extract(html, "(?s)^.*>", 0)
+    return F.concat(closed, F.regexp_replace(F.substr(html, F.length(closed) + 1), "(?s)<[a-zA-Z/!?].*", ""))
+
+
 def html_text(html, extractor: str = "plain") -> Column:
     """Text of a page, a line a block. extractor: ``plain`` for all that is shown, ``main`` without what stands
     beside the running text (menus, heads, feet, forms, tables)."""
     if extractor not in ("plain", "main"):
         raise ValueError(f"no extractor {extractor}")
-    out = F.regexp_replace(T._col(html), COMMENT, "")
+    out = without_open_tag(F.regexp_replace(T._col(html), COMMENT, ""))
     out = reduce(lambda c, e: F.regexp_replace(c, element(e), ""), HIDDEN + (BESIDE if extractor == "main" else []), out)
     out = F.regexp_replace(F.regexp_replace(out, f"[{T.P.SPACES}]+", " "), BLOCK, "\n")
     return T.line_spaces(resolved(F.regexp_replace(out, TAG, "")))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuskiln.functions import patterns as P
-from corpuskiln.functions.text import _col, mask_ids, strip
+from corpuskiln.functions.text import _col, bound, mask_ids, strip
 
 W, D = f"[{P.WORD_CHAR}]", r"\p{Nd}"
 START, END = f"(?<!{W})", f"(?!{W})"
@@ -31,8 +31,12 @@ def _one_of(marks: list[str], words: list[str]) -> str:
 
 
 GAP, AT, DOT = f"[{P.SPACES}]*", _one_of(AT_MARKS, AT_WORDS), _one_of(DOT_MARKS, DOT_WORDS)
+#: A label of a domain with the dot after it, and labels up to one that can be followed by the domain's last part:
+#: possessive, so that a domain of any length takes no stack.
+DOTTED = f"{LABEL}{GAP}+{DOT}{GAP}+"
+TO_LAST = f"(?:{DOTTED}(?!{LAST}{END}))*+{DOTTED}(?={LAST}{END})"
 #: Local part, at-sign, domain. A match begins where a run of local characters begins, or where the one before ended.
-ADDRESS = rf"(?:\G|(?<!{LOCAL}))({LOCAL}+)({GAP}{AT}{GAP})((?:{LABEL}{GAP}{DOT}{GAP})+{LAST}){END}"
+ADDRESS = rf"(?:\G|(?<!{LOCAL}))({LOCAL}+)({GAP}{AT}{GAP})((?:{TO_LAST})++{LAST}){END}"
 
 
 @lru_cache(maxsize=1)
@@ -42,11 +46,6 @@ def all_tlds() -> frozenset[str]:
     return frozenset(x.strip().lower() for x in lines if not x.startswith("#"))
 
 
-def bound(value: Column, use) -> Column:
-    """use(value), the value computed once however often it is used."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def replaced(text: Column, shape: str, each) -> Column:
     """The text with each(piece) in place of every piece of that shape."""
 
@@ -88,7 +87,7 @@ UNITS = ["metri", "euro", "markka", "markal", r"mk\.", "dollar", "kruunu", "ihmi
 DIGITS, SHOWN = (6, 12), 2
 
 SIGN = f"[{LINE_SPACE}]*{DATE_SIGN}[{LINE_SPACE}]*"
-NUMBER = f"(?:{D}(?:[{LINE_SPACE}]|{PHONE_SIGN})*){{{DIGITS[0]},{DIGITS[1]}}}{D}{END}"
+NUMBER = f"(?:{D}[{LINE_SPACE}{PHONE_SIGN[1:-1]}]*+){{{DIGITS[0]},{DIGITS[1]}}}{D}{END}"
 #: What stays: dates in three orders, ranges of years, numbers with a unit.
 KEPT = [SIGN.join(order) + END for order in ((DAY, MONTH, YEAR), (YEAR, MONTH, DAY), (YEAR, DAY, MONTH), (LONG_YEAR, LONG_YEAR))]
 TO_UNIT = f"{D}[{D}{MARK}{LINE_SPACE}]*(?:{'|'.join(UNITS)})"
@@ -96,23 +95,55 @@ TO_UNIT = f"{D}[{D}{MARK}{LINE_SPACE}]*(?:{'|'.join(UNITS)})"
 RUN = f"(?<!{W}){D}[{D}{MARK}{LINE_SPACE}]*+(?:€|{W}*+[.-]?)"
 
 
+#: From the first number of a run to its last unit, and what is left of the unit's word: no number in it is masked.
+HELD = f"^{TO_UNIT}(?:(?<={W}){W}*+)?"
+#: A number of a run with all that stands before the next; of it the spans that stay, and the phone-like number.
+START_OF_NUMBER = f"(?<!{W}){D}"
+PIECE = f"{START_OF_NUMBER}(?:[^{D}]|(?<={W}){D})*+"
+SPANS = f"(?<!{W})" + "".join(f"(?=({k})?)" for k in [*KEPT, NUMBER]) + D
+#: Numbers that are masked together, and those before and after them that are looked at: a phone-like number has at most 13
+#: digits, so it ends at most 12 numbers on, and a span that stays reaches less far.
+BLOCK, BESIDE = 32, 32
+
+
+def masked_pieces(pieces: Column) -> Column:
+    """Neighbouring pieces, joined, with the digits of phone-like numbers masked, but for the first two of each."""
+
+    def masked(run: Column) -> Column:
+        width = lambda k: F.transform(F.regexp_extract_all(run, F.lit(SPANS), F.lit(k)), F.length)
+        places = F.transform(pieces, lambda p, i: F.aggregate(F.slice(pieces, 1, i), F.lit(1), lambda n, q: n + F.length(q)))
+        found = F.arrays_zip(places.alias("at"), *[width(k + 1).alias(f"k{k}") for k in range(len(KEPT))], width(len(KEPT) + 1).alias("n"))
+        spans = F.transform(found, lambda s: F.struct(s["at"].alias("at"), F.greatest(*[s[f"k{k}"] for k in range(len(KEPT))]).alias("kept"), s["n"].alias("n")))
+        clear = lambda s, kept: ~F.exists(kept, lambda k: (s["at"] < k["at"] + k["kept"]) & (s["at"] + s["n"] > k["at"]))
+        numbers = bound(spans, lambda all_: bound(F.filter(all_, lambda s: s["kept"] > 0), lambda kept: F.filter(all_, lambda s: (s["n"] > 0) & clear(s, kept))))
+        head = lambda x: F.regexp_extract(x, f"^(?:{D}[^{D}]*+){{{SHOWN}}}", 0)
+        hidden = lambda x: F.concat(head(x), F.regexp_replace(F.substr(x, F.length(head(x)) + 1), D, "0"))
+        return F.aggregate(numbers, run, lambda text, s: F.overlay(text, hidden(F.substr(text, s["at"], s["n"])), s["at"], s["n"]))
+
+    return bound(F.array_join(pieces, ""), masked)
+
+
 def masked_run(run: Column) -> Column:
-    """A run with the digits of its phone-like numbers masked, but for the first two of each."""
-    reach = lambda i, shape: F.length(F.regexp_extract(F.substr(run, i), f"^{shape}", 0))
-    at = F.filter(F.sequence(F.lit(1), F.length(run)), lambda i: F.substr(run, i, F.lit(1)).rlike(D) & ~((i > 1) & F.substr(run, F.greatest(i - 1, F.lit(1)), F.lit(1)).rlike(W)))
-    # a unit ends all numbers before it in the run, so the last one is looked for once
-    spans = bound(reach(F.lit(1), TO_UNIT), lambda unit: F.transform(at, lambda i: F.struct(i.alias("at"), F.greatest(unit - i + 1, *(reach(i, k) for k in KEPT)).alias("kept"), reach(i, NUMBER).alias("n"))))
-    clear = lambda s, kept: ~F.exists(kept, lambda k: (s["at"] < k["at"] + k["kept"]) & (s["at"] + s["n"] > k["at"]))
-    numbers = bound(spans, lambda all_: bound(F.filter(all_, lambda s: s["kept"] > 0), lambda kept: F.filter(all_, lambda s: (s["n"] > 0) & clear(s, kept))))
-    head = lambda x: F.regexp_extract(x, f"^(?:{D}[^{D}]*){{{SHOWN}}}", 0)
-    hidden = lambda x: F.concat(head(x), F.regexp_replace(F.substr(x, F.length(head(x)) + 1), D, "0"))
-    return F.aggregate(numbers, run, lambda text, s: F.overlay(text, hidden(F.substr(text, s["at"], s["n"])), s["at"], s["n"]))
+    """A run with its phone-like numbers masked, in blocks of so many numbers with those beside them."""
+
+    def blocks(pieces: Column) -> Column:
+        def block(first: Column) -> Column:
+            low = F.greatest(first - BESIDE, F.lit(0))
+            text = masked_pieces(F.slice(pieces, low + 1, F.lit(BLOCK + 2 * BESIDE)))
+            before, own = F.array_join(F.slice(pieces, low + 1, first - low), ""), F.array_join(F.slice(pieces, first + 1, F.lit(BLOCK)), "")
+            return F.substr(text, F.length(before) + 1, F.length(own))  # masking changes no lengths
+
+        return F.when(F.size(pieces) > 0, F.array_join(F.transform(F.sequence(F.lit(0), F.size(pieces) - 1, F.lit(BLOCK)), block), "")).otherwise("")
+
+    held = F.regexp_extract(run, HELD, 0)
+    rest = lambda h: bound(F.substr(run, F.length(h) + 1), lambda r: F.concat(h, F.regexp_extract(r, f"(?s)^(?:(?!{START_OF_NUMBER}).)*+", 0), bound(F.regexp_extract_all(r, F.lit(PIECE), F.lit(0)), blocks)))
+    return bound(held, rest)
 
 
 def mask_numbers(text) -> Column:
     """Phone-like numbers that overlap no date, range of years or number with a unit."""
     t = _col(text)
-    many = f"(?:{D}[^{D}]*){{{DIGITS[0] + 1}}}"
+    many = f"(?:{D}[^{D}]*+){{{DIGITS[0] + 1}}}"
     return F.when(t.rlike(many), replaced(t, RUN, lambda r: F.when(r.rlike(many), masked_run(r)).otherwise(r))).otherwise(t)
 
 

@@ -11,10 +11,19 @@ from pyspark.sql import functions as F
 from corpuskiln.functions import patterns as P
 
 
+#: White space at the end. A run is tried from its first character only, so that many blanks inside a text cost no more.
+TRAILING = f"(?<![{P.SPACES}])[{P.SPACES}]++$"
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bound(value: Column, use) -> Column:
+    """use(value), the value computed once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def matches(text, pattern: str) -> Column:
     return F.regexp_extract_all(_col(text), F.lit(pattern), F.lit(0))
 
@@ -29,7 +38,7 @@ def collapse(text, by: str = " ") -> Column:
 
 
 def strip(text) -> Column:
-    return F.regexp_replace(_col(text), f"^[{P.SPACES}]+|[{P.SPACES}]+$", "")
+    return F.regexp_replace(_col(text), f"^[{P.SPACES}]++|{TRAILING}", "")
 
 
 def word_runs(text) -> Column:
@@ -131,13 +140,13 @@ def forum_spaces(text) -> Column:
     """Paragraphs at blank lines, lines stripped, runs of white space to two spaces."""
     two = lambda x: strip(F.regexp_replace(x, f"[{P.SPACES}]{{2,}}", "  "))
     paragraph = lambda p: F.array_join(F.filter(F.transform(F.split(strip(p), "\n"), two), lambda x: x != ""), "\n")
-    parts = F.split(strip(text), f"\n(?:[{P.SPACES}]*\n)+")
+    parts = F.split(strip(text), f"\n[{P.SPACES}]*\n")
     return F.array_join(F.filter(F.transform(parts, paragraph), lambda p: p != ""), "\n\n")
 
 
 def wiki_spaces(text) -> Column:
     """Paragraphs right-stripped, no-break spaces plain, runs of white space to two spaces."""
-    one = lambda p: F.regexp_replace(F.regexp_replace(F.regexp_replace(p, f"[{P.SPACES}]+$", ""), " ", " "), f"[{P.SPACES}]{{2,}}", "  ")
+    one = lambda p: F.regexp_replace(F.regexp_replace(F.regexp_replace(p, TRAILING, ""), " ", " "), f"[{P.SPACES}]{{2,}}", "  ")
     parts = F.transform(F.split(_col(text), "\n\n+"), one)
     return F.array_join(F.filter(parts, lambda p: ~is_blank(p)), "\n\n")
 
@@ -165,7 +174,7 @@ def news_paragraph(text) -> Column:
 
 
 def news_spaces(text) -> Column:
-    parts = F.transform(F.split(_col(text), f"\n(?:[{P.SPACES}]+\n|\n)+"), news_paragraph)
+    parts = F.transform(F.split(_col(text), f"\n[{P.SPACES}]*\n"), news_paragraph)
     return F.array_join(F.filter(parts, lambda p: p != ""), "\n\n")
 
 
@@ -219,13 +228,32 @@ def mask_ids(text, replacement: str = "010101-001Z") -> Column:
     return F.regexp_replace(_col(text), rf"(?<![{P.WORD_CHAR}]){P.NATIONAL_ID}(?![{P.WORD_CHAR}])", replacement)
 
 
+#: A heading is shorter than so many characters, and so is what is joined to it: more parts than this can't be joined.
+HEADING, JOINED = 50, 26
+
+
 def join_split_headings(parts) -> Column:
-    """Left fold: a short lower-case paragraph goes on a short capitalised one, neither of them ended."""
+    """A short lower-case paragraph goes on the short capitalised one before it, neither of them ended; more of them do
+    until the heading is no longer short."""
     ended = lambda s: strip(s).rlike(r"[.:!?]$")
-    start = lambda s: s.rlike(r"^[\p{Lu}\p{Nd}]") & (F.length(s) < 50) & ~ended(s)
-    tail = lambda s: s.rlike(r"^\p{Ll}") & (F.length(s) < 50) & ~ended(s)
-    joined = lambda done, p: F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.concat(F.element_at(done, -1), F.lit(" "), p)))
-    return F.aggregate(
-        _col(parts), F.expr("cast(array() as array<string>)"),
-        lambda done, p: F.when((F.size(done) > 0) & tail(p) & start(F.coalesce(F.element_at(F.concat(F.array(F.lit("")), done), -1), F.lit(""))), joined(done, p)).otherwise(F.concat(done, F.array(p))),
-    )
+    short = lambda s: (F.length(s) < HEADING) & ~ended(s)
+    tail = lambda s: s.rlike(r"^\p{Ll}") & short(s)
+    start = lambda s: s.rlike(r"^[\p{Lu}\p{Nd}]") & short(s)
+
+    def taken(all_: Column, head: Column, i: Column) -> Column:
+        """How many of the parts after a heading it takes."""
+        state = F.struct(F.length(head).alias("chars"), F.lit(0).alias("n"), F.lit(True).alias("on"))
+
+        def step(s: Column, p: Column) -> Column:
+            on = s["on"] & (s["chars"] < HEADING) & tail(p)
+            return F.struct((s["chars"] + F.when(on, F.length(p) + 1).otherwise(0)).alias("chars"), (s["n"] + on.cast("int")).alias("n"), on.alias("on"))
+
+        return F.when(start(head), F.aggregate(F.slice(all_, i + 2, F.lit(JOINED)), state, step, lambda s: s["n"])).otherwise(0)
+
+    def joined(all_: Column, n: Column) -> Column:
+        before = F.sequence(F.lit(1), F.lit(JOINED))
+        gone = lambda i: F.exists(before, lambda d: F.coalesce(F.get(n, i - d) >= d, F.lit(False)))
+        heads = F.transform(all_, lambda p, i: F.when(~gone(i), F.when(F.get(n, i) > 0, F.array_join(F.slice(all_, i + 1, F.get(n, i) + 1), " ")).otherwise(p)))
+        return F.filter(heads, lambda p: p.isNotNull())
+
+    return bound(_col(parts), lambda all_: bound(F.transform(all_, lambda p, i: taken(all_, p, i)), lambda n: joined(all_, n)))
