@@ -1,7 +1,8 @@
 """Documents out of line-framed formats.
 
-Lines come as rows (file, pos, value). A running count of start lines within a file numbers the
-documents, and each document's lines are put in order by their position.
+Lines come as rows (file, pos, value), however many tasks a file is read in. A running count of start lines
+within a file numbers the documents; it is kept by ranges of lines, so that one file, too, is framed by many tasks. Each
+document's lines are put in order by their position: what meets in one task is a document, never a file.
 """
 
 from __future__ import annotations
@@ -12,21 +13,42 @@ from pyspark.sql import functions as F
 from corpuskiln.functions import text as T
 from corpuskiln.functions.html import resolved
 from corpuskiln.functions.markdown import post_text
-from corpuskiln.functions.masking import bound, replaced
+from corpuskiln.functions.masking import replaced
+from corpuskiln.functions.text import bound
+from corpuskiln.operators.joins import ranged, spread_join
+from corpuskiln.storage import if_small, materialize
 
 
-def read_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """(file, pos, value) of text files, plain or gzip; pos counts lines within a file."""
-    reader = spark.read.option("recursiveFileLookup", True)
+def read_lines(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
+    """(file, pos, value) of text files, plain or gzip; pos counts lines within a file from 0.
+
+    Plain files are read in blocks of bytes, each in a task of its own, and a line belongs to the block that it begins
+    in; a gzip file is read as one stream. Numbers come from the blocks' numbers of lines: what is held is one
+    line. A line end at the end of a file begins no line. recursive: folders below the path too, else its own files only.
+    """
+    reader = spark.read.option("recursiveFileLookup", recursive).option("lineSep", "\n")
     reader = reader.option("pathGlobFilter", glob) if glob else reader
-    whole = reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    return whole.select("file", F.posexplode(F.split("value", "\n")).alias("pos", "value"))
+    lines = reader.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    lines = materialize(lines.withColumn("row", F.monotonically_increasing_id()), "lines")  # rows of a block are numbered as they are read
+    blocks = lines.groupBy("file", "block").agg(F.min("row").alias("first"), F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = materialize(blocks.select("file", "block", (before - F.col("first")).alias("shift")), "blocks")
+    return lines.join(if_small(blocks), ["file", "block"]).select("file", (F.col("row") + F.col("shift")).alias("pos"), "value")
 
 
 def segments(lines: DataFrame, starts: Column) -> DataFrame:
-    """lines with ``doc``, the number of start lines up to and including each; lines before the first go."""
-    w = Window.partitionBy("file").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    return lines.withColumn("doc", F.sum(F.when(starts, 1).otherwise(0)).over(w)).where("doc > 0")
+    """lines with ``doc``, the number of start lines up to and including each in its file; lines before the first go.
+
+    Start lines are counted within ranges of lines, and the counts of a file's earlier ranges are added: a range of a file
+    is a row there.
+    """
+    cut = ranged(lines.withColumn("__start", F.coalesce(starts, F.lit(False)).cast("int")), [F.col("file"), F.col("pos")], "framed")
+    counts = cut.groupBy("file", "__cell").agg(F.sum("__start").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = materialize(counts.select(F.col("file").alias("__file"), F.col("__cell").alias("__c"), before.alias("__before")), "starts")
+    w = Window.partitionBy("__cell", "file").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    both = cut.withColumn("__in", F.sum("__start").over(w)).join(if_small(counts), F.col("file").eqNullSafe(F.col("__file")) & (F.col("__cell") == F.col("__c")))
+    return both.withColumn("doc", F.col("__before") + F.col("__in")).where("doc > 0").drop("__start", "__cell", "__file", "__c", "__before", "__in")
 
 
 def attributes(line: Column) -> Column:
@@ -47,21 +69,35 @@ def first_after(lines: Column, prefix: str) -> Column:
     return F.substr(F.try_element_at(F.filter(lines, lambda x: x.startswith(prefix)), F.lit(1)), F.lit(len(prefix) + 1))
 
 
+def is_sentence() -> Column:
+    return F.col("value").startswith("# text = ")
+
+
+def paragraph_numbers() -> Column:
+    """Of a document's lines, the number of paragraph lines up to and including each."""
+    w = Window.partitionBy("file", "doc").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    return F.sum(F.when(F.col("value").startswith("# <p>") | F.col("value").startswith("# <p "), 1).otherwise(0)).over(w)
+
+
+def in_order(rows: Column, value: str) -> Column:
+    """The values of a group's structs, nulls left out, in the structs' order."""
+    return F.transform(F.array_sort(F.collect_list(rows)), lambda x: x[value])
+
+
 def parsed_corpus(lines: DataFrame, collection: str = "corpus") -> DataFrame:
     """(id, text, register, lex_ppl, delex_ppl, attributes) of '# <doc', '# <p>' and '# text = ' lines.
 
     Sentences of a paragraph are joined by a space, paragraphs by a blank line; empty ones are left out.
     """
     marked = segments(lines, F.col("value").startswith("# <doc "))
-    w = Window.partitionBy("file", "doc").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    marked = marked.withColumn("par", F.sum(F.when(F.col("value").startswith("# <p>") | F.col("value").startswith("# <p "), 1).otherwise(0)).over(w))
-    sentence = F.when(F.col("value").startswith("# text = "), F.struct("par", "pos", F.substr("value", F.lit(10)).alias("s")))
-    other = F.when(F.col("value").startswith("# ") & ~F.col("value").startswith("# text = "), F.struct("pos", F.col("value").alias("v")))
-    docs = marked.groupBy("file", "doc").agg(F.array_sort(F.collect_list(sentence)).alias("sent"), F.array_sort(F.collect_list(other)).alias("head"))
+    sentence = F.when(is_sentence(), F.struct("pos", F.substr("value", F.lit(10)).alias("s")))
+    other = F.when(F.col("value").startswith("# ") & ~is_sentence(), F.struct("pos", F.col("value").alias("v")))
+    pars = marked.withColumn("par", paragraph_numbers()).groupBy("file", "doc", "par").agg(in_order(sentence, "s").alias("sent"), F.array_sort(F.collect_list(other)).alias("head"))
+    docs = pars.groupBy("file", "doc").agg(
+        in_order(F.when(F.size("sent") > 0, F.struct("par", F.array_join("sent", " ").alias("s"))), "s").alias("pars"), F.array_sort(F.flatten(F.collect_list("head"))).alias("head")
+    )
     docs = docs.withColumn("head", F.transform("head", lambda x: x["v"]))
-    numbers = F.array_distinct(F.transform("sent", lambda x: x["par"]))
-    par = lambda k: F.array_join(F.transform(F.filter("sent", lambda x: x["par"] == k), lambda x: x["s"]), " ")
-    text = F.array_join(F.filter(F.transform(numbers, par), lambda p: p != ""), "\n\n")
+    text = F.array_join(F.filter("pars", lambda p: p != ""), "\n\n")
     attrs = attributes(F.try_element_at("head", F.lit(1)))
     named = F.coalesce(attrs["id"], attrs["urn"], F.concat_ws(":", attrs["collection"], attrs["url"]))
     return docs.select(
@@ -79,12 +115,10 @@ def plain_corpus(lines: DataFrame) -> DataFrame:
     inside = marked.withColumn("end", end).where("pos < end")
     starts = inside.where(F.col("value").startswith("# <p>") | F.col("value").startswith("# <p ")).select("file", "doc").distinct()
     inside = inside.join(starts, ["file", "doc"], "left_semi")
-    w = Window.partitionBy("file", "doc").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    par = F.sum(F.when(F.col("value").startswith("# <p>") | F.col("value").startswith("# <p "), 1).otherwise(0)).over(w)
-    sentence = F.when(F.col("value").startswith("# text = "), F.struct("par", "pos", F.substr("value", F.lit(10)).alias("s")))
-    docs = inside.withColumn("par", par).groupBy("file", "doc").agg(F.min_by("value", "pos").alias("head"), F.array_sort(F.collect_list(sentence)).alias("sent"))
-    numbers = F.array_distinct(F.transform("sent", lambda x: x["par"]))
-    text = F.array_join(F.transform(numbers, lambda k: F.array_join(F.transform(F.filter("sent", lambda x: x["par"] == k), lambda x: x["s"]), " ")), "\n\n")
+    sentence = F.when(is_sentence(), F.struct("pos", F.substr("value", F.lit(10)).alias("s")))
+    pars = inside.withColumn("par", paragraph_numbers()).groupBy("file", "doc", "par").agg(F.min_by("value", "pos").alias("first"), in_order(sentence, "s").alias("sent"))
+    docs = pars.groupBy("file", "doc").agg(F.min_by("first", "par").alias("head"), in_order(F.when(F.size("sent") > 0, F.struct("par", F.array_join("sent", " ").alias("s"))), "s").alias("pars"))
+    text = F.array_join("pars", "\n\n")
     attrs = attributes(F.col("head"))
     both = F.when(attrs["collection"].isNotNull() & attrs["url"].isNotNull(), F.concat_ws(":", attrs["collection"], attrs["url"]))
     return docs.select(F.coalesce(attrs["id"], attrs["urn"], both, F.lit("ERROR")).alias("id"), text.alias("text"), attrs.alias("attributes"))
@@ -151,12 +185,15 @@ DELETED = ["[deleted]", "[removed]"]
 
 def post_outcomes(posts: DataFrame, order: str, subreddit: str | None = None) -> DataFrame:
     """posts with ``outcome``: bad, other-forum, duplicate, deleted or output. The first post of an id by the order
-    counts, so one that is deleted hides later copies."""
+    counts, so one that is deleted hides later copies. Values of the order are all different."""
     mine = ~F.col("bad") & (F.lit(True) if subreddit is None else F.coalesce(F.col("forum") == subreddit, F.lit(False)))
-    place = F.row_number().over(Window.partitionBy(F.when(mine, F.col("id")), mine).orderBy(order))
-    rows = posts.withColumn("__n", place)
-    outcome = F.when(F.col("bad"), "bad").when(~mine, "other-forum").when(F.col("__n") > 1, "duplicate").when(F.col("body").isin(*DELETED), "deleted").otherwise("output")
-    return rows.withColumn("outcome", outcome).drop("__n")
+    others = posts.where(~mine).withColumn("outcome", F.when(F.col("bad"), "bad").otherwise("other-forum"))
+    # posts without an id are copies of one another; the first of an id is found by an aggregate, not by sorting all of them
+    own = posts.where(mine).withColumn("__key", F.coalesce(F.concat(F.lit("="), F.col("id").cast("string")), F.lit("")))
+    ids = materialize(own.groupBy("__key").agg(F.min(order).alias("__first"), F.count("*").alias("n")), "posts")
+    rows = spread_join(own, ids.select("__key", "__first"), "__key", ids.select("__key", "n"), order, "left")
+    outcome = F.when(F.col(order) != F.col("__first"), "duplicate").when(F.col("body").isin(*DELETED), "deleted").otherwise("output")
+    return rows.withColumn("outcome", outcome).select(*posts.columns, "outcome").unionByName(others)
 
 
 def post_counts(outcomes: DataFrame, by: list[str]) -> DataFrame:
