@@ -49,14 +49,18 @@ def without_open_tag(html: Column) -> Column:
     return F.concat(closed, F.regexp_replace(F.substr(html, F.length(closed) + 1), "(?s)<[a-zA-Z/!?].*", ""))
 
 
+def shown(html: Column, beside=()) -> Column:
+    """html without comments, elements that are never shown and those named; runs of white space are one space."""
+    out = reduce(lambda c, e: F.regexp_replace(c, element(e), ""), [*HIDDEN, *beside], without_open_tag(F.regexp_replace(html, COMMENT, "")))
+    return F.regexp_replace(out, f"[{T.P.SPACES}]+", " ")
+
+
 def html_text(html, extractor: str = "plain") -> Column:
     """Text of a page, a line a block. extractor: ``plain`` for all that is shown, ``main`` without what stands
     beside the running text (menus, heads, feet, forms, tables)."""
     if extractor not in ("plain", "main"):
         raise ValueError(f"no extractor {extractor}")
-    out = without_open_tag(F.regexp_replace(T._col(html), COMMENT, ""))
-    out = reduce(lambda c, e: F.regexp_replace(c, element(e), ""), HIDDEN + (BESIDE if extractor == "main" else []), out)
-    out = F.regexp_replace(F.regexp_replace(out, f"[{T.P.SPACES}]+", " "), BLOCK, "\n")
+    out = F.regexp_replace(shown(T._col(html), BESIDE if extractor == "main" else []), BLOCK, "\n")
     return T.line_spaces(resolved(F.regexp_replace(out, TAG, "")))
 
 

@@ -9,7 +9,7 @@ from corpuskiln.functions import html, masking, news
 from corpuskiln.functions import patterns as P
 from corpuskiln.functions import text as T
 from corpuskiln.functions import unicode as U
-from corpuskiln.operators import filters, kneser_ney, language_model, packing, relations, repeats
+from corpuskiln.operators import filters, kneser_ney, language_model, main_text, packing, relations, repeats
 from corpuskiln.sources import files, framing, web
 from corpuskiln.storage import materialize, spread
 from corpuskiln.streaming import streams
@@ -217,15 +217,52 @@ def html_presence(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", T.has_html("html").alias("has_html"))
 
 
-def page_sql(x: str, extractor: str = "plain") -> str:
-    """The text of a page; character references as far as the tables hold them."""
+def shown_sql(x: str, beside=()) -> str:
     out = f"regexp_replace({x}, {q(html.COMMENT)}, '', 'g')"
-    for e in html.HIDDEN + (html.BESIDE if extractor == "main" else []):
+    for e in [*html.HIDDEN, *beside]:
         out = f"regexp_replace({out}, {q(html.element(e))}, '', 'g')"
-    out = f"regexp_replace(regexp_replace(regexp_replace({out}, {q(f'[{P.SPACES}]+')}, ' ', 'g'), {q(html.BLOCK)}, chr(10), 'g'), {q(html.TAG)}, '', 'g')"
+    return f"regexp_replace({out}, {q(f'[{P.SPACES}]+')}, ' ', 'g')"
+
+
+def resolved_sql(out: str) -> str:
+    """Character references as far as the tables hold them."""
     for name in ("quot", "lt", "gt", "copy", "middot", "nbsp", "amp"):
         out = f"regexp_replace({out}, '&{name};?', {q(html.names()[name])}, 'g')"
-    return f"array_to_string(list_filter(list_transform(string_split({out}, chr(10)), lambda x: {squeezed('x')}), lambda x: x <> ''), chr(10))"
+    return out
+
+
+def page_sql(x: str, extractor: str = "plain") -> str:
+    """The text of a page."""
+    out = f"regexp_replace(regexp_replace({shown_sql(x, html.BESIDE if extractor == 'main' else [])}, {q(html.BLOCK)}, chr(10), 'g'), {q(html.TAG)}, '', 'g')"
+    return f"array_to_string(list_filter(list_transform(string_split({resolved_sql(out)}, chr(10)), lambda x: {squeezed('x')}), lambda x: x <> ''), chr(10))"
+
+
+def plain_sql(x: str) -> str:
+    return squeezed(resolved_sql(f"regexp_replace({x}, {q(html.TAG)}, '', 'g')"))
+
+
+MAIN_SQL = f"""with p as (select row_number() over () as r, page_id, {shown_sql("coalesce(html, '')")} as s from pages),
+x as (select r, page_id, unnest(regexp_split_to_array(s, {q(html.BLOCK)})) as piece, generate_subscripts(regexp_split_to_array(s, {q(html.BLOCK)}), 1) as pos from p),
+e as (select *, last_value(list_last(regexp_extract_all(piece, {q(main_text.LINK_EVENT)})) ignore nulls) over (partition by r order by pos rows between unbounded preceding and 1 preceding) as ev from x),
+b as (select r, page_id, pos, {plain_sql("piece")} as text, length({plain_sql("array_to_string(regexp_extract_all(case when coalesce(regexp_matches(ev, " + q(main_text.LINK) + "), false) then '<a>' else '' end || piece, " + q(main_text.LINKED) + ", 1), ' ')")}) as links from e),
+c as (select w from (select unnest(string_split(lower(text), ' ')) as w from b) where w <> '' group by w order by count(*) desc, w limit {main_text.COMMON}),
+s as (select b.*, len(list_filter(string_split(lower(text), ' '), lambda w: list_contains(ws, w)))::double / len(string_split(lower(text), ' ')) as share from b cross join (select list(w) as ws from c) where text <> ''),
+o as (select *, case when links::double / length(text) > {main_text.LINKS} then 'bad' when length(text) < {main_text.SHORT} then case when links > 0 then 'bad' else 'short' end
+  when share >= {main_text.GOOD} then case when length(text) > {main_text.LONG} then 'good' else 'near' end when share >= {main_text.NEARLY} then 'near' else 'bad' end as own from s),
+n as (select *, {", ".join(f"coalesce({f}(case when own in ('good', 'bad'{more}) then own end ignore nulls) over (partition by r order by pos rows between {rows}), 'bad') as {name}"
+    for f, rows, side in (("last_value", "unbounded preceding and 1 preceding", "l"), ("first_value", "1 following and unbounded following", "r")) for more, name in (("", side + "1"), (", 'near'", side + "2")))} from o),
+t as (select *, case when own <> 'short' then own when l1 = r1 then l1 when (l1 = 'bad' and l2 = 'near') or (r1 = 'bad' and r2 = 'near') then 'good' else 'bad' end as settled from n),
+m as (select *, {", ".join(f"coalesce({f}(case when settled in ('good', 'bad') then settled end ignore nulls) over (partition by r order by pos rows between {rows}), 'bad') as {name}"
+    for f, rows, name in (("last_value", "unbounded preceding and 1 preceding", "l3"), ("first_value", "1 following and unbounded following", "r3")))} from t),
+g as (select r, pos, text, settled = 'good' or (settled = 'near' and not (l3 = 'bad' and r3 = 'bad')) as good from m)
+select page_id, coalesce(string_agg(text, chr(10) order by pos) filter (where good), '') as text, count(pos) as n_blocks, count_if(coalesce(good, false))::bigint as n_good
+from p left join g using (r) group by r, page_id"""
+
+
+@query(MAIN_SQL)
+def density_texts(spark, sf_dir):
+    """The blocks of every page that links, lengths and common words show to be running text."""
+    return main_text.main_text(table(spark, sf_dir, "pages"))
 
 
 @query(f"select page_id, {page_sql('html')} as text from pages")
