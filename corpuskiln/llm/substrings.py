@@ -32,6 +32,7 @@ from hashlib import blake2b, sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +41,7 @@ from corpuskiln.llm.common import CHUNK_CHARS, as_signed, discard, fmix, if_smal
 
 WINDOW, GRAM = 13, 4
 #: Bytes of a word in a suffix, of its 64-bit hash.
-SYMBOL = 6
+SYMBOL = 5
 #: Words of the prefixes that groups are made by, tried in this order.
 LADDER = (3, 6, 9, WINDOW)
 #: Suffixes of a group at most, and prefixes with more that are held at once: the bound grows with the number of
@@ -97,20 +98,15 @@ def sequences(rows: DataFrame) -> DataFrame:
     return map_arrow(rows, f"doc_id {dict(rows.dtypes)['doc_id']}, text_hash bigint, n_words bigint, digest binary, whole_sha256 string", each)
 
 
-def minimizer_rows(docs: DataFrame) -> DataFrame:
-    """(m, doc_id, copy) of docs (doc_id, copy, text); neighbouring windows with one minimizer give one row."""
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    id_type = to_arrow_type(docs.schema["doc_id"].dataType)
+def minimizers(docs: DataFrame) -> DataFrame:
+    """(doc_id, copy, ms array<bigint>) of docs (doc_id, copy, text): the distinct minimizers of a document's windows."""
 
     def each(cols: dict, n: int) -> dict:
         b = Batch([(t or "").encode("utf-8") for t in cols["text"]])
-        m = b.minimizers()
-        new = np.concatenate(([True], (m[1:] != m[:-1]) | (b.owner[1:] != b.owner[:-1]))) if len(m) else np.zeros(0, dtype=bool)
-        owner = pa.array(b.owner[new])
-        return {"m": pa.array(as_signed(m[new])), "doc_id": pa.array(cols["doc_id"], id_type).take(owner), "copy": pa.array(cols["copy"], pa.int64()).take(owner)}
+        m, cut = b.minimizers(), np.searchsorted(b.owner, np.arange(n + 1))
+        return {"doc_id": cols["doc_id"], "copy": cols["copy"], "ms": [as_signed(np.unique(m[lo:hi])) for lo, hi in zip(cut[:-1], cut[1:], strict=True)]}
 
-    return map_arrow(docs, f"m bigint, doc_id {dict(docs.dtypes)['doc_id']}, copy bigint", each)
+    return map_arrow(docs, f"doc_id {dict(docs.dtypes)['doc_id']}, copy bigint, ms array<bigint>", each)
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -128,21 +124,26 @@ def leaf_order(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(order, depth) of the suffixes of the words h that begin at the places, cut at WINDOW words: their order as leaves
     of a suffix tree, and the words that each has in common with the one before it, as far as WINDOW is concerned.
 
-    By prefix doubling: runs of 1, 2, 4 and 8 words are ranked, then of WINDOW; a rank holds no hash but those of words.
+    By prefix multiplication: words are ranked, then runs of up to WINDOW words by the ranks of shorter ones, as many of
+    them at a time as fit 63 bits; a rank holds no hash but those of words.
     """
     if not len(at):
         return at, np.zeros(0, dtype=np.int64)
-    inside = np.zeros(len(h) + 1, dtype=np.int64)
-    np.add.at(inside, at, 1)
-    np.add.at(inside, at + WINDOW, -1)
-    inside = np.cumsum(inside)[:-1] > 0  # other words are left out; the words of a suffix stay together
+    edge = np.bincount(at, minlength=len(h) + 1) - np.bincount(at + WINDOW, minlength=len(h) + 1)
+    inside = np.cumsum(edge)[:-1] > 0  # other words are left out; the words of a suffix stay together
     _, rank = np.unique(h[inside], return_inverse=True)
-    size = 1
+    at, size = (np.cumsum(inside) - 1)[at], 1
     while size < WINDOW:
-        step = min(size, WINDOW - size)
-        _, rank = np.unique(rank[: len(rank) - step] * (int(rank.max()) + 1) + rank[step:], return_inverse=True)
-        size += step
-    rank = rank[(np.cumsum(inside) - 1)[at]]
+        base = int(rank.max()) + 1
+        times = min(-(-WINDOW // size), 63 // base.bit_length())
+        # the last run may overlap the one before it, so that none is longer than WINDOW words
+        steps = [min(k * size, WINDOW - size) for k in range(times)]
+        n = len(rank) - steps[-1]
+        code = rank[:n].astype(np.int64)
+        for step in steps[1:]:
+            code = code * base + rank[step : step + n]
+        size += steps[-1]
+        _, rank = np.unique(code if size < WINDOW else code[at], return_inverse=True)
     order = np.argsort(rank, kind="stable")
     return order, np.where(rank[order][1:] == rank[order][:-1], WINDOW, 0)
 
@@ -174,12 +175,17 @@ class Subtree:
         gone[self.leaves], same[self.leaves] = number[owner] > number[home], ~first
         self.lead[self.leaves] = self.leaves[np.flatnonzero(first)][np.cumsum(first) - 1]
         self.gone, self.send, self.inside = np.flatnonzero(gone), np.flatnonzero(~gone & ~same), np.flatnonzero(~gone & same)
+        self.h, self.sent = b.h, at[self.send]
+
+    def symbols(self, length: int = WINDOW) -> np.ndarray:
+        """Of the leaves to send, the first words: [leaf, word] as numbers."""
         drop = np.uint64(8 * (8 - SYMBOL))
-        self.symbols = (b.h >> drop << drop)[at[self.send][:, None] + np.arange(WINDOW)]
+        return (self.h >> drop)[self.sent[:, None] + np.arange(length)]
 
     def suffixes(self) -> np.ndarray:
-        """Of the leaves to send, their words as bytes."""
-        return self.symbols.astype(">u8").view(np.uint8).reshape(-1, WINDOW, 8)[:, :, :SYMBOL].reshape(-1, WINDOW * SYMBOL)
+        """Of the leaves to send, all words as bytes."""
+        words = self.h.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :SYMBOL]
+        return words[self.sent[:, None] + np.arange(WINDOW)].reshape(len(self.sent), -1)
 
 
 def prefix_hash(symbols: np.ndarray, length: int) -> np.ndarray:
@@ -215,7 +221,7 @@ def heavy_prefixes(marked: DataFrame) -> list[np.ndarray]:
     for k, length in enumerate(LADDER[:-1]):
 
         def count(cols: dict, n: int, k=k, length=length) -> dict:
-            symbols = Subtree(cols, id_type).symbols
+            symbols = Subtree(cols, id_type).symbols(LADDER[k])
             open_ = symbols[prefix_lengths(symbols, heavy) == length] if k else symbols
             p, c = np.unique(prefix_hash(open_, length), return_counts=True)
             return {"p": pa.array(as_signed(p)), "n": pa.array(c.astype(np.int64))}
@@ -247,7 +253,7 @@ def suffix_rows(marked: DataFrame, heavy: list[np.ndarray] = ()) -> DataFrame:
                 send = s.send
                 if len(send):
                     words = s.suffixes()
-                    length = SYMBOL * prefix_lengths(s.symbols, shared.value)
+                    length = SYMBOL * prefix_lengths(s.symbols(LADDER[len(shared.value)]), shared.value)
                     inside = np.arange(words.shape[1]) < length[:, None]
                     more: dict[int, list[int]] = {}
                     for k in s.inside:
@@ -306,20 +312,19 @@ def repeats(suffixes: DataFrame) -> DataFrame:
         held = None  # rows of the group that is still open at the end of a batch
         for batch in batches:
             t = pa.Table.from_batches([batch])
-            plain = t.filter(pa.compute.is_null(t.column("suffix")))
+            plain = t.filter(pc.is_null(t.column("suffix")))
             if plain.num_rows:
                 yield pa.RecordBatch.from_arrays([plain.column(c).combine_chunks() for c in ("doc_id", "copy", "found")], names=["doc_id", "copy", "found"])
-            t = t.filter(pa.compute.is_valid(t.column("suffix")))
+            t = t.filter(pc.is_valid(t.column("suffix")))
             if not t.num_rows:
                 continue
             t = pa.concat_tables([held, t]) if held is not None else t
-            group = t.column("prefix").to_pylist()
-            cut = len(group)
-            while cut and group[cut - 1] == group[-1]:
-                cut -= 1
+            last = t.column("prefix")[-1]
+            other = np.flatnonzero(~pc.equal(t.column("prefix"), last).to_numpy())
+            cut = int(other[-1]) + 1 if len(other) else 0
             yield from subtrees(t.slice(0, cut))
             held = t.slice(cut)
-            if len(group[-1]) == SYMBOL * WINDOW and held.num_rows > 1:
+            if len(last.as_py()) == SYMBOL * WINDOW and held.num_rows > 1:
                 # a prefix of all words is one node: its first leaf is kept, the others go as they come
                 yield from subtrees(held)
                 held = held.slice(0, 1)
@@ -331,8 +336,9 @@ def repeats(suffixes: DataFrame) -> DataFrame:
         if t.num_rows < 2:
             return
         t = t.combine_chunks()
-        suffix = [p + s for p, s in zip(t.column("prefix").to_pylist(), t.column("suffix").to_pylist(), strict=True)]
-        begin, end = deep_nodes(depths(np.frombuffer(b"".join(suffix), dtype=np.uint8).reshape(len(suffix), -1)))
+        whole = pc.binary_join_element_wise(t.column("prefix"), t.column("suffix"), b"").combine_chunks()
+        bytes_ = np.frombuffer(whole.buffers()[2], dtype=np.uint8)[: len(whole) * SYMBOL * WINDOW]
+        begin, end = deep_nodes(depths(bytes_.reshape(len(whole), -1)))
         if not len(begin):
             return
         codes = t.column("doc_id").combine_chunks().dictionary_encode()
@@ -342,10 +348,10 @@ def repeats(suffixes: DataFrame) -> DataFrame:
         gone = leaf[code[leaf] != code[begin[node]]]  # leaves are sorted by id within a node
         if not len(gone):
             return
-        place, extra, copy = t.column("place").to_numpy(), t.column("found").to_pylist(), t.column("copy").to_numpy()
+        place, copy, extra = t.column("place").to_numpy()[gone].tolist(), t.column("copy").to_numpy()[gone].tolist(), t.column("found").take(pa.array(gone)).to_pylist()
         docs: dict[tuple[int, int], list[int]] = {}
-        for k in gone:
-            docs.setdefault((int(code[k]), int(copy[k])), []).extend([int(place[k]), *(extra[k] or [])])
+        for c, k, at, more in zip(code[gone].tolist(), copy, place, extra, strict=True):
+            docs.setdefault((c, k), []).extend((at, *more) if more else (at,))
         yield pa.RecordBatch.from_arrays(
             [codes.dictionary.take(pa.array([c for c, _ in docs], pa.int32())), pa.array([c for _, c in docs], pa.int64()), pa.array(list(docs.values()), pa.list_(pa.int32()))],
             names=["doc_id", "copy", "found"],
@@ -386,15 +392,19 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     copies = spread_join(long, copied.select("digest", "rep"), "digest", copied.select("digest", "n"), "doc_id")
     copies = materialize(copies.where("doc_id > rep").select(F.col("doc_id").alias("__id"), F.col("copy").alias("__copy")).distinct(), "copies")
     row = (F.col("doc_id") == F.col("__id")) & (F.col("copy") == F.col("__copy"))
-    active = rows.where("doc_id is not null").join(if_small(copies), row, "left_anti").select("doc_id", "copy", "text")
-    if ids.limit(1).count():
-        active = active.dropDuplicates(["doc_id", "copy"])  # rows that repeat an id and its text are one document
-    found = minimizer_rows(active)
+    # copies are taken out of the minimizers, and marks bring what is left to the texts, which are shuffled once
+    named = rows.where("doc_id is not null").select("doc_id", "copy", "text")
+    active = minimizers(named).where(F.size("ms") > 0).join(if_small(copies), row, "left_anti")
+    once = ids.limit(1).count() > 0  # rows that repeat an id and its text are one document
+    active = materialize(active.dropDuplicates(["doc_id", "copy"]) if once else active, "minimizers")
+    found = active.select("doc_id", "copy", F.explode("ms").alias("m"))
     shared = materialize(found.groupBy("m").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n")).where("a < b").select("m", "n"), "shared")
     marks = materialize(spread_join(found, shared.select("m"), "m", shared, "doc_id").groupBy("doc_id", "copy").agg(F.collect_set("m").alias("marks")), "marks")
+    discard(active)
     # texts that share passages lie together, so that most leaves of a node are of one batch; ranges
     # split a mark that many documents have
-    marked = materialize(packed(active).join(marks, ["doc_id", "copy"]), "marked")
+    marked = packed(named).join(marks, ["doc_id", "copy"])
+    marked = materialize(marked.dropDuplicates(["doc_id", "copy"]) if once else marked, "marked")
     text = materialize(marked.withColumn("low", F.array_min("marks")).repartitionByRange("low", "doc_id").sortWithinPartitions("low", "doc_id").drop("low"), "neighbours")
     discard(marked)
     flags = materialize(repeats(suffix_rows(text, heavy_prefixes(text))).groupBy("doc_id", "copy").agg(F.flatten(F.collect_list("found")).alias("places")), "places")
