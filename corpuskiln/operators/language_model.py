@@ -25,27 +25,35 @@ def bigrams(tokens: DataFrame) -> DataFrame:
 
 
 def bigram_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(pair counts, first-word counts, one row with the number of words) of a corpus."""
+    """(pairs with their counts and add-one log-probabilities, first-word counts, one row with the number of words) of a corpus."""
     rows = bigrams(line_tokens(docs, id_col, text_col))
-    pairs = materialize(rows.groupBy("a", "b").agg(F.count("*").alias("n_ab")), "pairs")
-    firsts = materialize(pairs.groupBy("a").agg(F.sum("n_ab").alias("n_a")), "firsts")
-    return pairs, firsts, pairs.agg(F.countDistinct("b").alias("v"))
+    counts = materialize(rows.groupBy("a", "b").agg(F.count("*").alias("n_ab")), "pairs")
+    firsts = materialize(counts.groupBy("a").agg(F.sum("n_ab").alias("n_a"), F.count("*").alias("pairs")), "firsts")
+    size = counts.agg(F.countDistinct("b").alias("v"))
+    pairs = spread_join(counts, firsts.select("a", "n_a"), "a", firsts.select("a", F.col("pairs").alias("n")), "b").join(F.broadcast(size))
+    pairs = pairs.select("a", "b", "n_ab", F.log10((F.col("n_ab") + 1) / (F.col("n_a") + F.col("v"))).alias("log10p"))
+    return materialize(pairs, "pairs"), firsts.select("a", "n_a"), size
 
 
 def line_scores(docs: DataFrame, model: tuple[DataFrame, DataFrame, DataFrame], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, line, n, log10p): add-one log-probability of each line and its number of transitions.
 
-    Equal transitions of a line are counted before the joins with the model's tables.
+    Equal transitions of a line are counted before they are joined with the model's pairs; only those that the model
+    lacks are then looked up by their first word.
     """
     pairs, firsts, size = model
     seen = bigrams(line_tokens(docs, id_col, text_col)).groupBy("a", "b", "doc_id", "line").agg(F.count("*").alias("k"))
-    seen = seen.select("a", F.struct("a", "b").alias("ab"), "doc_id", "line", "k")
+    seen = seen.select(F.struct("a", "b").alias("ab"), "doc_id", "line", "k")
     # every line begins with the same mark, and many with the same word: such keys are cut into parts
-    known = pairs.select(F.struct("a", "b").alias("ab"), "n_ab")
-    both = spread_join(seen, known, "ab", known.withColumnRenamed("n_ab", "n"), "doc_id", "left")
-    both = spread_join(both, firsts, "a", firsts.withColumnRenamed("n_a", "n"), "doc_id", "left").join(F.broadcast(size))
-    p = (F.coalesce("n_ab", F.lit(0)) + 1) / (F.coalesce("n_a", F.lit(0)) + F.col("v"))
-    return both.groupBy("doc_id", "line").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.log10(p)).alias("log10p"))
+    known = pairs.select(F.struct("a", "b").alias("ab"), "n_ab", "log10p")
+    both = spread_join(seen, known.select("ab", "log10p"), "ab", known.select("ab", F.col("n_ab").alias("n")), "doc_id", "left")
+    unknown = F.collect_list(F.when(F.col("log10p").isNull(), F.struct(F.col("ab.a").alias("a"), "k"))).alias("unknown")
+    lines = both.groupBy("doc_id", "line").agg(F.sum("k").alias("n"), F.coalesce(F.sum(F.col("k") * F.col("log10p")), F.lit(0.0)).alias("log10p"), unknown)
+    lines = materialize(lines, "line-scores")
+    rest = lines.select("doc_id", "line", F.explode("unknown").alias("u")).select("doc_id", "line", "u.a", "u.k")
+    rest = spread_join(rest, firsts, "a", firsts.withColumnRenamed("n_a", "n"), "doc_id", "left").join(F.broadcast(size))
+    rest = rest.select("doc_id", "line", F.lit(0).cast("bigint"), F.col("k") * F.log10(1 / (F.coalesce("n_a", F.lit(0)) + F.col("v"))))
+    return lines.select("doc_id", "line", "n", "log10p").union(rest).groupBy("doc_id", "line").agg(F.sum("n").alias("n"), F.sum("log10p").alias("log10p"))
 
 
 def document_perplexity(docs: DataFrame, model: tuple, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -116,6 +124,47 @@ def language_classes(docs: DataFrame, target: str, id_col: str = "doc_id", text_
     return label_shares(docs, word_gains(docs, text_col, lang_col), target, id_col, text_col)
 
 
+def fold_of(id_col: str, folds: int):
+    """Which fold a row is in, by its id; rows with a null id are in the first."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % folds, F.lit(0)).cast("int")
+
+
+def cross_fitted(docs: DataFrame, target: str, folds: int = 5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(doc_id, lang_prob) as language_classes gives it, but no row is scored by a model that saw it or a row of its id.
+
+    Words are counted by label and fold once. A row's model is made when it is scored, by taking its fold's counts from the
+    totals, so there are no tables a fold: a word is one row, with a count and the counts of the folds for each label.
+
+    Defined cases: rows without a label are scored, not learned from; a word that only the row's own fold has is unknown;
+    a label that only one fold has is unknown to that fold; rows that repeat an id count as one text, the words of all.
+    """
+    rows = docs.select(F.col(id_col).alias("doc_id"), fold_of(id_col, folds).alias("f"), F.col(lang_col).alias("lang"), word_list(text_col).alias("words"))
+    counts = rows.where("lang is not null").select("f", "lang", F.explode("words").alias("word")).groupBy("word", "lang", "f").agg(F.count("*").alias("k"))
+    counts = materialize(counts, "fold-words")
+    by_fold = F.map_from_entries(F.collect_list(F.struct("f", "k")))
+    labels = counts.groupBy("word", "lang").agg(F.sum("k").alias("k"), by_fold.alias("folds")).groupBy("word").agg(F.collect_list(F.struct("lang", "k", "folds")).alias("labels"))
+    labels = materialize(labels, "word-labels")
+    of = counts.groupBy("lang", "f").agg(F.sum("k").alias("k"))
+    every = F.broadcast(docs.sparkSession.range(folds).select(F.col("id").cast("int").alias("f")))
+    totals = of.groupBy("lang").agg(F.sum("k").alias("k"), by_fold.alias("folds")).crossJoin(every)  # labels times folds
+    left = F.col("k") - F.coalesce(F.try_element_at("folds", F.col("f")), F.lit(0))
+    totals = materialize(totals.select("lang", "f", left.alias("of_lang")).where("of_lang > 0"), "fold-labels")
+    sums = totals.groupBy("f").agg(F.sum("of_lang").alias("of_all"), F.count("*").alias("n_langs"))
+    shares = totals.join(F.broadcast(sums), "f").select("lang", "f", (F.col("of_all") / F.col("of_lang")).alias("share"))
+    seen = rows.select("doc_id", "f", F.explode("words").alias("word")).groupBy("doc_id", "f", "word").agg(F.count("*").alias("n"))
+    seen = materialize(seen, "document-words")
+    hits = spread_join(seen, labels, "word", seen.groupBy("word").agg(F.count("*").alias("n")), "doc_id")
+    hits = hits.select("doc_id", "f", "n", F.explode("labels").alias("g"))
+    k = F.col("g.k") - F.coalesce(F.try_element_at("g.folds", F.col("f")), F.lit(0))
+    hits = hits.select("doc_id", "f", "n", F.col("g.lang").alias("lang"), k.alias("k")).where("k > 0").join(if_small(materialize(shares, "shares")), ["lang", "f"])
+    each = hits.groupBy("doc_id", "f", "lang").agg(F.sum(F.col("n") * F.log1p(2.0 * F.col("k") * F.col("share"))).alias("s"))
+    each = each.union(rows.select("doc_id", "f", F.lit(None).cast("string"), F.lit(None).cast("double")).distinct())
+    best = each.groupBy("doc_id", "f").agg(F.max("s").alias("best"), F.max(F.when(F.col("lang") == target, F.col("s"))).alias("own"), F.collect_list("s").alias("all"))
+    best = best.join(F.broadcast(sums.select("f", "n_langs")), "f", "left")
+    total = F.aggregate(F.transform("all", lambda x: F.exp(x - F.col("best"))), F.lit(0.0), lambda a, x: a + x) + (F.col("n_langs") - F.size("all")) * F.exp(-F.col("best"))
+    return best.select("doc_id", F.when(F.col("own") == F.col("best"), 1.0 / total).otherwise(0.0).alias("lang_prob"))
+
+
 def read_arpa(spark: SparkSession, path: str) -> DataFrame:
     """(order, ngram, log10p, backoff) of an ARPA text file; headers and section marks are skipped."""
     parts = F.split("value", "\t")

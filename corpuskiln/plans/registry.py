@@ -871,6 +871,36 @@ LANG_SQL = bayes_sql("select doc_id, text, lang as l from documents", "en")
 TOXIC_SQL = bayes_sql("select d.doc_id, text, cast(toxic as varchar) as l from documents d left join labels using (doc_id)", "1")
 
 
+def fitted_sql(rows: str, target: str, fold: str) -> str:
+    """(doc_id, prob) of rows (doc_id, text, l) in folds by the words of the other folds' rows with a label."""
+    words = f"list_filter(regexp_split_to_array(lower(text), {q(f'[{P.SPACES}]+')}), lambda w: w <> '')"
+    return f"""(with r as (select *, {fold} as f from ({rows})), w as (select doc_id, f, l, unnest({words}) as word from r), c as (select word, l, f, count(*) as k from w where l is not null group by 1, 2, 3),
+    folds as (select distinct f from r), t as (select f.f, l, sum(k) filter (where c.f <> f.f) as of_l from c, folds f group by 1, 2 having of_l > 0),
+    a as (select f, sum(of_l) as of_all, count(*) as n from t group by 1), o as (select f.f, word, l, sum(k) filter (where c.f <> f.f) as k from c, folds f group by 1, 2, 3 having k > 0),
+    g as (select o.f, word, o.l, ln(1 + 2.0::double * k * (of_all / of_l)) as x from o join t using (f, l) join a using (f)), n as (select doc_id, f, word, count(*) as k from w group by 1, 2, 3),
+    s as (select doc_id, f, g.l, sum(n.k * x) as s from n join g using (f, word) group by 1, 2, 3), m as (select doc_id, max(s) as best, max(case when l = {q(target)} then s end) as own, count(*) as seen from s group by doc_id),
+    z as (select doc_id, sum(exp(s.s - m.best)) as z from s join m using (doc_id) group by doc_id)
+    select r.doc_id, case when own = best then 1.0::double / (z + (a.n - seen) * exp(-best)) else 0.0::double end as prob from (select distinct doc_id, f from r) r left join a using (f) left join m using (doc_id) left join z using (doc_id))"""
+
+
+# DuckDB has no CRC-32: bit by bit, over the digits of an id
+FOLD_SQL = """xor(list_reduce(list_transform(string_split(doc_id::varchar, ''), lambda c: unicode(c)::bigint), lambda c, b: list_reduce(range(0, 8), lambda x, k: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end, xor(c, b)), 4294967295::bigint), 4294967295) % 5"""
+
+
+@query(f"select doc_id, round(prob, 6) as lang_prob from {fitted_sql('select doc_id, text, lang as l from documents', 'en', FOLD_SQL)}")
+def heldout_language_probability(spark, sf_dir):
+    """Of models that didn't see the document."""
+    return language_model.cross_fitted(table(spark, sf_dir, "documents"), "en").select("doc_id", F.round("lang_prob", 6).alias("lang_prob"))
+
+
+@query(f"select doc_id, round(prob, 6) as toxic_prob from {fitted_sql('select d.doc_id, text, cast(toxic as varchar) as l from documents d left join labels using (doc_id)', '1', FOLD_SQL)}")
+def heldout_toxicity_scores(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("i"), F.col("toxic").cast("string").alias("mark"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.join(labels, docs["doc_id"] == labels["i"], "left").select("doc_id", "text", "mark")
+    return language_model.cross_fitted(docs, "1", lang_col="mark").select("doc_id", F.round("lang_prob", 6).alias("toxic_prob"))
+
+
 @query(f"select doc_id, round(prob, 6) as lang_prob from {LANG_SQL}")
 def language_probability(spark, sf_dir):
     """Rounded: sums of logarithms depend on their order in the last places."""
