@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from corpuskiln.functions import text as T
 from corpuskiln.operators import language_model
+from corpuskiln.operators.joins import spread_join
+from corpuskiln.storage import materialize
 
 
 @dataclass(frozen=True)
@@ -129,8 +131,9 @@ def toxicity_filter(docs: DataFrame, labels: DataFrame, label_col: str = "toxic"
     p, prior = F.col("lang_prob"), F.col("__share")
     posterior = p * prior / (p * prior + (1 - p) * (1 - prior))
     scores = language_model.label_shares(unmarked, model, "1", "__digest").where("lang_prob > 0").join(F.broadcast(share))
-    scores = scores.where(posterior >= threshold).select(F.col("doc_id").alias("__found"))
-    judged = rows.join(scores, rows["__digest"] == scores["__found"], "left")
+    scores = materialize(scores.where(posterior >= threshold).select(F.col("doc_id").alias("__digest"), F.lit(True).alias("__found")), "toxic")
+    # a text that a third of all rows hold is judged in several tasks
+    judged = spread_join(rows, scores, "__digest", rows.groupBy("__digest").agg(F.count("*").alias("n")), id_col, "left")
     toxic = F.coalesce(F.col("__mark") == 1, F.col("__found").isNotNull())
     return judged.where(toxic if invert else ~toxic).select(*docs.columns)
 

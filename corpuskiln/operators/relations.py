@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuskiln.operators.joins import carried, running_sum, spread_join
-from corpuskiln.storage import materialize
+from corpuskiln.operators.joins import carried, ranged, running_sum, spread_join
+from corpuskiln.storage import if_small, materialize
 
 
 def keyed_dedup(rows: DataFrame, key: str, order: list[Column], deleted: Column | None = None) -> DataFrame:
@@ -59,9 +59,25 @@ def inverse_distribution(draws: DataFrame, table: DataFrame, u: str = "u") -> Da
 
 
 def interval_anti_join(spans: DataFrame, keeps: DataFrame, key: str, start: str = "start", end: str = "end") -> DataFrame:
-    """spans that overlap no keep of the same key; touching spans do not overlap."""
-    k = keeps.select(F.col(key).alias("__key"), F.col(start).alias("__s"), F.col(end).alias("__e"))
-    return spans.join(k, (spans[key] == k["__key"]) & (spans[start] < k["__e"]) & (spans[end] > k["__s"]), "left_anti")
+    """spans that overlap no keep of the same key; touching spans do not overlap.
+
+    One ordered pass by ranges: a span overlaps a keep if, of the keeps that begin before its end, the one that reaches
+    furthest ends behind its start. No span meets all keeps of its key. Nulls overlap nothing.
+    """
+    k = keeps.where(F.col(key).isNotNull() & F.col(start).isNotNull() & F.col(end).isNotNull())
+    none = F.lit(None).cast(dict(keeps.dtypes)[end])
+    rows = spans.select(F.struct("*").alias("__row"), F.col(key).alias("__key"), F.col(end).alias("__at"), F.lit(0).alias("__keep"), none.alias("__reach"))
+    marks = k.select(F.lit(None).cast(rows.schema["__row"].dataType).alias("__row"), F.col(key).alias("__key"), F.col(start).alias("__at"), F.lit(1).alias("__keep"), F.col(end).alias("__reach"))
+    # keeps that begin where a span ends come behind it
+    order = ["__key", "__at", "__keep"]
+    cut = ranged(rows.unionByName(marks), [F.col(c) for c in order], "intervals")
+    ends = cut.groupBy("__key", "__cell").agg(F.max("__reach").alias("r"))
+    before = F.max("r").over(Window.partitionBy("__key").orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1))
+    ends = ends.select(F.col("__key").alias("__k"), F.col("__cell").alias("__c"), before.alias("__before")).where("__before is not null")  # keys that lie in several ranges
+    w = Window.partitionBy("__cell", "__key").orderBy("__at", "__keep").rowsBetween(Window.unboundedPreceding, 0)
+    both = cut.withColumn("__in", F.max("__reach").over(w)).where("__keep = 0").join(if_small(ends), (F.col("__key") == F.col("__k")) & (F.col("__cell") == F.col("__c")), "left")
+    reach = F.greatest("__in", "__before")
+    return both.where(F.col("__row")[start].isNull() | reach.isNull() | (reach <= F.col("__row")[start])).select("__row.*")
 
 
 def downsample(freqs: DataFrame, ratio: float = 0.01, freq: str = "freq") -> DataFrame:
