@@ -8,6 +8,7 @@ from corpuskiln.functions import masking
 from corpuskiln.functions import text as T
 
 TLDS = frozenset(("fi", "com", "net"))
+# fixed values: ways to write an at-sign and a dot, and the shape of an address
 AT = r"(?:@|\bat\b|\(at\)|\[at\]|\bät\b|\(ät\)|\(a\)|\[a\])"
 DOT = r"(?:\.|\bdot\b|\(dot\)|\[dot\]|\bpiste\b|\(piste\)|\[piste\])"
 MAIL = regex.compile(rf"([a-zA-Z0-9.!#$%&'*+/=?^_`{{}}~-]+)(\s*{AT}\s*)((?:[a-zA-Z0-9][a-zA-Z0-9-]{{0,61}}[a-zA-Z0-9]\s*{DOT}\s*)+(?:[a-z]{{2,8}}|[A-Z]{{2,8}}))\b")
@@ -22,6 +23,7 @@ def plain_mails(text):
     return MAIL.sub(one, text)
 
 
+# fixed values: signs in dates, years, some units, what stays as it is, and the shape of a phone-like number
 GAP = r"[^\S\r\n]*[.–—-][^\S\r\n]*"
 YEAR, LONG = r"(?:20\d\d|1[0-9]\d\d|\d\d)", r"(?:1[0-9]\d\d|20\d\d)"
 UNITS = r"(?:metri|euro|mk\.|henkeä|kpl\.|e\b(?!-)|€|\$)"
