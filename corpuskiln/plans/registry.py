@@ -350,7 +350,19 @@ def masked_texts(spark, sf_dir):
     return masking.mask_all(table(spark, sf_dir, "documents")).select("doc_id", "text")
 
 
-@query()
+# RE2 has no look-around: a domain's end and words for the at-sign are told by ASCII word bounds
+MAIL_AT, MAIL_DOT = (rf"(?:{'|'.join(marks)}|\b(?:{'|'.join(words)})\b)" for marks, words in ((masking.AT_MARKS, masking.AT_WORDS), (masking.DOT_MARKS, masking.DOT_WORDS)))
+MAIL_SHAPE = rf"({masking.LOCAL}+)([{P.SPACES}]*{MAIL_AT}[{P.SPACES}]*)((?:{masking.LABEL}[{P.SPACES}]*{MAIL_DOT}[{P.SPACES}]*)+{masking.LAST})\b"
+MAIL_SQL = f"""with d as (select doc_id, regexp_extract_all(text, {q(MAIL_SHAPE)}) as pieces, regexp_split_to_array(text, {q(MAIL_SHAPE)}) as b from documents),
+m as (select *, list_transform(pieces, lambda p: {{'p': p, 'at': regexp_extract(p, {q(MAIL_SHAPE)}, 2), 'dom': regexp_extract(p, {q(MAIL_SHAPE)}, 3)}}) as a from d),
+k as (select *, list_transform(a, lambda x: {{'x': x, 'parts': regexp_split_to_array(x.dom, {q(MAIL_DOT)}), 'dots': regexp_extract_all(x.dom, {q(MAIL_DOT)})}}) as c from m),
+n as (select *, list_transform(c, lambda y: {{'y': y, 'n': list_position(list_transform(y.parts, lambda z, i: i > 1 and list_contains([{", ".join(q(t) for t in sorted(masking.all_tlds()))}], lower({stripped("z")}))), true)}}) as e from k),
+o as (select doc_id, b, list_transform(e, lambda w: case when coalesce(w.n, 0) = 0 then w.y.x.p else 'email' || replace(w.y.x.at, chr(10), '') || 'example.com'
+  || substr(w.y.x.dom, 1 + length(array_to_string(w.y.parts[1:w.n], '')) + length(array_to_string(w.y.dots[1:w.n - 1], ''))) end) as r from n)
+select doc_id, b[1] || array_to_string(list_transform(range(1, len(r) + 1), lambda i: r[i] || b[i + 1]), '') as text from o"""
+
+
+@query(MAIL_SQL)
 def masked_emails(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", masking.mask_emails("text").alias("text"))
 
