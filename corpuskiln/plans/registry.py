@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from corpuskiln.functions import text as T
 from corpuskiln.functions import unicode as U
 from corpuskiln.operators import filters, kneser_ney, language_model, main_text, packing, relations, repeats
 from corpuskiln.sources import files, framing, web
-from corpuskiln.storage import materialize, spread
+from corpuskiln.storage import materialize, shared_dir, spread
 from corpuskiln.streaming import streams
 
 QUERIES: dict = {}
@@ -338,6 +340,25 @@ def wet_documents(spark, sf_dir):
     return web.wet_documents(rows).select("id", "wet_id", "uri", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
+@query("""with p as (select page_id, url, coalesce(html, '') as html, case when page_id % 5 = 0 then 'request' when page_id % 5 < 3 then 'response' else 'conversion' end as record_type from pages),
+r as (select *, case when page_id % 11 = 0 then ''::blob when page_id % 13 = 0 then encode(html) || '\\xFF'::blob else encode(html) end as body from p)
+select 'r' || page_id as record_id, 'o' || page_id as refers_to, record_type, url as uri, 'text/html' as mime, cast(octet_length(body) as bigint) + case when record_type = 'response' then 44 else 0 end as length,
+  md5(body) as payload_md5 from r where record_type <> 'request'""")
+def archived_records(spark, sf_dir):
+    """Pages written as records of plain and of gzip archives, and read back by ranges of bytes."""
+    folder = f"{shared_dir(spark).rstrip('/')}/archives-{uuid.uuid4().hex}"
+    body = F.when(F.col("record_type") == "response", F.concat(F.lit(b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"), F.coalesce("payload", F.lit(b"")))).otherwise(F.coalesce("payload", F.lit(b"")))
+    fields = {"Type": "record_type", "Record-ID": F.concat(F.lit("<"), "record_id", F.lit(">")), "Refers-To": F.concat(F.lit("<"), "refers_to", F.lit(">")), "Date": "date", "Target-URI": "uri", "Identified-Payload-Type": F.lit("text/html")}
+    lines = [F.concat(F.lit(f"WARC-{name}: "), value) for name, value in fields.items()]
+    head = F.concat_ws("\r\n", F.lit("WARC/1.0"), *lines, F.concat(F.lit("Content-Length: "), F.octet_length(body)), F.lit("\r\n"))
+    rows = spread(page_records(spark, sf_dir).select("record_id", F.concat(F.encode(head, "UTF-8"), body).cast("string").alias("value")))
+    for packed in (True, False):
+        half = rows.where((F.crc32("record_id") % 2 == 0) == packed).select("value")
+        half.write.option("lineSep", "\r\n\r\n").option("compression", "gzip" if packed else "none").text(f"{folder}/{'gzip' if packed else 'plain'}")
+    found = files.web_records(spark, folder, glob="part-*")
+    return found.select("record_id", "refers_to", "record_type", "uri", "mime", "length", F.md5("payload").alias("payload_md5"))
+
+
 # ---- masking ----
 
 @query(f"""select doc_id, md5(regexp_replace(text, {q(f'(^|[^{P.WORD_CHAR}]){P.NATIONAL_ID}($|[^{P.WORD_CHAR}])')}, '\\1010101-001Z\\2', 'g')) as text_md5 from documents""")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gzip
 import io
 import json
 import struct
@@ -15,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskiln.functions.masking import replaced
+from corpuskiln.sources import archives
+from corpuskiln.sources.archives import opened
 
 
 def jsonl(spark: SparkSession, path, schema: str = "id string, text string", tolerant: bool = False) -> DataFrame:
@@ -34,14 +35,14 @@ def text_documents(spark: SparkSession, path, recursive: bool = False) -> DataFr
 
 def zst_lines(spark: SparkSession, path: str, glob: str = "*.zst") -> DataFrame:
     """(file, pos, value) of text files in Zstandard frames of any window up to 2**31 bytes, decompressed as a stream."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path).select("path", "content")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path).select("path")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        for batch in batches:
-            for file, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                raw = zstandard.ZstdDecompressor(max_window_size=2**31).stream_reader(io.BytesIO(content.as_py()), read_across_frames=True)
+        for file in (f for batch in batches for f in batch.column("path").to_pylist()):
+            with opened(file) as packed:
+                raw = zstandard.ZstdDecompressor(max_window_size=2**31).stream_reader(packed, read_across_frames=True)
                 lines, size, pos = [], 0, 0
                 for line in io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline="\n"):
                     lines.append(line.rstrip("\n"))
@@ -64,14 +65,14 @@ BATCH_BYTES = 8_000_000
 RECORD = pa.schema([(c, pa.string()) for c in ("record_id", "refers_to", "record_type", "uri", "date", "mime")] + [("length", pa.int64()), ("payload", pa.binary())])
 
 
-def web_records(spark: SparkSession, path: str, types: tuple[str, ...] | None = ("response", "conversion"), glob: str = "*.gz") -> DataFrame:
+def web_records(spark: SparkSession, path: str, types: tuple[str, ...] | None = ("response", "conversion"), glob: str = "*.gz", index: DataFrame | None = None) -> DataFrame:
     """(record_id, refers_to, record_type, uri, date, mime, length, payload) of gzip or plain web archives.
 
     Only the given record types, all if None; ids without their angle brackets; a response's payload is what
-    follows its HTTP headers; length is what the record's header says. An archive is read as a stream and its
-    records handed on as they come; its compressed bytes are one value, so a file may have 2 GB.
+    follows its HTTP headers; length is what the record's header says. An archive is read in ranges of bytes, in a task
+    each, by archive_index(), or an index that was made before; records are handed on as they come.
     """
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path).select("content")
+    found = archives.archive_index(spark, path, glob) if index is None else index
 
     def row(fields: dict, body: bytes) -> tuple:
         inner = None
@@ -80,43 +81,32 @@ def web_records(spark: SparkSession, path: str, types: tuple[str, ...] | None =
             inner = next((x.split(":", 1)[1].strip() for x in head.decode("latin-1").split("\r\n") if x.lower().startswith("content-type:")), None)
         bare = lambda x: x[1:-1] if x and x[0] == "<" and x[-1] == ">" else x
         mime = fields.get("warc-identified-payload-type") or inner or fields.get("content-type")
-        return bare(fields.get("warc-record-id")), bare(fields.get("warc-refers-to")), fields.get("warc-type"), fields.get("warc-target-uri"), fields.get("warc-date"), mime, int(fields.get("content-length", 0)), body
+        return bare(fields.get("warc-record-id")), bare(fields.get("warc-refers-to")), fields.get("warc-type"), fields.get("warc-target-uri"), fields.get("warc-date"), mime, int(fields.get("content-length") or 0), body
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, size = [], 0
         for batch in batches:
-            for content in batch.column("content"):
-                for fields, body in archive_records(content.as_py()):
-                    if types is not None and fields.get("warc-type") not in types:
-                        continue
-                    rows.append(row(fields, body))
-                    size += len(body)
-                    if size > BATCH_BYTES:
+            for file, first, end in zip(*(batch.column(c).to_pylist() for c in ("file", "first", "end")), strict=True):
+                with archives.opened(file) as raw:
+                    rows, size = [], 0
+                    for fields, body in archives.records_between(archives.Reader(raw, first, archives.is_packed(raw)), end):
+                        if types is not None and fields.get("warc-type") not in types:
+                            continue
+                        rows.append(row(fields, body))
+                        size += len(body)
+                        if size > BATCH_BYTES or len(rows) == 10_000:
+                            yield records_batch(rows)
+                            rows, size = [], 0
+                    if rows:
                         yield records_batch(rows)
-                        rows, size = [], 0
-        if rows:
-            yield records_batch(rows)
 
-    return found.mapInArrow(run, "record_id string, refers_to string, record_type string, uri string, date string, mime string, length bigint, payload binary")
+    columns = "record_id string, refers_to string, record_type string, uri string, date string, mime string, length bigint, payload binary"
+    return archives.spread_ranges(found).mapInArrow(run, columns)
 
 
 def records_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), RECORD, strict=True)], schema=RECORD)
 
 
-def archive_records(content: bytes):
-    """(lower-case headers, body) of each record."""
-    stream = gzip.GzipFile(fileobj=io.BytesIO(content)) if content[:2] == b"\x1f\x8b" else io.BytesIO(content)
-    while line := stream.readline():
-        if not line.startswith(b"WARC/"):
-            continue
-        fields = {}
-        while (line := stream.readline()) and line.strip():
-            name, _, value = line.decode("utf-8", "replace").partition(":")
-            fields[name.strip().lower()] = value.strip()
-        yield fields, stream.read(int(fields.get("content-length", 0)))
-
-
 def newsml(spark: SparkSession, path: str, headline: bool = True, glob: str = "*.xml") -> DataFrame:
     """(id, paragraphs, meta map<string, array<string>>) of news items in XML, one a file."""
     files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path, wholetext=True)
