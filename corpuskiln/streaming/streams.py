@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,11 +33,15 @@ def first_seen(rows: DataFrame, key: str, event_time: str | None = None, delay:
 
 
 def quoted(rows: DataFrame, thread: str, comment: str, quoted_comment: str, text: str, position: str, forget: str | None = None) -> DataFrame:
-    """(comment, quoted_text) by thread: the latest text seen so far under the quoted id.
+    """(comment, quoted_text) by thread: the latest text seen so far under the quoted id, null if there is none.
 
     The rows of a thread in one batch are taken in the order of their position; a row is stored before it looks
-    up. State is the texts of a thread; an endless stream has them dropped after ``forget`` without rows ("1 day",
-    say; a stream with such a clock never runs dry, so it can't be drained).
+    up. A row stores under its id and asks under the one it quotes, so state is one text an id, a batch touches the
+    ids that it names and no others, and what meets in one task is one id's rows of one batch. On an endless stream a
+    text goes after ``forget`` without rows that name its id ("1 day", say; a stream with such a clock never runs dry, so it
+    can't be drained).
+
+    Defined cases: null positions come first; a null thread or id is a thread or an id like others.
     """
     keep = pd.Timedelta(forget) // pd.Timedelta("1ms") if forget else None
 
@@ -44,18 +49,22 @@ def quoted(rows: DataFrame, thread: str, comment: str, quoted_comment: str, text
         if state.hasTimedOut:
             state.remove()
             return
-        known = dict(zip(*state.get, strict=True)) if state.exists else {}
-        out = []
-        for _, r in pd.concat(list(frames)).sort_values(position, kind="stable").iterrows():
-            known[str(r[comment])] = r[text]
-            out.append((str(r[comment]), known.get(str(r[quoted_comment]))))
-        yield pd.DataFrame(out, columns=["comment", "quoted_text"])
-        state.update((list(known), list(known.values())))
-        if keep:
+        all_ = pd.concat(list(frames)).sort_values(["position", "asks"], kind="stable", na_position="first")
+        asks = all_["asks"].to_numpy(dtype=bool)
+        texts = [state.get[0] if state.exists else None, *all_["text"]]
+        last = np.maximum.accumulate(np.where(asks, 0, np.arange(1, len(asks) + 1)))  # 0: what was known before the batch
+        yield pd.DataFrame({"comment": all_["comment"].to_numpy()[asks], "quoted_text": [texts[k] for k in last[asks]]}, dtype=object)
+        if last[-1]:
+            state.update((texts[last[-1]],))
+        if keep and state.exists:
             state.setTimeoutDuration(keep)
 
+    id_of = lambda c: F.col(c).cast("string")
+    stores = F.struct(id_of(comment).alias("id"), F.lit(False).alias("asks"), F.lit(None).cast("string").alias("comment"), F.col(text).alias("text"))
+    asks = F.struct(id_of(quoted_comment).alias("id"), F.lit(True).alias("asks"), id_of(comment).alias("comment"), F.lit(None).cast("string").alias("text"))
+    both = rows.select(F.col(thread).alias("thread"), F.col(position).alias("position"), F.explode(F.array(stores, asks)).alias("r")).select("thread", "position", "r.*")
     clock = GroupStateTimeout.ProcessingTimeTimeout if keep else GroupStateTimeout.NoTimeout
-    return rows.groupBy(thread).applyInPandasWithState(step, "comment string, quoted_text string", "ids array<string>, texts array<string>", "append", clock)
+    return both.groupBy("thread", "id").applyInPandasWithState(step, "comment string, quoted_text string", "text string", "append", clock)
 
 
 def packed(rows: DataFrame, shard: str | list[str], ids: str, block: int) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import time
 
 from corpuskiln.plans import registry
 from corpuskiln.storage import shared_dir
@@ -75,3 +76,50 @@ def test_masked_ids_as_a_stream(spark, tmp_path):
     df = spark.createDataFrame([(1, "x 010190-123A y"), (2, None)], "i int, text string")
     got = streams.drained(streams.masked_ids(source(spark, tmp_path, df, 1)), "masks")
     assert {r["i"]: r["text"] for r in got.collect()} == {1: "x 010101-001Z y", 2: None}
+
+
+def quotes_of(stream, base, forget=None):
+    """Run over what the source holds, from the checkpoint on."""
+    out = streams.quoted(stream, "thread", "comment", "quoted", "text", "pos", forget)
+    q = out.writeStream.outputMode("append").format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return q
+
+
+def test_quotes_after_a_restart_and_only_named_ids_are_touched(spark, tmp_path):
+    schema = "thread string, comment string, quoted string, text string, pos int"
+    stream = lambda: spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    write = lambda rows, name: spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in" / name))
+    write([("t", f"c{k}", "none", f"text {k}", k) for k in range(500)] + [(None, None, None, "null", None), (None, "n", None, "of null", 1)], "0")
+    quotes_of(stream(), tmp_path)
+    write([("t", "new", "c7", "x", 501), ("u", "new", "c7", "x", 1), (None, "m", None, "x", 2), ("t", "c7", "c7", "later", 502), ("t", "end", "c7", None, 503)], "1")
+    q = quotes_of(stream(), tmp_path)  # another run of the same checkpoint
+    got = sorted(map(str, (tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).where("comment is null or not comment like 'c%' or comment = 'c7'").collect())))
+    assert got == sorted(map(str, [("c7", None), (None, "null"), ("n", "null"), ("new", "text 7"), ("new", None), ("m", "null"), ("c7", "later"), ("end", "later")]))
+    state = q.lastProgress["stateOperators"][0]
+    assert state["numRowsTotal"] == 500 + 2 + 4 and state["numRowsUpdated"] < 10
+
+
+def test_forgotten_texts_go(spark, tmp_path):
+    schema = "thread string, comment string, quoted string, text string, pos int"
+    write = lambda rows, name: spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in" / name))
+    write([("t", "a", "a", "old", 1)], "0")
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    out = streams.quoted(stream, "thread", "comment", "quoted", "text", "pos", "1 second")
+    q = out.writeStream.outputMode("append").format("memory").queryName("forgotten").trigger(processingTime="1 second").start()
+    kept = lambda: q.lastProgress["stateOperators"][0]["numRowsTotal"] if q.lastProgress else None
+
+    def until(condition):
+        end = time.time() + 60
+        while time.time() < end and not condition():
+            time.sleep(0.2)
+        assert condition()
+
+    try:
+        until(lambda: spark.table("forgotten").count() == 1)
+        until(lambda: kept() == 0)
+        write([("t", "b", "a", "x", 2)], "1")
+        until(lambda: spark.table("forgotten").count() == 2)
+    finally:
+        q.stop()
+    assert sorted(map(tuple, spark.table("forgotten").collect()), key=str) == sorted([("a", "old"), ("b", None)], key=str)
