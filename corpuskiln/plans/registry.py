@@ -328,12 +328,23 @@ def web_outcomes(spark, sf_dir):
     return rows.select("id", "outcome", F.when(F.col("outcome") == "output", F.md5(F.col("text").cast("binary"))).alias("text_md5"))
 
 
-@query(f"""select count(*) as total, count_if(record_type = 'response') as responses, count_if(record_type = 'conversion') as conversions, count_if(outcome in ('empty-content', 'empty-text')) as empties,
-       count_if(outcome = 'unsupported') as unsupported, count_if(outcome = 'error') as errors, count_if(outcome = 'output') as output from ({WEB_SQL})""")
+COUNTS_SQL = f"""select count(*) as total, count_if(record_type = 'response') as responses, count_if(record_type = 'conversion') as conversions, count_if(outcome in ('empty-content', 'empty-text')) as empties,
+       count_if(outcome = 'unsupported') as unsupported, count_if(outcome = 'error') as errors, count_if(outcome = 'output') as output from ({WEB_SQL})"""
+
+
+@query(COUNTS_SQL)
 def web_counts(spark, sf_dir):
     return web.web_counts(web.web_outcomes(page_records(spark, sf_dir)))
 
 
+@query(f"select *, output as written from ({COUNTS_SQL})")
+def observed_counts(spark, sf_dir):
+    """Documents written and counters of all records, both of one pass."""
+    docs, counts = web.observed_documents(web.web_outcomes(page_records(spark, sf_dir)))
+    written = materialize(docs, "web-documents")
+    return written.agg(F.count("*").alias("written")).select("written", *(F.lit(n).cast("bigint").alias(name) for name, n in counts.get.items()))
+
+
 @query("""select 'commoncrawl:o' || page_id as id, 'r' || page_id as wet_id, url as uri, md5(html) as text_md5 from pages where page_id % 5 > 2 and page_id % 13 <> 0 and page_id % 11 <> 0""")
 def wet_documents(spark, sf_dir):
     rows = page_records(spark, sf_dir).where("octet_length(payload) > 0 and is_valid_utf8(cast(payload as string))")

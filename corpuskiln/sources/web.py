@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+from collections import Counter
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from corpuskiln.functions import text as T
 from corpuskiln.functions.html import html_text
@@ -40,14 +44,56 @@ def web_documents(records: DataFrame, extractor: str = "plain", refers_to: bool
     return web_outcomes(records, extractor, refers_to).where("outcome = 'output'").drop("outcome", "record_type")
 
 
-def web_counts(outcomes: DataFrame, by: list[str] = ()) -> DataFrame:
-    """Counters of a conversion, over all or by file: records, responses, conversions, empties, unsupported, errors, output."""
+def counters() -> list[Column]:
+    """Counters of a conversion: records, responses, conversions, empties, unsupported, errors, output."""
     n = lambda condition, name: F.count_if(condition).alias(name)
-    return outcomes.groupBy(*by).agg(
+    return [
         F.count("*").alias("total"), n(F.col("record_type") == "response", "responses"), n(F.col("record_type") == "conversion", "conversions"),
         n(F.col("outcome").isin("empty-content", "empty-text"), "empties"), n(F.col("outcome") == "unsupported", "unsupported"),
         n(F.col("outcome") == "error", "errors"), n(F.col("outcome") == "output", "output"),
-    )
+    ]
+
+
+def web_counts(outcomes: DataFrame, by: list[str] = ()) -> DataFrame:
+    """counters() over all or by file, in a pass of their own."""
+    return outcomes.groupBy(*by).agg(*counters())
+
+
+def observed_documents(outcomes: DataFrame) -> tuple[DataFrame, Observation]:
+    """The documents of web_outcomes(), and counters() of all its records that the same pass takes.
+
+    The observation's ``get`` holds them once an action has run over the documents, of the first such action. They are
+    exact where the documents are written without a shuffle in between: tasks that are run again count once. A limit on
+    the documents ends the pass early, and what it didn't reach isn't counted.
+    """
+    counts = Observation(f"web-{uuid.uuid4().hex}")
+    return outcomes.observe(counts, *counters()).where("outcome = 'output'").drop("outcome", "record_type"), counts
+
+
+class StreamCounters(StreamingQueryListener):
+    """counters() of a stream of outcomes, summed over its batches: ``documents`` marks the stream, ``totals`` grow as
+    batches end. Add it to spark.streams before the query starts. A batch that is run again after a restart is
+    counted by the listener that sees it end."""
+
+    def __init__(self):
+        self.name, self.totals = f"web_{uuid.uuid4().hex}", Counter()
+
+    def documents(self, outcomes: DataFrame) -> DataFrame:
+        return outcomes.observe(self.name, *counters()).where("outcome = 'output'").drop("outcome", "record_type")
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        row = event.progress.observedMetrics.get(self.name)
+        if row is not None:
+            self.totals.update(row.asDict())
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
 
 
 def wet_documents(records: DataFrame, prefix: str = "commoncrawl") -> DataFrame:
