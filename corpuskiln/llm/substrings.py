@@ -12,7 +12,8 @@ that overlap or touch make its maximal repeats.
 
 What can't repeat is left out first: word sequences that equal a smaller document's are removed
 whole, and a window is looked at only if its minimizer (the smallest hash of its runs of GRAM words)
-occurs in another document too; equal windows have equal minimizers, so nothing is lost. Before
+occurs in another document too; equal windows have equal minimizers, so nothing is lost. Of a document
+only the words of such windows go on (passages), with their places. Before
 suffixes are sent, those of a batch are made a tree of their own by prefix doubling, and of each of its nodes of
 depth WINDOW one leaf stands for all, so that a passage in a third of all documents sends one row a batch.
 Words stand in suffixes as SYMBOL bytes each, and suffixes are compared word by word.
@@ -38,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuskiln.llm.common import CHUNK_CHARS, as_signed, discard, fmix, if_small, map_arrow, materialize, pieces, released, rolling, slices, sliding_min, spread_join, table, word_hashes
+from corpuskiln.storage import BROADCAST_BYTES, measured
 
 WINDOW, GRAM = 13, 4
 #: Bytes of a word in a suffix, of its 64-bit hash.
@@ -120,6 +122,52 @@ def packed(docs: DataFrame) -> DataFrame:
     return map_arrow(docs, f"doc_id {dict(docs.dtypes)['doc_id']}, copy bigint, n_words bigint, packed binary", each)
 
 
+def marked_windows(b: Batch, marks: list[list[int]]) -> np.ndarray:
+    """Which windows of a batch have one of their text's marks as minimizer."""
+    m, cut = b.minimizers(), np.searchsorted(b.owner, np.arange(len(marks) + 1))
+    sought = (np.sort(np.array(x, dtype=np.int64).view(np.uint64)) for x in marks)
+    hit = [lo + np.flatnonzero(np.isin(m[lo:hi], x)) for x, lo, hi in zip(sought, cut[:-1], cut[1:], strict=True)]
+    return np.concatenate(hit) if hit else np.zeros(0, dtype=np.int64)
+
+
+def passages(marked: DataFrame) -> DataFrame:
+    """(doc_id, copy, low, packed, runs) of marked (doc_id, copy, packed, marks): of every text only the words of windows to look at, and
+    the first place and the number of each run of such windows, one after the other; low is the smallest mark."""
+
+    def each(cols: dict, n: int) -> dict:
+        unpack, squeeze = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=6).compress
+        texts = [unpack(t) for t in cols["packed"]]
+        b = Batch(texts)
+        hit = marked_windows(b, cols["marks"])
+        cut = np.searchsorted(b.owner[hit], np.arange(n + 1))
+        out: dict[str, list] = {"doc_id": cols["doc_id"], "copy": cols["copy"], "low": [min(x) for x in cols["marks"]], "packed": [], "runs": []}
+        for k, (lo, hi) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
+            place = b.place[hit[lo:hi]]
+            first = np.flatnonzero(np.concatenate(([True], np.diff(place) != 1))) if len(place) else place
+            out["runs"].append(np.stack((place[first], np.diff(np.append(first, len(place)))), axis=1).ravel().astype(np.int32))
+            inside, at, words = covered(int(b.start[k + 1] - b.start[k]), place), 0, []
+            for piece in pieces(texts[k]):
+                w = piece.split()
+                words.extend(w[i] for i in np.flatnonzero(inside[at : at + len(w)]))
+                at += len(w)
+            out["packed"].append(squeeze(b" ".join(words)))
+        return out
+
+    kind = dict(marked.dtypes)["doc_id"]
+    return map_arrow(marked.select("doc_id", "copy", "packed", "marks"), f"doc_id {kind}, copy bigint, low bigint, packed binary, runs array<int>", each, CHUNK_CHARS // 2)
+
+
+def places_of(runs: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(place in the text, place in the words of its passages) of every window of runs, as passages() gives them."""
+    first, n = np.array(runs, dtype=np.int64).reshape(-1, 2).T
+    end = first + n + WINDOW - 1
+    before = np.concatenate(([0], end[:-1])) if len(end) else end
+    held = np.cumsum(end - np.maximum(first, before))  # words of this and the runs before it
+    base = held - (end - first)
+    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return np.repeat(first, n) + step, np.repeat(base, n) + step
+
+
 def leaf_order(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(order, depth) of the suffixes of the words h that begin at the places, cut at WINDOW words: their order as leaves
     of a suffix tree, and the words that each has in common with the one before it, as far as WINDOW is concerned.
@@ -149,7 +197,8 @@ def leaf_order(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Subtree:
-    """The windows to look at of some documents (doc_id, copy, packed, marks), as the leaves of their own suffix tree."""
+    """The windows to look at of some documents, as the leaves of their own suffix tree: (doc_id, copy, packed, runs) of passages(),
+    or (doc_id, copy, packed, marks) of whole texts."""
 
     def __init__(self, cols: dict, id_type: pa.DataType):
         unpack = zstandard.ZstdDecompressor().decompress
@@ -158,20 +207,23 @@ class Subtree:
         self.ids, self.copies = pa.array(ids, id_type), pa.array([cols["copy"][i] for i in order], pa.int64())
         number = np.cumsum([0] + [a != b for a, b in zip(ids[1:], ids, strict=False)]) if ids else np.zeros(0, dtype=np.int64)
         b = Batch([unpack(cols["packed"][i]) for i in order])
-        marks = [np.sort(np.array(cols["marks"][i], dtype=np.int64).view(np.uint64)) for i in order]
-        m = b.minimizers()
-        cut = np.searchsorted(b.owner, np.arange(len(order) + 1))
-        hit = [lo + np.flatnonzero(np.isin(m[lo:hi], marks[k])) for k, (lo, hi) in enumerate(zip(cut[:-1], cut[1:], strict=True))]
-        hit = np.concatenate(hit) if hit else np.zeros(0, dtype=np.int64)
-        at, self.owner, self.place = b.at[hit], b.owner[hit], b.place[hit]
+        if "runs" in cols:
+            found = [places_of(cols["runs"][i]) for i in order]
+            none = np.zeros(0, dtype=np.int64)
+            self.owner = np.repeat(np.arange(len(found)), [len(place) for place, _ in found])
+            self.place = np.concatenate([none, *(place for place, _ in found)])
+            at = np.concatenate([none, *(words for _, words in found)]) + b.start[self.owner]
+        else:
+            hit = marked_windows(b, [cols["marks"][i] for i in order])
+            at, self.owner, self.place = b.at[hit], b.owner[hit], b.place[hit]
         # places are in the order of ids, and so are the leaves below a node: its first is of the smallest document
         self.leaves, self.depth = leaf_order(b.h, at)
         owner = self.owner[self.leaves]
-        node = np.concatenate(([True], self.depth < WINDOW)) if len(hit) else np.zeros(0, dtype=bool)
+        node = np.concatenate(([True], self.depth < WINDOW)) if len(at) else np.zeros(0, dtype=bool)
         home = owner[np.flatnonzero(node)][np.cumsum(node) - 1]
         # later places within a row of the smallest document go along with its first
-        first = node | np.concatenate(([True], owner[1:] != owner[:-1])) if len(hit) else node
-        gone, same, self.lead = np.zeros(len(hit), dtype=bool), np.zeros(len(hit), dtype=bool), np.zeros(len(hit), dtype=np.int64)
+        first = node | np.concatenate(([True], owner[1:] != owner[:-1])) if len(at) else node
+        gone, same, self.lead = np.zeros(len(at), dtype=bool), np.zeros(len(at), dtype=bool), np.zeros(len(at), dtype=np.int64)
         gone[self.leaves], same[self.leaves] = number[owner] > number[home], ~first
         self.lead[self.leaves] = self.leaves[np.flatnonzero(first)][np.cumsum(first) - 1]
         self.gone, self.send, self.inside = np.flatnonzero(gone), np.flatnonzero(~gone & ~same), np.flatnonzero(~gone & same)
@@ -226,19 +278,25 @@ def heavy_prefixes(marked: DataFrame) -> list[np.ndarray]:
             p, c = np.unique(prefix_hash(open_, length), return_counts=True)
             return {"p": pa.array(as_signed(p)), "n": pa.array(c.astype(np.int64))}
 
-        counts = materialize(map_arrow(marked.select("doc_id", "copy", "packed", "marks"), "p bigint, n bigint", count, CHUNK_CHARS // 2).groupBy("p").agg(F.sum("n").alias("n")), "prefixes")
+        counts = materialize(map_arrow(windows(marked), "p bigint, n bigint", count, CHUNK_CHARS // 4).groupBy("p").agg(F.sum("n").alias("n")), "prefixes")
         if bound is None:
             total = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
             bound = max(GROUP_ROWS, total // HEAVY_PREFIXES)
         found = counts.where(F.col("n") > bound).select("p").toArrow().column("p").to_numpy()
+        discard(counts)
         if not len(found):
             break
         heavy.append(np.sort(found.astype(np.int64).view(np.uint64)))
     return heavy
 
 
+def windows(marked: DataFrame) -> DataFrame:
+    """What a Subtree takes."""
+    return marked.select("doc_id", "copy", "packed", "runs" if "runs" in marked.columns else "marks")
+
+
 def suffix_rows(marked: DataFrame, heavy: list[np.ndarray] = ()) -> DataFrame:
-    """(prefix, suffix, doc_id, copy, place, found) of marked (doc_id, copy, packed, marks).
+    """(prefix, suffix, doc_id, copy, place, found) of marked, of which a Subtree takes windows().
 
     Either a leaf that stands for its node of the batch, its words being the prefix of its group and the suffix, or, with a
     null suffix, the places of a document's leaves below nodes that a smaller document of the same batch has leaves below too.
@@ -248,7 +306,7 @@ def suffix_rows(marked: DataFrame, heavy: list[np.ndarray] = ()) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for cols in slices(batch, CHUNK_CHARS // 2):
+            for cols in slices(batch, CHUNK_CHARS // 4):
                 s = Subtree(cols, batch.schema.field("doc_id").type)
                 send = s.send
                 if len(send):
@@ -277,7 +335,7 @@ def suffix_rows(marked: DataFrame, heavy: list[np.ndarray] = ()) -> DataFrame:
                         ], names=NAMES,
                     )
 
-    return marked.select("doc_id", "copy", "packed", "marks").mapInArrow(released(run), f"prefix binary, suffix binary, doc_id {kind}, copy bigint, place int, found array<int>")
+    return windows(marked).mapInArrow(released(run), f"prefix binary, suffix binary, doc_id {kind}, copy bigint, place int, found array<int>")
 
 
 NAMES = ["prefix", "suffix", "doc_id", "copy", "place", "found"]
@@ -363,8 +421,12 @@ def repeats(suffixes: DataFrame) -> DataFrame:
 
 def removed_mask(n: int, places: list[int]) -> np.ndarray:
     """Words covered by the windows that start at the places."""
+    return covered(n, np.unique(np.array(places, dtype=np.int64)))
+
+
+def covered(n: int, p: np.ndarray) -> np.ndarray:
+    """Which of n words are covered by the windows that start at the distinct places p."""
     edge = np.zeros(n + WINDOW + 1, dtype=np.int64)
-    p = np.unique(np.array(places, dtype=np.int64))
     edge[p] += 1
     edge[p + WINDOW] -= 1
     return np.cumsum(edge)[:n] > 0
@@ -379,6 +441,15 @@ def runs(mask: np.ndarray) -> list[tuple[int, int]]:
 def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_hash, n_words, n_removed, kept_sha256, spans): spans are the removed runs of words, in order; the hash of
     the text tells rows apart that share an id."""
+    return _found(docs, id_col, text_col, True)
+
+
+def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """find_repeats() without kept_sha256, so texts aren't fetched again for what is left of them."""
+    return _found(docs, id_col, text_col, False)
+
+
+def _found(docs: DataFrame, id_col: str, text_col: str, hashed: bool) -> DataFrame:
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     seqs = materialize(sequences(rows), "sequences")
@@ -401,13 +472,16 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shared = materialize(found.groupBy("m").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n")).where("a < b").select("m", "n"), "shared")
     marks = materialize(spread_join(found, shared.select("m"), "m", shared, "doc_id").groupBy("doc_id", "copy").agg(F.collect_set("m").alias("marks")), "marks")
     discard(active)
+    discard(shared)
     # texts that share passages lie together, so that most leaves of a node are of one batch; ranges
     # split a mark that many documents have
     marked = packed(named).join(marks, ["doc_id", "copy"])
-    marked = materialize(marked.dropDuplicates(["doc_id", "copy"]) if once else marked, "marked")
-    text = materialize(marked.withColumn("low", F.array_min("marks")).repartitionByRange("low", "doc_id").sortWithinPartitions("low", "doc_id").drop("low"), "neighbours")
+    marked = materialize(passages(marked.dropDuplicates(["doc_id", "copy"]) if once else marked), "marked")
+    discard(marks)
+    text = materialize(marked.repartitionByRange("low", "doc_id").sortWithinPartitions("low", "doc_id").drop("low"), "neighbours")
     discard(marked)
     flags = materialize(repeats(suffix_rows(text, heavy_prefixes(text))).groupBy("doc_id", "copy").agg(F.flatten(F.collect_list("found")).alias("places")), "places")
+    discard(text)
 
     def each(cols: dict, n: int) -> dict:
         out: dict[str, list] = {"__id": cols["doc_id"], "__copy": cols["copy"], "removed": [], "sha": [], "spans": []}
@@ -425,9 +499,21 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             out["spans"].append([{"first_word": a, "n_words": b} for a, b in runs(gone)])
         return out
 
-    # texts that lose nothing are left out before the shuffle, if the ids of the others are few enough
-    some = text.select("doc_id", "copy", "n_words", "packed").join(if_small(flags.select("doc_id", "copy")), ["doc_id", "copy"], "left_semi")
-    changed = map_arrow(some.join(flags, ["doc_id", "copy"]), f"__id {kind}, __copy bigint, removed bigint, sha string, {SPANS}", each)
+    def spans_only(cols: dict, n: int) -> dict:
+        spans = [runs(removed_mask(max(p) + WINDOW, p)) for p in cols["places"]]
+        return {
+            "__id": cols["doc_id"], "__copy": cols["copy"], "removed": [sum(b for _, b in x) for x in spans],
+            "spans": [[{"first_word": a, "n_words": b} for a, b in x] for x in spans],
+        }
+
+    if hashed:
+        # texts that lose nothing are left out before the shuffle, if the ids of the others are few enough
+        lost = flags.select("doc_id", "copy")
+        some = named.join(F.broadcast(lost), ["doc_id", "copy"], "left_semi") if measured(lost) <= BROADCAST_BYTES else named
+        some = packed(some).join(flags, ["doc_id", "copy"])
+        changed = map_arrow(some.dropDuplicates(["doc_id", "copy"]) if once else some, f"__id {kind}, __copy bigint, removed bigint, sha string, {SPANS}", each)
+    else:
+        changed = map_arrow(flags, f"__id {kind}, __copy bigint, removed bigint, {SPANS}", spans_only)
     changed = materialize(changed, "changed")
     out = seqs.join(changed, row, "left").drop("__id", "__copy").join(if_small(copies), row, "left")
     copy = F.col("__id").isNotNull()
@@ -435,7 +521,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return out.select(
         "doc_id", "text_hash", "n_words",
         F.when(copy, F.col("n_words")).otherwise(F.coalesce("removed", F.lit(0))).cast("bigint").alias("n_removed"),
-        F.when(copy, EMPTY).otherwise(F.coalesce("sha", "whole_sha256")).alias("kept_sha256"),
+        *([F.when(copy, EMPTY).otherwise(F.coalesce("sha", "whole_sha256")).alias("kept_sha256")] if hashed else []),
         F.when(copy, whole).otherwise(F.coalesce("spans", F.expr(f"cast(array() as {SPANS.partition(' ')[2]})"))).alias("spans"),
     )
 
@@ -460,7 +546,7 @@ def cut_spans(text: str, spans: list[dict]) -> str:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs, all columns and rows, with the repeated words cut out of the texts."""
-    edits = find_repeats(docs, id_col, text_col).where("n_removed > 0").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("spans").alias("__spans"))
+    edits = find_spans(docs, id_col, text_col).where("n_removed > 0").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("spans").alias("__spans"))
     edits = materialize(edits.dropDuplicates(["__id", "__hash"]), "edits")
     both = docs.join(if_small(edits), (docs[id_col] == edits["__id"]) & (F.xxhash64(docs[text_col]) == edits["__hash"]), "left").drop("__id", "__hash")
     cut = F.pandas_udf(lambda t, s: _cut_series(t, s), "string")

@@ -22,11 +22,23 @@ def shared_dir(spark: SparkSession) -> str:
     return where
 
 
+#: Spark's setting by which an execution deletes its shuffle files when it ends.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: cuts lineage, survives lost executors."""
+    """Write df as a table in the shared folder and read it back: cuts lineage, survives lost executors.
+
+    The shuffle files behind it are deleted as soon as the table stands, not when the driver happens to collect its garbage.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    was = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, was) if was is not None else spark.conf.unset(DROP_SHUFFLES)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,5 +1,6 @@
 import hashlib
 import random
+from collections import Counter
 
 from corpuskiln.llm import substrings
 from corpuskiln.llm.common import table
@@ -178,3 +179,61 @@ def test_one_id_with_several_texts(spark):
     assert sorted(got, key=repr) == sorted(((i, n, g, hashlib.sha256(t.encode()).hexdigest()) for i, n, g, t in want), key=repr)
     cut = [(x["doc_id"], " ".join(x["text"].split())) for x in substrings.remove_repeats(df).collect()]
     assert sorted(cut, key=repr) == sorted(((i, t) for i, _, _, t in want), key=repr)
+
+
+def test_only_words_of_windows_to_look_at_go_on(spark):
+    """A batch of passages has the leaves, places and removed windows of the whole texts, in fewer words."""
+    import pyarrow as pa
+
+    rnd = random.Random(12)
+    word = lambda: f"w{rnd.randrange(10**6)}"
+    passage = [word() for _ in range(40)]
+    rows = []
+    for i in range(30):
+        w = [word() for _ in range(300)]
+        for at in rnd.sample(range(300), i % 4):
+            w[at:at] = passage[rnd.randrange(15) : 25 + rnd.randrange(15)]
+        rows.append((i, " ".join(w)))
+    rows += [(100, " ".join(passage[:13])), (101, " ".join(passage * 2))]
+    whole = marked_rows(spark, rows).toPandas()
+    shared = [m for m, n in Counter(m for x in whole["marks"] for m in x).items() if n > 1]
+    whole["marks"] = [[m for m in x if m in shared] for x in whole["marks"]]
+    whole = whole[whole["marks"].map(len) > 0]
+    kept = substrings.passages(spark.createDataFrame(whole)).toPandas()
+    assert kept["low"].tolist() == [min(x) for x in whole["marks"]]
+    a, b = (substrings.Subtree(x.to_dict("list"), pa.int64()) for x in (whole, kept))
+    for name in ("owner", "place", "leaves", "depth", "gone", "send", "inside", "lead"):
+        assert getattr(a, name).tolist() == getattr(b, name).tolist(), name
+    assert a.suffixes().tolist() == b.suffixes().tolist() and len(a.gone)
+    assert len(b.h) < len(a.h) / 3
+
+
+def test_spans_without_fetching_the_texts_again(spark, sf):
+    docs = table(spark, sf, "documents")
+    key = lambda df: sorted(map(repr, df.select("doc_id", "text_hash", "n_words", "n_removed", "spans").collect()))
+    assert key(substrings.find_spans(docs)) == key(substrings.find_repeats(docs))
+    tables = []
+    real = substrings.packed
+    try:
+        substrings.packed = lambda df: tables.append(df) or real(df)
+        substrings.remove_repeats(docs)
+    finally:
+        substrings.packed = real
+    assert len(tables) == 1
+
+
+def test_shuffle_files_of_a_table_are_deleted_when_it_stands(spark):
+    import time
+    from pathlib import Path
+
+    from corpuskiln.storage import materialize
+
+    dirs = [Path(str(d)) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f for d in dirs for f in d.rglob("shuffle_*.data")}
+    before = files()
+    df = materialize(spark.range(10_000).selectExpr("id % 1000 as k").groupBy("k").count(), "counts")
+    end = time.time() + 10
+    while files() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not files() - before
+    assert df.count() == 1000
