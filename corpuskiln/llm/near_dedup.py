@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.llm.common import as_signed, fmix, if_small, map_arrow, materialize, released, rolling, spread_join, table, without_ids, word_hashes
+from corpuskiln.llm.common import as_signed, discard, fmix, if_small, map_arrow, materialize, released, rolling, spread_join, table, without_ids, word_hashes
 from corpuskiln.llm.components import connected_components
 
 WORDS = 5
@@ -265,6 +265,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = rows.where("digest is not null").join(if_small(firsts), rows["doc_id"] == firsts["rep"]).select("rep", "n_shingles", "sig", "low").dropDuplicates(["rep"])
     links, component = link_classes(docs, id_col, text_col, reps, sketched)
     component = materialize(component.withColumnRenamed("node", "rep"), "component")
+    discard(rows)
     out = spread_join(members.select("doc_id", "n_shingles", "rep"), component, "rep", classes.select("rep", "n"), "doc_id", "left")
     out = out.withColumn("component_id", F.coalesce("component", "rep", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
@@ -295,6 +296,7 @@ def link_classes(docs: DataFrame, id_col: str, text_col: str, reps: DataFrame, s
     if extra.limit(1).count():
         links = links.union(extra)
         component = connected_components(links)
+    discard(reps)
     return links, component
 
 
