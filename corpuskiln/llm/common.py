@@ -106,8 +106,7 @@ def pieces(data: bytes, size: int = 1 << 20) -> Iterator[bytes]:
 
 def word_hashes(data: bytes) -> np.ndarray:
     """64-bit hashes of the words [^\\x20\\x09-\\x0D]+ in order; the words of one piece at a time are held."""
-    digest = xxhash.xxh3_64_intdigest
-    parts = [np.array([digest(w) for w in p.split()], dtype=np.uint64) for p in pieces(data)]
+    parts = [np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, p.split())), dtype=">u8").astype(np.uint64) for p in pieces(data)]
     return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 

@@ -13,7 +13,8 @@ that overlap or touch make its maximal repeats.
 What can't repeat is left out first: word sequences that equal a smaller document's are removed
 whole, and a window is looked at only if its minimizer (the smallest hash of its runs of GRAM words)
 occurs in another document too; equal windows have equal minimizers, so nothing is lost. Of a document
-only the words of such windows go on (passages), with their places. Before
+only the words of such windows go on (passages), with their places, and are judged once more by longer runs, of
+LONG words: runs of GRAM words recur by chance, the more so the larger the table is. Before
 suffixes are sent, those of a batch are made a tree of their own by prefix doubling, and of each of its nodes of
 depth WINDOW one leaf stands for all, so that a passage in a third of all documents sends one row a batch.
 Words stand in suffixes as SYMBOL bytes each, and suffixes are compared word by word.
@@ -30,6 +31,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from hashlib import blake2b, sha256
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,8 @@ from corpuskiln.llm.common import CHUNK_CHARS, as_signed, discard, fmix, if_smal
 from corpuskiln.storage import BROADCAST_BYTES, measured
 
 WINDOW, GRAM = 13, 4
+#: Words of the runs whose smallest hash the windows of passages are judged by: few of such runs recur by chance.
+LONG = 8
 #: Bytes of a word in a suffix, of its 64-bit hash.
 SYMBOL = 5
 #: Words of the prefixes that groups are made by, tried in this order.
@@ -62,23 +66,30 @@ def single_spaced(text: str | None) -> Iterator[tuple[bytes, int]]:
 
 
 class Batch:
-    """Word hashes of some texts laid end to end, and where their windows start."""
+    """Word hashes of some texts laid end to end, and where their windows start: all of them, or those of runs if the texts are
+    passages()."""
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], runs: list[list[int]] | None = None):
         hashes = [word_hashes(t) for t in texts]
         n = np.array([len(h) for h in hashes], dtype=np.int64)
         self.h = np.concatenate(hashes) if hashes else np.zeros(0, dtype=np.uint64)
         self.start = np.concatenate(([0], np.cumsum(n)))
+        if runs is not None:
+            found, none = [places_of(x) for x in runs], np.zeros(0, dtype=np.int64)
+            self.owner = np.repeat(np.arange(len(found)), [len(place) for place, _ in found])
+            self.place = np.concatenate([none, *(place for place, _ in found)])
+            self.at = np.concatenate([none, *(words for _, words in found)]) + self.start[self.owner]
+            return
         owner = np.repeat(np.arange(len(n)), n)
         place = np.arange(len(owner)) - self.start[owner]
         self.at = np.flatnonzero(place + WINDOW <= n[owner])
         self.owner, self.place = owner[self.at], place[self.at]
 
-    def minimizers(self) -> np.ndarray:
-        """Of every window, the smallest hash of its runs of GRAM words."""
+    def minimizers(self, gram: int = GRAM) -> np.ndarray:
+        """Of every window, the smallest hash of its runs of gram words."""
         if not len(self.at):
             return np.zeros(0, dtype=np.uint64)
-        return sliding_min(rolling(self.h, GRAM), WINDOW - GRAM + 1)[self.at]
+        return sliding_min(rolling(self.h, gram), WINDOW - gram + 1)[self.at]
 
 
 def sequences(rows: DataFrame) -> DataFrame:
@@ -122,39 +133,59 @@ def packed(docs: DataFrame) -> DataFrame:
     return map_arrow(docs, f"doc_id {dict(docs.dtypes)['doc_id']}, copy bigint, n_words bigint, packed binary", each)
 
 
-def marked_windows(b: Batch, marks: list[list[int]]) -> np.ndarray:
+def marked_windows(b: Batch, marks: list[list[int]], gram: int = GRAM) -> np.ndarray:
     """Which windows of a batch have one of their text's marks as minimizer."""
-    m, cut = b.minimizers(), np.searchsorted(b.owner, np.arange(len(marks) + 1))
+    m, cut = b.minimizers(gram), np.searchsorted(b.owner, np.arange(len(marks) + 1))
     sought = (np.sort(np.array(x, dtype=np.int64).view(np.uint64)) for x in marks)
-    hit = [lo + np.flatnonzero(np.isin(m[lo:hi], x)) for x, lo, hi in zip(sought, cut[:-1], cut[1:], strict=True)]
+    hit = [lo + np.flatnonzero(among(m[lo:hi], x)) for x, lo, hi in zip(sought, cut[:-1], cut[1:], strict=True)]
     return np.concatenate(hit) if hit else np.zeros(0, dtype=np.int64)
 
 
-def passages(marked: DataFrame) -> DataFrame:
+def among(m: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Which of m are in the sorted x: np.isin for many small arrays, without sorting m."""
+    return x[np.minimum(np.searchsorted(x, m), len(x) - 1)] == m if len(x) else np.zeros(len(m), dtype=bool)
+
+
+def passages(marked: DataFrame, gram: int = GRAM, longer: int = 0) -> DataFrame:
     """(doc_id, copy, low, packed, runs) of marked (doc_id, copy, packed, marks): of every text only the words of windows to look at, and
-    the first place and the number of each run of such windows, one after the other; low is the smallest mark."""
+    the first place and the number of each run of such windows, one after the other; low is the smallest mark. With runs in
+    marked its texts are passages themselves. With ``longer``, also ms array<bigint>: the distinct minimizers of these
+    windows by runs of so many words."""
 
     def each(cols: dict, n: int) -> dict:
         unpack, squeeze = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=6).compress
         texts = [unpack(t) for t in cols["packed"]]
-        b = Batch(texts)
-        hit = marked_windows(b, cols["marks"])
+        b = Batch(texts, cols.get("runs"))
+        hit = marked_windows(b, cols["marks"], gram)
         cut = np.searchsorted(b.owner[hit], np.arange(n + 1))
         out: dict[str, list] = {"doc_id": cols["doc_id"], "copy": cols["copy"], "low": [min(x) for x in cols["marks"]], "packed": [], "runs": []}
         for k, (lo, hi) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
             place = b.place[hit[lo:hi]]
             first = np.flatnonzero(np.concatenate(([True], np.diff(place) != 1))) if len(place) else place
             out["runs"].append(np.stack((place[first], np.diff(np.append(first, len(place)))), axis=1).ravel().astype(np.int32))
-            inside, at, words = covered(int(b.start[k + 1] - b.start[k]), place), 0, []
+            inside, at, words = covered(int(b.start[k + 1] - b.start[k]), b.at[hit[lo:hi]] - b.start[k]), 0, []
             for piece in pieces(texts[k]):
                 w = piece.split()
-                words.extend(w[i] for i in np.flatnonzero(inside[at : at + len(w)]))
+                words.extend(compress(w, inside[at : at + len(w)].tobytes()))
                 at += len(w)
             out["packed"].append(squeeze(b" ".join(words)))
+        if longer:
+            m = b.minimizers(longer)[hit]
+            out["ms"] = [as_signed(np.unique(m[lo:hi])) for lo, hi in zip(cut[:-1], cut[1:], strict=True)]
         return out
 
-    kind = dict(marked.dtypes)["doc_id"]
-    return map_arrow(marked.select("doc_id", "copy", "packed", "marks"), f"doc_id {kind}, copy bigint, low bigint, packed binary, runs array<int>", each, CHUNK_CHARS // 2)
+    kind, ms = dict(marked.dtypes)["doc_id"], ", ms array<bigint>" if longer else ""
+    runs = ["runs"] if "runs" in marked.columns else []
+    return map_arrow(marked.select("doc_id", "copy", "packed", "marks", *runs), f"doc_id {kind}, copy bigint, low bigint, packed binary, runs array<int>{ms}", each, CHUNK_CHARS // 2)
+
+
+def shared_marks(active: DataFrame) -> DataFrame:
+    """(doc_id, copy, marks) of active (doc_id, copy, ms): of every document those of its minimizers that other documents have too."""
+    found = active.select("doc_id", "copy", F.explode("ms").alias("m"))
+    shared = materialize(found.groupBy("m").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n")).where("a < b").select("m", "n"), "shared")
+    marks = materialize(spread_join(found, shared.select("m"), "m", shared, "doc_id").groupBy("doc_id", "copy").agg(F.collect_set("m").alias("marks")), "marks")
+    discard(shared)
+    return marks
 
 
 def places_of(runs: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -206,16 +237,9 @@ class Subtree:
         ids = [cols["doc_id"][i] for i in order]
         self.ids, self.copies = pa.array(ids, id_type), pa.array([cols["copy"][i] for i in order], pa.int64())
         number = np.cumsum([0] + [a != b for a, b in zip(ids[1:], ids, strict=False)]) if ids else np.zeros(0, dtype=np.int64)
-        b = Batch([unpack(cols["packed"][i]) for i in order])
-        if "runs" in cols:
-            found = [places_of(cols["runs"][i]) for i in order]
-            none = np.zeros(0, dtype=np.int64)
-            self.owner = np.repeat(np.arange(len(found)), [len(place) for place, _ in found])
-            self.place = np.concatenate([none, *(place for place, _ in found)])
-            at = np.concatenate([none, *(words for _, words in found)]) + b.start[self.owner]
-        else:
-            hit = marked_windows(b, [cols["marks"][i] for i in order])
-            at, self.owner, self.place = b.at[hit], b.owner[hit], b.place[hit]
+        b = Batch([unpack(cols["packed"][i]) for i in order], [cols["runs"][i] for i in order] if "runs" in cols else None)
+        hit = slice(None) if "runs" in cols else marked_windows(b, [cols["marks"][i] for i in order])
+        at, self.owner, self.place = b.at[hit], b.owner[hit], b.place[hit]
         # places are in the order of ids, and so are the leaves below a node: its first is of the smallest document
         self.leaves, self.depth = leaf_order(b.h, at)
         owner = self.owner[self.leaves]
@@ -468,18 +492,20 @@ def _found(docs: DataFrame, id_col: str, text_col: str, hashed: bool) -> DataFra
     active = minimizers(named).where(F.size("ms") > 0).join(if_small(copies), row, "left_anti")
     once = ids.limit(1).count() > 0  # rows that repeat an id and its text are one document
     active = materialize(active.dropDuplicates(["doc_id", "copy"]) if once else active, "minimizers")
-    found = active.select("doc_id", "copy", F.explode("ms").alias("m"))
-    shared = materialize(found.groupBy("m").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n")).where("a < b").select("m", "n"), "shared")
-    marks = materialize(spread_join(found, shared.select("m"), "m", shared, "doc_id").groupBy("doc_id", "copy").agg(F.collect_set("m").alias("marks")), "marks")
+    marks = shared_marks(active)
     discard(active)
-    discard(shared)
-    # texts that share passages lie together, so that most leaves of a node are of one batch; ranges
-    # split a mark that many documents have
     marked = packed(named).join(marks, ["doc_id", "copy"])
-    marked = materialize(passages(marked.dropDuplicates(["doc_id", "copy"]) if once else marked), "marked")
+    marked = materialize(passages(marked.dropDuplicates(["doc_id", "copy"]) if once else marked, longer=LONG), "marked")
     discard(marks)
-    text = materialize(marked.repartitionByRange("low", "doc_id").sortWithinPartitions("low", "doc_id").drop("low"), "neighbours")
+    # most windows that repeat nowhere go here, before their suffixes would be sent
+    marks = shared_marks(marked)
+    closer = materialize(passages(marked.join(marks, ["doc_id", "copy"]), LONG), "closer")
     discard(marked)
+    discard(marks)
+    # texts that share passages lie together, so that most leaves of a node are of one batch; ranges
+    # split a mark that many documents have
+    text = materialize(closer.repartitionByRange("low", "doc_id").sortWithinPartitions("low", "doc_id").drop("low"), "neighbours")
+    discard(closer)
     flags = materialize(repeats(suffix_rows(text, heavy_prefixes(text))).groupBy("doc_id", "copy").agg(F.flatten(F.collect_list("found")).alias("places")), "places")
     discard(text)
 

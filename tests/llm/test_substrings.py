@@ -237,3 +237,43 @@ def test_shuffle_files_of_a_table_are_deleted_when_it_stands(spark):
         time.sleep(0.2)
     assert not files() - before
     assert df.count() == 1000
+
+
+def test_windows_that_share_short_runs_only_send_no_suffixes(spark, monkeypatch):
+    """Phrases of 6 words recur everywhere, whole windows in few documents: only windows around runs of LONG words go into the trees."""
+    rnd = random.Random(21)
+    phrases = [[f"f{p}_{k}" for k in range(6)] for p in range(5)]
+    passage = [f"p{k}" for k in range(30)]
+    rows = []
+    for i in range(60):
+        w = [x for p in rnd.sample(phrases, 5) for x in (*p, *(f"u{i}_{rnd.randrange(10**9)}" for _ in range(8)))]
+        if i % 10 == 0:
+            w[20:20] = passage[i // 10 : 20 + i // 10]
+        rows.append((i, " ".join(w)))
+    looked_at = []
+    real = substrings.suffix_rows
+    monkeypatch.setattr(substrings, "suffix_rows", lambda text, heavy=(): looked_at.extend(r["runs"] for r in text.collect()) or real(text, heavy))
+    assert answers(substrings.find_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))) == brute(rows)
+    assert len(looked_at) == 6 and all(sum(r[1::2]) <= 20 for r in looked_at)
+
+
+def test_passages_of_passages(spark):
+    """The second round leaves the windows whose longer minimizers are shared, in their places and with all their words."""
+    import numpy as np
+    import zstandard
+
+    rnd = random.Random(22)
+    rows = [(i, " ".join(f"w{rnd.randrange(50)}" for _ in range(rnd.randrange(13, 200)))) for i in range(20)]
+    whole = marked_rows(spark, rows).toPandas()
+    whole["marks"] = [sorted(rnd.sample(x, (len(x) + 1) // 2)) for x in whole["marks"]]
+    once = substrings.passages(spark.createDataFrame(whole), longer=substrings.LONG).toPandas()
+    once["marks"] = [sorted(rnd.sample(list(x), (len(x) + 1) // 2)) for x in once["ms"]]
+    twice = substrings.passages(spark.createDataFrame(once.drop(columns=["low", "ms"])), substrings.LONG).toPandas().set_index("doc_id")
+    marks, longer = (dict(zip(x["doc_id"], x["marks"], strict=True)) for x in (whole, once))
+    for i, t in rows:
+        b = substrings.Batch([t.encode()])
+        want = np.intersect1d(b.place[substrings.marked_windows(b, [marks[i]])], b.place[substrings.marked_windows(b, [longer[i]], substrings.LONG)])
+        place, at = substrings.places_of(twice.loc[i, "runs"])
+        assert place.tolist() == want.tolist() and len(want)
+        words, kept = t.split(), zstandard.ZstdDecompressor().decompress(twice.loc[i, "packed"]).decode().split()
+        assert all(kept[q : q + 13] == words[p : p + 13] for p, q in zip(place, at, strict=True))
