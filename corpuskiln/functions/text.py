@@ -93,10 +93,24 @@ def punctuation(text) -> Column:
     return F.length(c) - F.length(F.translate(c, P.PUNCTUATION, ""))
 
 
+#: Letters, digits and blanks are told from the patterns' characters by one look into a table of bits.
+_STRIPPED, _ALONE = f"[[^ -~À-ÿ]&&{P.STRIPPED}]", f"[[^a-zA-Z0-9 À-ÿ]&&{P.ALONE}]"
+_SPACE = f"[[^!-~À-ÿ]&&[{P.SPACES}]]"
+
+
+def _apart(text) -> Column:
+    return F.regexp_replace(F.regexp_replace(_col(text), _STRIPPED, ""), _ALONE, " $0 ")
+
+
 def basic_tokens(text) -> Column:
     """Tokens at white space, with punctuation and ideographs as tokens of their own."""
-    apart = F.regexp_replace(F.regexp_replace(_col(text), P.STRIPPED, ""), f"({P.ALONE})", " $1 ")
-    return F.filter(F.split(apart, f"[{P.SPACES}]+"), lambda t: t != "")
+    return F.filter(F.split(_apart(text), f"{_SPACE}+"), lambda t: t != "")
+
+
+def basic_sentence(text, start: str, end: str) -> Column:
+    """basic_tokens between two marks, joined by spaces."""
+    whole = F.concat(F.lit(f"{start} "), _apart(text), F.lit(f" {end}"))
+    return F.regexp_replace(whole, f"[{_SPACE}&&[^ ]]{_SPACE}*| {_SPACE}+", " ")
 
 
 def tokens(text) -> Column:

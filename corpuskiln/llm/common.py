@@ -12,20 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskiln.operators.joins import spread_join  # noqa: F401
-from corpuskiln.storage import if_small, materialize, shared_dir  # noqa: F401
+from corpuskiln.storage import discard, if_small, materialize, shared_dir  # noqa: F401
 
 #: Characters of text that one numpy pass works on; bounds a Python worker's memory.
 CHUNK_CHARS = 750_000
 
 
-def discard(df: DataFrame) -> None:
-    """Delete a table that materialize() wrote and that nothing lazy reads any more."""
-    spark = df.sparkSession
-    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        where = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskiln.functions import text as T
+from corpuskiln.operators import encoded
 from corpuskiln.operators.joins import spread_join
 from corpuskiln.storage import if_small, materialize
 
@@ -19,6 +20,12 @@ def line_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return lines.select("doc_id", "line", F.concat(F.array(F.lit("<s>")), T.basic_tokens("x"), F.array(F.lit("</s>"))).alias("t"))
 
 
+def line_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, line, s): line_tokens joined by spaces."""
+    lines = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(text_col, "\n")).alias("line", "x")).where(~T.is_blank("x"))
+    return lines.select("doc_id", "line", T.basic_sentence("x", "<s>", "</s>").alias("s"))
+
+
 def bigrams(tokens: DataFrame) -> DataFrame:
     pairs = F.transform(F.sequence(F.lit(1), F.size("t") - 1), lambda i: F.struct(F.element_at("t", i).alias("a"), F.element_at("t", i + 1).alias("b")))
     return tokens.select("doc_id", "line", F.explode(pairs).alias("p")).select("doc_id", "line", "p.a", "p.b")
@@ -56,22 +63,35 @@ def line_scores(docs: DataFrame, model: tuple[DataFrame, DataFrame, DataFrame],
     return lines.select("doc_id", "line", "n", "log10p").union(rest).groupBy("doc_id", "line").agg(F.sum("n").alias("n"), F.sum("log10p").alias("log10p"))
 
 
-def document_perplexity(docs: DataFrame, model: tuple, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, perplexity): 10 ** (-sum of log-probabilities / transitions); texts without tokens have none."""
-    s = line_scores(docs, model, id_col, text_col).groupBy("doc_id").agg(F.sum("n").alias("n"), F.sum("log10p").alias("p"))
+def own_line_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """line_scores of docs under the bigram model of docs themselves: no transition is unknown, and none is sent with its line."""
+    lines = encoded.pair_scores(line_texts(docs, id_col, text_col))
+    return lines.groupBy("doc_id", "line").agg(F.sum("n").alias("n"), F.sum("log10p").alias("log10p"))
+
+
+def scored(docs: DataFrame, model: tuple | None, id_col: str, text_col: str) -> DataFrame:
+    return own_line_scores(docs, id_col, text_col) if model is None else line_scores(docs, model, id_col, text_col)
+
+
+def document_perplexity(docs: DataFrame, model: tuple | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, perplexity): 10 ** (-sum of log-probabilities / transitions); texts without tokens have none.
+
+    Without a model it is that of docs themselves."""
+    s = scored(docs, model, id_col, text_col).groupBy("doc_id").agg(F.sum("n").alias("n"), F.sum("log10p").alias("p"))
     return s.select("doc_id", F.pow(F.lit(10.0), -F.col("p") / F.col("n")).alias("perplexity"))
 
 
-def drop_lines(docs: DataFrame, model: tuple, threshold: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_lines(docs: DataFrame, model: tuple | None, threshold: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text): lines at or over the perplexity threshold go, see filters.filter_lines; documents
-    left without text go too."""
+    left without text go too. Without a model it is that of docs themselves."""
     from corpuskiln.operators.filters import filter_lines
 
-    scores = line_scores(docs, model, id_col, text_col).select("doc_id", "line", F.pow(F.lit(10.0), -F.col("log10p") / F.col("n")).alias("ppl"))
-    by_line = scores.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("line", "ppl"))).alias("ppl"))
-    lines = docs.select(F.col(id_col).alias("doc_id"), F.split(text_col, "\n").alias("lines")).join(by_line, "doc_id", "left")
-    ppl = F.transform("lines", lambda x, i: F.coalesce(F.try_element_at("ppl", i), F.lit(0.0)))
-    out = lines.withColumn("scores", ppl).select("doc_id", filter_lines(F.col("lines"), F.col("scores"), threshold).alias("text"))
+    scores = scored(docs, model, id_col, text_col).select("doc_id", "line", F.pow(F.lit(10.0), -F.col("log10p") / F.col("n")).alias("ppl"))
+    bad = scores.where(F.col("ppl") >= threshold).groupBy("doc_id").agg(F.collect_set("line").alias("bad"))
+    bad = materialize(bad, "bad-lines")  # the only lines that documents must hear of
+    lines = docs.select(F.col(id_col).alias("doc_id"), F.split(text_col, "\n").alias("lines")).join(if_small(bad), "doc_id", "left")
+    worst = F.transform("lines", lambda x, i: F.when(F.array_contains("bad", i), F.lit(float(threshold))).otherwise(F.lit(float("-inf"))))
+    out = lines.withColumn("scores", worst).select("doc_id", filter_lines(F.col("lines"), F.col("scores"), threshold).alias("text"))
     return out.where(F.trim("text") != "")
 
 
