@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.storage import materialize
+from corpuskiln.storage import discard, materialize
 
 #: Tokens of a bucket and n-grams of a part, about; parts are as many as shuffle partitions at least, down to SMALL tokens.
 BUCKET, PART, SMALL = 1_200_000, 2_000_000, 100_000
@@ -33,10 +33,8 @@ LINES, WORDS = 0, 1
 
 class Encoded(NamedTuple):
     rows: DataFrame
-    """A row a bucket: (bucket, doc_id array, line array, words, data): packed words in order, and packed (sizes of lines,
-    tokens as places in words)."""
-    numbers: DataFrame
-    """ROW of kind WORDS: packed (number, how often it begins a pair) of a bucket's words."""
+    """A row a bucket: (bucket, doc_id array, line array, words, data): packed words in the order of their numbers, if asked
+    for, and packed (sizes of lines, tokens as places in words, numbers, how often each word begins a pair)."""
     parts: int
     types: int
     """How many words end a pair."""
@@ -182,8 +180,8 @@ def lengths(arrays: list) -> list[int]:
     return np.cumsum([0, *map(len, arrays)]).tolist()
 
 
-def encoded(lines: DataFrame) -> Encoded:
-    """(doc_id, line, s), where s has two or more tokens joined by spaces, in buckets of numbered words.
+def encoded(lines: DataFrame, texts: bool = False) -> Encoded:
+    """(doc_id, line, s), where s has two or more tokens joined by spaces, in buckets of numbered words; with their texts if asked.
 
     Numbers go by the count of words, about: by their places among the words of their part.
     """
@@ -245,7 +243,25 @@ def encoded(lines: DataFrame) -> Encoded:
 
     numbers = materialize(rows.select("bucket", "words", "data").mapInArrow(send, ROW).groupBy("part").applyInArrow(number, ROW), "word-numbers")
     types = sum(int(x[0]) for x in part_values(numbers, WORDS))
-    return Encoded(rows.drop("n"), numbers.where("bucket >= 0"), parts, types, kinds["doc_id"], kinds["line"])
+
+    def encode(number, doc_ids, lines, words, data, found) -> pa.Table:
+        words, (sizes, x) = unpack_words(words), unpack(data)
+        order, _ = by_part(word_parts(words, parts), parts)
+        ids, n_a = np.empty((2, len(words)), dtype=np.int64)
+        ids[order], n_a[order] = joined(found[WORDS], 0), joined(found[WORDS], 1)
+        order = np.argsort(ids)
+        rank = np.empty_like(order)
+        rank[order] = np.arange(len(order))
+        one = lambda v: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v)
+        kept = pack_words(words.take(pa.array(order))) if texts else None
+        cols = {"bucket": pa.array([number], pa.int64()), "doc_id": one(doc_ids), "line": one(lines), "words": pa.array([kept], pa.binary())}
+        return pa.table(cols | {"data": pa.array([pack(sizes, rank[x], np.diff(ids[order], prepend=0), n_a[order])], pa.binary())})
+
+    schema = f"bucket bigint, doc_id array<{kinds['doc_id']}>, line array<{kinds['line']}>, words binary, data binary"
+    out = materialize(met(rows.drop("n"), [numbers], encode, schema), "encoded")
+    discard(rows)
+    discard(numbers)
+    return Encoded(out, parts, types, kinds["doc_id"], kinds["line"])
 
 
 def part_values(answers: DataFrame, kind: int) -> list[np.ndarray]:
@@ -261,36 +277,45 @@ class Bucket(NamedTuple):
     """Tokens as places in words."""
     ids: np.ndarray
     n_a: np.ndarray
-    words: pa.StringArray
+    words: pa.StringArray | None
 
 
-def read_bucket(words: bytes, data: bytes, numbers: list[list[np.ndarray]], parts: int) -> Bucket:
-    words, (sizes, x) = unpack_words(words), unpack(data)
-    order, _ = by_part(word_parts(words, parts), parts)
-    ids, n_a = np.empty((2, len(words)), dtype=np.int64)
-    ids[order], n_a[order] = joined(numbers, 0), joined(numbers, 1)
-    order = np.argsort(ids)
-    rank = np.empty_like(order)
-    rank[order] = np.arange(len(order))
-    return Bucket(sizes, rank[x], ids[order], n_a[order], words.take(pa.array(order)))
+def read_bucket(words: bytes | None, data: bytes) -> Bucket:
+    sizes, x, steps, n_a = unpack(data)
+    return Bucket(sizes, x, np.cumsum(steps), n_a, unpack_words(words) if words is not None else None)
 
 
-def over_buckets(enc: Encoded, answers: list[DataFrame], each: Callable, schema: str) -> DataFrame:
-    """each(bucket's number, doc_ids, lines, Bucket, {kind: answers of its parts in order}) of every bucket."""
-    parts, both = enc.parts, enc.rows.select("bucket", F.lit(LINES).alias("kind"), F.lit(0).alias("part"), "data", "doc_id", "line", "words")
-    for df in (enc.numbers, *answers):
+def met(rows: DataFrame, answers: list[DataFrame], each: Callable, schema: str) -> DataFrame:
+    """each(bucket's number, doc_ids, lines, words, data, {kind: answers of its parts in order}) of every bucket."""
+    both = rows.select("bucket", F.lit(LINES).alias("kind"), F.lit(0).alias("part"), "data", "doc_id", "line", "words")
+    for df in answers:
         both = both.unionByName(df.where("bucket >= 0").select("bucket", "kind", "part", "data"), allowMissingColumns=True)
 
     def run(rows: pa.Table) -> pa.Table:
         kinds, of = rows["kind"].to_numpy(), rows["part"].to_numpy()
         own = int(np.flatnonzero(kinds == LINES)[0])
         found = {k: [unpack(rows["data"][int(i)].as_py()) for i in np.flatnonzero(kinds == k)[np.argsort(of[kinds == k])]] for k in set(kinds.tolist()) - {LINES}}
-        bucket = read_bucket(rows["words"][own].as_py(), rows["data"][own].as_py(), found[WORDS], parts)
-        return each(rows["bucket"][own].as_py(), rows["doc_id"][own].values, rows["line"][own].values, bucket, found)
+        return each(rows["bucket"][own].as_py(), rows["doc_id"][own].values, rows["line"][own].values, rows["words"][own].as_py(), rows["data"][own].as_py(), found)
 
     return both.groupBy("bucket").applyInArrow(run, schema)
 
 
+def asked(enc: Encoded, ask: Callable) -> DataFrame:
+    """ROW of what ask(bucket's number, Bucket) gives, of all buckets."""
+
+    def run(batches):
+        for batch in batches:
+            for bucket, data in zip(batch["bucket"].to_pylist(), batch["data"], strict=True):
+                yield from ask(bucket, read_bucket(None, data.as_py())).to_batches()
+
+    return enc.rows.select("bucket", "data").mapInArrow(run, ROW)
+
+
+def answered(enc: Encoded, answers: list[DataFrame], finish: Callable, schema: str) -> DataFrame:
+    """finish(doc_ids, lines, Bucket, {kind: answers of its parts in order}) of every bucket."""
+    return met(enc.rows, answers, lambda number, doc_ids, lines, words, data, found: finish(doc_ids, lines, read_bucket(words, data), found), schema)
+
+
 def joined(found: list[list[np.ndarray]], k: int) -> np.ndarray:
     """The k-th array of all parts' answers, one after the other."""
     return np.concatenate([x[k] for x in found]) if found else np.zeros(0, dtype=np.int64)
@@ -312,7 +337,7 @@ def pair_scores(lines: DataFrame) -> DataFrame:
     enc = encoded(lines)
     parts, v = enc.parts, enc.types
 
-    def send(number, doc_ids, lines, b: Bucket, found):
+    def send(number, b: Bucket):
         keys, n = np.unique(pairs_of(b.x, b.sizes), return_counts=True)
         keys = numbered(keys, b.ids)
         order, cut = by_part(part_of(keys, parts), parts)
@@ -325,7 +350,7 @@ def pair_scores(lines: DataFrame) -> DataFrame:
         cut = lengths([a[0] for a in asks])
         return out_rows([(b, 2, part, pack(n[inv[i:j]])) for b, i, j in zip(rows["bucket"].to_pylist(), cut[:-1], cut[1:], strict=True)])
 
-    def score(number, doc_ids, lines, b: Bucket, found):
+    def score(doc_ids, lines, b: Bucket, found):
         keys, inv = np.unique(pairs_of(b.x, b.sizes), return_inverse=True)
         order, _ = by_part(part_of(numbered(keys, b.ids), parts), parts)
         n = np.empty(len(keys), dtype=np.int64)
@@ -333,5 +358,5 @@ def pair_scores(lines: DataFrame) -> DataFrame:
         p = np.log10((n + 1) / (b.n_a[keys >> 32] + v))[inv]
         return line_rows(doc_ids, lines, b.sizes - 1, np.add.reduceat(p, np.cumsum(b.sizes - 1) - (b.sizes - 1)))
 
-    counts = materialize(over_buckets(enc, [], send, ROW).groupBy("part").applyInArrow(add, ROW), "pair-counts")
-    return over_buckets(enc, [counts], score, line_schema(enc))
+    counts = materialize(asked(enc, send).groupBy("part").applyInArrow(add, ROW), "pair-counts")
+    return answered(enc, [counts], score, line_schema(enc))

@@ -64,3 +64,44 @@ def test_sentences_keep_the_tokens(spark):
     pairs = zip(language_model.line_tokens(df).collect(), language_model.line_texts(df).collect(), strict=True)
     assert all(" ".join(a["t"]) == b["s"] for a, b in pairs)
     assert Counter(r["s"] for r in language_model.line_texts(df).collect())["<s> ¿ qué ? ×÷ ½ </s>"] == 1
+
+
+def kneser_ney_of(spark, n):
+    """Sentences with repeats, a hot word and a hot pair, by their text."""
+    rng = random.Random(11)
+    word = lambda: rng.choice(["of", "of the", ",", f"w{rng.randrange(60)}", f"r{rng.randrange(3000)}"])
+    rows = [(i // 3, i % 3, " ".join(["<s>", *(word() for _ in range(rng.choice([0, 1, 2, 7, 12]))), "</s>"])) for i in range(n)]
+    return spark.createDataFrame(rows + rows[:40], "doc_id long, line int, s string").repartition(3)
+
+
+def test_trigram_model_over_many_buckets(spark, small):
+    """Equal to the general estimator, which joins tables of n-grams, and each n-gram once."""
+    from corpuskiln.operators import kneser_ney as K
+
+    lines = kneser_ney_of(spark, 600)
+    general = K.general_model(lines.select(language_model.F.split("s", " ").alias("t")), 3).collect()
+    got = K.trigram_model(lines).collect()
+    want = {(r["order"], r["ngram"]): (r["log10p"], r["backoff"]) for r in general}
+    assert len(got) == len(general) == len(want)
+    assert all(math.isclose(r["log10p"], want[r["order"], r["ngram"]][0], abs_tol=1e-9) and math.isclose(r["backoff"], want[r["order"], r["ngram"]][1], abs_tol=1e-9) for r in got)
+
+
+def test_own_scores_equal_the_scorer(spark, small):
+    from corpuskiln.operators import kneser_ney as K
+    from pyspark.sql import functions as F
+
+    lines = kneser_ney_of(spark, 200).dropDuplicates(["doc_id", "line"]).localCheckpoint()
+    scored = language_model.backoff_scores(lines.select("doc_id", "line", F.split("s", " ").alias("t")), K.trigram_model(lines), 3)
+    want = {(r["doc_id"], r["line"]): (r["n"], r["log10p"]) for r in scored.collect()}
+    got = {(r["doc_id"], r["line"]): (r["n"], r["log10p"]) for r in K.own_scores(lines).collect()}
+    assert set(got) == set(want) and all(got[k][0] == want[k][0] and math.isclose(got[k][1], want[k][1], abs_tol=1e-9) for k in want)
+
+
+@pytest.mark.parametrize("name,bound", [("kneser_ney_perplexity", 6)])
+def test_trigrams_are_not_sent_as_texts(spark, name, bound):
+    """Every n-gram went through several shuffles as a text."""
+    from corpuskiln.plans import registry
+
+    size, before = sum(len(r["text"].encode()) for r in documents(spark, "/root/testdata/sf0.01").collect()), shuffled(spark)
+    registry.QUERIES[name](spark, "/root/testdata/sf0.01").write.format("noop").mode("overwrite").save()
+    assert shuffled(spark) - before < bound * size
